@@ -25,7 +25,17 @@ def current(dim: DataFrame) -> DataFrame:
 def dim_date(spark: SparkSession, calendar: tuple[str, str] = CALENDAR) -> DataFrame:
     """One row per day.  Its size is fixed by the range, not by the data."""
     first, last = (F.lit(d).cast("date") for d in calendar)
-    days = spark.range(1).select(F.explode(F.sequence(first, last)).alias("date"))
+    return _calendar_days(spark.range(1).select(first.alias("first"), last.alias("last")))
+
+
+def dim_date_covering(table: DataFrame, date_col: str) -> DataFrame:
+    """The calendar from the first to the last date of a table."""
+    date = F.col(date_col).cast("date")
+    return _calendar_days(table.agg(F.min(date).alias("first"), F.max(date).alias("last")))
+
+
+def _calendar_days(bounds: DataFrame) -> DataFrame:
+    days = bounds.select(F.explode(F.sequence("first", "last")).alias("date"))
     year, half = F.year("date").cast("string"), F.when(F.month("date") <= 6, "-H1")
     return days.select(
         F.date_format("date", "yyyyMMdd").cast("int").alias("date_key"),
