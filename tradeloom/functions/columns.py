@@ -104,6 +104,14 @@ def exact_mean(c: ColumnLike, kind: T.DecimalType = MONEY) -> Column:
     return F.try_divide(F.sum(value.cast(kind)).cast("double"), F.count(value).cast("double"))
 
 
+def try_mean(c: ColumnLike) -> Column:
+    """Mean of a ratio column, rounded to six digits per row so that the sum is exact."""
+    value = F.round(dbl(c), 6)
+    return F.try_divide(
+        F.sum(value.cast(T.DecimalType(28, 6))).cast("double"), F.count(value).cast("double")
+    )
+
+
 def mean_days(c: ColumnLike) -> Column:
     """Mean of an integer column."""
     value = as_col(c)

@@ -801,7 +801,7 @@ def delivery_cube(receipts: str) -> str:
 
 
 FRAGMENTS["cube_delivery_performance"] = delivery_cube("po_last_receipt")
-FRAGMENTS["cube_delivery_per_receipt"] = delivery_cube("s_goods_receipts")
+FRAGMENTS["cube_delivery_per_receipt"] = delivery_cube("fact_goods_receipts")
 
 _WORD = re.compile(r"[A-Za-z_][A-Za-z_0-9]*")
 
