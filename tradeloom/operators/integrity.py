@@ -6,7 +6,7 @@ pass with the scan; only uniqueness and foreign keys need a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,6 +118,73 @@ def composite_score(delivery: str, quality: str, commercial: str, hse: str) -> C
     )
 
 
+# Business rules "if A then B" per cleansed table.
+BUSINESS_RULES: list[tuple[str, str, str, str]] = [
+    ("blacklisted_low_rating", "vendors", "risk_category = 'BLACKLISTED'",
+     "performance_rating < 2"),
+    ("civil_project_sector", "projects",
+     "project_type IN ('BUILDING', 'HIGHWAY', 'APARTMENT', 'BRIDGE')",
+     "sector = 'CIVIL_CONSTRUCTION'"),
+    ("oil_gas_project_sector", "projects",
+     "project_type IN ('REFINERY', 'PIPELINE', 'DRILLING', 'LNG')", "sector = 'OIL_GAS'"),
+    ("product_without_parent", "materials", "material_level = 'PRODUCT'",
+     "parent_material_id IS NULL"),
+    ("top_grade_unlimited", "employees", "grade = 'L6'", "approval_limit IS NULL"),
+    ("emergency_is_critical", "purchase_orders", "po_type = 'EMERGENCY'",
+     "priority = 'CRITICAL'"),
+    ("discount_only_when_paid", "invoices", "early_payment_discount > 0",
+     "invoice_status IN ('PAID', 'PARTIALLY_PAID')"),
+    ("rejected_accepts_nothing", "goods_receipts", "grn_status = 'REJECTED'",
+     "qty_accepted = 0"),
+    ("accepted_within_delivered", "goods_receipts", "qty_accepted IS NOT NULL",
+     "qty_accepted <= qty_delivered"),
+    ("posted_has_invoice", "project_actuals", "cost_status = 'POSTED'",
+     "invoice_id IS NOT NULL"),
+    ("cancelled_is_unbilled", "sales_orders", "order_status = 'CANCELLED'",
+     "payment_status = 'UNBILLED'"),
+]
+
+
+def check_business_rules(
+    tables: Callable[[str], DataFrame],
+    rules: Sequence[tuple[str, str, str, str]] = BUSINESS_RULES,
+) -> DataFrame:
+    """Violations per rule; all rules of a table share one pass over it."""
+    by_table: dict[str, list[tuple[str, str, str]]] = {}
+    for name, table, when, then in rules:
+        by_table.setdefault(table, []).append((name, when, then))
+    parts: list[DataFrame] = []
+    for table, listed in by_table.items():
+        counts = []
+        for i, (_, when, then) in enumerate(listed):
+            broken = F.expr(when) & ~F.coalesce(F.expr(then), F.lit(False))
+            counts += [
+                F.count_if(F.expr(when)).alias(f"_rows{i}"),
+                F.count_if(broken).alias(f"_bad{i}"),
+            ]
+        entries = [
+            F.struct(
+                F.lit(name).alias("rule"),
+                F.col(f"_rows{i}").alias("concerned_rows"),
+                F.col(f"_bad{i}").alias("violations"),
+            )
+            for i, (name, _, _) in enumerate(listed)
+        ]
+        one_row = tables(table).agg(*counts)
+        parts.append(one_row.select(F.lit(table).alias("table_name"), F.inline(F.array(*entries))))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def check_cancelled_lines(po_line_items: DataFrame, purchase_orders: DataFrame) -> DataFrame:
+    """Lines of cancelled orders that still received goods."""
+    cancelled = purchase_orders.filter("po_status = 'CANCELLED'").select("po_id")
+    received = po_line_items.filter("qty_received <> 0")
+    return received.join(cancelled, "po_id", "left_semi")
+
+
 # ---- contracts between layers ------------------------------------------------------------------
 
 

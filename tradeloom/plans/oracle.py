@@ -818,7 +818,10 @@ def _needed(sql: str, seen: list[str]) -> list[str]:
 def statement(sql: str) -> str:
     """A complete statement: the needed fragments in front of the query."""
     parts = [f"{name} AS ({FRAGMENTS[name]})" for name in _needed(sql, [])]
-    return f"WITH {', '.join(parts)} {sql}" if parts else sql
+    if not parts:
+        return sql
+    query = f"SELECT * FROM ({sql})" if sql.lstrip().startswith("WITH") else sql
+    return f"WITH {', '.join(parts)} {query}"
 
 
 # Decimal columns of each result, which leave as doubles.
@@ -878,7 +881,3 @@ def layer_statements() -> dict[str, str]:
         elif name.startswith(("dim_", "fact_", "cube_")):
             out[name] = whole(name)
     return out
-
-
-def statements() -> dict[str, str]:
-    return layer_statements()

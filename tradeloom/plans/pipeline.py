@@ -20,17 +20,24 @@ AsOf = dt.date | str | None
 
 
 def run_bronze(spark: SparkSession, root: str, layer: str = "bronze") -> DataFrame:
-    """Load every source file into the raw layer and return the audit of what was written."""
-    loaded = ingest.ingest_all(spark, root)
+    """Load every source file into the raw layer and return the audit of what was written.
+
+    Malformed rows go to ``rejected_<table>``; a file that cannot be read fails alone.
+    """
     written: dict[str, DataFrame] = {}
-    failures = dict(loaded.failures)
-    for table, frame in loaded.frames.items():
+    rejected: dict[str, DataFrame] = {}
+    failures: dict[str, str] = {}
+    for table in SOURCES:
         try:
-            tables.write_layer(frame, layer, table, f"Raw {table} as loaded from CSV")
+            path = f"{root.rstrip('/')}/{table}.csv"
+            good, bad = ingest.corrupt_row_gate(spark, path, table)
+            tables.write_layer(good, layer, table, f"Raw {table} as loaded from CSV")
+            tables.write_layer(bad, layer, f"rejected_{table}", "Malformed rows")
             written[table] = tables.read_upper_layer(spark, layer, table)
+            rejected[table] = tables.read_upper_layer(spark, layer, f"rejected_{table}")
         except Exception as error:  # noqa: BLE001 - one bad file must not stop the others
             failures[table] = f"FAILED: {str(error)[:200]}"
-    audit = ingest.load_audit(spark, ingest.Loaded(written, failures))
+    audit = ingest.load_audit(spark, ingest.Loaded(written, failures, rejected))
     tables.write_layer(audit, layer, "load_audit", "Rows and status of the last load per table")
     return tables.read_upper_layer(spark, layer, "load_audit")
 

@@ -12,8 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import cubes, dims, silver
+from ..functions import columns as c
+from ..operators import (
+    commerce,
+    cubes,
+    dims,
+    edits,
+    history,
+    insights,
+    integrity,
+    measures,
+    quality,
+    reports,
+    sales_reports,
+    silver,
+)
+from ..session import fresh_path
+from ..sources import ingest, star as star_schema, tables
+from ..sources.schemas import KEYS, SOURCES
 from ..sources.star import FEEDS, Star
+from ..streaming import jobs as streams
 from .layers import CUBES, GOLD, Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +65,21 @@ def on_star(job: Callable[[Star], DataFrame]) -> Query:
     return lambda spark, folder: presentable(job(Star(spark, folder)))
 
 
+def table_of(l: Layers) -> Callable[[str], DataFrame]:
+    """Star schema tables and cubes by one name."""
+    return lambda name: l.cube(name) if name in CUBES else l.gold(name)
+
+
+def union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+# ---- layers ------------------------------------------------------------------------------------
+
+
 def layer_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for table in silver.JOBS:
@@ -65,5 +98,623 @@ def layer_queries() -> dict[str, Query]:
     return out
 
 
+# ---- ingestion ---------------------------------------------------------------------------------
+
+_CSV_COLUMNS = (
+    "po_id po_type po_status priority vendor_id project_id po_date delivery_date approval_date "
+    "po_value tax_amount total_value currency payment_terms"
+).split()
+
+
+def _orders_csv(spark: SparkSession, folder: str) -> str:
+    path = fresh_path(spark, "purchase_orders_csv")
+    ingest.write_csv(star_schema.purchase_orders(Star(spark, folder)), path, "purchase_orders")
+    return path
+
+
+def _ingest_csv(spark: SparkSession, folder: str) -> DataFrame:
+    path = _orders_csv(spark, folder)
+    return presentable(ingest.ingest_csv(spark, path, "purchase_orders").select(*_CSV_COLUMNS))
+
+
+def _incremental_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    path = _orders_csv(spark, folder)
+    raw = streams.incremental_ingest(
+        spark, path, "purchase_orders", fresh_path(spark, "raw"), fresh_path(spark, "state"),
+        "batch-1",
+    )
+    return presentable(raw.select(*_CSV_COLUMNS, "_batch_id"))
+
+
+def _corrupt_row_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Pending orders are written with a date that is no date."""
+    rows = star_schema.purchase_orders(Star(spark, folder))
+    damaged = rows.withColumn(
+        "po_date",
+        F.when(F.trim("po_status") == "pending", F.lit("soon")).otherwise(
+            F.col("po_date").cast("string")
+        ),
+    )
+    path = fresh_path(spark, "damaged_csv")
+    ingest.write_csv(damaged, path, "purchase_orders")
+    good, bad = ingest.corrupt_row_gate(spark, path, "purchase_orders")
+    reasons = bad.select(
+        F.lit("rejected").alias("verdict"),
+        F.split(ingest.CORRUPT, ",").getItem(3).alias("priority"),
+    )
+    kept = good.select(F.lit("kept").alias("verdict"), "priority")
+    return kept.unionByName(reasons).groupBy("verdict", "priority").agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+def _load_audit(l: Layers) -> DataFrame:
+    frames = {t: l.raw(t) for t in SOURCES}
+    return ingest.load_audit(l.spark, ingest.Loaded(frames, {}))
+
+
+def _create_cube_view(spark: SparkSession, folder: str) -> DataFrame:
+    tables.create_cube_view(layers(spark, folder).cube("cube_project_costs"), "project_costs_view")
+    return presentable(
+        spark.sql(
+            "SELECT region, COUNT(*) AS projects, SUM(total_budget) AS total_budget "
+            "FROM project_costs_view GROUP BY region"
+        )
+    )
+
+
+def ingestion_queries() -> dict[str, Query]:
+    return {
+        "ingest_csv": _ingest_csv,
+        "incremental_ingest": _incremental_ingest,
+        "corrupt_row_gate": _corrupt_row_gate,
+        "load_audit": on_layers(_load_audit),
+        "create_cube_view": _create_cube_view,
+    }
+
+
+# ---- quality and integrity ---------------------------------------------------------------------
+
+
+def _all_metrics(l: Layers) -> DataFrame:
+    return union(
+        [
+            quality.expectation_metrics(
+                silver.JOBS[t](l.raw(t), l.as_of), silver.RULES[t], t
+            )
+            for t in silver.JOBS
+        ]
+    )
+
+
+def _quarantined(l: Layers) -> DataFrame:
+    parts = []
+    for table in ("purchase_orders", "vendor_performance"):
+        rows = silver.cleanse_checked(table, l.raw(table), l.as_of).quarantined
+        parts.append(
+            rows.select(
+                F.lit(table).alias("table_name"),
+                F.col(KEYS[table]).cast("string").alias("row_key"),
+                F.array_join("failed_rules", ",").alias("failed_rules"),
+            )
+        )
+    return union(parts)
+
+
+def _dedup(s: Star) -> DataFrame:
+    return quality.deduplicate(
+        s.lines().select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+            star_schema.shipped().alias("ship_date"),
+        ),
+        ["l_orderkey", "l_linenumber"],
+        ["ship_date", "l_partkey", "l_suppkey"],
+    )
+
+
+def _expect_warn(l: Layers) -> DataFrame:
+    rows = silver.JOBS["vendors"](l.raw("vendors"), l.as_of)
+    kept, _ = quality.expect_warn(rows, silver.RULES["vendors"])
+    return kept.select("vendor_id", "performance_rating")
+
+
+def _expect_or_drop(l: Layers) -> DataFrame:
+    rows = silver.JOBS["vendor_performance"](l.raw("vendor_performance"), l.as_of)
+    kept = quality.expect_or_drop(rows, silver.RULES["vendor_performance"])
+    return kept.select("performance_id", "vendor_id", "overall_score")
+
+
+def _expect_or_fail(l: Layers) -> DataFrame:
+    rule = quality.Rule("quantity_positive", "qty_ordered > 0", quality.FAIL)
+    return quality.expect_or_fail(l.silver("po_line_items"), [rule]).groupBy("vendor_id").agg(
+        F.count(F.lit(1)).alias("line_count")
+    )
+
+
+def _dq_metrics(l: Layers) -> DataFrame:
+    return quality.dq_metrics(_all_metrics(l), "run-1").drop("checked_at")
+
+
+def _layer_contract(l: Layers) -> DataFrame:
+    return union(
+        [integrity.layer_contract(l.raw(t), l.silver(t), KEYS[t], t) for t in SOURCES]
+    )
+
+
+def _composite_check(l: Layers) -> DataFrame:
+    expected = integrity.composite_score(
+        "delivery_score", "quality_score", "commercial_score", "hse_score"
+    )
+    rows = l.silver("vendor_performance")
+    return integrity.check_row_arithmetic(rows, "overall_score", expected, 0.01).select(
+        "performance_id", "overall_score", c.dbl("expected_value").alias("expected_value")
+    )
+
+
+def _sign_check(l: Layers) -> DataFrame:
+    shifted = l.silver("inventory").withColumn("quantity", F.col("quantity") - 10)
+    return integrity.check_sign(shifted, "movement_type", "quantity").groupBy(
+        "movement_type"
+    ).agg(F.count(F.lit(1)).alias("violations"))
+
+
+def quality_queries() -> dict[str, Query]:
+    return {
+        "expect_warn": on_layers(_expect_warn),
+        "expect_or_drop": on_layers(_expect_or_drop),
+        "expect_or_fail": on_layers(_expect_or_fail),
+        "expectation_metrics": on_layers(_all_metrics),
+        "quarantine": on_layers(_quarantined),
+        "dq_metrics": on_layers(_dq_metrics),
+        "silver_dedup": on_star(_dedup),
+        "check_row_count": on_star(lambda s: integrity.check_row_count(s.lines(), 1)),
+        "check_unique": on_star(
+            lambda s: integrity.check_unique(s.lines(), "l_orderkey", "l_linenumber")
+        ),
+        "check_accepted_values": on_star(
+            lambda s: integrity.check_accepted_values(
+                s.orders(), "o_orderpriority", ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
+            ).select("o_orderkey", "o_orderpriority")
+        ),
+        "check_foreign_key": on_star(
+            lambda s: integrity.check_foreign_key(
+                s.orders(), "o_orderkey", s.lines(), "l_orderkey"
+            ).select("o_orderkey")
+        ),
+        "check_conditional": on_layers(
+            lambda l: integrity.check_conditional(
+                l.silver("purchase_orders"), "po_type = 'EMERGENCY'", "priority = 'CRITICAL'"
+            ).select("po_id", "po_type", "priority")
+        ),
+        "check_business_rules": on_layers(lambda l: integrity.check_business_rules(l.silver)),
+        "check_range": on_layers(
+            lambda l: integrity.check_range(
+                l.silver("contracts"), "original_value", 50_000, 400_000
+            ).select("contract_id", "original_value")
+        ),
+        "check_row_arithmetic": on_layers(_composite_check),
+        "check_sign": on_layers(_sign_check),
+        "check_threshold_label": on_layers(
+            lambda l: integrity.check_threshold_label(
+                l.silver("vendor_performance"), "compliance_score", "recommendation"
+            ).select("performance_id", "recommendation", "expected_label")
+        ),
+        "check_share": on_layers(
+            lambda l: integrity.check_share(
+                l.silver("contract_items"), "milestone_flag", 0.10, 0.20
+            )
+        ),
+        "layer_contract": on_layers(_layer_contract),
+    }
+
+
+# ---- sales and commerce ------------------------------------------------------------------------
+
+_SALES_REPORTS: dict[str, Callable[..., DataFrame]] = {
+    f.__name__: f
+    for f in (
+        sales_reports.customer_ranking,
+        sales_reports.sales_by_country,
+        sales_reports.sales_by_city,
+        sales_reports.top_category_by_country,
+        sales_reports.product_performance,
+        sales_reports.category_performance,
+        sales_reports.daily_sales,
+        sales_reports.sales_by_weekday,
+        sales_reports.monthly_trend,
+    )
+}
+YEAR = ("1997-01-01", "1997-12-31")
+
+
+def on_commerce(job: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    return on_star(lambda s: job(star_schema.commerce(s)))
+
+
+def _stock_changes(t: dict[str, DataFrame]) -> DataFrame:
+    return commerce.stock_changes(t["purchase"], t["purchase_item"], t["sale"], t["sale_item"])
+
+
+def commerce_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {
+        name: on_star(lambda s, f=report: f(star_schema.sales(s)))
+        for name, report in _SALES_REPORTS.items()
+    }
+    out |= {
+        "commerce_summary": on_commerce(
+            lambda t: commerce.commerce_summary(t["sale"], t["purchase"], t["payment"], *YEAR)
+        ),
+        "commerce_summary_default_range": on_commerce(
+            lambda t: commerce.commerce_summary(
+                t["sale"], t["purchase"], t["payment"], as_of=AS_OF
+            )
+        ),
+        "top_products": on_commerce(
+            lambda t: commerce.top_products(t["sale"], t["sale_item"], t["product"], *YEAR)
+        ),
+        "top_customers": on_commerce(
+            lambda t: commerce.top_customers(t["sale"], t["customer"], *YEAR)
+        ),
+        "daily_breakdown": on_commerce(
+            lambda t: commerce.daily_breakdown(t["sale"], t["purchase"], *YEAR)
+        ),
+        "sales_last30": on_commerce(lambda t: commerce.last30_totals(t["sale"], AS_OF)),
+        "purchases_last30": on_commerce(lambda t: commerce.last30_totals(t["purchase"], AS_OF)),
+        "payments_last30": on_commerce(lambda t: commerce.payments_last30(t["payment"], AS_OF)),
+        "top_products_alltime": on_commerce(
+            lambda t: commerce.top_products_alltime(t["sale_item"], t["product"])
+        ),
+        "sales_listing": on_commerce(
+            lambda t: commerce.sales_listing(
+                t["sale"], t["sale_item"], t["product"], t["customer"], *YEAR, page=2
+            )
+        ),
+        "purchases_listing": on_commerce(
+            lambda t: commerce.purchases_listing(
+                t["purchase"], t["purchase_item"], t["product"], t["supplier"], *YEAR, page=2
+            )
+        ),
+        "payments_listing": on_commerce(
+            lambda t: commerce.payments_listing(t["payment"], "Outgoing", *YEAR, page=2)
+        ),
+        "customer_search": on_commerce(
+            lambda t: commerce.customer_search(t["customer"], "machinery", page=2)
+        ),
+        "product_search": on_commerce(lambda t: commerce.product_search(t["product"], "1", 2)),
+        "supplier_search": on_commerce(lambda t: commerce.supplier_search(t["supplier"], "0")),
+        "active_users": on_commerce(lambda t: commerce.active_users(t["app_user"])),
+        "offering_listing": on_commerce(
+            lambda t: commerce.offering_listing(
+                t["class_offering"], t["class"], t["subject"], t["section"], t["timeline"],
+                t["app_user"], start="1996-01-01", end="2000-12-31", page=None,
+            )
+        ),
+        "offering_page": on_commerce(
+            lambda t: commerce.offering_listing(
+                t["class_offering"], t["class"], t["subject"], t["section"], t["timeline"],
+                t["app_user"], class_id=2, page=3,
+            )
+        ),
+        "stock_on_hand": on_commerce(
+            lambda t: commerce.stock_on_hand(t["product"], _stock_changes(t))
+        ),
+        "running_stock": on_commerce(
+            lambda t: commerce.running_stock(t["product"], _stock_changes(t))
+        ),
+        "order_total": on_commerce(lambda t: commerce.order_total(t["sale_item"], "sale_id")),
+    }
+    for kind in ("class", "subject", "section", "timeline"):
+        out[f"reference_list_{kind}"] = on_commerce(
+            lambda t, k=kind: commerce.reference_list(k, t[k])
+        )
+    return out
+
+
+# ---- measures, reports, insights ---------------------------------------------------------------
+
+# The column by which each table's measures are listed.
+MEASURE_GROUPS: dict[str, str] = {
+    "fact_purchase_orders": "po_status",
+    "fact_invoices": "aging_bucket",
+    "fact_project_costs": "cost_type",
+    "fact_vendor_performance": "recommendation",
+    "dim_vendor": "tier",
+    "fact_goods_receipts": "grn_status",
+    "fact_contracts": "contract_type",
+    "fact_sales": "customer_type",
+    "fact_inventory": "movement_type",
+    "dim_project": "region",
+    "cube_project_costs": "region",
+    "cube_procurement_spend": "vendor_sector",
+}
+
+
+def _measures(l: Layers, table: str) -> DataFrame:
+    names = [n for n, m in measures.MEASURES.items() if m.table == table]
+    return measures.measures_of(table_of(l), names, [MEASURE_GROUPS[table]])
+
+
+def measure_queries() -> dict[str, Query]:
+    out = {
+        f"measures_{table}": on_layers(lambda l, t=table: _measures(l, t))
+        for table in MEASURE_GROUPS
+    }
+    out["measure_grand_total"] = on_layers(
+        lambda l: measures.measure(table_of(l), "Avg PO Value", where="po_status = 'OPEN'")
+    )
+    out["measure_spend_by_tier"] = on_layers(
+        lambda l: measures.measure_by_dimension(
+            table_of(l), "Avg PO Value", "dim_vendor", "vendor_id", ["tier", "vendor_country"]
+        )
+    )
+    return out
+
+
+def report_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {
+        f"report_{name}": on_layers(lambda l, n=name: reports.visual(l.cube, n))
+        for name in reports.VISUALS
+    }
+    out |= {
+        "report_topn": on_layers(
+            lambda l: reports.report_topn(
+                l.cube("cube_procurement_spend"), ["vendor_name"], "total_spend",
+                ("sum", "total_spend"), 10,
+            )
+        ),
+        "report_slice": on_layers(
+            lambda l: reports.report_rollup(
+                reports.report_slice(
+                    l.cube("cube_procurement_spend"), year=[1996, 1997], quarter=2
+                ),
+                ["vendor_name"],
+                {"total_spend": ("sum", "total_spend")},
+            )
+        ),
+        "report_matrix": on_layers(
+            lambda l: reports.report_matrix(
+                l.cube("cube_cost_variance"), ["project_name"], "cost_type",
+                ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+                ("sum", "overrun_amount"),
+            )
+        ),
+        "report_band": on_layers(
+            lambda l: reports.report_band(
+                l.cube("cube_project_costs").select("project_id", "cpi"),
+                "cpi_band", reports.cpi_band("cpi"),
+            )
+        ),
+        "report_growth_band": on_layers(
+            lambda l: reports.report_band(
+                l.cube("cube_spend_by_sector").select(
+                    "vendor_id", "year", "quarter", "yoy_growth_pct"
+                ),
+                "growth_band", reports.growth_band("yoy_growth_pct"),
+            )
+        ),
+    }
+    return out
+
+
+def insight_queries() -> dict[str, Query]:
+    return {
+        "kpi_alerts": on_layers(
+            lambda l: insights.kpi_alerts(
+                l.gold("fact_purchase_orders"), l.gold("fact_invoices"),
+                l.gold("fact_project_costs"), l.cube("cube_delivery_performance"),
+                l.gold("fact_goods_receipts"), l.gold("fact_vendor_performance"),
+                l.gold("fact_contracts"), l.cube("cube_project_timeline"), l.as_of,
+            )
+        ),
+        "concentration_risk": on_layers(
+            lambda l: insights.concentration_risk(
+                l.gold("fact_purchase_orders"), l.gold("dim_vendor")
+            )
+        ),
+        "evm_extended": on_layers(
+            lambda l: insights.evm_extended(
+                l.cube("cube_project_costs"), l.cube("cube_project_timeline")
+            )
+        ),
+        "cashflow_forecast": on_layers(
+            lambda l: insights.cashflow_forecast(l.gold("fact_invoices"), l.as_of)
+        ),
+        "three_way_match": on_layers(
+            lambda l: insights.three_way_match(
+                l.gold("fact_purchase_orders"), l.gold("fact_goods_receipts"),
+                l.gold("fact_invoices"),
+            )
+        ),
+        "stock_alerts": on_layers(
+            lambda l: insights.stock_alerts(
+                l.gold("fact_inventory"), l.silver("materials"), l.as_of
+            )
+        ),
+        "burn_rate_months": on_layers(
+            lambda l: insights.burn_rate_months(
+                l.gold("fact_project_costs"), l.silver("project_actuals")
+            )
+        ),
+        "s_curve": on_layers(
+            lambda l: insights.s_curve(
+                l.gold("dim_project"), l.gold("fact_project_costs"), l.silver("project_actuals")
+            )
+        ),
+        "spend_concentration": on_layers(
+            lambda l: insights.spend_concentration(
+                l.silver("po_line_items"), l.gold("dim_material")
+            )
+        ),
+        "spend_concentration_material": on_layers(
+            lambda l: insights.spend_concentration(
+                l.silver("po_line_items"), l.gold("dim_material"), "material_id"
+            )
+        ),
+    }
+
+
+# ---- edits and history -------------------------------------------------------------------------
+
+
+def _verify_edit(l: Layers, name: str) -> DataFrame:
+    edit = edits.EDITS[name]
+    before = l.gold(edit.table)
+    after = edits.update_first_n(before, edit)
+    return edits.verify_after_update(after, edit, edits.pre_image(before, edit))
+
+
+def _revert(l: Layers) -> DataFrame:
+    edit = edits.EDITS["A01"]
+    before = l.gold(edit.table)
+    saved = edits.pre_image(before, edit)
+    return edits.revert_update(edits.update_first_n(before, edit), edit, saved)
+
+
+def _vendor_versions(l: Layers) -> tuple[DataFrame, DataFrame]:
+    """Vendors now, and a later snapshot with better ratings and without the inactive ones."""
+    now = l.gold("dim_vendor").select("vendor_id", "vendor_name", "tier", "status")
+    rating = F.col("performance_rating") + 1
+    tier = c.band(rating, [(4, "STRATEGIC"), (3, "PREFERRED")], "STANDARD")
+    later = l.gold("dim_vendor").filter("status <> 'INACTIVE'").select(
+        "vendor_id", "vendor_name", tier.alias("tier"), "status"
+    )
+    return now, later
+
+
+def _scd2_snapshots(l: Layers) -> DataFrame:
+    now, later = _vendor_versions(l)
+    tracked = ["vendor_name", "tier", "status"]
+    opened = history.start_history(now, "vendor_id", tracked, "1997-01-01")
+    return history.apply_snapshot(
+        opened, later, "vendor_id", tracked, "1998-01-01", close_missing=True
+    ).drop("row_hash")
+
+
+def _scd2_log(s: Star) -> DataFrame:
+    """History of a customer's order status, from the last order of each day."""
+    day = star_schema.ordered().alias("order_date")
+    changes = s.orders().groupBy("o_custkey", day).agg(
+        F.max_by("o_orderstatus", "o_orderkey").alias("order_status")
+    )
+    return history.scd2_dimension(changes, "o_custkey", ["order_status"], "order_date").drop(
+        "row_hash"
+    )
+
+
+def _merge(l: Layers) -> DataFrame:
+    now, later = _vendor_versions(l)
+    arrivals = later.filter("status = 'PENDING'").withColumn(
+        "vendor_id", F.col("vendor_id") + 1_000_000
+    )
+    return edits.upsert_merge(now, later.unionByName(arrivals), "vendor_id")
+
+
+def edit_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {
+        f"update_{name}": on_layers(lambda l, n=name: _verify_edit(l, n)) for name in edits.EDITS
+    }
+    out |= {
+        "update_first_n": on_layers(
+            lambda l: edits.update_first_n(
+                l.gold("fact_purchase_orders"), edits.EDITS["A01"]
+            ).select("po_id", "po_status", "po_value")
+        ),
+        "revert_update": on_layers(lambda l: _revert(l).select("po_id", "po_status", "po_value")),
+        "upsert_merge": on_layers(_merge),
+        "scd2_snapshots": on_layers(_scd2_snapshots),
+        "scd2_dimension": on_star(_scd2_log),
+    }
+    return out
+
+
+# ---- streaming ---------------------------------------------------------------------------------
+
+
+def _as_stream(spark: SparkSession, raw: DataFrame) -> DataFrame:
+    """A feed written to files and read back as a stream."""
+    path = fresh_path(spark, "feed")
+    raw.write.parquet(path)
+    return streams.stream_parquet(spark, path, raw)
+
+
+def _drain(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    target = fresh_path(spark, "out")
+    streams.run_available(stream, target, fresh_path(spark, "state"))
+    return spark.read.parquet(target)
+
+
+def _stream_dim(feed: str, table: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        l = layers(spark, folder)
+        cleansed = streams.stream_silver(_as_stream(spark, l.raw(feed)), feed, AS_OF)
+        return presentable(_drain(spark, streams.stream_dims(table, cleansed)))
+
+    return query
+
+
+def _stream_fact(feed: str, table: str, *lookups: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        l = layers(spark, folder)
+        cleansed = streams.stream_silver(_as_stream(spark, l.raw(feed)), feed, AS_OF)
+        static = {t: l.silver(t) for t in lookups}
+        return presentable(_drain(spark, streams.stream_facts(table, cleansed, AS_OF, **static)))
+
+    return query
+
+
+def _stream_dq(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per outcome after the expectations of the evaluations ran on a stream."""
+    table = "vendor_performance"
+    raw = _as_stream(spark, layers(spark, folder).raw(table))
+    good, bad, metrics = (fresh_path(spark, n) for n in ("good", "bad", "metrics"))
+    streams.stream_dq(
+        silver.JOBS[table](raw, AS_OF), silver.RULES[table], good, bad, metrics,
+        fresh_path(spark, "state"),
+    )
+    kept = spark.read.parquet(good).select(
+        F.lit("kept").alias("outcome"), "evaluation_period"
+    )
+    rejected = spark.read.parquet(bad).select(
+        F.array_join("failed_rules", ",").alias("outcome"), "evaluation_period"
+    )
+    return kept.unionByName(rejected).groupBy("outcome", "evaluation_period").agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+def stream_queries() -> dict[str, Query]:
+    return {
+        "stream_dim_vendor": _stream_dim("vendors", "dim_vendor"),
+        "stream_dim_project": _stream_dim("projects", "dim_project"),
+        "stream_dim_material": _stream_dim("materials", "dim_material"),
+        "stream_fact_purchase_orders": _stream_fact(
+            "purchase_orders", "fact_purchase_orders", "po_line_items"
+        ),
+        "stream_fact_invoices": _stream_fact("invoices", "fact_invoices"),
+        "stream_fact_goods_receipts": _stream_fact(
+            "goods_receipts", "fact_goods_receipts", "po_line_items"
+        ),
+        "stream_fact_project_costs": _stream_fact(
+            "project_budgets", "fact_project_costs", "project_actuals"
+        ),
+        "stream_fact_vendor_performance": _stream_fact(
+            "vendor_performance", "fact_vendor_performance"
+        ),
+        "stream_fact_contracts": _stream_fact("contracts", "fact_contracts", "contract_items"),
+        "stream_fact_sales": _stream_fact("sales_orders", "fact_sales", "materials"),
+        "stream_dq": _stream_dq,
+    }
+
+
 def queries() -> dict[str, Query]:
-    return layer_queries()
+    return (
+        layer_queries()
+        | ingestion_queries()
+        | quality_queries()
+        | commerce_queries()
+        | measure_queries()
+        | report_queries()
+        | insight_queries()
+        | edit_queries()
+        | stream_queries()
+    )

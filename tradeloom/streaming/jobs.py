@@ -33,15 +33,14 @@ def run_available(
 
     The sink's commit log makes the output exactly-once even when a batch is repeated.
     """
-    query = (
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .queryName(table)
         .trigger(availableNow=True)
-        .start()
     )
+    query = (writer.queryName(table) if table else writer).start()
     query.awaitTermination()
     return query
 
