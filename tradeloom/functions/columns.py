@@ -1,8 +1,9 @@
 """Reusable column expressions: lenient casts, exact money, percentages, calendar, labels.
 
-Money is DECIMAL(18,2) and quantity DECIMAL(18,4) from the cleansed layer on, so every sum is
-exact and does not depend on the order in which partitions arrive.  Ratios are computed in
-DOUBLE after the sums.
+Money and quantities are DOUBLE columns with a fixed number of digits.  Sums are taken over whole
+units of the last digit (cents) in BIGINT: exact, independent of the order in which partitions
+arrive, and as cheap to shuffle as a double, where a decimal sum costs two to three times as much.
+A group may add up to 9.2e16 in money; beyond that the job fails instead of giving a wrong sum.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
-QUANTITY = T.DecimalType(18, 4)
+# Digits that sums keep.
+MONEY = 2
+QUANTITY = 4
+RATE = 6
 
 ColumnLike = Column | str
 
@@ -28,11 +30,13 @@ def as_col(value: ColumnLike) -> Column:
 
 
 def money(c: ColumnLike) -> Column:
-    return as_col(c).try_cast(MONEY)
+    """Number rounded to cents."""
+    return rounded(number(c), MONEY)
 
 
 def quantity(c: ColumnLike) -> Column:
-    return as_col(c).try_cast(QUANTITY)
+    """Number rounded to four digits."""
+    return rounded(number(c), QUANTITY)
 
 
 def number(c: ColumnLike) -> Column:
@@ -94,22 +98,33 @@ def divide_or_zero(num: ColumnLike, den: ColumnLike) -> Column:
 # ---- aggregates --------------------------------------------------------------------------------
 
 
-def exact_sum(c: ColumnLike, kind: T.DecimalType = MONEY) -> Column:
-    return F.sum(as_col(c).cast(kind))
+def units(c: ColumnLike, digits: int = MONEY) -> Column:
+    """Whole number of the smallest unit, e.g. cents."""
+    return F.rint(dbl(c) * float(10**digits)).cast("long")
 
 
-def exact_mean(c: ColumnLike, kind: T.DecimalType = MONEY) -> Column:
+def from_units(c: ColumnLike, digits: int = MONEY) -> Column:
+    return dbl(c) / float(10**digits)
+
+
+def rounded(c: ColumnLike, digits: int = MONEY) -> Column:
+    """Nearest number with the given digits; cheaper than ``round``, which goes through text."""
+    scale = float(10**digits)
+    return F.rint(dbl(c) * scale) / scale
+
+
+def exact_sum(c: ColumnLike, digits: int = MONEY) -> Column:
+    return from_units(F.sum(units(c, digits)), digits)
+
+
+def exact_mean(c: ColumnLike, digits: int = MONEY) -> Column:
     """Mean as exact sum over count: the same value for every partitioning and every retry."""
-    value = as_col(c)
-    return F.try_divide(F.sum(value.cast(kind)).cast("double"), F.count(value).cast("double"))
+    return F.try_divide(exact_sum(c, digits), F.count(as_col(c)).cast("double"))
 
 
 def try_mean(c: ColumnLike) -> Column:
     """Mean of a ratio column, rounded to six digits per row so that the sum is exact."""
-    value = F.round(dbl(c), 6)
-    return F.try_divide(
-        F.sum(value.cast(T.DecimalType(28, 6))).cast("double"), F.count(value).cast("double")
-    )
+    return exact_mean(F.round(dbl(c), RATE), RATE)
 
 
 def mean_days(c: ColumnLike) -> Column:
@@ -118,8 +133,8 @@ def mean_days(c: ColumnLike) -> Column:
     return F.try_divide(F.sum(value.cast("long")).cast("double"), F.count(value).cast("double"))
 
 
-def sum_when(cond: Column, value: ColumnLike, kind: T.DecimalType = MONEY) -> Column:
-    return F.sum(F.when(cond, as_col(value)).otherwise(F.lit(0)).cast(kind))
+def sum_when(cond: Column, value: ColumnLike, digits: int = MONEY) -> Column:
+    return exact_sum(F.when(cond, dbl(value)).otherwise(F.lit(0.0)), digits)
 
 
 # ---- dates -------------------------------------------------------------------------------------

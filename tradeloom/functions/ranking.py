@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .columns import MONEY
+from .columns import from_units, units
 
 _PER_OCTAVE = 256  # buckets per doubling of the value
 _SMALLEST = 2.0**-7  # values closer to zero share bucket 0
@@ -41,13 +41,13 @@ def ordered_totals(
     """One row per (group, distinct value) with its rank, dense rank and running total.
 
     Columns: ``by``, ``value``, ``_rank``, ``_dense_rank`` and, with a ``measure``, ``_running``
-    (sum of the measure over all rows up to and including this value) .
+    (sum of a money measure over all rows up to and including this value).
     """
     by = list(by)
     # Equal values collapse before the shuffle, so a value shared by most rows costs one row.
     aggs = [F.count(F.lit(1)).alias("_rows")]
     if measure:
-        aggs.append(F.sum(F.col(measure).cast(MONEY)).alias("_measure"))
+        aggs.append(F.sum(units(measure)).alias("_measure"))
     bucket = order_bucket(F.col(value)) * (-1 if descending else 1)
     points = (
         df.groupBy(*by, value)
@@ -95,7 +95,8 @@ def ordered_totals(
         (F.col("_dense_before") + F.col("_dense_in")).alias("_dense_rank"),
     ]
     if measure:
-        out.append((F.col("_measure_before") + F.col("_measure_in")).alias("_running"))
+        running = F.col("_measure_before") + F.col("_measure_in")
+        out.append(from_units(running).alias("_running"))
     return local.join(offsets, same).select(*out)
 
 

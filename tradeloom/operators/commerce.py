@@ -10,11 +10,13 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as c
 
 Moment = dt.date | str | None
 PAGE_SIZE = 20
+MONEY = T.DecimalType(18, 2)
 
 
 def date_range(start: Moment, end: Moment, as_of: Moment = None) -> tuple[Column, Column]:
@@ -48,7 +50,7 @@ def page_of(df: DataFrame, page: int, size: int, *order: Column | str) -> DataFr
 
 
 def _money_sum(cond: Column, value: str) -> Column:
-    return F.coalesce(c.sum_when(cond, value), F.lit(0)).cast("decimal(28,2)")
+    return F.coalesce(F.sum(F.when(cond, F.col(value))), F.lit(0)).cast("decimal(28,2)")
 
 
 def commerce_summary(
@@ -74,8 +76,8 @@ def commerce_summary(
             F.count(F.lit(1)).alias("n"),
         ),
         "payments": in_range(payment, start, end, as_of).agg(
-            c.sum_when(incoming, "amount").alias("a"),
-            c.sum_when(F.col("direction") == "Outgoing", "amount").alias("b"),
+            F.sum(F.when(incoming, F.col("amount"))).alias("a"),
+            F.sum(F.when(F.col("direction") == "Outgoing", F.col("amount"))).alias("b"),
             F.count(F.lit(1)).alias("n"),
         ),
     }
@@ -109,7 +111,7 @@ def line_amount() -> Column:
 def _top_items(items: DataFrame, product: DataFrame, n: int) -> DataFrame:
     """Top n products by amount; the sum is taken per key before the name is looked up."""
     totals = items.groupBy("product_id").agg(
-        F.sum(line_amount().cast(c.MONEY)).cast("decimal(28,2)").alias("total"),
+        F.sum(line_amount().cast(MONEY)).cast("decimal(28,2)").alias("total"),
         F.sum(F.col("quantity").cast("long")).alias("units"),
     )
     known = totals.join(
@@ -243,7 +245,7 @@ def _document_listing(
             "product_name",
             "quantity",
             "unit_price",
-            line_amount().cast(c.MONEY).alias("line_total"),
+            line_amount().cast(MONEY).alias("line_total"),
         )
     )
 
@@ -482,5 +484,5 @@ def running_stock(product: DataFrame, changes: DataFrame) -> DataFrame:
 def order_total(items: DataFrame, document_id: str) -> DataFrame:
     """Header total of every sale or purchase from its items."""
     return items.groupBy(document_id).agg(
-        F.sum(line_amount().cast(c.MONEY)).cast("decimal(28,2)").alias("total")
+        F.sum(line_amount().cast(MONEY)).cast("decimal(28,2)").alias("total")
     )

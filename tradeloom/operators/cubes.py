@@ -42,7 +42,7 @@ def with_previous_year(
     a window holds one row per year.
     """
     quarterly = monthly.groupBy(*keys, "year", "quarter").agg(
-        F.sum(value).cast(c.MONEY).alias(total)
+        c.exact_sum(value).alias(total)
     )
     years = Window.partitionBy(*keys, "quarter").orderBy("year")
     compared = quarterly.withColumn(previous, F.lag(total).over(years))
@@ -135,7 +135,7 @@ def cube_spend_by_sector(
         .join(sectors, "sector")
     )
     by_sector = spend.groupBy("sector_key", *periods).agg(
-        F.sum("total_spend").cast(c.MONEY).alias("sector_spend")
+        c.exact_sum("total_spend").alias("sector_spend")
     )
     # A vendor has one sector, so a window per vendor and quarter holds one row per year.
     years = Window.partitionBy("vendor_id", "quarter").orderBy("year")
@@ -315,7 +315,7 @@ def cube_contract_status(
         .when(active & (F.datediff("end_date", today) < 30), "NEAR_EXPIRY")
         .otherwise("ON_TRACK")
     )
-    remaining = F.col("revised_value") - F.coalesce("items_total", F.lit(0).cast(c.MONEY))
+    remaining = F.col("revised_value") - F.coalesce("items_total", F.lit(0.0))
     return joined.select(
         "contract_id",
         "contract_type",
@@ -335,7 +335,7 @@ def cube_contract_status(
         "value_utilisation_pct",
         cost_risk.alias("cost_risk_flag"),
         schedule_risk.alias("schedule_risk_flag"),
-        remaining.cast(c.MONEY).alias("remaining_value"),
+        c.money(remaining).alias("remaining_value"),
     )
 
 
@@ -389,12 +389,12 @@ def cube_project_costs(costs: DataFrame, dim_project: DataFrame) -> DataFrame:
     Distinct work packages and cost types are counted on the per-line totals, not on raw rows.
     """
     totals = _cost_lines(costs).groupBy("project_id").agg(
-        F.sum("budget_amount").alias("total_budget"),
-        F.sum("actual_amount").alias("total_actual"),
-        F.sum("committed_amount").alias("total_committed"),
-        F.sum("total_exposure").alias("total_exposure"),
-        F.sum("variance_amount").alias("total_variance"),
-        F.sum("_variance_pct_sum").alias("_pct_sum"),
+        c.exact_sum("budget_amount").alias("total_budget"),
+        c.exact_sum("actual_amount").alias("total_actual"),
+        c.exact_sum("committed_amount").alias("total_committed"),
+        c.exact_sum("total_exposure").alias("total_exposure"),
+        c.exact_sum("variance_amount").alias("total_variance"),
+        c.exact_sum("_variance_pct_sum").alias("_pct_sum"),
         F.sum("_variance_pct_rows").alias("_pct_rows"),
         F.count_distinct("wbs_element").alias("wbs_count"),
         F.count_distinct("cost_type").alias("cost_type_count"),
@@ -459,7 +459,7 @@ def cube_budget_vs_actual(costs: DataFrame, dim_project: DataFrame) -> DataFrame
 def cube_cost_variance(costs: DataFrame, dim_project: DataFrame) -> DataFrame:
     """Overruns per project, cost type and work package, ranked inside the project."""
     lines = _cost_lines(costs).withColumn(
-        "_excess", (F.col("total_exposure") - F.col("budget_amount")).cast(c.MONEY)
+        "_excess", c.money(F.col("total_exposure") - F.col("budget_amount"))
     )
     share = c.safe_div("_excess", "budget_amount")
     severity = (
@@ -485,10 +485,10 @@ def cube_cost_variance(costs: DataFrame, dim_project: DataFrame) -> DataFrame:
         "actual_amount",
         "committed_amount",
         "variance_amount",
-        F.greatest("_excess", F.lit(0).cast(c.MONEY)).alias("overrun_amount"),
+        F.greatest("_excess", F.lit(0.0)).alias("overrun_amount"),
         severity.alias("overrun_severity"),
         c.ratio("budget_amount", "total_exposure", 4).alias("cpi"),
-        (F.col("budget_amount") - F.col("actual_amount")).cast(c.MONEY).alias("remaining_budget"),
+        c.money(F.col("budget_amount") - F.col("actual_amount")).alias("remaining_budget"),
         c.ratio("actual_amount", "budget_amount", 2, 100).alias("burn_rate_pct"),
         "overrun_rank",
     )
@@ -513,8 +513,8 @@ def cube_project_timeline(
         .agg(
             F.min("_first").alias("first_spend_date"),
             F.max("_last").alias("last_spend_date"),
-            F.sum("_actual").alias("total_actual"),
-            F.sum("_budget").alias("total_budget"),
+            c.exact_sum("_actual").alias("total_actual"),
+            c.exact_sum("_budget").alias("total_budget"),
             F.count_distinct("wbs_element").alias("active_wbs_count"),
         )
     )
@@ -820,7 +820,7 @@ def cube_inventory_status(
         c.sum_when(receipt, "total_value").alias("receipt_value"),
         c.sum_when(issue, "total_value").alias("issue_value"),
         c.sum_when(back, "total_value").alias("return_value"),
-        F.sum("total_value").alias("total_movement_value"),
+        c.exact_sum("total_value").alias("total_movement_value"),
         c.exact_mean("avg_unit_cost", c.QUANTITY).alias("avg_unit_cost"),
     )
     materials = _pick(dim_material, "material_id", "material_name", "material_category")

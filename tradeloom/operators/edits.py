@@ -88,7 +88,9 @@ def revert_update(df: DataFrame, edit: Edit, before: DataFrame) -> DataFrame:
 
 def scale(column: str, factor: str) -> Callable[[], Column]:
     """Multiply by an exact decimal factor and round to cents."""
-    return lambda: F.round(F.col(column) * F.lit(factor).cast("decimal(6,2)"), 2)
+    return lambda: F.round(
+        F.col(column).cast("decimal(18,2)") * F.lit(factor).cast("decimal(6,2)"), 2
+    )
 
 
 def set_to(value: object) -> Callable[[], Column]:
@@ -96,12 +98,12 @@ def set_to(value: object) -> Callable[[], Column]:
 
 
 def add(column: str, amount: float) -> Callable[[], Column]:
-    return lambda: F.col(column) + F.lit(amount)
+    return lambda: F.round(F.col(column) + F.lit(amount), 4)
 
 
 def subtract_floored(column: str, amount: float) -> Callable[[], Column]:
     """Subtract, but not below zero."""
-    return lambda: F.greatest(F.col(column) - F.lit(amount), F.lit(0))
+    return lambda: F.greatest(F.round(F.col(column) - F.lit(amount), 4), F.lit(0))
 
 
 def _po(n: int, changes: dict, condition: str | None = None) -> Edit:

@@ -31,7 +31,7 @@ def line_totals(po_line_items: DataFrame) -> DataFrame:
 
 def purchase_orders_from(orders: DataFrame, totals: DataFrame) -> DataFrame:
     """``fact_purchase_orders`` from orders and the line totals per order."""
-    zero = F.lit(0)
+    zero = F.lit(0.0)
     return _stamp(
         orders.join(totals, "po_id", "left").select(
             "po_id",
@@ -50,8 +50,8 @@ def purchase_orders_from(orders: DataFrame, totals: DataFrame) -> DataFrame:
             "priority",
             "currency",
             "payment_terms",
-            F.coalesce("line_total", zero).cast(c.MONEY).alias("line_total"),
-            F.coalesce("total_quantity", zero).cast(c.QUANTITY).alias("total_quantity"),
+            F.coalesce("line_total", zero).alias("line_total"),
+            F.coalesce("total_quantity", zero).alias("total_quantity"),
         )
     )
 
@@ -122,7 +122,7 @@ def fact_goods_receipts(receipts: DataFrame, po_line_items: DataFrame) -> DataFr
     prices = po_line_items.select(
         F.col("line_id").alias("line_item_id"), F.col("unit_price").alias("_price")
     )
-    value = F.col("qty_accepted") * F.coalesce("_price", F.lit(0).cast(c.QUANTITY))
+    value = F.col("qty_accepted") * F.coalesce("_price", F.lit(0.0))
     return _stamp(
         receipts.join(prices, "line_item_id", "left").select(
             "grn_id",
@@ -137,7 +137,7 @@ def fact_goods_receipts(receipts: DataFrame, po_line_items: DataFrame) -> DataFr
             F.col("qty_rejected").alias("quantity_rejected"),
             "rejection_rate",
             (F.lit(100.0) - F.col("rejection_rate")).alias("acceptance_rate"),
-            value.cast(c.MONEY).alias("receipt_value"),
+            c.money(value).alias("receipt_value"),
             "grn_status",
             "storage_location",
             F.col("received_by").alias("inspector"),
@@ -159,8 +159,8 @@ def project_costs_from(budgets: DataFrame, totals: DataFrame) -> DataFrame:
     ``variance_amount`` is budget minus actual; the overrun in the actuals has the other sign.
     """
     budget = F.col("revised_amount")
-    actual = F.coalesce("_spent", "actual_spent").cast(c.MONEY)
-    left = (budget - actual).cast(c.MONEY)
+    actual = F.coalesce("_spent", "actual_spent")
+    left = c.money(budget - actual)
     return _stamp(
         budgets.join(totals, ["project_id", "wbs_code", "cost_type"], "left").select(
             "budget_id",
@@ -261,7 +261,7 @@ def item_totals(contract_items: DataFrame) -> DataFrame:
 
 def contracts_from(contracts: DataFrame, totals: DataFrame) -> DataFrame:
     """``fact_contracts`` from contracts and the item totals per contract."""
-    items = F.coalesce("items_total", F.lit(0)).cast(c.MONEY)
+    items = F.coalesce("items_total", F.lit(0.0))
     return _stamp(
         contracts.join(totals, "contract_id", "left").select(
             "contract_id",
@@ -273,7 +273,7 @@ def contracts_from(contracts: DataFrame, totals: DataFrame) -> DataFrame:
             "revised_value",
             "start_date",
             F.col("variation_orders").alias("change_order_count"),
-            (F.col("revised_value") - F.col("contract_value")).cast(c.MONEY).alias(
+            c.money(F.col("revised_value") - F.col("contract_value")).alias(
                 "change_order_value"
             ),
             items.alias("items_total"),

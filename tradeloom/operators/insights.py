@@ -203,9 +203,9 @@ def spend_concentration(
     )
     attributes = dim_material.select(*dict.fromkeys(["material_id", level]))
     spend = per_material.join(attributes, "material_id").groupBy(level).agg(
-        F.sum("spend").cast(c.MONEY).alias("spend")
+        c.exact_sum("spend").alias("spend")
     )
-    total = spend.agg(F.sum("spend").alias("total")).scalar()
+    total = spend.agg(c.exact_sum("spend").alias("total")).scalar()
     points = ordered_totals(spend, [], "spend", measure="spend")
     reached = points.select(
         F.col("spend").alias("_spend"), F.col("_rank").alias("spend_rank"), "_running"
@@ -256,7 +256,7 @@ def burn_rate_months(costs: DataFrame, actuals: DataFrame) -> DataFrame:
         c.exact_sum("actual_amount").alias("spent")
     )
     pace = monthly.groupBy("project_id").agg(
-        F.sum("spent").alias("spent"), F.count("m").alias("spend_months")
+        c.exact_sum("spent").alias("spent"), F.count("m").alias("spend_months")
     )
     budget = costs.groupBy("project_id").agg(c.exact_sum("budget_amount").alias("budget"))
     left = c.dbl("budget") - F.coalesce(c.dbl("spent"), F.lit(0.0))
@@ -291,7 +291,9 @@ def s_curve(projects: DataFrame, costs: DataFrame, actuals: DataFrame) -> DataFr
     length = F.datediff("end_date", "start_date")
     done = F.least(F.greatest(F.datediff("month_end", "start_date"), F.lit(0)), length)
     return (
-        monthly.withColumn("cumulative_actual", F.sum("actual").over(months).cast(c.MONEY))
+        monthly.withColumn(
+            "cumulative_actual", c.from_units(F.sum(c.units("actual")).over(months))
+        )
         .join(budget, "project_id")
         .join(span, "project_id")
         .select(
@@ -378,7 +380,7 @@ def stock_alerts(
         F.max(F.when(issue, F.col("movement_date"))).alias("last_issue"),
         F.abs(c.sum_when(recent, "quantity", c.QUANTITY)).alias("issued_last_year"),
     )
-    on_hand = F.coalesce("on_hand", F.lit(0).cast(c.QUANTITY))
+    on_hand = F.coalesce("on_hand", F.lit(0.0))
     idle = F.datediff(today, "last_issue")
     return materials.select("material_id", "material_name", "reorder_point").join(
         stock, "material_id", "left"

@@ -43,7 +43,7 @@ def _is(column: str, label: str) -> Column:
 
 def _mean(column: str) -> dict[str, Callable[[], Column]]:
     return {
-        "_sum": lambda: F.sum(F.col(column).cast(c.QUANTITY)),
+        "_sum": lambda: c.exact_sum(column, c.QUANTITY),
         "_n": lambda: F.count(column),
     }
 
@@ -70,13 +70,13 @@ MEASURES: dict[str, Measure] = {
     "Total Paid": Measure("fact_invoices", {"v": _total("paid_amount")}),
     "Overdue Amount": Measure(
         "fact_invoices",
-        {"v": lambda: F.sum(F.when(_is("payment_status", "Overdue"), F.col("gross_amount")))},
+        {"v": lambda: c.exact_sum(F.when(_is("payment_status", "Overdue"), F.col("gross_amount")))},
     ),
     "Avg Days to Pay": Measure("fact_invoices", _mean("days_to_pay"), _mean_value),
     "Total Budget": Measure("fact_project_costs", {"v": _total("budget_amount")}),
     "Total Actual Cost": Measure("fact_project_costs", {"v": _total("actual_amount")}),
     "Budget Variance": Measure(
-        "fact_project_costs", _BUDGET, lambda: F.col("_budget") - F.col("_actual")
+        "fact_project_costs", _BUDGET, lambda: c.money(F.col("_budget") - F.col("_actual"))
     ),
     "Budget Utilization %": Measure(
         "fact_project_costs", _BUDGET, _quotient("_actual", "_budget")
@@ -92,12 +92,12 @@ MEASURES: dict[str, Measure] = {
     "Total Revenue": Measure("fact_sales", {"v": _total("revenue")}),
     "Total COGS": Measure("fact_sales", {"v": _total("cogs")}),
     "Gross Margin": Measure(
-        "fact_sales", _MARGIN, lambda: F.col("_revenue") - F.col("_cogs")
+        "fact_sales", _MARGIN, lambda: c.money(F.col("_revenue") - F.col("_cogs"))
     ),
     "Margin %": Measure(
         "fact_sales",
         _MARGIN,
-        lambda: c.divide_or_zero(F.col("_revenue") - F.col("_cogs"), "_revenue"),
+        lambda: c.divide_or_zero(c.money(F.col("_revenue") - F.col("_cogs")), "_revenue"),
     ),
     "Net Inventory Flow": Measure("fact_inventory", {"v": _quantity("quantity")}),
     "Inventory Value": Measure("fact_inventory", {"v": _total("total_value")}),
@@ -179,6 +179,12 @@ def measure_by_dimension(
     attributes = tables(dimension).select(key, *by)
     per_key = rows.groupBy(key).agg(*[build().alias(p) for p, build in m.parts.items()])
     joined = per_key.join(attributes, key)
-    total = joined.groupBy(*by).agg(*[F.sum(p).alias(p) for p in m.parts])
+    kinds = dict(per_key.dtypes)
+    total = joined.groupBy(*by).agg(
+        *[
+            (F.sum(p) if kinds[p] == "bigint" else c.exact_sum(p, c.QUANTITY)).alias(p)
+            for p in m.parts
+        ]
+    )
     value = m.combine() if m.combine else F.col("v")
     return total.select(*by, value.alias(column_name(name)))

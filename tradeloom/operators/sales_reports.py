@@ -17,8 +17,8 @@ from ..functions.ranking import with_rank, with_ranks
 
 
 def with_amount(sales: DataFrame) -> DataFrame:
-    """Line amount = quantity times unit price, as exact money."""
-    return sales.withColumn("_amount", (F.col("quantity") * F.col("unit_price")).cast(c.MONEY))
+    """Line amount = quantity times unit price, in whole cents, so that sums are exact."""
+    return sales.withColumn("_amount", c.units(F.col("quantity") * F.col("unit_price")))
 
 
 def _sorted(df: DataFrame, ordered: bool, *by: str | Column) -> DataFrame:
@@ -43,7 +43,7 @@ def _totals(sales: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
         F.count_distinct("order_id").alias("orders"),
         F.sum("_items").alias("items"),
         F.sum("_lines").alias("lines"),
-        F.sum("_amount").cast("decimal(28,2)").alias("revenue"),
+        c.from_units(F.sum("_amount")).alias("revenue"),
     )
 
 
@@ -62,7 +62,7 @@ def customer_ranking(sales: DataFrame, ordered: bool = True) -> DataFrame:
     )
     totals = per_order.groupBy(*customer).agg(
         F.count("order_id").alias("total_orders"),
-        F.sum("_amount").cast("decimal(28,2)").alias("total_spent"),
+        c.from_units(F.sum("_amount")).alias("total_spent"),
         F.sum("_lines").alias("_lines"),
         F.sum("_items").alias("total_items_bought"),
         F.min("_first").alias("first_order_date"),
@@ -117,7 +117,7 @@ def top_category_by_country(sales: DataFrame, ordered: bool = True) -> DataFrame
     Rank 1 is the group maximum, so no ranking is needed.
     """
     revenue = with_amount(sales).groupBy("country", "category").agg(
-        F.sum("_amount").cast("decimal(28,2)").alias("revenue")
+        c.from_units(F.sum("_amount")).alias("revenue")
     )
     best = revenue.groupBy(F.col("country").alias("_country")).agg(
         F.max("revenue").alias("_best")
@@ -138,15 +138,15 @@ def product_performance(sales: DataFrame, ordered: bool = True) -> DataFrame:
             F.count(F.lit(1)).alias("_lines"),
             F.sum(F.col("quantity").cast("long")).alias("_items"),
             F.sum("_amount").alias("_amount"),
-            F.sum(F.col("unit_price").cast(c.QUANTITY)).alias("_price"),
+            F.sum(c.units("unit_price", c.QUANTITY)).alias("_price"),
             F.count("unit_price").alias("_priced"),
         )
     )
     totals = per_customer.groupBy("product_name", "category").agg(
         F.sum("_lines").alias("times_ordered"),
         F.sum("_items").alias("total_quantity_sold"),
-        F.sum("_amount").cast("decimal(28,2)").alias("total_revenue"),
-        F.sum("_price").alias("_price"),
+        c.from_units(F.sum("_amount")).alias("total_revenue"),
+        c.from_units(F.sum("_price"), c.QUANTITY).alias("_price"),
         F.sum("_priced").alias("_priced"),
         F.count("customer_id").alias("unique_customers"),
     )
@@ -185,7 +185,7 @@ def category_performance(sales: DataFrame, ordered: bool = True) -> DataFrame:
         F.count_distinct("product_name").alias("product_count"),
         F.count_distinct("order_id").alias("total_orders"),
         F.sum("_items").alias("total_items_sold"),
-        F.sum("_amount").cast("decimal(28,2)").alias("total_revenue"),
+        c.from_units(F.sum("_amount")).alias("total_revenue"),
         F.sum("_lines").alias("_lines"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )

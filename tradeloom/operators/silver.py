@@ -1,7 +1,7 @@
 """Cleansed layer: typed, trimmed and enriched copies of the fifteen raw feeds.
 
 Casts are lenient (a bad value becomes NULL) and the expectations then decide what happens to the
-row.  Money is DECIMAL(18,2) and quantities DECIMAL(18,4), so that later sums are exact.
+row.  Money is rounded to cents and quantities to four digits, so that later sums are exact.
 """
 
 from __future__ import annotations
@@ -190,7 +190,7 @@ def silver_project_budgets(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
     return _finish(
         typed.withColumns(
             {
-                "remaining_amount": (F.col("budget_amount") - F.col("spent_amount")).cast(c.MONEY),
+                "remaining_amount": c.money(F.col("budget_amount") - F.col("spent_amount")),
                 "utilization_pct": c.percent_or_zero("spent_amount", "budget_amount"),
             }
         )

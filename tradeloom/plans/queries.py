@@ -157,7 +157,8 @@ def _create_cube_view(spark: SparkSession, folder: str) -> DataFrame:
     tables.create_cube_view(layers(spark, folder).cube("cube_project_costs"), "project_costs_view")
     return presentable(
         spark.sql(
-            "SELECT region, COUNT(*) AS projects, SUM(total_budget) AS total_budget "
+            "SELECT region, COUNT(*) AS projects, "
+            "SUM(CAST(total_budget AS DECIMAL(18,2))) AS total_budget "
             "FROM project_costs_view GROUP BY region"
         )
     )

@@ -360,7 +360,7 @@ def invoices(star: Star) -> DataFrame:
 
 
 def project_budgets(star: Star) -> DataFrame:
-    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
+    total = F.sum(F.rint(F.col("o_totalprice") * 100).cast("long")) / 100
     lots = star.orders().groupBy("o_custkey", "o_orderstatus", "o_orderpriority").agg(
         total.alias("total"), F.min(ordered()).alias("first"), F.max(ordered()).alias("last")
     )
