@@ -40,6 +40,8 @@ def ordered_totals(
 ) -> DataFrame:
     """One row per (group, distinct value) with its rank, dense rank and running total.
 
+    The frame is read twice, so pass a stored table, or one that is cheap to compute.
+
     Columns: ``by``, ``value``, ``_rank``, ``_dense_rank`` and, with a ``measure``, ``_running``
     (sum of a money measure over all rows up to and including this value).
     """
@@ -108,7 +110,10 @@ def with_rank(
     dense: bool = False,
     descending: bool = True,
 ) -> DataFrame:
-    """Add RANK or DENSE_RANK of ``value`` inside each ``by`` group; NULL values rank last."""
+    """Add RANK or DENSE_RANK of ``value`` inside each ``by`` group; NULL values rank last.
+
+    The frame is read three times, so pass a stored table, or one that is cheap to compute.
+    """
     return with_ranks(df, value, {name: (tuple(by), dense)}, descending)
 
 

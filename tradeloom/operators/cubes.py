@@ -3,7 +3,8 @@
 Shape shared by the cubes: the fact is aggregated by its keys first (partial aggregation on the map
 side, so a hot vendor or project is reduced before the shuffle) and the dimension attributes are
 joined to the much smaller result.  Comparisons with an earlier period are made at a grain that is
-unique per period and joined back.  No join carries a broadcast hint: dimensions may grow, so the
+unique per period and joined back.  Where a reduced result is read more than once it is stored, so
+the facts are scanned once.  No join carries a broadcast hint: dimensions may grow, so the
 optimizer decides by measured size.
 """
 
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as c
 from ..functions.ranking import with_rank
+from ..session import stored
 from .dims import CALENDAR, current
 
 AsOf = dt.date | str | None
@@ -41,6 +43,7 @@ def with_previous_year(
     The comparison runs on one row per key, year and quarter, so the order is free of ties and
     a window holds one row per year.
     """
+    monthly = stored(monthly, "monthly")
     quarterly = monthly.groupBy(*keys, "year", "quarter").agg(
         c.exact_sum(value).alias(total)
     )
@@ -134,17 +137,18 @@ def cube_spend_by_sector(
         .join(vendors, "vendor_id")
         .join(sectors, "sector")
     )
+    spend = stored(spend, "sector_spend")
     by_sector = spend.groupBy("sector_key", *periods).agg(
         c.exact_sum("total_spend").alias("sector_spend")
     )
-    # A vendor has one sector, so a window per vendor and quarter holds one row per year.
-    years = Window.partitionBy("vendor_id", "quarter").orderBy("year")
-    compared = spend.withColumn("prev_year_spend", F.lag("total_spend").over(years))
     ranked_sectors = with_rank(
         by_sector, periods, "sector_spend", "sector_spend_rank", dense=True
     )
-    ranked = with_rank(compared, periods, "total_spend", "vendor_spend_rank", dense=True)
-    return ranked.join(ranked_sectors, ["sector_key", *periods]).select(
+    ranked = with_rank(spend, periods, "total_spend", "vendor_spend_rank", dense=True)
+    # A vendor has one sector, so a window per vendor and quarter holds one row per year.
+    years = Window.partitionBy("vendor_id", "quarter").orderBy("year")
+    compared = ranked.withColumn("prev_year_spend", F.lag("total_spend").over(years))
+    return compared.join(ranked_sectors, ["sector_key", *periods]).select(
         "sector_key",
         "sector_name",
         "vendor_id",
@@ -191,6 +195,7 @@ def cube_vendor_performance(performance: DataFrame, dim_vendor: DataFrame) -> Da
         )
         .join(vendors, "vendor_id")
     )
+    scores = stored(scores, "vendor_scores")
     ranked = with_rank(scores, ["evaluation_period"], "_overall", "vendor_rank", dense=True)
     periods = Window.partitionBy("vendor_id").orderBy("evaluation_period")
     trend = F.col("_overall") - F.lag("_overall").over(periods)
@@ -251,6 +256,7 @@ def cube_vendor_risk(
         .join(quality, "vendor_id", "left")
         .withColumn("_composite", composite)
     )
+    joined = stored(joined, "vendor_risk")
     ranked = with_rank(joined, [], "_composite", "risk_rank", dense=True)
     return ranked.select(
         "vendor_id",
@@ -472,6 +478,7 @@ def cube_cost_variance(costs: DataFrame, dim_project: DataFrame) -> DataFrame:
         dim_project,
         "project_id", "project_name", F.col("status").alias("project_status"), "sector", "region",
     )
+    lines = stored(lines, "cost_lines")
     ranked = with_rank(lines, ["project_id"], "_excess", "overrun_rank", dense=True)
     return ranked.join(projects, "project_id").select(
         "project_id",
@@ -616,6 +623,7 @@ def with_previous_quarter(
     monthly: DataFrame, share: Column, total: str, previous: str, parts: list[str]
 ) -> DataFrame:
     """A ratio per vendor and quarter, and its value in the vendor's quarter before."""
+    monthly = stored(monthly, "monthly")
     quarterly = monthly.groupBy("vendor_id", "year", "quarter").agg(
         *[F.sum(p).alias(p) for p in parts]
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as c
 from ..functions.ranking import ordered_totals
+from ..session import stored
 
 AsOf = dt.date | str | None
 
@@ -36,24 +37,22 @@ KPI_THRESHOLDS: dict[str, tuple[str, float, float]] = {
 }
 
 
-def kpi_status(kpi: Column, value: Column) -> Column:
+def kpi_status(name: str, value: Column) -> Column:
     """OK at the target, ALERT beyond the threshold, WARN in between."""
-    status = F.lit(None).cast("string")
-    for name, (good, target, alert) in KPI_THRESHOLDS.items():
-        if good == "low":
-            bad, fine = value > alert, value <= target
-        else:
-            bad, fine = value < alert, value >= target
-        label = F.when(value.isNull(), "NO DATA").when(bad, "ALERT").when(fine, "OK")
-        status = F.when(kpi == name, label.otherwise("WARN")).otherwise(status)
-    return status
-
-
-def _kpi_rows(one_row: DataFrame, values: dict[str, Column]) -> DataFrame:
-    """Turn a one-row aggregate into one row per KPI."""
+    good, target, alert = KPI_THRESHOLDS[name]
+    if good == "low":
+        bad, fine = value > alert, value <= target
+    else:
+        bad, fine = value < alert, value >= target
+    label = F.when(value.isNull(), "NO DATA").when(bad, "ALERT").when(fine, "OK")
+    return label.otherwise("WARN")
+
+
+def _as_rows(one_row: DataFrame) -> DataFrame:
+    """Turn a one-row aggregate into one row per column."""
     entries = [
-        F.struct(F.lit(name).alias("kpi"), value.cast("double").alias("value"))
-        for name, value in values.items()
+        F.struct(F.lit(name).alias("name"), F.col(name).cast("double").alias("value"))
+        for name in one_row.columns
     ]
     return one_row.select(F.inline(F.array(*entries)))
 
@@ -71,120 +70,98 @@ def kpi_alerts(
 ) -> DataFrame:
     """Fifteen KPIs with value, target, alert threshold and status.
 
-    Every source table is reduced to one row in a single aggregate; the rows are then stacked.
-    Year-on-year growth compares the last two full calendar years before ``as_of``.  The cycle
-    time runs from the approval of an order to the order.
+    Every source table is reduced to one row in a single pass; the few numbers are then brought
+    into one row, from which all KPIs follow.  Year-on-year growth compares the last two full
+    calendar years before ``as_of``.  The cycle time runs from the approval of an order to the
+    order.
     """
     this_year = F.year(c.as_of_date(as_of))
     year, total = F.year("po_date"), F.col("total_amount")
-
-    orders = purchase_orders.agg(
-        c.exact_sum("total_amount").alias("spend"),
-        c.sum_when(year == this_year - 1, total).alias("last_year"),
-        c.sum_when(year == this_year - 2, total).alias("year_before"),
-        c.mean_days(F.datediff("po_date", "approval_date")).alias("cycle"),
-    )
-    bills = invoices.agg(
-        c.mean_days("days_outstanding").alias("outstanding"),
-        c.sum_when(F.col("payment_status") == "OVERDUE", "gross_amount").alias("overdue"),
-        c.exact_sum("gross_amount").alias("gross"),
-    )
-    cost = costs.agg(
-        c.exact_sum("budget_amount").alias("budget"),
-        c.exact_sum("actual_amount").alias("actual"),
-        c.exact_sum(F.col("actual_amount") + F.col("committed_amount")).alias("exposure"),
-    )
-    on_time = delivery.agg(
-        F.sum("on_time_count").alias("on_time"), F.sum("delivery_count").alias("deliveries")
-    )
-    quality = receipts.agg(
-        c.exact_sum("quantity_received", c.QUANTITY).alias("received"),
-        c.exact_sum("quantity_accepted", c.QUANTITY).alias("accepted"),
-        c.exact_sum("quantity_rejected", c.QUANTITY).alias("rejected"),
-    )
-    score = performance.agg(c.exact_mean("overall_score", c.QUANTITY).alias("score"))
-    deals = contracts.agg(
-        c.exact_sum("contract_value").alias("original"),
-        c.exact_sum("revised_value").alias("revised"),
-        c.exact_sum("items_total").alias("items"),
-    )
-    schedule = timeline.agg(c.mean_days("schedule_variance_days").alias("late"))
-
-    growth = c.dbl("last_year") - c.dbl("year_before")
-    # Orders and budgets live in different tables, so the ratio needs one budget value.
-    budget = costs.agg(c.exact_sum("budget_amount").alias("b")).scalar()
-    parts = [
-        _kpi_rows(
-            orders.withColumn("budget", budget),
-            {
-                "spend_vs_budget_pct": c.ratio("spend", "budget", 2, 100),
-                "yoy_spend_growth_pct": c.ratio(growth, "year_before", 2, 100),
-                "procurement_cycle_days": F.round("cycle", 2),
-            },
+    exposure = F.col("actual_amount") + F.col("committed_amount")
+    sources = [
+        purchase_orders.agg(
+            c.exact_sum("total_amount").alias("spend"),
+            c.sum_when(year == this_year - 1, total).alias("last_year"),
+            c.sum_when(year == this_year - 2, total).alias("year_before"),
+            c.mean_days(F.datediff("po_date", "approval_date")).alias("cycle"),
         ),
-        _kpi_rows(
-            bills,
-            {
-                "invoice_days_outstanding": F.round("outstanding", 2),
-                "overdue_invoice_pct": c.ratio("overdue", "gross", 2, 100),
-            },
+        invoices.agg(
+            c.mean_days("days_outstanding").alias("outstanding"),
+            c.sum_when(F.col("payment_status") == "OVERDUE", "gross_amount").alias("overdue"),
+            c.exact_sum("gross_amount").alias("gross"),
         ),
-        _kpi_rows(
-            cost,
-            {
-                "cost_performance_index": c.ratio("budget", "exposure", 4),
-                "budget_variance_pct": c.ratio(
-                    c.dbl("budget") - c.dbl("actual"), "budget", 2, 100
-                ),
-                "budget_utilisation_pct": c.ratio("actual", "budget", 2, 100),
-            },
+        costs.agg(
+            c.exact_sum("budget_amount").alias("budget"),
+            c.exact_sum("actual_amount").alias("actual"),
+            c.exact_sum(exposure).alias("exposure"),
         ),
-        _kpi_rows(on_time, {"on_time_delivery_pct": c.ratio("on_time", "deliveries", 2, 100)}),
-        _kpi_rows(
-            quality,
-            {
-                "material_acceptance_pct": c.ratio("accepted", "received", 2, 100),
-                "defect_rate_pct": c.ratio("rejected", "received", 2, 100),
-            },
+        delivery.agg(
+            F.sum("on_time_count").alias("on_time"), F.sum("delivery_count").alias("deliveries")
         ),
-        _kpi_rows(score, {"vendor_overall_score": F.round("score", 2)}),
-        _kpi_rows(
-            deals,
-            {
-                "contract_cost_growth_pct": c.ratio(
-                    c.dbl("revised") - c.dbl("original"), "original", 2, 100
-                ),
-                "contract_utilisation_pct": c.ratio("items", "original", 2, 100),
-            },
+        receipts.agg(
+            c.exact_sum("quantity_received", c.QUANTITY).alias("received"),
+            c.exact_sum("quantity_accepted", c.QUANTITY).alias("accepted"),
+            c.exact_sum("quantity_rejected", c.QUANTITY).alias("rejected"),
         ),
-        _kpi_rows(schedule, {"schedule_variance_days": F.round("late", 2)}),
+        performance.agg(c.exact_mean("overall_score", c.QUANTITY).alias("score")),
+        contracts.agg(
+            c.exact_sum("contract_value").alias("original"),
+            c.exact_sum("revised_value").alias("revised"),
+            c.exact_sum("items_total").alias("items"),
+        ),
+        timeline.agg(c.mean_days("schedule_variance_days").alias("late")),
     ]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-
-    def bound(index: int) -> Column:
-        out = F.lit(None).cast("double")
-        for name, limits in KPI_THRESHOLDS.items():
-            out = F.when(F.col("kpi") == name, F.lit(limits[index])).otherwise(out)
-        return out
-
-    return rows.select(
-        "kpi",
-        "value",
-        bound(1).alias("target"),
-        bound(2).alias("alert_threshold"),
-        kpi_status(F.col("kpi"), F.col("value")).alias("status"),
+    numbers = _as_rows(sources[0])
+    for source in sources[1:]:
+        numbers = numbers.unionByName(_as_rows(source))
+    names = [name for source in sources for name in source.columns]
+    one_row = numbers.agg(
+        *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names]
     )
 
+    def change(now: str, before: str) -> Column:
+        return c.ratio(F.col(now) - F.col(before), before, 2, 100)
+
+    kpis = {
+        "spend_vs_budget_pct": c.ratio("spend", "budget", 2, 100),
+        "yoy_spend_growth_pct": change("last_year", "year_before"),
+        "invoice_days_outstanding": F.round("outstanding", 2),
+        "overdue_invoice_pct": c.ratio("overdue", "gross", 2, 100),
+        "cost_performance_index": c.ratio("budget", "exposure", 4),
+        "budget_variance_pct": c.ratio(F.col("budget") - F.col("actual"), "budget", 2, 100),
+        "on_time_delivery_pct": c.ratio("on_time", "deliveries", 2, 100),
+        "material_acceptance_pct": c.ratio("accepted", "received", 2, 100),
+        "defect_rate_pct": c.ratio("rejected", "received", 2, 100),
+        "vendor_overall_score": F.round("score", 2),
+        "procurement_cycle_days": F.round("cycle", 2),
+        "budget_utilisation_pct": c.ratio("actual", "budget", 2, 100),
+        "contract_cost_growth_pct": change("revised", "original"),
+        "schedule_variance_days": F.round("late", 2),
+        "contract_utilisation_pct": c.ratio("items", "original", 2, 100),
+    }
+    entries = [
+        F.struct(
+            F.lit(name).alias("kpi"),
+            value.alias("value"),
+            F.lit(KPI_THRESHOLDS[name][1]).alias("target"),
+            F.lit(KPI_THRESHOLDS[name][2]).alias("alert_threshold"),
+            kpi_status(name, value).alias("status"),
+        )
+        for name, value in kpis.items()
+    ]
+    return one_row.select(F.inline(F.array(*entries)))
+
 
 # ---- concentration -----------------------------------------------------------------------------
 
 
 def concentration_risk(purchase_orders: DataFrame, dim_vendor: DataFrame) -> DataFrame:
     """Each vendor's share of all spend.  The grand total enters as a scalar subquery."""
-    spend = purchase_orders.groupBy("vendor_id").agg(c.exact_sum("total_amount").alias("spend"))
-    total = purchase_orders.agg(c.exact_sum("total_amount").alias("total")).scalar()
+    spend = stored(
+        purchase_orders.groupBy("vendor_id").agg(c.exact_sum("total_amount").alias("spend")),
+        "vendor_spend",
+    )
+    total = spend.agg(c.exact_sum("spend").alias("total")).scalar()
     vendors = dim_vendor.select("vendor_id", "vendor_name")
     return spend.join(vendors, "vendor_id").select(
         "vendor_id", "vendor_name", "spend", c.ratio("spend", total, 4, 100).alias("share_pct")
@@ -205,6 +182,7 @@ def spend_concentration(
     spend = per_material.join(attributes, "material_id").groupBy(level).agg(
         c.exact_sum("spend").alias("spend")
     )
+    spend = stored(spend, "level_spend")
     total = spend.agg(c.exact_sum("spend").alias("total")).scalar()
     points = ordered_totals(spend, [], "spend", measure="spend")
     reached = points.select(

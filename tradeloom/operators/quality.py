@@ -65,7 +65,7 @@ def expect_or_fail(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def expect_warn(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observation]:
-    """Keep every row and count violations while the rows flow by.
+    """Keep every row and count violations of any kind of rule while the rows flow by.
 
     The observation holds one number per rule, plus ``rows``, once an action on the frame ran.
     """
@@ -74,6 +74,12 @@ def expect_warn(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observ
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), *counts), observation
 
 
+def observed_metrics(observation: Observation, rules: Sequence[Rule]) -> list[tuple]:
+    """Rows (rule, condition, action, violations, checked rows) of a finished observation."""
+    seen = observation.get
+    return [(r.name, r.condition, r.action, seen[r.name], seen["rows"]) for r in rules]
+
+
 def failed_rules(rules: Sequence[Rule]) -> Column:
     """Names of the rules a row violates."""
     return F.array_compact(F.array(*[F.when(r.violated(), F.lit(r.name)) for r in rules]))

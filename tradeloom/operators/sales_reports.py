@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as c
 from ..functions.ranking import with_rank, with_ranks
+from ..session import stored
 
 
 def with_amount(sales: DataFrame) -> DataFrame:
@@ -68,6 +69,7 @@ def customer_ranking(sales: DataFrame, ordered: bool = True) -> DataFrame:
         F.min("_first").alias("first_order_date"),
         F.max("_last").alias("last_order_date"),
     )
+    totals = stored(totals, "customer_totals")
     ranked = with_rank(totals, [], "total_spent", "spending_rank")
     tier = c.band(F.col("total_spent"), [(1000, "Gold"), (500, "Silver")], "Bronze")
     report = ranked.select(
@@ -98,7 +100,7 @@ def sales_by_country(sales: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def sales_by_city(sales: DataFrame, ordered: bool = True) -> DataFrame:
-    totals = _totals(sales, ["city", "country"])
+    totals = stored(_totals(sales, ["city", "country"]), "city_totals")
     ranked = with_rank(totals, ["country"], "revenue", "city_rank_in_country")
     report = ranked.select(
         "city",
@@ -119,6 +121,7 @@ def top_category_by_country(sales: DataFrame, ordered: bool = True) -> DataFrame
     revenue = with_amount(sales).groupBy("country", "category").agg(
         c.from_units(F.sum("_amount")).alias("revenue")
     )
+    revenue = stored(revenue, "category_revenue")
     best = revenue.groupBy(F.col("country").alias("_country")).agg(
         F.max("revenue").alias("_best")
     )
@@ -150,6 +153,7 @@ def product_performance(sales: DataFrame, ordered: bool = True) -> DataFrame:
         F.sum("_priced").alias("_priced"),
         F.count("customer_id").alias("unique_customers"),
     )
+    totals = stored(totals, "product_totals")
     ranked = with_ranks(
         totals,
         "total_revenue",

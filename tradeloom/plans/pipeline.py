@@ -51,15 +51,24 @@ def run_silver(
     only: Iterable[str] = tuple(SOURCES),
 ) -> DataFrame:
     """Cleanse, quarantine and measure every raw table; returns the rule metrics of the run."""
-    metrics: DataFrame | None = None
+    history: list[tuple] = []
     for table in only:
-        raw = tables.read_upper_layer(spark, bronze, table)
-        checked = silver.cleanse_checked(table, raw, as_of)
-        tables.write_layer(checked.good, layer, table, f"Cleansed {table}")
-        tables.write_layer(checked.quarantined, layer, f"quarantine_{table}", "Rejected rows")
-        rows = quality.dq_metrics(checked.metrics, run_id)
-        metrics = rows if metrics is None else metrics.unionByName(rows)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        rules = silver.RULES[table]
+        rows = silver.JOBS[table](tables.read_upper_layer(spark, bronze, table), as_of)
+        # The rules are counted while the good rows are written, not in a pass of their own.
+        watched, observation = quality.expect_warn(rows, rules)
+        tables.write_layer(quality.keep_valid(watched, rules), layer, table, f"Cleansed {table}")
+        tables.write_layer(
+            quality.quarantine(rows, rules), layer, f"quarantine_{table}", "Rejected rows"
+        )
+        history += [
+            (table, *row) for row in quality.observed_metrics(observation, rules)
+        ]
+    schema = (
+        "table_name string, rule string, condition string, action string, violations long, "
+        "checked_rows long"
+    )
+    metrics = quality.dq_metrics(spark.createDataFrame(history, schema), run_id)
     metrics.write.mode("append").format("parquet").saveAsTable(f"{layer}.dq_metrics")
     return spark.read.table(f"{layer}.dq_metrics")
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app_name: str = "tradeloom", cores: int | str = 8) -> SparkSession:
@@ -41,6 +41,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For reduced results that a job reads several times.  The plan before it runs once instead of
+    once per use, it survives lost executors, and the reader knows the size, so small results are
+    broadcast and large ones are not.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
