@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
+
 # Date column by which the large facts are split into months on disk.
 FACT_DATES: dict[str, str] = {
     "fact_purchase_orders": "po_date",
@@ -77,8 +79,9 @@ def backup_tables(
 def replace_table(spark: SparkSession, layer: str, table: str, new_rows: DataFrame) -> None:
     """Swap in a new version of a table that may be computed from the old one.
 
-    The new version is written completely before the names are switched; a lost executor or a
-    failed job leaves the old table as it was.
+    The new version is written completely, to a folder of its own, before the names are switched;
+    a lost executor or a failed job leaves the old table as it was.  The folder does not move with
+    the name, so the locations of its partitions stay valid.
     """
     target, staged, old = (
         full_name(layer, t) for t in (table, f"{table}__new", f"{table}__old")
@@ -88,7 +91,7 @@ def replace_table(spark: SparkSession, layer: str, table: str, new_rows: DataFra
     writer = new_rows.write.format("parquet")
     if MONTH in new_rows.columns:
         writer = writer.partitionBy(MONTH)
-    writer.saveAsTable(staged)
+    writer.option("path", fresh_path(spark, table)).saveAsTable(staged)
     spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
     spark.sql(f"DROP TABLE {old}")
