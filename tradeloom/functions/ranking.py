@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .columns import from_units, units
 
-_PER_OCTAVE = 256  # buckets per doubling of the value
+_PER_OCTAVE = 4096  # buckets per doubling of the value
 _SMALLEST = 2.0**-7  # values closer to zero share bucket 0
 _AFTER_ALL = 2**30  # bucket of NULL, behind every value
 
@@ -24,7 +24,8 @@ _AFTER_ALL = 2**30  # bucket of NULL, behind every value
 def order_bucket(value: Column) -> Column:
     """Monotone bucket number of a value: logarithmic in its size, mirrored for negatives.
 
-    For |value| up to 1e16 there are about 31 000 buckets; neighbouring values differ by 0.3 %.
+    A bucket spans 0.017 % of the value, so a bucket of amounts below 1e8 holds at most 1.8 million
+    different cents, whatever the distribution.  Up to 1e16 there are half a million buckets.
     """
     v = value.cast("double")
     steps = F.floor((F.log2(F.greatest(F.abs(v), F.lit(_SMALLEST))) + 7) * _PER_OCTAVE)

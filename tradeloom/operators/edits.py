@@ -62,7 +62,7 @@ def verify_after_update(df: DataFrame, edit: Edit, before: DataFrame) -> DataFra
     old = before.select(
         F.col(edit.key).alias("_key"), *[F.col(n).alias(f"old_{n}") for n in edit.changes]
     )
-    return df.join(F.broadcast(old), F.col(edit.key) == F.col("_key")).select(
+    return df.join(old, F.col(edit.key) == F.col("_key")).select(
         edit.key,
         *[col for n in edit.changes for col in (F.col(f"old_{n}"), F.col(n).alias(f"new_{n}"))],
     )
@@ -77,7 +77,7 @@ def revert_update(df: DataFrame, edit: Edit, before: DataFrame) -> DataFrame:
     old = before.select(
         F.col(edit.key).alias("_key"), *[F.col(n).alias(f"_old_{n}") for n in edit.changes]
     )
-    joined = df.join(F.broadcast(old), F.col(edit.key) == F.col("_key"), "left")
+    joined = df.join(old, F.col(edit.key) == F.col("_key"), "left")
     hit = F.col("_key").isNotNull()
     restored = {n: F.when(hit, F.col(f"_old_{n}")).otherwise(F.col(n)) for n in edit.changes}
     return joined.withColumns(restored).select(*df.columns)

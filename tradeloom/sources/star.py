@@ -20,14 +20,17 @@ NATION_COUNTRIES = (
 
 
 class Star:
-    """Lazy access to the parquet tables of one folder."""
+    """Lazy access to the parquet tables of one folder; each is opened once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
     def lines(self) -> DataFrame:
         return self.table("lineitem")

@@ -21,6 +21,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..functions import columns as c
 from ..operators import dims, facts, silver
 from ..operators.quality import Rule, failed_rules, keep_valid, of_action
+from ..session import stored
 from ..sources.ingest import CORRUPT, csv_schema
 
 AsOf = dt.date | str | None
@@ -114,21 +115,24 @@ def stream_dims(table: str, cleansed: DataFrame) -> DataFrame:
 def stream_facts(table: str, stream: DataFrame, as_of: AsOf = None, **static: DataFrame) -> DataFrame:
     """A fact over a stream of its main table and static lookups.
 
-    The static side is aggregated first; the stream then only does a lookup join.  A static row
-    that arrives later than its stream row is picked up by the next batch rebuild.
+    The static side is aggregated and stored once, so every micro-batch only does a lookup join.
+    A static row that arrives later than its stream row is picked up by the next batch rebuild.
     """
     if table == "fact_purchase_orders":
-        return facts.purchase_orders_from(stream, facts.line_totals(static["po_line_items"]))
+        totals = stored(facts.line_totals(static["po_line_items"]), "line_totals")
+        return facts.purchase_orders_from(stream, totals)
     if table == "fact_invoices":
         return facts.fact_invoices(stream, as_of)
     if table == "fact_goods_receipts":
         return facts.fact_goods_receipts(stream, static["po_line_items"])
     if table == "fact_project_costs":
-        return facts.project_costs_from(stream, facts.actual_totals(static["project_actuals"]))
+        totals = stored(facts.actual_totals(static["project_actuals"]), "actual_totals")
+        return facts.project_costs_from(stream, totals)
     if table == "fact_vendor_performance":
         return facts.fact_vendor_performance(stream)
     if table == "fact_contracts":
-        return facts.contracts_from(stream, facts.item_totals(static["contract_items"]))
+        totals = stored(facts.item_totals(static["contract_items"]), "item_totals")
+        return facts.contracts_from(stream, totals)
     if table == "fact_sales":
         return facts.fact_sales(stream, static["materials"])
     raise ValueError(f"{table} is rebuilt in batch")
