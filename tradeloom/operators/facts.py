@@ -117,10 +117,12 @@ def fact_invoices(invoices: DataFrame, as_of: dt.date | str | None = None) -> Da
 def fact_goods_receipts(receipts: DataFrame, po_line_items: DataFrame) -> DataFrame:
     """Receipts with acceptance rate (percent) and value.
 
-    The order itself adds no column to a receipt, so only the line's price is looked up.
+    The order itself adds no column to a receipt, so only the line's price is looked up.  Prices
+    are reduced to one row per line first: copies of a line must not multiply its receipts, and the
+    reduction uses the same partitioning as the join.
     """
-    prices = po_line_items.select(
-        F.col("line_id").alias("line_item_id"), F.col("unit_price").alias("_price")
+    prices = po_line_items.groupBy(F.col("line_id").alias("line_item_id")).agg(
+        F.max("unit_price").alias("_price")
     )
     value = F.col("qty_accepted") * F.coalesce("_price", F.lit(0.0))
     return _stamp(

@@ -438,7 +438,8 @@ FRAGMENTS: dict[str, str] = {
           {mon('g.qty_accepted * coalesce(l.unit_price, 0)')} AS receipt_value, grn_status,
           storage_location, received_by AS inspector
         FROM s_goods_receipts g LEFT JOIN all_purchase_orders p ON g.po_id = p.po_id
-        LEFT JOIN s_po_line_items l ON line_item_id = line_id""",
+        LEFT JOIN (SELECT line_id, MAX(unit_price) AS unit_price FROM s_po_line_items GROUP BY 1) l
+          ON line_item_id = line_id""",
     "fact_project_costs": f"""
         SELECT budget_id, b.project_id, b.wbs_code AS wbs_element, b.wbs_code, b.cost_type,
           revised_amount AS budget_amount, original_amount AS original_budget, committed_amount,
