@@ -56,6 +56,15 @@ def ingestion_statements() -> dict[str, str]:
     )
     return {
         "ingest_csv": statement(_RAW_ORDERS),
+        "ingest_all": statement(
+            " UNION ALL ".join(
+                f"SELECT '{t}' AS table_name, COUNT(*) AS record_count, "
+                f"CAST(0 AS BIGINT) AS rejected_count, 'SUCCESS' AS status FROM {_RAW_COUNTS[t]}"
+                for t in ("vendors", "projects", "materials", "employees")
+            )
+        ),
+        "write_layer": whole("fact_purchase_orders"),
+        "backup_tables": whole("fact_contracts"),
         "incremental_ingest": statement(f"SELECT *, 'batch-1' AS _batch_id FROM ({_RAW_ORDERS})"),
         "corrupt_row_gate": statement(
             "SELECT CASE po_status WHEN 'PENDING' THEN 'rejected' ELSE 'kept' END AS verdict, "

@@ -148,6 +148,45 @@ def _corrupt_row_gate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_MASTER_FEEDS = ("vendors", "projects", "materials", "employees")
+
+
+def _ingest_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Audit of a load of the master feeds from files."""
+    star, root = Star(spark, folder), fresh_path(spark, "landing")
+    for feed in _MASTER_FEEDS:
+        rows = FEEDS[feed](star)
+        if "active" in rows.columns:
+            rows = rows.withColumn("active", F.lower("active"))
+        ingest.write_csv(rows, f"{root}/{feed}.csv", feed)
+    loaded = ingest.ingest_all(spark, root, list(_MASTER_FEEDS))
+    return presentable(ingest.load_audit(spark, loaded))
+
+
+def _new_database(spark: SparkSession, label: str) -> str:
+    """A database of its own below the shared folder."""
+    path = fresh_path(spark, label)
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
+def _write_layer(spark: SparkSession, folder: str) -> DataFrame:
+    """A fact written as a table partitioned by month, and read by the next layer."""
+    gold = _new_database(spark, "gold")
+    orders = layers(spark, folder).gold("fact_purchase_orders")
+    tables.write_layer(orders, gold, "fact_purchase_orders", "Purchase order facts", "gold")
+    return presentable(tables.read_upper_layer(spark, gold, "fact_purchase_orders"))
+
+
+def _backup_tables(spark: SparkSession, folder: str) -> DataFrame:
+    gold, backup = _new_database(spark, "gold"), _new_database(spark, "backup")
+    contracts = layers(spark, folder).gold("fact_contracts")
+    tables.write_layer(contracts, gold, "fact_contracts", "Contract facts", "gold")
+    tables.backup_tables(spark, gold, ["fact_contracts"], backup)
+    return presentable(tables.read_upper_layer(spark, backup, "fact_contracts"))
+
+
 def _load_audit(l: Layers) -> DataFrame:
     frames = {t: l.raw(t) for t in SOURCES}
     return ingest.load_audit(l.spark, ingest.Loaded(frames, {}))
@@ -167,6 +206,9 @@ def _create_cube_view(spark: SparkSession, folder: str) -> DataFrame:
 def ingestion_queries() -> dict[str, Query]:
     return {
         "ingest_csv": _ingest_csv,
+        "ingest_all": _ingest_all,
+        "write_layer": _write_layer,
+        "backup_tables": _backup_tables,
         "incremental_ingest": _incremental_ingest,
         "corrupt_row_gate": _corrupt_row_gate,
         "load_audit": on_layers(_load_audit),
