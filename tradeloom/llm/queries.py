@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality, tokens
+from . import mixing, near_dedup, packing, quality, tokens
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -34,5 +38,6 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": op1_quality_rules,
         "op3_token_counts": op3_token_counts,
         "op4_mixing": op4_mixing,
+        "op5_near_dedup": op5_near_dedup,
         "op10_packing": op10_packing,
     }
