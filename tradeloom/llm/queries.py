@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, near_dedup, packing, quality, tokens
+from . import fingerprints, mixing, near_dedup, packing, quality, secrets, tokens
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,14 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -39,5 +47,7 @@ def queries() -> dict[str, Query]:
         "op3_token_counts": op3_token_counts,
         "op4_mixing": op4_mixing,
         "op5_near_dedup": op5_near_dedup,
+        "op7_fingerprints": op7_fingerprints,
+        "op9_secrets": op9_secrets,
         "op10_packing": op10_packing,
     }
