@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import math
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,5 +64,77 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
-def arrow_rows(schema: pa.Schema, columns: dict[str, Any]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name] for f in schema], schema=schema)
+def hash_sample(df: DataFrame, key: str, label: str, per_class: int, seed: str) -> tuple[list[Any], dict[Any, int]]:
+    """About ``per_class`` rows of each value of ``label``, chosen by a seeded hash of ``key``, and the sizes of all classes.
+
+    Collects a bounded sample for the driver, in an order that does not depend on partitions.
+    """
+    buckets = 1 << 20
+    sizes = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    if not sizes:
+        return [], {}
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(buckets))
+    limit = F.lit(0)
+    for value, size in sorted(sizes.items(), key=lambda x: str(x[0])):
+        limit = F.when(F.col(label) == F.lit(value), F.lit(min(buckets, math.ceil(buckets * per_class / size)))).otherwise(limit)
+    rows = df.where(draw < limit).collect()
+    return sorted(rows, key=lambda r: (str(r[key]), str(r))), sizes
+
+
+def char_grams(words: list[str], lengths: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams of words: buckets, and the word of each, in order."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    if not len(code):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(code))
+    code = np.concatenate([code, np.zeros(max(lengths), np.uint64)])
+    n = len(owner)
+    ids = np.empty((n, len(lengths)), np.int64)
+    value, done = np.zeros(n, np.uint64), 0
+    for k, length in enumerate(sorted(lengths)):
+        for j in range(done, length):
+            value = (value ^ code[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
+            value ^= value >> np.uint64(29)
+        done = length
+        ids[:, k] = (value ^ (value >> np.uint64(32))) % np.uint64(buckets)
+    valid = left[:, None] >= np.array(sorted(lengths))
+    return ids[valid], np.repeat(owner, valid.sum(axis=1))
+
+
+def sums_by(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows of values by owner, which is sorted."""
+    out = np.zeros((n, values.shape[1]), values.dtype)
+    if len(owner):
+        first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        out[owner[first]] = np.add.reduceat(values, first, axis=0)
+    return out
+
+
+class WordTable:
+    """Rows of numbers for words, computed once per distinct word and kept by a worker."""
+
+    def __init__(self, compute: Callable[[list[str]], np.ndarray], limit: int = 250_000) -> None:
+        self.compute, self.limit = compute, limit
+        first = compute([""])  # row 0 stands for "no word"
+        self.rows = np.zeros((1024, first.shape[1]), first.dtype)
+        self.rows[0] = first[0]
+        self.place: dict[str, int] = {}
+
+    def lookup(self, words: list[str]) -> np.ndarray:
+        """Row numbers of words; they hold until the next call."""
+        place = self.place
+        if len(place) > self.limit:
+            place.clear()
+        numbers = np.array([place.get(w, -1) for w in words], np.int64)
+        missing = np.flatnonzero(numbers < 0).tolist()
+        if missing:
+            start = len(place) + 1
+            new = list(dict.fromkeys([words[i] for i in missing]))
+            place.update(zip(new, range(start, start + len(new)), strict=True))
+            while len(self.rows) < start + len(new):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[start : start + len(new)] = self.compute(new)
+            numbers[missing] = [place[words[i]] for i in missing]
+        return numbers

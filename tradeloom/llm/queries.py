@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing, near_dedup, packing, quality, secrets, tokens
-from .common import documents
+from . import fingerprints, language, mixing, near_dedup, packing, quality, secrets, tokens, toxicity
+from .common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(documents(spark, sf_dir))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -33,6 +37,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
@@ -44,10 +52,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_language": op2_language,
         "op3_token_counts": op3_token_counts,
         "op4_mixing": op4_mixing,
         "op5_near_dedup": op5_near_dedup,
         "op7_fingerprints": op7_fingerprints,
+        "op8_toxicity": op8_toxicity,
         "op9_secrets": op9_secrets,
         "op10_packing": op10_packing,
     }
