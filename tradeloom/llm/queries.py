@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language, mixing, near_dedup, packing, quality, secrets, tokens, toxicity
+from . import fingerprints, language, mixing, near_dedup, packing, pii, quality, secrets, tokens, toxicity
 from .common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(documents(spark, sf_dir))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
 
@@ -56,6 +60,7 @@ def queries() -> dict[str, Query]:
         "op3_token_counts": op3_token_counts,
         "op4_mixing": op4_mixing,
         "op5_near_dedup": op5_near_dedup,
+        "op6_pii": op6_pii,
         "op7_fingerprints": op7_fingerprints,
         "op8_toxicity": op8_toxicity,
         "op9_secrets": op9_secrets,
