@@ -46,7 +46,8 @@ FEATURES = {
     "n_symbols": f"cast(length({_TEXT}) - length(translate({_TEXT}, '#*$%&|<>', '')) as bigint)",
     "n_lines": f"cast(size({_LINES}) as bigint)",
     "n_dup_lines": f"cast(size({_LINES}) - size(array_distinct({_LINES})) as bigint)",
-    "n_repeat_words": _REPEATED.format(words=_WORDS),
+    # The words are bound once; an expression in their place would be computed for every window.
+    "n_repeat_words": f"element_at(transform(array({_WORDS}), words -> {_REPEATED.format(words='words')}), 1)",
     "n_upper": rf"cast(length({_TEXT}) - length(regexp_replace({_TEXT}, r'\p{{Lu}}+', '')) as bigint)",
 }
 
