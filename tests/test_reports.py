@@ -157,8 +157,10 @@ def test_report_blocks(spark):
     )
     top = reports.report_topn(cube, ["k"], "total", ("sum", "v"), 1).collect()
     assert [tuple(r) for r in top] == [("b", 5.0)]
-    matrix = {r.k: (r.x, r.y) for r in reports.report_matrix(cube, ["k"], "c", ["x", "y"], ("sum", "v")).collect()}
+    matrix = {r.k: (r.x, r.y) for r in reports.report_matrix(cube, ["k"], "c", ("sum", "v")).collect()}
     assert matrix == {"a": (1.0, 2.0), "b": (5.0, None)}
+    listed = reports.report_matrix(cube, ["k"], "c", ("sum", "v"), ["x"]).collect()
+    assert {r.k: (r.x, r.OTHER) for r in listed} == {"a": (1.0, 2.0), "b": (5.0, None)}
     assert reports.report_slice(cube, k="a", c=["x"]).count() == 1
     bands = spark.createDataFrame([(0.8,), (1.0,), (1.2,)], "cpi double")
     shown = reports.report_band(bands, "band", reports.cpi_band("cpi")).collect()

@@ -150,18 +150,20 @@ def year_month(c: ColumnLike) -> Column:
 
 
 def with_calendar(
-    df: DataFrame, date_col: str, calendar: tuple[str, str], parts: Sequence[str]
+    df: DataFrame, date_col: str, calendar: tuple[str, str] | None, parts: Sequence[str]
 ) -> DataFrame:
-    """Calendar attributes of a date column, for dates inside the calendar range.
+    """Calendar attributes of a date column.
 
-    Equal to an inner join with ``dim_date`` built for the same range.  The attributes are
-    functions of the date, so computing them in place saves the join, and the range becomes a
-    filter that reaches the scan.
+    The attributes are functions of the date, so computing them in place saves the join with
+    ``dim_date``, and every row keeps its place: a row without a date gets NULL attributes.  A
+    caller may give a range; then only dates inside it count, and the range reaches the scan.
     """
     c = F.col(date_col)
     builders = {"year": F.year(c), "quarter": F.quarter(c), "year_month": year_month(c)}
-    inside = c.between(F.lit(calendar[0]).cast("date"), F.lit(calendar[1]).cast("date"))
-    return df.filter(inside).withColumns({p: builders[p] for p in parts})
+    if calendar is not None:
+        first, last = (F.lit(d).cast("date") for d in calendar)
+        df = df.filter(c.between(first, last))
+    return df.select("*", *[builders[p].alias(p) for p in parts])
 
 
 # ---- labels ------------------------------------------------------------------------------------

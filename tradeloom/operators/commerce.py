@@ -247,6 +247,8 @@ def _document_listing(
             "unit_price",
             line_amount().cast(MONEY).alias("line_total"),
         )
+        # Joins lose the order of the page, which is small enough to be sorted again.
+        .orderBy(F.desc("date"), F.desc("id"), "item_id")
     )
 
 

@@ -3,9 +3,9 @@
 Shape shared by the cubes: the fact is aggregated by its keys first (partial aggregation on the map
 side, so a hot vendor or project is reduced before the shuffle) and the dimension attributes are
 joined to the much smaller result.  Comparisons with an earlier period are made at a grain that is
-unique per period and joined back.  Where a reduced result is read more than once it is stored, so
-the facts are scanned once.  No join carries a broadcast hint: dimensions may grow, so the
-optimizer decides by measured size.
+unique per period and joined back.  Nothing is written: a cube is a lazy plan, so a view on it follows
+its tables.  Where a reduced result is read more than once, its exchange is reused within the plan.
+No join carries a broadcast hint: dimensions may grow, so the optimizer decides by measured size.
 """
 
 from __future__ import annotations
@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as c
 from ..functions.ranking import with_rank
-from ..session import stored
-from .dims import CALENDAR, current
+from .dims import current
 
 AsOf = dt.date | str | None
 Calendar = tuple[str, str]
@@ -36,17 +35,14 @@ def growth_pct(now: str, before: str) -> Column:
 
 
 def with_previous_year(
-    monthly: DataFrame, keys: list[str], value: str, total: str, previous: str
+    monthly: DataFrame, quarterly: DataFrame, keys: list[str], total: str, previous: str
 ) -> DataFrame:
     """Quarter total per key, and the same quarter's total in the last year that has one.
 
-    The comparison runs on one row per key, year and quarter, so the order is free of ties and
-    a window holds one row per year.
+    ``quarterly`` has one row per key, year and quarter, summed from the fact by itself: few columns
+    and few rows, so comparing costs less than keeping the monthly rows.  The order is free of ties
+    and a window holds one row per year.
     """
-    monthly = stored(monthly, "monthly")
-    quarterly = monthly.groupBy(*keys, "year", "quarter").agg(
-        c.exact_sum(value).alias(total)
-    )
     years = Window.partitionBy(*keys, "quarter").orderBy("year")
     compared = quarterly.withColumn(previous, F.lag(total).over(years))
     return null_safe_join(monthly, compared, [*keys, "year", "quarter"])
@@ -68,11 +64,11 @@ def cube_procurement_spend(
     purchase_orders: DataFrame,
     dim_vendor: DataFrame,
     dim_project: DataFrame,
-    calendar: Calendar = CALENDAR,
+    calendar: Calendar | None = None,
 ) -> DataFrame:
     """Spend per vendor, project and month, with the vendor's quarter against a year before.
 
-    An order is one row of the fact, so counting rows counts distinct orders.
+    Orders are counted once each; the average is over the rows that have an amount.
     """
     periods = ["year", "quarter", "year_month"]
     dated = c.with_calendar(purchase_orders, "po_date", calendar, periods)
@@ -81,15 +77,23 @@ def cube_procurement_spend(
     monthly = (
         dated.groupBy("vendor_id", "project_id", *periods)
         .agg(
-            F.count("po_id").alias("po_count"),
+            F.count_distinct("po_id").alias("po_count"),
             c.exact_sum("total_amount").alias("total_spend"),
+            c.exact_mean("total_amount").alias("avg_po_value"),
             c.exact_sum("line_total").alias("total_line_value"),
             c.exact_sum("total_quantity", c.QUANTITY).alias("total_quantity"),
         )
         .join(projects, "project_id")
     )
+    quarterly = (
+        dated.groupBy("vendor_id", "project_id", "year", "quarter")
+        .agg(c.exact_sum("total_amount").alias("_spend"))
+        .join(projects.select("project_id"), "project_id")
+        .groupBy("vendor_id", "year", "quarter")
+        .agg(c.exact_sum("_spend").alias("vendor_quarter_spend"))
+    )
     compared = with_previous_year(
-        monthly, ["vendor_id"], "total_spend", "vendor_quarter_spend", "prev_year_spend"
+        monthly, quarterly, ["vendor_id"], "vendor_quarter_spend", "prev_year_spend"
     )
     vendors = _pick(dim_vendor, "vendor_id", "vendor_name", F.col("sector").alias("vendor_sector"))
     return compared.join(vendors, "vendor_id").select(
@@ -103,7 +107,7 @@ def cube_procurement_spend(
         "total_spend",
         "total_line_value",
         "total_quantity",
-        c.safe_div("total_spend", "po_count").alias("avg_po_value"),
+        "avg_po_value",
         "vendor_quarter_spend",
         "prev_year_spend",
         growth_pct("vendor_quarter_spend", "prev_year_spend").alias("yoy_growth_pct"),
@@ -114,7 +118,7 @@ def cube_spend_by_sector(
     purchase_orders: DataFrame,
     dim_vendor: DataFrame,
     dim_sector: DataFrame,
-    calendar: Calendar = CALENDAR,
+    calendar: Calendar | None = None,
 ) -> DataFrame:
     """Spend per sector, vendor and quarter: share in the sector, ranks, change on the year.
 
@@ -132,12 +136,12 @@ def cube_spend_by_sector(
         .agg(
             F.count(F.lit(1)).alias("po_count"),
             c.exact_sum("total_amount").alias("total_spend"),
+            c.exact_mean("total_amount").alias("avg_po_value"),
             c.exact_sum("total_quantity", c.QUANTITY).alias("total_quantity"),
         )
         .join(vendors, "vendor_id")
         .join(sectors, "sector")
     )
-    spend = stored(spend, "sector_spend")
     by_sector = spend.groupBy("sector_key", *periods).agg(
         c.exact_sum("total_spend").alias("sector_spend")
     )
@@ -148,7 +152,7 @@ def cube_spend_by_sector(
     # A vendor has one sector, so a window per vendor and quarter holds one row per year.
     years = Window.partitionBy("vendor_id", "quarter").orderBy("year")
     compared = ranked.withColumn("prev_year_spend", F.lag("total_spend").over(years))
-    return compared.join(ranked_sectors, ["sector_key", *periods]).select(
+    return null_safe_join(compared, ranked_sectors, ["sector_key", *periods]).select(
         "sector_key",
         "sector_name",
         "vendor_id",
@@ -158,7 +162,7 @@ def cube_spend_by_sector(
         "po_count",
         "total_spend",
         "total_quantity",
-        c.safe_div("total_spend", "po_count").alias("avg_po_value"),
+        "avg_po_value",
         c.ratio("total_spend", "sector_spend", 2, 100).alias("vendor_sector_share_pct"),
         "sector_spend_rank",
         "vendor_spend_rank",
@@ -195,7 +199,6 @@ def cube_vendor_performance(performance: DataFrame, dim_vendor: DataFrame) -> Da
         )
         .join(vendors, "vendor_id")
     )
-    scores = stored(scores, "vendor_scores")
     ranked = with_rank(scores, ["evaluation_period"], "_overall", "vendor_rank", dense=True)
     periods = Window.partitionBy("vendor_id").orderBy("evaluation_period")
     trend = F.col("_overall") - F.lag("_overall").over(periods)
@@ -256,7 +259,6 @@ def cube_vendor_risk(
         .join(quality, "vendor_id", "left")
         .withColumn("_composite", composite)
     )
-    joined = stored(joined, "vendor_risk")
     ranked = with_rank(joined, [], "_composite", "risk_rank", dense=True)
     return ranked.select(
         "vendor_id",
@@ -349,7 +351,7 @@ def cube_invoice_aging(
     invoices: DataFrame,
     dim_vendor: DataFrame,
     dim_project: DataFrame,
-    calendar: Calendar = CALENDAR,
+    calendar: Calendar | None = None,
 ) -> DataFrame:
     """Invoices per vendor, project, month and aging bucket."""
     periods = ["year", "quarter", "year_month"]
@@ -478,8 +480,9 @@ def cube_cost_variance(costs: DataFrame, dim_project: DataFrame) -> DataFrame:
         dim_project,
         "project_id", "project_name", F.col("status").alias("project_status"), "sector", "region",
     )
-    lines = stored(lines, "cost_lines")
-    ranked = with_rank(lines, ["project_id"], "_excess", "overrun_rank", dense=True)
+    # A project holds its work packages times its cost types, so one window per project is small.
+    inside = Window.partitionBy("project_id").orderBy(F.desc_nulls_last("_excess"))
+    ranked = lines.withColumn("overrun_rank", F.dense_rank().over(inside))
     return ranked.join(projects, "project_id").select(
         "project_id",
         "project_name",
@@ -623,7 +626,6 @@ def with_previous_quarter(
     monthly: DataFrame, share: Column, total: str, previous: str, parts: list[str]
 ) -> DataFrame:
     """A ratio per vendor and quarter, and its value in the vendor's quarter before."""
-    monthly = stored(monthly, "monthly")
     quarterly = monthly.groupBy("vendor_id", "year", "quarter").agg(
         *[F.sum(p).alias(p) for p in parts]
     )
@@ -633,7 +635,7 @@ def with_previous_quarter(
         .withColumn(previous, F.lag(total).over(quarters))
         .drop(*parts)
     )
-    return monthly.join(compared, ["vendor_id", "year", "quarter"])
+    return null_safe_join(monthly, compared, ["vendor_id", "year", "quarter"])
 
 
 def last_receipt_per_order(receipts: DataFrame) -> DataFrame:
@@ -644,7 +646,7 @@ def cube_delivery_performance(
     purchase_orders: DataFrame,
     receipts: DataFrame,
     dim_vendor: DataFrame,
-    calendar: Calendar = CALENDAR,
+    calendar: Calendar | None = None,
     per_receipt: bool = False,
 ) -> DataFrame:
     """On-time delivery per vendor and month, with the vendor's previous quarter.
@@ -708,7 +710,7 @@ def cube_procurement_efficiency(
     receipts: DataFrame,
     invoices: DataFrame,
     dim_vendor: DataFrame,
-    calendar: Calendar = CALENDAR,
+    calendar: Calendar | None = None,
 ) -> DataFrame:
     """Procure-to-pay cycle times per vendor and month, with exact medians.
 
@@ -765,7 +767,7 @@ def cube_procurement_efficiency(
 # ---- sales and stock ---------------------------------------------------------------------------
 
 
-def cube_sales_analysis(sales: DataFrame, calendar: Calendar = CALENDAR) -> DataFrame:
+def cube_sales_analysis(sales: DataFrame, calendar: Calendar | None = None) -> DataFrame:
     """Revenue and margin per product, customer, type and month, with the product's year before."""
     keys = ["product_name", "customer_name", "customer_type", "order_type"]
     periods = ["year", "quarter", "year_month"]
@@ -778,9 +780,11 @@ def cube_sales_analysis(sales: DataFrame, calendar: Calendar = CALENDAR) -> Data
         c.exact_sum("gross_margin").alias("total_margin"),
         c.exact_mean("unit_price", c.QUANTITY).alias("avg_unit_price"),
     )
+    quarterly = dated.groupBy("product_name", "year", "quarter").agg(
+        c.exact_sum("revenue").alias("product_quarter_revenue")
+    )
     compared = with_previous_year(
-        monthly, ["product_name"], "total_revenue", "product_quarter_revenue",
-        "prev_year_revenue",
+        monthly, quarterly, ["product_name"], "product_quarter_revenue", "prev_year_revenue"
     )
     change = c.dbl("product_quarter_revenue") - c.dbl("prev_year_revenue")
     return compared.withColumns(
@@ -792,7 +796,7 @@ def cube_sales_analysis(sales: DataFrame, calendar: Calendar = CALENDAR) -> Data
 
 
 def cube_inventory_status(
-    movements: DataFrame, dim_material: DataFrame, calendar: Calendar = CALENDAR
+    movements: DataFrame, dim_material: DataFrame, calendar: Calendar | None = None
 ) -> DataFrame:
     """Stock movements per material and month, by type.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -216,12 +216,23 @@ EDITS: dict[str, Edit] = {
 # ---- merge -------------------------------------------------------------------------------------
 
 
-def upsert_merge(current: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+def upsert_merge(
+    current: DataFrame, changes: DataFrame, key: str, latest: str | None = None
+) -> DataFrame:
     """Rows of both tables by key; where both have the key, the changed row replaces the old one.
 
     An anti join and a union move only the keys of the change set against the table, and leave
-    the untouched rows unaltered.  The change set must have one row per key.
+    the untouched rows unaltered.  Of several changes of a key the one with the greatest
+    ``latest`` counts; without that column a repeated key fails the merge.
     """
+    if latest is None:
+        rows = F.count(F.lit(1)).over(Window.partitionBy(key))
+        clash = F.raise_error(F.concat(F.lit(f"several changes of {key} "), F.col(key).cast("string")))
+        unique = F.when(F.col("_rows") > 1, clash.cast("boolean")).otherwise(F.lit(True))
+        changes = changes.withColumn("_rows", rows).where(unique).drop("_rows")
+    else:
+        order = Window.partitionBy(key).orderBy(F.desc_nulls_last(latest))
+        changes = changes.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
     keys = changes.select(F.col(key).alias("_changed"))
     kept = current.join(keys, F.col(key) == F.col("_changed"), "left_anti")
     return kept.unionByName(changes.select(*current.columns))

@@ -30,20 +30,26 @@ KPI_THRESHOLDS: dict[str, tuple[str, float, float]] = {
     "defect_rate_pct": ("low", 2.0, 10.0),
     "vendor_overall_score": ("high", 80.0, 60.0),
     "procurement_cycle_days": ("low", 5.0, 15.0),
-    "budget_utilisation_pct": ("low", 100.0, 100.0),
+    "budget_utilisation_pct": ("low", 100.0, 100.0),  # and not below KPI_FLOORS
     "contract_cost_growth_pct": ("low", 5.0, 20.0),
     "schedule_variance_days": ("low", 0.0, 30.0),
     "contract_utilisation_pct": ("high", 80.0, 50.0),
 }
 
 
+# KPIs whose target is a range, with its lower end.
+KPI_FLOORS: dict[str, float] = {"budget_utilisation_pct": 85.0}
+
+
 def kpi_status(name: str, value: Column) -> Column:
-    """OK at the target, ALERT beyond the threshold, WARN in between."""
+    """OK at the target, ALERT beyond the threshold, WARN in between and below a range."""
     good, target, alert = KPI_THRESHOLDS[name]
     if good == "low":
         bad, fine = value > alert, value <= target
     else:
         bad, fine = value < alert, value >= target
+    if name in KPI_FLOORS:
+        fine = fine & (value >= KPI_FLOORS[name])
     label = F.when(value.isNull(), "NO DATA").when(bad, "ALERT").when(fine, "OK")
     return label.otherwise("WARN")
 
@@ -189,7 +195,7 @@ def spend_concentration(
         F.col("spend").alias("_spend"), F.col("_rank").alias("spend_rank"), "_running"
     )
     share = c.ratio("_running", total, 4, 100)
-    return spend.join(reached, F.col("spend") == F.col("_spend")).select(
+    return spend.join(reached, F.col("spend").eqNullSafe(F.col("_spend"))).select(
         level,
         "spend",
         F.col("spend_rank").cast("int").alias("spend_rank"),
@@ -255,7 +261,8 @@ def burn_rate_months(costs: DataFrame, actuals: DataFrame) -> DataFrame:
 def s_curve(projects: DataFrame, costs: DataFrame, actuals: DataFrame) -> DataFrame:
     """Cumulative planned and actual spend per project and month.
 
-    The plan spreads the budget evenly over the days from start to end; the planned value of a
+    Every month from the start, or the first actual, to the end, or the last actual, has a row; a
+    month without actuals adds nothing.  The plan spreads the budget evenly over the days from start to end; the planned value of a
     month is what is due by the month's last day.  A project's window holds one row per month.
     """
     monthly = actuals.groupBy(
@@ -263,17 +270,31 @@ def s_curve(projects: DataFrame, costs: DataFrame, actuals: DataFrame) -> DataFr
     ).agg(c.exact_sum("actual_amount").alias("actual"))
     budget = costs.groupBy("project_id").agg(c.exact_sum("budget_amount").alias("budget"))
     span = projects.select("project_id", "start_date", "end_date")
+    seen = monthly.groupBy("project_id").agg(
+        F.min("month_end").alias("_first"), F.max("month_end").alias("_last")
+    )
+    month = F.explode(
+        F.sequence(
+            F.trunc(F.least("start_date", "_first"), "month"),
+            F.trunc(F.greatest("end_date", "_last"), "month"),
+            F.expr("interval 1 month"),
+        )
+    )
+    spine = (
+        span.join(budget, "project_id")
+        .join(seen, "project_id", "left")
+        .select("project_id", "start_date", "end_date", "budget", month.alias("_month"))
+        .withColumn("month_end", F.last_day("_month"))
+    )
     months = Window.partitionBy("project_id").orderBy("month_end").rowsBetween(
         Window.unboundedPreceding, 0
     )
     length = F.datediff("end_date", "start_date")
     done = F.least(F.greatest(F.datediff("month_end", "start_date"), F.lit(0)), length)
     return (
-        monthly.withColumn(
-            "cumulative_actual", c.from_units(F.sum(c.units("actual")).over(months))
-        )
-        .join(budget, "project_id")
-        .join(span, "project_id")
+        spine.join(monthly, ["project_id", "month_end"], "left")
+        .withColumn("actual", F.coalesce("actual", F.lit(0.0)))
+        .withColumn("cumulative_actual", c.from_units(F.sum(c.units("actual")).over(months)))
         .select(
             "project_id",
             "month_end",

@@ -52,12 +52,20 @@ def report_matrix(
     cube: DataFrame,
     rows: Sequence[str],
     column: str,
-    labels: Sequence[str],
     value: tuple[str, str],
+    labels: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows by columns.  The column labels are given, so no extra pass has to collect them."""
+    """Rows by columns.
+
+    The columns are the values that occur.  With a list of labels no pass has to collect them; all
+    other values then meet in a column ``OTHER``, so that no amount is lost.
+    """
     kind, measured = value
-    return cube.groupBy(*rows).pivot(column, list(labels)).agg(aggregate(kind, measured))
+    if labels is None:
+        return cube.groupBy(*rows).pivot(column).agg(aggregate(kind, measured))
+    listed = F.when(F.col(column).isin(*labels), F.col(column)).otherwise(F.lit("OTHER"))
+    shown = cube.withColumn("_label", listed)
+    return shown.groupBy(*rows).pivot("_label", [*labels, "OTHER"]).agg(aggregate(kind, measured))
 
 
 # The colour bands of the cost index.

@@ -91,7 +91,7 @@ GOLD: dict[str, Callable[[Layers], DataFrame]] = {
 
 CUBES: dict[str, Callable[[Layers], DataFrame]] = {
     "cube_procurement_spend": lambda l: cubes.cube_procurement_spend(
-        l.gold("fact_purchase_orders"), l.gold("dim_vendor"), l.gold("dim_project"), l.calendar
+        l.gold("fact_purchase_orders"), l.gold("dim_vendor"), l.gold("dim_project")
     ),
     "cube_vendor_performance": lambda l: cubes.cube_vendor_performance(
         l.gold("fact_vendor_performance"), l.gold("dim_vendor")
@@ -101,7 +101,7 @@ CUBES: dict[str, Callable[[Layers], DataFrame]] = {
         l.gold("dim_project"), l.as_of,
     ),
     "cube_invoice_aging": lambda l: cubes.cube_invoice_aging(
-        l.gold("fact_invoices"), l.gold("dim_vendor"), l.gold("dim_project"), l.calendar
+        l.gold("fact_invoices"), l.gold("dim_vendor"), l.gold("dim_project")
     ),
     "cube_project_costs": lambda l: cubes.cube_project_costs(
         l.gold("fact_project_costs"), l.gold("dim_project")
@@ -112,16 +112,15 @@ CUBES: dict[str, Callable[[Layers], DataFrame]] = {
     "cube_budget_vs_actual": lambda l: cubes.cube_budget_vs_actual(
         l.gold("fact_project_costs"), l.gold("dim_project")
     ),
-    "cube_sales_analysis": lambda l: cubes.cube_sales_analysis(l.gold("fact_sales"), l.calendar),
+    "cube_sales_analysis": lambda l: cubes.cube_sales_analysis(l.gold("fact_sales")),
     "cube_inventory_status": lambda l: cubes.cube_inventory_status(
-        l.gold("fact_inventory"), l.gold("dim_material"), l.calendar
+        l.gold("fact_inventory"), l.gold("dim_material")
     ),
     "cube_spend_by_sector": lambda l: cubes.cube_spend_by_sector(
-        l.gold("fact_purchase_orders"), l.gold("dim_vendor"), l.gold("dim_sector"), l.calendar
+        l.gold("fact_purchase_orders"), l.gold("dim_vendor"), l.gold("dim_sector")
     ),
     "cube_delivery_performance": lambda l: cubes.cube_delivery_performance(
         l.gold("fact_purchase_orders"), l.gold("fact_goods_receipts"), l.gold("dim_vendor"),
-        l.calendar,
     ),
     "cube_cost_variance": lambda l: cubes.cube_cost_variance(
         l.gold("fact_project_costs"), l.gold("dim_project")
@@ -135,6 +134,6 @@ CUBES: dict[str, Callable[[Layers], DataFrame]] = {
     ),
     "cube_procurement_efficiency": lambda l: cubes.cube_procurement_efficiency(
         l.gold("fact_purchase_orders"), l.gold("fact_goods_receipts"), l.gold("fact_invoices"),
-        l.gold("dim_vendor"), l.calendar,
+        l.gold("dim_vendor"),
     ),
 }

@@ -12,7 +12,6 @@ import re
 from ..sources.star import NATION_COUNTRIES
 
 AS_OF = "DATE '1998-09-30'"
-FIRST, LAST = "DATE '1992-01-01'", "DATE '2004-12-31'"
 
 
 def rnd(x: str, digits: int = 2) -> str:
@@ -72,17 +71,19 @@ def days(later: str, earlier: str) -> str:
     return i32(f"datediff('day', {earlier}, {later})")
 
 
+# The countries of each region.
+REGIONS = {
+    "NORTH AMERICA": ["US", "CA", "MX", "USA"],
+    "EUROPE": ["GB", "DE", "FR", "IT", "ES", "NL", "NO", "SE", "UK"],
+    "MIDDLE EAST": ["AE", "SA", "QA", "KW", "OM", "BH", "UAE", "SAUDI ARABIA"],
+    "ASIA PACIFIC": ["AU", "NZ", "SG", "MY", "IN", "JP", "KR", "CN", "SOUTH KOREA"],
+}
+
+
 def region(x: str) -> str:
-    groups = {
-        "NORTH AMERICA": "US CA MX USA",
-        "EUROPE": "GB DE FR IT ES NL NO SE UK",
-        "MIDDLE EAST": "AE SA QA KW OM BH UAE",
-        "ASIA PACIFIC": "AU NZ SG MY IN JP KR CN",
-    }
-    names = {"MIDDLE EAST": ["SAUDI ARABIA"], "ASIA PACIFIC": ["SOUTH KOREA"]}
     whens = ""
-    for label, codes in groups.items():
-        listed = ", ".join(f"'{c}'" for c in codes.split() + names.get(label, []))
+    for label, countries in REGIONS.items():
+        listed = ", ".join(f"'{c}'" for c in countries)
         whens += f" WHEN {x} IN ({listed}) THEN '{label}'"
     return f"CASE{whens} ELSE 'OTHER' END"
 
@@ -95,7 +96,6 @@ TAX = "floor(l_extendedprice * l_tax)"
 REJ = "CASE WHEN l_returnflag = 'R' THEN floor(l_quantity * l_discount) ELSE 0.0 END"
 LO = "lineitem JOIN orders ON l_orderkey = o_orderkey"
 COUNTRY = f"[{', '.join(repr(c) for c in NATION_COUNTRIES)}][n_nationkey + 1]"
-IN_CAL = "BETWEEN " + FIRST + " AND " + LAST
 
 
 def ym(x: str) -> str:
@@ -486,7 +486,7 @@ FRAGMENTS: dict[str, str] = {
           gross_margin, margin_pct, tax_amount, total_amount, currency, delivery_terms
         FROM s_sales_orders s LEFT JOIN s_materials m ON s.material_id = m.material_id""",
     # ---- cubes -----------------------------------------------------------------------------
-    "po_dated": f"SELECT *, {period('po_date')} FROM fact_purchase_orders WHERE po_date {IN_CAL}",
+    "po_dated": f"SELECT *, {period('po_date')} FROM fact_purchase_orders",
     "spend_quarters": f"""
         SELECT vendor_id, year, quarter, {mon('SUM(total_amount)')} AS q FROM po_dated
         JOIN dim_project USING (project_id) GROUP BY ALL""",
@@ -554,7 +554,7 @@ FRAGMENTS: dict[str, str] = {
                    'SUM(gross_amount)') + ' * 100')} AS overdue_pct
         FROM fact_invoices f JOIN dim_vendor v ON f.vendor_id = v.vendor_id
         JOIN dim_project p ON f.project_id = p.project_id
-        WHERE invoice_date {IN_CAL} GROUP BY ALL""",
+        GROUP BY ALL""",
     "cube_project_costs": f"""
         SELECT p.project_id, project_name, status AS project_status, sector, region, priority,
           project_duration_days, {msum('budget_amount')} AS total_budget,
@@ -607,7 +607,7 @@ FRAGMENTS: dict[str, str] = {
         FROM fact_project_costs f JOIN dim_project p ON f.project_id = p.project_id
         GROUP BY p.project_id, project_name, sector, region, wbs_element, cost_type""",
     "cube_sales_analysis": f"""
-        WITH s AS (SELECT *, {period('order_date')} FROM fact_sales WHERE order_date {IN_CAL}),
+        WITH s AS (SELECT *, {period('order_date')} FROM fact_sales),
         prev AS (
           SELECT *, LAG(q) OVER (PARTITION BY product_name, quarter ORDER BY year) AS p FROM (
             SELECT product_name, year, quarter, {mon('SUM(revenue)')} AS q FROM s GROUP BY ALL)),
@@ -627,7 +627,7 @@ FRAGMENTS: dict[str, str] = {
           SELECT material_id, movement_type AS k, {period('movement_date')},
             COUNT(*) AS n, SUM(quantity) AS q, SUM(total_value) AS v,
             {rnd(qmean('unit_cost'), 4)} AS u
-          FROM fact_inventory WHERE movement_date {IN_CAL} GROUP BY ALL)
+          FROM fact_inventory GROUP BY ALL)
         SELECT m.material_id, material_name, category AS material_category, year, quarter,
           year_month, {big("SUM(CASE WHEN k = 'RECEIPT' THEN n ELSE 0 END)")} AS receipt_count,
           {big("SUM(CASE WHEN k = 'ISSUE' THEN n ELSE 0 END)")} AS issue_count,
@@ -650,7 +650,7 @@ FRAGMENTS: dict[str, str] = {
         WITH g AS (
           SELECT sector_key, sector_name, v.vendor_id, vendor_name, vendor_country AS country,
             year, quarter, COUNT(*) AS po_count, {mon('SUM(total_amount)')} AS total_spend,
-            {qsum('total_quantity')} AS total_quantity
+            {qsum('total_quantity')} AS total_quantity, {mmean('total_amount')} AS avg_po_value
           FROM po_dated f JOIN dim_vendor v ON f.vendor_id = v.vendor_id
           JOIN dim_sector ON sector = sector_key GROUP BY ALL),
         s AS (
@@ -661,7 +661,7 @@ FRAGMENTS: dict[str, str] = {
             LAG(total_spend) OVER (PARTITION BY sector_key, vendor_id, quarter ORDER BY year) AS p
           FROM g)
         SELECT sector_key, sector_name, vendor_id, vendor_name, country, year, quarter, po_count,
-          total_spend, total_quantity, {div('total_spend', 'po_count')} AS avg_po_value,
+          total_spend, total_quantity, avg_po_value,
           {rnd(div('total_spend', 'ss') + ' * 100')} AS vendor_sector_share_pct,
           {i32('rk')} AS sector_spend_rank, {i32('vr')} AS vendor_spend_rank,
           p AS prev_year_spend,

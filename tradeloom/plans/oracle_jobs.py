@@ -48,6 +48,12 @@ _RAW_COUNTS = {
 }
 
 
+_FACTS = (
+    "fact_purchase_orders fact_invoices fact_goods_receipts fact_project_costs "
+    "fact_project_actuals fact_vendor_performance fact_inventory fact_contracts fact_sales"
+).split()
+
+
 def ingestion_statements() -> dict[str, str]:
     audit = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS record_count, "
@@ -57,14 +63,16 @@ def ingestion_statements() -> dict[str, str]:
     return {
         "ingest_csv": statement(_RAW_ORDERS),
         "ingest_all": statement(
+            f"SELECT table_name, CASE table_name WHEN 'employees' THEN 0 ELSE record_count END "
+            f"AS record_count, rejected_count, CASE table_name WHEN 'employees' THEN 'FAILED' "
+            f"ELSE status END AS status FROM ({audit})"
+        ),
+        "write_layer": whole("fact_purchase_orders"),
+        "backup_tables": statement(
             " UNION ALL ".join(
-                f"SELECT '{t}' AS table_name, COUNT(*) AS record_count, "
-                f"CAST(0 AS BIGINT) AS rejected_count, 'SUCCESS' AS status FROM {_RAW_COUNTS[t]}"
-                for t in ("vendors", "projects", "materials", "employees")
+                f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in _FACTS
             )
         ),
-        "write_layer": whole("fact_purchase_orders"),
-        "backup_tables": whole("fact_contracts"),
         "incremental_ingest": statement(f"SELECT *, 'batch-1' AS _batch_id FROM ({_RAW_ORDERS})"),
         "corrupt_row_gate": statement(
             "SELECT CASE po_status WHEN 'PENDING' THEN 'rejected' ELSE 'kept' END AS verdict, "
@@ -683,12 +691,14 @@ def report_statements() -> dict[str, str]:
 
 
 def _kpis() -> str:
-    def one(name: str, value: str, source: str, target: float, alert: float, low: bool) -> str:
+    def one(
+        name: str, value: str, source: str, target: float, alert: float, low: bool, ok: str = ""
+    ) -> str:
         bad, fine = ("> ", "<= ") if low else ("< ", ">= ")
         return (
             f"SELECT '{name}' AS kpi, {value} AS value, {dbl(str(target))} AS target, "
             f"{dbl(str(alert))} AS alert_threshold, CASE WHEN {value} IS NULL THEN 'NO DATA' "
-            f"WHEN {value} {bad}{alert} THEN 'ALERT' WHEN {value} {fine}{target} THEN 'OK' "
+            f"WHEN {value} {bad}{alert} THEN 'ALERT' WHEN {value} {ok or f'{fine}{target}'} THEN 'OK' "
             f"ELSE 'WARN' END AS status FROM {source}"
         )
 
@@ -718,7 +728,7 @@ def _kpis() -> str:
             rnd(f"({dbl('SUM(budget_amount)')} - {dbl('SUM(actual_amount)')})"
                 f" / {dbl('SUM(budget_amount)')} * 100"), pc, 0, -10, False),
         one("budget_utilisation_pct", pct("SUM(actual_amount)", "SUM(budget_amount)"), pc, 100,
-            100, True),
+            100, True, "BETWEEN 85 AND 100"),
         one("on_time_delivery_pct", pct("SUM(on_time_count)", "SUM(delivery_count)"),
             "cube_delivery_performance", 95, 85, False),
         one("material_acceptance_pct", pct("SUM(quantity_accepted)", "SUM(quantity_received)"),
@@ -823,15 +833,21 @@ def insight_statements() -> dict[str, str]:
             WITH m AS (SELECT project_id, last_day(posting_date) AS month_end,
                          {mon('SUM(actual_amount)')} AS a FROM s_project_actuals GROUP BY ALL),
             b AS (SELECT project_id, {msum('budget_amount')} AS bu FROM fact_project_costs
-                  GROUP BY 1)
-            SELECT project_id, month_end, {dbl('a')} AS actual,
-              {dbl('SUM(a) OVER (PARTITION BY project_id ORDER BY month_end)')}
+                  GROUP BY 1),
+            e AS (SELECT project_id, MIN(month_end) AS f, MAX(month_end) AS l FROM m GROUP BY 1),
+            s AS (SELECT project_id, start_date, end_date, bu, last_day(unnest(generate_series(
+                    date_trunc('month', least(start_date, f)),
+                    date_trunc('month', greatest(end_date, l)), INTERVAL 1 MONTH))::DATE)
+                    AS month_end
+                  FROM dim_project JOIN b USING (project_id) LEFT JOIN e USING (project_id))
+            SELECT s.project_id, s.month_end, {dbl('coalesce(a, 0)')} AS actual,
+              {dbl('SUM(coalesce(a, 0)) OVER (PARTITION BY s.project_id ORDER BY s.month_end)')}
                 AS cumulative_actual,
-              {rnd('bu * ' + div("least(greatest(datediff('day', start_date, month_end), 0), "
+              {rnd('bu * ' + div("least(greatest(datediff('day', start_date, s.month_end), 0), "
                                  "datediff('day', start_date, end_date))",
                                  "datediff('day', start_date, end_date)"))}
                 AS cumulative_planned
-            FROM m JOIN b USING (project_id) JOIN dim_project USING (project_id)"""),
+            FROM s LEFT JOIN m ON s.project_id = m.project_id AND s.month_end = m.month_end"""),
         "spend_concentration": _pareto(
             "category", "s_po_line_items JOIN dim_material USING (material_id)"
         ),

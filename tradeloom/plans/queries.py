@@ -92,7 +92,7 @@ def layer_queries() -> dict[str, Query]:
     out["cube_delivery_per_receipt"] = on_layers(
         lambda l: cubes.cube_delivery_performance(
             l.gold("fact_purchase_orders"), l.gold("fact_goods_receipts"), l.gold("dim_vendor"),
-            l.calendar, per_receipt=True,
+            per_receipt=True,
         )
     )
     return out
@@ -148,19 +148,27 @@ def _corrupt_row_gate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_MASTER_FEEDS = ("vendors", "projects", "materials", "employees")
-
-
 def _ingest_all(spark: SparkSession, folder: str) -> DataFrame:
-    """Audit of a load of the master feeds from files."""
+    """Audit of a load of all feeds from files, one of them with two header names swapped."""
     star, root = Star(spark, folder), fresh_path(spark, "landing")
-    for feed in _MASTER_FEEDS:
+    for feed in SOURCES:
         rows = FEEDS[feed](star)
         if "active" in rows.columns:
             rows = rows.withColumn("active", F.lower("active"))
-        ingest.write_csv(rows, f"{root}/{feed}.csv", feed)
-    loaded = ingest.ingest_all(spark, root, list(_MASTER_FEEDS))
-    return presentable(ingest.load_audit(spark, loaded))
+        path = f"{root}/{feed}.csv"
+        if feed == "employees":
+            first, second, *others = SOURCES[feed].fieldNames()
+            columns = [
+                F.col(n).cast("string") if n in rows.columns else F.lit(None).cast("string")
+                for n in (first, second, *others)
+            ]
+            rows.select(*columns).toDF(second, first, *others).write.option("header", "true").csv(path)
+        else:
+            ingest.write_csv(rows, path, feed)
+    loaded = ingest.ingest_all(spark, root)
+    verdict = F.split("status", ":").getItem(0).alias("status")
+    audit = ingest.load_audit(spark, loaded)
+    return audit.select("table_name", "record_count", "rejected_count", verdict)
 
 
 def _new_database(spark: SparkSession, label: str) -> str:
@@ -180,11 +188,21 @@ def _write_layer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _backup_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """All facts are copied; the result shows the keys of one and the rows of every copy."""
     gold, backup = _new_database(spark, "gold"), _new_database(spark, "backup")
-    contracts = layers(spark, folder).gold("fact_contracts")
-    tables.write_layer(contracts, gold, "fact_contracts", "Contract facts", "gold")
-    tables.backup_tables(spark, gold, ["fact_contracts"], backup)
-    return presentable(tables.read_upper_layer(spark, backup, "fact_contracts"))
+    star = layers(spark, folder)
+    facts = [t for t in GOLD if t.startswith("fact_")]
+    for table in facts:
+        tables.write_layer(star.gold(table), gold, table, "Facts", "gold")
+    tables.backup_tables(spark, gold, facts, backup)
+    return union(
+        [
+            tables.read_upper_layer(spark, backup, t)
+            .agg(F.count(F.lit(1)).alias("row_count"))
+            .select(F.lit(t).alias("table_name"), "row_count")
+            for t in facts
+        ]
+    )
 
 
 def _load_audit(l: Layers) -> DataFrame:
@@ -232,7 +250,7 @@ def _all_metrics(l: Layers) -> DataFrame:
 
 def _quarantined(l: Layers) -> DataFrame:
     parts = []
-    for table in ("purchase_orders", "vendor_performance"):
+    for table in silver.JOBS:
         rows = silver.cleanse_checked(table, l.raw(table), l.as_of).quarantined
         parts.append(
             rows.select(
@@ -517,7 +535,6 @@ def report_queries() -> dict[str, Query]:
         "report_matrix": on_layers(
             lambda l: reports.report_matrix(
                 l.cube("cube_cost_variance"), ["project_name"], "cost_type",
-                ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
                 ("sum", "overrun_amount"),
             )
         ),

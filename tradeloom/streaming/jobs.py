@@ -54,13 +54,15 @@ def stream_bronze(
 ) -> DataFrame:
     """Raw rows of new CSV files, with load time, file and the id of the run.
 
-    ``max_files`` bounds a micro-batch, so a large backlog is worked off in steps.
+    ``max_files`` bounds a micro-batch, so a large backlog is worked off in steps.  A file whose
+    header does not fit stops the stream instead of shifting values.
     """
     rows = (
         spark.readStream.schema(csv_schema(table))
         .option("header", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("enforceSchema", "false")
         .option("maxFilesPerTrigger", max_files)
         .csv(folder)
     )
@@ -76,10 +78,20 @@ def stream_bronze(
 def incremental_ingest(
     spark: SparkSession, folder: str, table: str, target: str, checkpoint: str, batch_id: str
 ) -> DataFrame:
-    """Append the rows of files not seen before, and return the raw table so far."""
+    """Append the rows of files not seen before, and return the well-formed rows so far.
+
+    All fields are parsed and stored with the text of malformed rows, so every header is checked;
+    ``rejected_rows`` shows what did not fit.
+    """
     stream = stream_bronze(spark, folder, table, batch_id)
-    run_available(stream.drop(CORRUPT), target, checkpoint, f"bronze_{table}")
-    return spark.read.parquet(target)
+    run_available(stream, target, checkpoint, f"bronze_{table}")
+    return spark.read.parquet(target).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def rejected_rows(spark: SparkSession, target: str) -> DataFrame:
+    """Malformed rows of an incrementally filled raw table, with file and run."""
+    bad = spark.read.parquet(target).where(F.col(CORRUPT).isNotNull())
+    return bad.select(CORRUPT, "_source_file", "_batch_id", "_ingest_timestamp")
 
 
 def stream_parquet(
