@@ -143,3 +143,14 @@ def test_listing_is_newest_first(spark, tiny):
     rows = queries()["sales_listing"](spark, tiny).collect()
     assert [(r.date, r.id) for r in rows] == sorted([(r.date, r.id) for r in rows], reverse=True)
     assert commerce.PAGE_SIZE
+
+
+def test_digits_below_a_cent_and_large_groups_add_up(spark):
+    from tradeloom.functions import columns as c
+
+    small = spark.range(1000).select(c.money(F.lit("0.004")).alias("v"))
+    assert small.agg(c.exact_sum("v").alias("s")).first().s == 4.0
+    large = spark.range(100).select(F.lit(1.1e15).alias("v"))
+    total = reports.report_rollup(large.withColumn("k", F.lit(1)), ["k"], {"s": ("sum", "v")}).first().s
+    assert total == 1.1e17
+    assert spark.range(1).select(c.difference(F.lit(1e9 + 0.37), F.lit(1e9)).alias("d")).first().d == 0.37

@@ -1,9 +1,8 @@
 """Reusable column expressions: lenient casts, exact money, percentages, calendar, labels.
 
-Money and quantities are DOUBLE columns with a fixed number of digits.  Sums are taken over whole
-units of the last digit (cents) in BIGINT: exact, independent of the order in which partitions
-arrive, and as cheap to shuffle as a double, where a decimal sum costs two to three times as much.
-A group may add up to 9.2e16 in money; beyond that the job fails instead of giving a wrong sum.
+Money and quantities are DOUBLE columns that keep the digits they were read with.  Sums are taken in
+DECIMAL(38,8): exact to eight digits, independent of the order in which partitions arrive, and with
+room for 1e30 per group.  Rounding happens in output columns that are defined as rounded.
 """
 
 from __future__ import annotations
@@ -15,9 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Digits that sums keep.
-MONEY = 2
-QUANTITY = 4
-RATE = 6
+DIGITS = 8
 
 ColumnLike = Column | str
 
@@ -30,13 +27,26 @@ def as_col(value: ColumnLike) -> Column:
 
 
 def money(c: ColumnLike) -> Column:
-    """Number rounded to cents."""
-    return rounded(number(c), MONEY)
+    """An amount, as it was read."""
+    return number(c)
 
 
 def quantity(c: ColumnLike) -> Column:
-    """Number rounded to four digits."""
-    return rounded(number(c), QUANTITY)
+    """A quantity, as it was read."""
+    return number(c)
+
+
+def settled(c: ColumnLike) -> Column:
+    """A computed amount without the noise of double arithmetic behind the eighth digit."""
+    value, scale = dbl(c), float(10**DIGITS)
+    # Larger numbers have no eighth digit that a double could hold.
+    small = F.abs(value) < 2.0**53 / scale
+    return F.when(small, F.rint(value * scale) / scale).otherwise(value)
+
+
+def difference(a: ColumnLike, b: ColumnLike) -> Column:
+    """Exact difference of two amounts."""
+    return from_units(units(a) - units(b))
 
 
 def number(c: ColumnLike) -> Column:
@@ -98,33 +108,27 @@ def divide_or_zero(num: ColumnLike, den: ColumnLike) -> Column:
 # ---- aggregates --------------------------------------------------------------------------------
 
 
-def units(c: ColumnLike, digits: int = MONEY) -> Column:
-    """Whole number of the smallest unit, e.g. cents."""
-    return F.rint(dbl(c) * float(10**digits)).cast("long")
-
-
-def from_units(c: ColumnLike, digits: int = MONEY) -> Column:
-    return dbl(c) / float(10**digits)
+def units(c: ColumnLike) -> Column:
+    """A number that adds up exactly."""
+    return dbl(c).cast(f"decimal(38,{DIGITS})")
 
 
-def rounded(c: ColumnLike, digits: int = MONEY) -> Column:
-    """Nearest number with the given digits; cheaper than ``round``, which goes through text."""
-    scale = float(10**digits)
-    return F.rint(dbl(c) * scale) / scale
+def from_units(c: ColumnLike) -> Column:
+    return dbl(c)
 
 
-def exact_sum(c: ColumnLike, digits: int = MONEY) -> Column:
-    return from_units(F.sum(units(c, digits)), digits)
+def exact_sum(c: ColumnLike) -> Column:
+    return from_units(F.sum(units(c)))
 
 
-def exact_mean(c: ColumnLike, digits: int = MONEY) -> Column:
+def exact_mean(c: ColumnLike) -> Column:
     """Mean as exact sum over count: the same value for every partitioning and every retry."""
-    return F.try_divide(exact_sum(c, digits), F.count(as_col(c)).cast("double"))
+    return F.try_divide(exact_sum(c), F.count(as_col(c)).cast("double"))
 
 
 def try_mean(c: ColumnLike) -> Column:
-    """Mean of a ratio column, rounded to six digits per row so that the sum is exact."""
-    return exact_mean(F.round(dbl(c), RATE), RATE)
+    """Mean of a ratio column."""
+    return exact_mean(c)
 
 
 def mean_days(c: ColumnLike) -> Column:
@@ -133,8 +137,8 @@ def mean_days(c: ColumnLike) -> Column:
     return F.try_divide(F.sum(value.cast("long")).cast("double"), F.count(value).cast("double"))
 
 
-def sum_when(cond: Column, value: ColumnLike, digits: int = MONEY) -> Column:
-    return exact_sum(F.when(cond, dbl(value)).otherwise(F.lit(0.0)), digits)
+def sum_when(cond: Column, value: ColumnLike) -> Column:
+    return exact_sum(F.when(cond, dbl(value)).otherwise(F.lit(0.0)))
 
 
 # ---- dates -------------------------------------------------------------------------------------

@@ -81,7 +81,7 @@ def cube_procurement_spend(
             c.exact_sum("total_amount").alias("total_spend"),
             c.exact_mean("total_amount").alias("avg_po_value"),
             c.exact_sum("line_total").alias("total_line_value"),
-            c.exact_sum("total_quantity", c.QUANTITY).alias("total_quantity"),
+            c.exact_sum("total_quantity").alias("total_quantity"),
         )
         .join(projects, "project_id")
     )
@@ -137,7 +137,7 @@ def cube_spend_by_sector(
             F.count(F.lit(1)).alias("po_count"),
             c.exact_sum("total_amount").alias("total_spend"),
             c.exact_mean("total_amount").alias("avg_po_value"),
-            c.exact_sum("total_quantity", c.QUANTITY).alias("total_quantity"),
+            c.exact_sum("total_quantity").alias("total_quantity"),
         )
         .join(vendors, "vendor_id")
         .join(sectors, "sector")
@@ -193,7 +193,7 @@ def cube_vendor_performance(performance: DataFrame, dim_vendor: DataFrame) -> Da
     scores = (
         performance.groupBy("vendor_id", "evaluation_period")
         .agg(
-            *[c.exact_mean(f"{n}_score", c.QUANTITY).alias(f"_{n}") for n in names],
+            *[c.exact_mean(f"{n}_score").alias(f"_{n}") for n in names],
             F.max_by("recommendation", last).alias("latest_recommendation"),
             F.count(F.lit(1)).alias("evaluation_count"),
         )
@@ -230,7 +230,7 @@ def cube_vendor_risk(
     """
     names = ["overall", "delivery", "quality", "commercial", "hse"]
     scores = performance.groupBy("vendor_id").agg(
-        *[c.exact_mean(f"{n}_score", c.QUANTITY).alias(f"avg_{n}_score") for n in names],
+        *[c.exact_mean(f"{n}_score").alias(f"avg_{n}_score") for n in names],
         F.min("overall_score").alias("min_overall_score"),
         F.count(F.lit(1)).alias("evaluation_count"),
     )
@@ -242,7 +242,7 @@ def cube_vendor_risk(
     )
     quality = receipts.groupBy("vendor_id").agg(
         c.exact_mean("acceptance_rate").alias("avg_acceptance_rate"),
-        c.exact_sum("quantity_rejected", c.QUANTITY).alias("total_rejected"),
+        c.exact_sum("quantity_rejected").alias("total_rejected"),
     )
     overdue = c.safe_div("overdue_invoices", "invoice_count") * 100
     best, zero = F.lit(100.0), F.lit(0.0)
@@ -343,7 +343,7 @@ def cube_contract_status(
         "value_utilisation_pct",
         cost_risk.alias("cost_risk_flag"),
         schedule_risk.alias("schedule_risk_flag"),
-        c.money(remaining).alias("remaining_value"),
+        c.settled(remaining).alias("remaining_value"),
     )
 
 
@@ -467,7 +467,7 @@ def cube_budget_vs_actual(costs: DataFrame, dim_project: DataFrame) -> DataFrame
 def cube_cost_variance(costs: DataFrame, dim_project: DataFrame) -> DataFrame:
     """Overruns per project, cost type and work package, ranked inside the project."""
     lines = _cost_lines(costs).withColumn(
-        "_excess", c.money(F.col("total_exposure") - F.col("budget_amount"))
+        "_excess", c.difference("total_exposure", "budget_amount")
     )
     share = c.safe_div("_excess", "budget_amount")
     severity = (
@@ -498,7 +498,7 @@ def cube_cost_variance(costs: DataFrame, dim_project: DataFrame) -> DataFrame:
         F.greatest("_excess", F.lit(0.0)).alias("overrun_amount"),
         severity.alias("overrun_severity"),
         c.ratio("budget_amount", "total_exposure", 4).alias("cpi"),
-        c.money(F.col("budget_amount") - F.col("actual_amount")).alias("remaining_budget"),
+        c.difference("budget_amount", "actual_amount").alias("remaining_budget"),
         c.ratio("actual_amount", "budget_amount", 2, 100).alias("burn_rate_pct"),
         "overrun_rank",
     )
@@ -587,9 +587,9 @@ def cube_goods_receipt_quality(
     """Acceptance and defects per vendor and material; rates are percentages throughout."""
     totals = receipts.groupBy("vendor_id", "material_id").agg(
         F.count(F.lit(1)).alias("receipt_count"),
-        c.exact_sum("quantity_received", c.QUANTITY).alias("total_qty_received"),
-        c.exact_sum("quantity_accepted", c.QUANTITY).alias("total_qty_accepted"),
-        c.exact_sum("quantity_rejected", c.QUANTITY).alias("total_qty_rejected"),
+        c.exact_sum("quantity_received").alias("total_qty_received"),
+        c.exact_sum("quantity_accepted").alias("total_qty_accepted"),
+        c.exact_sum("quantity_rejected").alias("total_qty_rejected"),
         c.exact_mean("acceptance_rate").alias("_acceptance"),
         F.min("acceptance_rate").alias("min_acceptance_rate"),
         c.exact_sum("receipt_value").alias("total_receipt_value"),
@@ -774,11 +774,11 @@ def cube_sales_analysis(sales: DataFrame, calendar: Calendar | None = None) -> D
     dated = c.with_calendar(sales, "order_date", calendar, periods)
     monthly = dated.groupBy(*keys, *periods).agg(
         F.count(F.lit(1)).alias("sales_count"),
-        c.exact_sum("quantity", c.QUANTITY).alias("total_quantity"),
+        c.exact_sum("quantity").alias("total_quantity"),
         c.exact_sum("revenue").alias("total_revenue"),
         c.exact_sum("cogs").alias("total_cogs"),
         c.exact_sum("gross_margin").alias("total_margin"),
-        c.exact_mean("unit_price", c.QUANTITY).alias("avg_unit_price"),
+        c.exact_mean("unit_price").alias("avg_unit_price"),
     )
     quarterly = dated.groupBy("product_name", "year", "quarter").agg(
         c.exact_sum("revenue").alias("product_quarter_revenue")
@@ -808,9 +808,9 @@ def cube_inventory_status(
     dated = c.with_calendar(movements, "movement_date", calendar, periods)
     by_type = dated.groupBy("material_id", "movement_type", *periods).agg(
         F.count(F.lit(1)).alias("movement_count"),
-        c.exact_sum("quantity", c.QUANTITY).alias("total_quantity"),
+        c.exact_sum("quantity").alias("total_quantity"),
         c.exact_sum("total_value").alias("total_value"),
-        F.round(c.exact_mean("unit_cost", c.QUANTITY), 4).alias("avg_unit_cost"),
+        F.round(c.exact_mean("unit_cost"), 4).alias("avg_unit_cost"),
     )
     kind = F.col("movement_type")
     receipt, issue, back = kind == "RECEIPT", kind == "ISSUE", kind == "RETURN"
@@ -823,17 +823,17 @@ def cube_inventory_status(
         count_of(issue).alias("issue_count"),
         count_of(back).alias("return_count"),
         F.sum("movement_count").alias("total_movement_count"),
-        c.sum_when(receipt, "total_quantity", c.QUANTITY).alias("qty_received"),
-        c.sum_when(issue, "total_quantity", c.QUANTITY).alias("qty_issued"),
-        c.sum_when(back, "total_quantity", c.QUANTITY).alias("qty_returned"),
-        c.sum_when(receipt | issue | back, "total_quantity", c.QUANTITY).alias(
+        c.sum_when(receipt, "total_quantity").alias("qty_received"),
+        c.sum_when(issue, "total_quantity").alias("qty_issued"),
+        c.sum_when(back, "total_quantity").alias("qty_returned"),
+        c.sum_when(receipt | issue | back, "total_quantity").alias(
             "net_quantity_flow"
         ),
         c.sum_when(receipt, "total_value").alias("receipt_value"),
         c.sum_when(issue, "total_value").alias("issue_value"),
         c.sum_when(back, "total_value").alias("return_value"),
         c.exact_sum("total_value").alias("total_movement_value"),
-        c.exact_mean("avg_unit_cost", c.QUANTITY).alias("avg_unit_cost"),
+        c.exact_mean("avg_unit_cost").alias("avg_unit_cost"),
     )
     materials = _pick(dim_material, "material_id", "material_name", "material_category")
     return monthly.join(materials, "material_id").withColumn(

@@ -177,7 +177,7 @@ def dim_geography(projects: DataFrame, vendors: DataFrame) -> DataFrame:
 
 
 def dim_contract(contracts: DataFrame) -> DataFrame:
-    growth = c.money(F.col("revised_value") - F.col("contract_value"))
+    growth = c.difference("revised_value", "contract_value")
     return _stamp(
         contracts.select(
             "contract_id",

@@ -25,7 +25,7 @@ def line_totals(po_line_items: DataFrame) -> DataFrame:
     """Line items per purchase order."""
     return po_line_items.groupBy("po_id").agg(
         c.exact_sum("line_value").alias("line_total"),
-        c.exact_sum("qty_ordered", c.QUANTITY).alias("total_quantity"),
+        c.exact_sum("qty_ordered").alias("total_quantity"),
     )
 
 
@@ -139,7 +139,7 @@ def fact_goods_receipts(receipts: DataFrame, po_line_items: DataFrame) -> DataFr
             F.col("qty_rejected").alias("quantity_rejected"),
             "rejection_rate",
             (F.lit(100.0) - F.col("rejection_rate")).alias("acceptance_rate"),
-            c.money(value).alias("receipt_value"),
+            c.settled(value).alias("receipt_value"),
             "grn_status",
             "storage_location",
             F.col("received_by").alias("inspector"),
@@ -162,7 +162,7 @@ def project_costs_from(budgets: DataFrame, totals: DataFrame) -> DataFrame:
     """
     budget = F.col("revised_amount")
     actual = F.coalesce("_spent", "actual_spent")
-    left = c.money(budget - actual)
+    left = c.settled(budget - actual)
     return _stamp(
         budgets.join(totals, ["project_id", "wbs_code", "cost_type"], "left").select(
             "budget_id",
@@ -275,7 +275,7 @@ def contracts_from(contracts: DataFrame, totals: DataFrame) -> DataFrame:
             "revised_value",
             "start_date",
             F.col("variation_orders").alias("change_order_count"),
-            c.money(F.col("revised_value") - F.col("contract_value")).alias(
+            c.difference("revised_value", "contract_value").alias(
                 "change_order_value"
             ),
             items.alias("items_total"),

@@ -105,11 +105,11 @@ def kpi_alerts(
             F.sum("on_time_count").alias("on_time"), F.sum("delivery_count").alias("deliveries")
         ),
         receipts.agg(
-            c.exact_sum("quantity_received", c.QUANTITY).alias("received"),
-            c.exact_sum("quantity_accepted", c.QUANTITY).alias("accepted"),
-            c.exact_sum("quantity_rejected", c.QUANTITY).alias("rejected"),
+            c.exact_sum("quantity_received").alias("received"),
+            c.exact_sum("quantity_accepted").alias("accepted"),
+            c.exact_sum("quantity_rejected").alias("rejected"),
         ),
-        performance.agg(c.exact_mean("overall_score", c.QUANTITY).alias("score")),
+        performance.agg(c.exact_mean("overall_score").alias("score")),
         contracts.agg(
             c.exact_sum("contract_value").alias("original"),
             c.exact_sum("revised_value").alias("revised"),
@@ -335,7 +335,7 @@ def three_way_match(
     """
     received = receipts.groupBy("po_id").agg(
         c.exact_sum("receipt_value").alias("received_value"),
-        c.exact_sum("quantity_accepted", c.QUANTITY).alias("accepted_quantity"),
+        c.exact_sum("quantity_accepted").alias("accepted_quantity"),
     )
     billed = invoices.groupBy("po_id").agg(
         c.exact_sum("gross_amount").alias("invoiced_amount"),
@@ -375,9 +375,9 @@ def stock_alerts(
     issue = F.col("movement_type") == "ISSUE"
     recent = issue & (F.col("movement_date") > F.date_sub(today, 365))
     stock = past.groupBy("material_id").agg(
-        c.exact_sum("quantity", c.QUANTITY).alias("on_hand"),
+        c.exact_sum("quantity").alias("on_hand"),
         F.max(F.when(issue, F.col("movement_date"))).alias("last_issue"),
-        F.abs(c.sum_when(recent, "quantity", c.QUANTITY)).alias("issued_last_year"),
+        F.abs(c.sum_when(recent, "quantity")).alias("issued_last_year"),
     )
     on_hand = F.coalesce("on_hand", F.lit(0.0))
     idle = F.datediff(today, "last_issue")

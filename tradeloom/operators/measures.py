@@ -29,7 +29,7 @@ def _total(column: str) -> Callable[[], Column]:
 
 
 def _quantity(column: str) -> Callable[[], Column]:
-    return lambda: c.exact_sum(column, c.QUANTITY)
+    return lambda: c.exact_sum(column)
 
 
 def _rows() -> Column:
@@ -43,7 +43,7 @@ def _is(column: str, label: str) -> Column:
 
 def _mean(column: str) -> dict[str, Callable[[], Column]]:
     return {
-        "_sum": lambda: c.exact_sum(column, c.QUANTITY),
+        "_sum": lambda: c.exact_sum(column),
         "_n": lambda: F.count(column),
     }
 
@@ -76,7 +76,7 @@ MEASURES: dict[str, Measure] = {
     "Total Budget": Measure("fact_project_costs", {"v": _total("budget_amount")}),
     "Total Actual Cost": Measure("fact_project_costs", {"v": _total("actual_amount")}),
     "Budget Variance": Measure(
-        "fact_project_costs", _BUDGET, lambda: c.money(F.col("_budget") - F.col("_actual"))
+        "fact_project_costs", _BUDGET, lambda: c.difference("_budget", "_actual")
     ),
     "Budget Utilization %": Measure(
         "fact_project_costs", _BUDGET, _quotient("_actual", "_budget")
@@ -92,12 +92,12 @@ MEASURES: dict[str, Measure] = {
     "Total Revenue": Measure("fact_sales", {"v": _total("revenue")}),
     "Total COGS": Measure("fact_sales", {"v": _total("cogs")}),
     "Gross Margin": Measure(
-        "fact_sales", _MARGIN, lambda: c.money(F.col("_revenue") - F.col("_cogs"))
+        "fact_sales", _MARGIN, lambda: c.difference("_revenue", "_cogs")
     ),
     "Margin %": Measure(
         "fact_sales",
         _MARGIN,
-        lambda: c.divide_or_zero(c.money(F.col("_revenue") - F.col("_cogs")), "_revenue"),
+        lambda: c.divide_or_zero(c.difference("_revenue", "_cogs"), "_revenue"),
     ),
     "Net Inventory Flow": Measure("fact_inventory", {"v": _quantity("quantity")}),
     "Inventory Value": Measure("fact_inventory", {"v": _total("total_value")}),
@@ -182,7 +182,7 @@ def measure_by_dimension(
     kinds = dict(per_key.dtypes)
     total = joined.groupBy(*by).agg(
         *[
-            (F.sum(p) if kinds[p] == "bigint" else c.exact_sum(p, c.QUANTITY)).alias(p)
+            (F.sum(p) if kinds[p] == "bigint" else c.exact_sum(p)).alias(p)
             for p in m.parts
         ]
     )

@@ -141,7 +141,7 @@ def product_performance(sales: DataFrame, ordered: bool = True) -> DataFrame:
             F.count(F.lit(1)).alias("_lines"),
             F.sum(F.col("quantity").cast("long")).alias("_items"),
             F.sum("_amount").alias("_amount"),
-            F.sum(c.units("unit_price", c.QUANTITY)).alias("_price"),
+            F.sum(c.units("unit_price")).alias("_price"),
             F.count("unit_price").alias("_priced"),
         )
     )
@@ -149,7 +149,7 @@ def product_performance(sales: DataFrame, ordered: bool = True) -> DataFrame:
         F.sum("_lines").alias("times_ordered"),
         F.sum("_items").alias("total_quantity_sold"),
         c.from_units(F.sum("_amount")).alias("total_revenue"),
-        c.from_units(F.sum("_price"), c.QUANTITY).alias("_price"),
+        c.from_units(F.sum("_price")).alias("_price"),
         F.sum("_priced").alias("_priced"),
         F.count("customer_id").alias("unique_customers"),
     )

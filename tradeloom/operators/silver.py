@@ -190,7 +190,7 @@ def silver_project_budgets(raw: DataFrame, as_of: AsOf = None) -> DataFrame:
     return _finish(
         typed.withColumns(
             {
-                "remaining_amount": c.money(F.col("budget_amount") - F.col("spent_amount")),
+                "remaining_amount": c.difference("budget_amount", "spent_amount"),
                 "utilization_pct": c.percent_or_zero("spent_amount", "budget_amount"),
             }
         )

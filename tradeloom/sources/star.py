@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import columns as c
+
 # One country per nation key 0..24, as a mix of codes, names and unmapped places.
 NATION_COUNTRIES = (
     "us", "ca", "mx", "gb", "de", "fr", "it", "es", "nl", "ae", "sa", "qa", "kw", "au", "in",
@@ -231,7 +233,7 @@ def purchase_orders(star: Star) -> DataFrame:
         F.date_sub(ordered(), (F.col("o_orderkey") % 20).cast("int")).alias("approval_date"),
         total.alias("po_value"),
         tax.alias("tax_amount"),
-        (total + tax).alias("total_value"),
+        c.settled(total + tax).alias("total_value"),
         padded(relabel(status, F="approved", O="open", P="pending")).alias("po_status"),
         F.when(rank == "1-URGENT", "EMERGENCY")
         .when(rank == "5-LOW", "BLANKET")
@@ -280,7 +282,7 @@ def contracts(star: Star) -> DataFrame:
         F.col("o_custkey").alias("project_id"),
         F.concat(F.lit("EMP-"), (key % 100).cast("string")).alias("contract_manager_id"),
         total.alias("original_value"),
-        (total + (key % 5) * 10000).alias("revised_value"),
+        c.settled(total + (key % 5) * 10000).alias("revised_value"),
         (key % 5).cast("int").alias("variation_orders"),
         F.lit("USD").alias("currency"),
         ordered().alias("start_date"),
@@ -345,7 +347,7 @@ def invoices(star: Star) -> DataFrame:
         F.col("l_tax").alias("tax_rate"),
         line_tax().alias("tax_amount"),
         F.lit(0.0).alias("retention_amount"),
-        (gross - line_tax()).alias("net_amount"),
+        c.settled(gross - line_tax()).alias("net_amount"),
         F.lit("USD").alias("currency"),
         F.when(F.col("l_discount") > 0.05, F.floor(gross * F.col("l_discount")))
         .otherwise(F.lit(0))
@@ -405,7 +407,7 @@ def project_actuals(star: Star) -> DataFrame:
         shipped().alias("posting_date"),
         amount.alias("actual_amount"),
         budget.alias("budget_amount"),
-        (amount - budget).alias("variance"),
+        c.settled(amount - budget).alias("variance"),
         F.concat(F.lit(" "), F.date_format(shipped(), "yyyyMM")).alias("fiscal_period"),
     )
 
@@ -436,10 +438,10 @@ def sales_orders(star: Star) -> DataFrame:
         line_unit_price().alias("unit_price"),
         revenue.alias("revenue"),
         cogs.alias("cogs"),
-        (revenue - cogs).alias("gross_margin"),
+        c.settled(revenue - cogs).alias("gross_margin"),
         F.floor((revenue - cogs) / revenue * 100).cast("double").alias("margin_pct"),
         line_tax().alias("tax_amount"),
-        (revenue + line_tax()).alias("total_amount"),
+        c.settled(revenue + line_tax()).alias("total_amount"),
         F.lit("USD").alias("currency"),
         F.lit("EXW").alias("delivery_terms"),
     )
