@@ -194,6 +194,27 @@ VISUALS: dict[str, tuple[str, tuple[str, ...], dict[str, tuple[str, str]]]] = {
         "cube_project_timeline", ("project_name",),
         {"schedule_variance_days": ("sum", "schedule_variance_days")},
     ),
+    "vendor_risk_scatter": (
+        "cube_vendor_risk", ("vendor_name",),
+        {
+            "avg_overall_score": ("avg", "avg_overall_score"),
+            "composite_risk_score": ("avg", "composite_risk_score"),
+            "total_invoiced": ("sum", "total_invoiced"),
+        },
+    ),
+    "contract_risk_flags": (
+        "cube_contract_status",
+        ("contract_id", "vendor_name", "project_name", "cost_risk_flag", "schedule_risk_flag"),
+        {"remaining_value": ("sum", "remaining_value")},
+    ),
+    "cost_vs_plan_scatter": (
+        "cube_project_timeline", ("project_name",),
+        {
+            "planned_pct_complete": ("avg", "planned_pct_complete"),
+            "cost_pct_complete": ("avg", "cost_pct_complete"),
+            "total_budget": ("sum", "total_budget"),
+        },
+    ),
 }
 
 

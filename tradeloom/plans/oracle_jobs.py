@@ -221,6 +221,11 @@ def quality_statements() -> dict[str, str]:
         "WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')",
         "check_foreign_key": "SELECT o_orderkey FROM orders WHERE NOT EXISTS "
         "(SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)",
+        "check_cancelled_lines": statement(
+            "SELECT line_id, po_id FROM s_po_line_items SEMI JOIN "
+            "(SELECT po_id FROM s_purchase_orders WHERE po_status = 'CANCELLED') USING (po_id) "
+            "WHERE qty_received <> 0"
+        ),
         "check_conditional": statement(
             "SELECT po_id, po_type, priority FROM s_purchase_orders "
             "WHERE po_type = 'EMERGENCY' AND priority <> 'CRITICAL'"
@@ -590,8 +595,8 @@ def _sum4(x: str) -> str:
     return f"CAST(SUM(CAST({x} AS DECIMAL(28,4))) AS DOUBLE)"
 
 
-def _avg6(x: str) -> str:
-    return f"(CAST(SUM(CAST({rnd(x, 6)} AS DECIMAL(28,6))) AS DOUBLE) / NULLIF(COUNT({x}), 0))"
+def _mean8(x: str) -> str:
+    return f"(CAST(SUM(CAST({rnd(x, 8)} AS DECIMAL(38,8))) AS DOUBLE) / NULLIF(COUNT({x}), 0))"
 
 
 def report_statements() -> dict[str, str]:
@@ -603,9 +608,9 @@ def report_statements() -> dict[str, str]:
     sales, stock = "cube_sales_analysis", "cube_inventory_status"
     p2p, plan = "cube_procurement_efficiency", "cube_project_timeline"
     aging, quality = "cube_invoice_aging", "cube_goods_receipt_quality"
-    scores = {f"avg_{s}_score": _avg6(f"avg_{s}_score")
+    scores = {f"avg_{s}_score": _mean8(f"avg_{s}_score")
               for s in ("delivery", "quality", "commercial", "hse", "overall")}
-    cycles = {n: _avg6(n) for n in (
+    cycles = {n: _mean8(n) for n in (
         "avg_order_to_receipt_days", "avg_receipt_to_invoice_days", "avg_invoice_to_payment_days",
         "avg_total_p2p_days")}
     pivot = ", ".join(
@@ -624,7 +629,7 @@ def report_statements() -> dict[str, str]:
         "yoy_growth_by_vendor": roll(
             spend, "vendor_name", total_spend=_sum4("total_spend"),
             prev_year_spend=_sum4("prev_year_spend"),
-            avg_yoy_growth_pct=_avg6("yoy_growth_pct")),
+            avg_yoy_growth_pct=_mean8("yoy_growth_pct")),
         "vendor_scorecard": roll(perf, "vendor_name", **scores),
         "vendors_by_risk_tier": roll(
             "cube_vendor_risk", "risk_tier", vendor_count="COUNT(vendor_id)"),
@@ -633,41 +638,52 @@ def report_statements() -> dict[str, str]:
         "overdue_by_vendor": roll(
             aging, "vendor_name", overdue_amount=_sum4("overdue_amount")),
         "days_outstanding_trend": roll(
-            aging, "year_month", avg_days_outstanding=_avg6("avg_days_outstanding")),
-        "cpi_by_project": roll("cube_project_costs", "project_name", avg_cpi=_avg6("cpi")),
+            aging, "year_month", avg_days_outstanding=_mean8("avg_days_outstanding")),
+        "cpi_by_project": roll("cube_project_costs", "project_name", avg_cpi=_mean8("cpi")),
         "on_time_trend": roll(
             "cube_delivery_performance", "year_month",
-            avg_on_time_rate_pct=_avg6("on_time_rate_pct")),
+            avg_on_time_rate_pct=_mean8("on_time_rate_pct")),
         "quality_tier_counts": roll(quality, "quality_tier", vendor_rows="COUNT(vendor_id)"),
         "defect_by_category": roll(
-            quality, "material_category", avg_defect_rate_pct=_avg6("defect_rate_pct")),
+            quality, "material_category", avg_defect_rate_pct=_mean8("defect_rate_pct")),
         "contract_value_by_status": roll(
             "cube_contract_status", "status", revised_value=_sum4("revised_value")),
         "cost_growth_by_contract": roll(
             "cube_contract_status", "contract_id",
-            avg_cost_growth_pct=_avg6("cost_growth_pct")),
+            avg_cost_growth_pct=_mean8("cost_growth_pct")),
         "revenue_by_product": roll(
             sales, "product_name", total_revenue=_sum4("total_revenue")),
         "margin_by_customer_type": roll(
-            sales, "customer_type", avg_margin_pct=_avg6("margin_pct")),
+            sales, "customer_type", avg_margin_pct=_mean8("margin_pct")),
         "revenue_trend": roll(
             sales, "year_month", total_revenue=_sum4("total_revenue"),
-            avg_yoy_growth_pct=_avg6("revenue_yoy_growth_pct")),
+            avg_yoy_growth_pct=_mean8("revenue_yoy_growth_pct")),
         "net_flow_by_material": roll(
             stock, "material_name", net_quantity_flow=_sum4("net_quantity_flow")),
         "issue_ratio_trend": roll(
-            stock, "year_month", avg_issue_to_receipt_ratio=_avg6("issue_to_receipt_ratio")),
+            stock, "year_month", avg_issue_to_receipt_ratio=_mean8("issue_to_receipt_ratio")),
         "movement_value_by_month": roll(
             stock, "year_month, material_category",
             total_movement_value=_sum4("total_movement_value")),
-        "p2p_trend": roll(p2p, "year_month", avg_total_p2p_days=_avg6("avg_total_p2p_days")),
+        "p2p_trend": roll(p2p, "year_month", avg_total_p2p_days=_mean8("avg_total_p2p_days")),
         "cycle_by_vendor": roll(
-            p2p, "vendor_name", **cycles, avg_median_p2p=_avg6("median_total_p2p"),
+            p2p, "vendor_name", **cycles, avg_median_p2p=_mean8("median_total_p2p"),
             total_spend=_sum4("total_spend")),
         "schedule_status_counts": roll(
             plan, "schedule_status", project_count="COUNT(project_id)"),
         "schedule_variance_by_project": roll(
             plan, "project_name", schedule_variance_days=_sum4("schedule_variance_days")),
+        "vendor_risk_scatter": roll(
+            "cube_vendor_risk", "vendor_name", avg_overall_score=_mean8("avg_overall_score"),
+            composite_risk_score=_mean8("composite_risk_score"),
+            total_invoiced=_sum4("total_invoiced")),
+        "contract_risk_flags": roll(
+            "cube_contract_status",
+            "contract_id, vendor_name, project_name, cost_risk_flag, schedule_risk_flag",
+            remaining_value=_sum4("remaining_value")),
+        "cost_vs_plan_scatter": roll(
+            plan, "project_name", planned_pct_complete=_mean8("planned_pct_complete"),
+            cost_pct_complete=_mean8("cost_pct_complete"), total_budget=_sum4("total_budget")),
         "topn": statement(
             f"SELECT vendor_name, {_sum4('total_spend')} AS total_spend FROM {spend} "
             "GROUP BY 1 ORDER BY total_spend DESC, vendor_name LIMIT 10"),

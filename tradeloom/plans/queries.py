@@ -342,6 +342,11 @@ def quality_queries() -> dict[str, Query]:
                 s.orders(), "o_orderkey", s.lines(), "l_orderkey"
             ).select("o_orderkey")
         ),
+        "check_cancelled_lines": on_layers(
+            lambda l: integrity.check_cancelled_lines(
+                l.silver("po_line_items"), l.silver("purchase_orders")
+            ).select("line_id", "po_id")
+        ),
         "check_conditional": on_layers(
             lambda l: integrity.check_conditional(
                 l.silver("purchase_orders"), "po_type = 'EMERGENCY'", "priority = 'CRITICAL'"
