@@ -114,16 +114,23 @@ def fact_invoices(invoices: DataFrame, as_of: dt.date | str | None = None) -> Da
     )
 
 
+def line_prices(po_line_items: DataFrame) -> DataFrame:
+    """One price per line: copies of a line must not multiply its receipts."""
+    return po_line_items.groupBy(F.col("line_id").alias("line_item_id")).agg(
+        F.max("unit_price").alias("_price")
+    )
+
+
 def fact_goods_receipts(receipts: DataFrame, po_line_items: DataFrame) -> DataFrame:
-    """Receipts with acceptance rate (percent) and value.
+    """Receipts with acceptance rate (percent) and value."""
+    return goods_receipts_from(receipts, line_prices(po_line_items))
 
-    The order itself adds no column to a receipt, so only the line's price is looked up.  Prices
-    are reduced to one row per line first: copies of a line must not multiply its receipts, and the
-    reduction uses the same partitioning as the join.
+
+def goods_receipts_from(receipts: DataFrame, prices: DataFrame) -> DataFrame:
+    """``fact_goods_receipts`` from receipts and line prices.
+
+    The order itself adds no column to a receipt, so only the line's price is looked up.
     """
-    prices = po_line_items.groupBy(F.col("line_id").alias("line_item_id")).agg(
-        F.max("unit_price").alias("_price")
-    )
     value = F.col("qty_accepted") * F.coalesce("_price", F.lit(0.0))
     return _stamp(
         receipts.join(prices, "line_item_id", "left").select(

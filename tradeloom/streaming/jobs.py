@@ -136,7 +136,8 @@ def stream_facts(table: str, stream: DataFrame, as_of: AsOf = None, **static: Da
     if table == "fact_invoices":
         return facts.fact_invoices(stream, as_of)
     if table == "fact_goods_receipts":
-        return facts.fact_goods_receipts(stream, static["po_line_items"])
+        prices = stored(facts.line_prices(static["po_line_items"]), "line_prices")
+        return facts.goods_receipts_from(stream, prices)
     if table == "fact_project_costs":
         totals = stored(facts.actual_totals(static["project_actuals"]), "actual_totals")
         return facts.project_costs_from(stream, totals)
@@ -146,7 +147,7 @@ def stream_facts(table: str, stream: DataFrame, as_of: AsOf = None, **static: Da
         totals = stored(facts.item_totals(static["contract_items"]), "item_totals")
         return facts.contracts_from(stream, totals)
     if table == "fact_sales":
-        return facts.fact_sales(stream, static["materials"])
+        return facts.fact_sales(stream, stored(static["materials"], "materials"))
     raise ValueError(f"{table} is rebuilt in batch")
 
 
@@ -208,17 +209,3 @@ def stream_dq(
     )
     query.awaitTermination()
     return query
-
-
-def upsert_stream(
-    stream: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint: str
-) -> StreamingQuery:
-    """Merge each micro-batch of changes into a stored table through a callback."""
-    query = (
-        stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
