@@ -154,3 +154,18 @@ def test_digits_below_a_cent_and_large_groups_add_up(spark):
     total = reports.report_rollup(large.withColumn("k", F.lit(1)), ["k"], {"s": ("sum", "v")}).first().s
     assert total == 1.1e17
     assert spark.range(1).select(c.difference(F.lit(1e9 + 0.37), F.lit(1e9)).alias("d")).first().d == 0.37
+
+
+def test_pages_by_key_follow_pages_by_number(spark):
+    import datetime as dt
+
+    rows = [(i, dt.date(2024, 1, 1 + i % 5), 1.0, "IN", None, None, None) for i in range(40)]
+    payments = spark.createDataFrame(
+        rows, "id int, date date, amount double, direction string, reference_id int, reference_type string, notes string"
+    )
+    after = None
+    for page in (1, 2, 3):
+        by_number = [r.id for r in commerce.payments_listing(payments, page=page, size=7).collect()]
+        by_key = commerce.payments_listing(payments, size=7, after=after).collect()
+        assert [r.id for r in by_key] == by_number
+        after = (by_key[-1].date, by_key[-1].id)

@@ -42,10 +42,22 @@ def between_if_given(df: DataFrame, start: Moment, end: Moment, column: str = "d
 
 
 def page_of(df: DataFrame, page: int, size: int, *order: Column | str) -> DataFrame:
-    """One page; ties are broken by the caller's last order column, so pages never overlap."""
+    """One page; ties are broken by the caller's last order column, so pages never overlap.
+
+    A page number costs a sort of all pages before it.  For deep pages the listings take the last
+    row of the page before (``after``), so that every page costs the same.
+    """
     return df.orderBy(*order).offset((page - 1) * size).limit(size)
 
 
+def older_than(df: DataFrame, after: tuple[Moment, int] | None) -> DataFrame:
+    """Rows behind a (date, id) in the order newest first; all rows without one."""
+    if after is None:
+        return df
+    date, last = F.lit(str(after[0])).cast("date"), F.lit(after[1])
+    return df.filter((F.col("date") < date) | ((F.col("date") == date) & (F.col("id") < last)))
+
+
 # ---- summaries ---------------------------------------------------------------------------------
 
 
@@ -213,10 +225,10 @@ def _document_listing(
     end: Moment,
     page: int,
     size: int,
+    after: tuple[Moment, int] | None,
 ) -> DataFrame:
-    headers = page_of(
-        between_if_given(documents, start, end), page, size, F.desc("date"), F.desc("id")
-    )
+    chosen = older_than(between_if_given(documents, start, end), after)
+    headers = page_of(chosen, page, size, F.desc("date"), F.desc("id"))
     partners = partner.select(
         F.col("id").alias(f"{partner_kind}_id"), F.col("name").alias(f"{partner_kind}_name")
     )
@@ -261,10 +273,12 @@ def sales_listing(
     end: Moment = None,
     page: int = 1,
     size: int = PAGE_SIZE,
+    after: tuple[Moment, int] | None = None,
 ) -> DataFrame:
     """A page of sales, newest first, with one row per item."""
     return _document_listing(
-        sale, sale_item, product, customer, "customer", "sale", start, end, page, size
+        sale, sale_item, product, customer, "customer", "sale", start, end, page, size,
+        after,
     )
 
 
@@ -277,10 +291,12 @@ def purchases_listing(
     end: Moment = None,
     page: int = 1,
     size: int = PAGE_SIZE,
+    after: tuple[Moment, int] | None = None,
 ) -> DataFrame:
     """A page of purchases, newest first, with one row per item."""
     return _document_listing(
-        purchase, purchase_item, product, supplier, "supplier", "purchase", start, end, page, size
+        purchase, purchase_item, product, supplier, "supplier", "purchase", start, end, page, size,
+        after,
     )
 
 
@@ -291,8 +307,9 @@ def payments_listing(
     end: Moment = None,
     page: int = 1,
     size: int = PAGE_SIZE,
+    after: tuple[Moment, int] | None = None,
 ) -> DataFrame:
-    chosen = between_if_given(payment, start, end)
+    chosen = older_than(between_if_given(payment, start, end), after)
     if direction is not None:
         chosen = chosen.filter(F.col("direction") == direction)
     return page_of(chosen, page, size, F.desc("date"), F.desc("id")).select(
