@@ -73,7 +73,7 @@ def test_classes_equal_brute_force(spark):
     check(near_dedup.near_duplicates(frame(spark, texts)).collect(), texts)
 
 
-def test_rounds_connect_what_the_centre_misses(spark):
+def test_second_pass_connects_what_the_centre_misses(spark):
     """A chain: each text is near the next, few are near the smallest node."""
     words = [f"w{i}" for i in range(200)]
     texts = []
