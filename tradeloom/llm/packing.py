@@ -30,7 +30,8 @@ from .common import pieces_of, small_batches, texts_of
 
 CAPACITY = 4096
 END = 1  # id written after each document
-CACHE_SIZE = 200_000
+CACHE_SIZE = 800_000  # units that a worker keeps between batches
+UNITS_AT_ONCE = 20_000
 
 #: The word pattern and the special texts of the lower-case vocabulary.
 TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -126,48 +127,52 @@ def full_size(length: int, count: int) -> int:
 class Encoder:
     """Token ids of texts, as bytes of little-endian 32-bit numbers.
 
-    Words are looked up in the vocabulary once and kept; a text with code points beyond the tested
-    ones, or with special strings, goes through the library as a whole.
+    Ids of a unit (a run without white space) are looked up in the vocabulary once and kept.  The
+    library reads unknown units of a batch in one go; a piece at the end of a word has its own ids,
+    which tells where words end.  A text with code points beyond the tested ones, or with special
+    strings, goes through the library as a whole.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(1 + max(vocabulary.values()), bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        found = self.cache.get(word)
-        if found is None:
-            found = b"".join(self._token(x) for x in TOKEN.findall(word.lower()))
-            self._keep(word, found)
-        return found
-
-    def _token(self, token: str) -> bytes:
-        key = "\n" + token  # words hold no newline, so the two kinds of keys differ
-        found = self.cache.get(key)
-        if found is None:
-            found = self._whole(token)
-            self._keep(key, found)
-        return found
-
-    def _keep(self, key: str, value: bytes) -> None:
-        if len(key) < 64:
-            if len(self.cache) >= CACHE_SIZE:
-                self.cache.clear()
-            self.cache[key] = value
-
-    def encode(self, text: str) -> bytes:
-        if FAMILIAR.search(text) or ("<|" in text and SPECIAL.search(text)):
-            return self._whole(text)
-        words = text.split()
-        try:
-            return b"".join(map(self.cache.__getitem__, words))
-        except KeyError:
-            return b"".join(map(self._word, words))
+    def _learn(self, units: list[str]) -> None:
+        for i in range(0, len(units), UNITS_AT_ONCE):
+            part = units[i : i + UNITS_AT_ONCE]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            words = np.array([1 if u.isalpha() else len(TOKEN.findall(u.lower())) for u in part])
+            ends = np.concatenate([[0], np.flatnonzero(self.ends_word[ids]) + 1])
+            stops = (4 * ends[np.cumsum(words)]).tolist()
+            data = ids.tobytes()
+            self.cache.update(zip(part, map(data.__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        if len(self.cache) > CACHE_SIZE:
+            self.cache.clear()
+        cache = self.cache
+        cut: list[list[str] | None] = []
+        unknown: dict[str, None] = {}
+        for text in texts:
+            if FAMILIAR.search(text) or ("<|" in text and SPECIAL.search(text)):
+                cut.append(None)
+                continue
+            units = text.split()
+            cut.append(units)
+            unknown.update(dict.fromkeys([u for u in units if u not in cache]))
+        self._learn(list(unknown))
+        out = []
+        for text, units in zip(texts, cut, strict=True):
+            if units is None:
+                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+            else:
+                out.append(b"".join(map(cache.__getitem__, units)))
+        return out
 
 
 _PIECES = pa.schema(
@@ -196,10 +201,10 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int =
         encoder = Encoder(vocabulary)
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
-        for batch in pieces_of(batches, "text"):
+        for batch in pieces_of(batches, "text", 4 << 20):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text"), strict=True):
-                ids = encoder.encode(text) + tail
+            for doc_id, body in zip(batch.column("doc_id").to_pylist(), encoder.encode_batch(texts_of(batch, "text")), strict=True):
+                ids = body + tail
                 for k, at in enumerate(range(0, len(ids), width)):
                     piece = ids[at : at + width]
                     n = len(piece) // 4
