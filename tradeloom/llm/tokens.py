@@ -26,8 +26,8 @@ from ..session import stored
 from .common import pieces_of, small_batches, texts_of
 
 HEAD_SIZE = 1 << 17  # bound of the broadcast head
-SAMPLE_ROWS = 6000  # documents from which the head is chosen
-CACHE_SIZE = 300_000  # entries a worker keeps
+SAMPLE_ROWS = 4000  # documents from which the head is chosen
+CACHE_SIZE = 120_000  # entries a worker keeps
 
 #: The pre-token pattern of the byte-level vocabulary and its special text.
 PRE_TOKEN = regex.compile(
