@@ -123,7 +123,8 @@ def quotas(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int
         F.col("size").alias("edge_size"),
         F.floor((F.col("rest") - held_before) / F.col("rows")).cast("long").alias("edge_words"),
     )
-    return need.join(edges, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+    # Stored, so that the next join knows how small it is.
+    return stored(need.join(edges, F.col("source").eqNullSafe(F.col("of")), "left").drop("of"), "quotas")
 
 
 def _sized(docs: DataFrame, seed: str) -> DataFrame:
