@@ -1,13 +1,14 @@
 """Quality rules as a short-circuit cascade.
 
-A rule is a reason to reject a text, written as a SQL condition over features of the text.  The
-cascade is one ``CASE``: the first rule that holds rejects and the features of later rules are not
-computed.  The order comes from a sample: each rule is timed on it, and rules are taken greedily by
+A rule is a reason to reject a text, written as a SQL condition over features of the text.  A text is
+cut into words and lines once.  The cascade is one ``CASE``: the first rule that holds rejects and the
+features of later rules are not computed.  The order comes from a sample: each rule is timed on it, and rules are taken greedily by
 newly rejected texts per second.  The order changes the work, never the verdict.
 """
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -20,9 +21,8 @@ from .common import WORD
 SAMPLE_ROWS = 1000  # texts on which rules are timed
 
 _BLANKS = r" \t\n\u000B\u000C\r"
-_TEXT = "coalesce(text, '')"
-_WORDS = rf"regexp_extract_all({_TEXT}, r'{WORD}', 0)"
-_LINES = rf"filter(split({_TEXT}, '\n'), line -> line rlike r'[^\x20\x09-\x0D]')"
+_WORDS = f"regexp_extract_all(text, r'{WORD}', 0)"
+_LINES = r"filter(split(text, '\n'), line -> line rlike r'[^\x20\x09-\x0D]')"
 
 # Words covered by a 3-word window that the text holds twice or more.  Windows are compared by
 # 64-bit hashes; equal ones stand together once sorted by (hash, position).
@@ -39,19 +39,28 @@ case when size({words}) < 4 then 0L else
 end
 """
 
-#: Features by name, as SQL over ``text``.
+#: Features by name, as SQL over the columns of ``cut``.
 FEATURES = {
-    "n_words": f"cast(size({_WORDS}) as bigint)",
-    "word_chars": f"cast(length(translate({_TEXT}, '{_BLANKS}', '')) as bigint)",
-    "n_symbols": f"cast(length({_TEXT}) - length(translate({_TEXT}, '#*$%&|<>', '')) as bigint)",
-    "n_lines": f"cast(size({_LINES}) as bigint)",
-    "n_dup_lines": f"cast(size({_LINES}) - size(array_distinct({_LINES})) as bigint)",
-    # The words are bound once; an expression in their place would be computed for every window.
-    "n_repeat_words": f"element_at(transform(array({_WORDS}), words -> {_REPEATED.format(words='words')}), 1)",
-    "n_upper": rf"cast(length({_TEXT}) - length(regexp_replace({_TEXT}, r'\p{{Lu}}+', '')) as bigint)",
+    "n_words": "cast(size(words) as bigint)",
+    "word_chars": f"cast(length(translate(text, '{_BLANKS}', '')) as bigint)",
+    "n_symbols": "cast(length(text) - length(translate(text, '#*$%&|<>', '')) as bigint)",
+    "n_lines": "cast(size(lines) as bigint)",
+    "n_dup_lines": "cast(size(lines) - size(array_distinct(lines)) as bigint)",
+    "n_repeat_words": _REPEATED.format(words="words"),
+    "n_upper": r"cast(length(text) - length(regexp_replace(text, r'\p{Lu}+', '')) as bigint)",
 }
 
 
+def _plain(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.struct("*").alias("doc"), text.alias("text"))
+
+
+def cut(docs: DataFrame) -> DataFrame:
+    """The rows as one column ``doc``, with ``text``, its ``words`` and its ``lines`` that hold a word."""
+    return _plain(docs).select("doc", "text", F.expr(_WORDS).alias("words"), F.expr(_LINES).alias("lines"))
+
+
 @dataclass(frozen=True)
 class Rule:
     """Rejects a text when ``reject`` holds; names of features stand in braces."""
@@ -76,12 +85,15 @@ MORE = (
 RULES = BASE + MORE
 
 
+def cascade_sql(rules: Sequence[Rule], features: dict[str, str]) -> str:
+    """SQL: name of the first rule that rejects a text, null if none does."""
+    whens = " ".join(f"when {r.sql(features)} then '{r.name}'" for r in rules)
+    return f"case {whens} end" if rules else "cast(null as string)"
+
+
 def cascade(rules: Sequence[Rule], features: dict[str, str]) -> Column:
     """Name of the first rule that rejects a text, null if none does."""
-    if not rules:
-        return F.lit(None).cast("string")
-    whens = " ".join(f"when {r.sql(features)} then '{r.name}'" for r in rules)
-    return F.expr(f"case {whens} end")
+    return F.expr(cascade_sql(rules, features))
 
 
 def order_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
@@ -95,7 +107,7 @@ def order_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int
     rows = texts.where("text is not null and pmod(xxhash64(text), 8) = 0").take(sample_rows) or texts.take(sample_rows)
     if not rows:
         return list(rules)
-    sample = spark.createDataFrame([(r.text,) for r in rows], "text string").coalesce(1)
+    sample = cut(spark.createDataFrame([(r.text,) for r in rows], "text string").coalesce(1))
 
     def seconds(condition: str) -> float:
         started = time.perf_counter()
@@ -103,7 +115,7 @@ def order_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int
         return time.perf_counter() - started
 
     conditions = [r.sql(FEATURES) for r in rules]
-    floor = min(seconds("text is null") for _ in range(2))
+    floor = min(seconds("size(words) + size(lines) < 0") for _ in range(2))
     costs = [max(min(seconds(c) for _ in range(2)) - floor, 1e-4) for c in conditions]
     held = sample.select(*[F.coalesce(F.expr(c), F.lit(False)).alias(f"r{i}") for i, c in enumerate(conditions)])
     names = held.columns
@@ -127,18 +139,7 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = MORE) -> DataFrame:
     more; ``keep`` computes features only as far as they are needed.
     """
     ordered = order_rules(docs, rules)
-    own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    cut = own.select("doc_id", "text", F.expr(_WORDS).alias("words"), F.expr(_LINES).alias("lines"))
-    found = cut.select(
-        "doc_id",
-        F.expr("cast(size(words) as bigint)").alias("n_words"),
-        F.expr(FEATURES["word_chars"]).alias("word_chars"),
-        F.expr(FEATURES["n_symbols"]).alias("n_symbols"),
-        F.expr("cast(size(lines) as bigint)").alias("n_lines"),
-        F.expr("cast(size(lines) - size(array_distinct(lines)) as bigint)").alias("n_dup_lines"),
-        F.expr(_REPEATED.format(words="words")).alias("n_repeat_words"),
-        F.expr(FEATURES["n_upper"]).alias("n_upper"),
-    )
+    found = cut(docs).select(F.col("doc.doc_id").alias("doc_id"), *[F.expr(sql).alias(name) for name, sql in FEATURES.items()])
     columns = {k: k for k in FEATURES}
     failed = F.expr(" or ".join(f"({r.sql(columns)})" for r in BASE))
     return found.select(
@@ -153,4 +154,9 @@ def keep(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The rows that no rule rejects, with all their columns.  Null and empty texts are rejected."""
     ordered = order_rules(docs, rules)
     # One condition: Spark evaluates the branches of a CASE in order and stops at the first.
-    return docs.where(cascade(ordered, FEATURES).isNull())
+    # The pieces are bound to a variable.  As columns they would be put into the filter again for
+    # every place that names them, and computed there.
+    bound = re.sub(r"\b(words|lines)\b", r"pieces.\1", cascade_sql(ordered, FEATURES))
+    pieces = f"array(named_struct('words', {_WORDS}, 'lines', {_LINES}))"
+    rejected = F.expr(f"element_at(transform({pieces}, pieces -> {bound}), 1)")
+    return _plain(docs).where(rejected.isNull()).select("doc.*")
