@@ -78,6 +78,6 @@ def test_order_by_rejection_per_cost(spark, monkeypatch):
 def test_first_rule_that_holds_is_named(spark):
     docs = frame(spark, ["a b", "| | |", None])
     rules = [quality.Rule("few", "{n_words} < 1"), quality.Rule("symbols", "{n_symbols} > 2")]
-    named = docs.select("doc_id", quality.cascade(rules, quality.FEATURES).alias("why")).collect()
+    named = quality.cut(docs).select("doc.doc_id", quality.cascade(rules, quality.FEATURES).alias("why")).collect()
     assert {r.doc_id: r.why for r in named} == {0: None, 1: "symbols", 2: "few"}
     assert docs.select(quality.cascade([], {}).alias("w")).where("w is null").count() == 3
