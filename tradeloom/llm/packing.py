@@ -30,7 +30,7 @@ from .common import pieces_of, small_batches, texts_of
 
 CAPACITY = 4096
 END = 1  # id written after each document
-CACHE_SIZE = 800_000  # units that a worker keeps between batches
+CACHE_SIZE = 1_200_000  # units that a worker keeps between batches
 UNITS_AT_ONCE = 20_000
 
 #: The word pattern and the special texts of the lower-case vocabulary.
@@ -175,6 +175,16 @@ class Encoder:
         return out
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder of a vocabulary; the tasks that a worker runs share its known units."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 _PIECES = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("part", pa.int32()), ("nth", pa.int64())]
 )
@@ -198,7 +208,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end: int =
     width = 4 * capacity
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         for batch in pieces_of(batches, "text", 4 << 20):
