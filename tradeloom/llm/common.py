@@ -135,6 +135,8 @@ class WordTable:
             place.update(zip(new, range(start, start + len(new)), strict=True))
             while len(self.rows) < start + len(new):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[start : start + len(new)] = self.compute(new)
+            for i in range(0, len(new), 20_000):  # bounds the memory of one computation
+                part = new[i : i + 20_000]
+                self.rows[start + i : start + i + len(part)] = self.compute(part)
             numbers[missing] = [place[words[i]] for i in missing]
         return numbers
