@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -121,3 +121,56 @@ def test_components(spark):
     links = [(5, 9), (9, 2), (2, 30), (7, 8), (40, 41), (41, 42), (42, 43), (43, 44), (44, 40)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {2: 2, 5: 2, 9: 2, 30: 2, 7: 7, 8: 7, 40: 40, 41: 40, 42: 40, 43: 40, 44: 40}
+
+
+def near_misses(rng, kind, n):
+    """Variants of one template that are mostly below 0.8 to it, some linked to each other."""
+    words = [f"w{i}" for i in range(150)]
+    pool = [(i, f"v{i}") for i in range(0, 150, 3)]
+    out = []
+    for k in range(n):
+        if k % 10 == 9:  # a close relative of an earlier variant
+            own = rng.choice(out).split()
+            own[rng.randrange(len(own))] = f"y{k}"
+        elif kind == "deleted":
+            gone = set(rng.sample(range(150), rng.randrange(3, 7)))
+            own = [w for i, w in enumerate(words) if i not in gone]
+        else:
+            own = list(words)
+            for i, v in rng.sample(pool, rng.randrange(2, 6)):
+                own[i] = v
+        out.append(" ".join(own))
+    return [" ".join(words)] * 3 + out
+
+
+def brute_force_of_family(texts):
+    """Like brute_force, with all pairs compared by one product of matrices."""
+    sets = [near_dedup.shingle_set(t.encode()) for t in texts]
+    held = Counter(x for s in sets for x in s)
+    place = {x: i for i, x in enumerate(x for x, n in held.items() if n > 1)}
+    matrix = np.zeros((len(texts), len(place)), np.float32)
+    for i, s in enumerate(sets):
+        matrix[i, [place[x] for x in s if x in place]] = 1
+    size = np.array([len(s) for s in sets])
+    common = matrix @ matrix.T
+    linked = 5 * common >= 4 * (size[:, None] + size - common)
+    np.fill_diagonal(linked, True)
+    label = np.arange(len(texts))
+    while True:
+        least = np.array([label[row].min() for row in linked])
+        if (least == label).all():
+            return label.tolist()
+        label = least
+
+
+@pytest.mark.parametrize("kind", ["deleted", "pool"])
+def test_family_of_near_misses_equals_brute_force(spark, kind):
+    texts = near_misses(random.Random(3), kind, 3000)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_force_of_family(texts)
+
+
+def test_blocks_of_a_family_find_the_same_classes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 40)
+    texts = near_misses(random.Random(4), "pool", 300) + near_misses(random.Random(5), "deleted", 300)
+    check(near_dedup.near_duplicates(frame(spark, texts)).collect(), texts)

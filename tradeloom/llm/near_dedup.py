@@ -12,17 +12,18 @@ shingle.  Texts are near duplicates from 0.8 on, and a class is a connected grou
 3.  Nodes that agree on all rows of a band share a bucket.  A bucket is not expanded into pairs: its
     members are compared with its centre, exactly, on the whole texts.  The centre is the member with
     the largest buckets over all bands, so a family of copies has the same centre in most of them.
-4.  What this can miss are links between members of one bucket that are both unlike its centre.
-    Members of buckets with several components beside the centre therefore go through a second pass
-    with fresh darts, new buckets and new centres; only pairs of different components are compared.
-
-No bucket, member or pair is capped, and the work is linear in the members of buckets.  A pair at
-exactly 0.8 shares no band of a pass with probability ``(1 - 0.8 ** 6) ** 32`` = 6e-5.  Near misses of a
-large family share its buckets, but a pair among them that is linked also shares shingles of its
-own, and bands with one of these give it buckets of its own in either pass; closer pairs are missed
-far less often, and links through third texts mend most of what is left.  Comparing all members of
-mixed buckets with each other was tried and costs the square of a family's near misses: on the hot
-test table its first five rounds took 62,000 pairs, after exact bounds, and found three links.
+4.  What this leaves open are links between members of one bucket of which one is unlike the centre.
+    All members beside such a centre are compared with each other exactly, by what sets them apart
+    from the centre (``_differences``): if X and the centre are not linked, but X and Y are, then X
+    and Y share more than a ninth of the centre's shingles as common differences.  So members meet
+    in posting lists of differences, the template itself is never read, and their similarity
+    follows from sizes and the number of shared differences.
+
+No bucket, member or pair is capped: two nodes that share a bucket are always decided, by themselves
+or by links through others.  A pair at exactly 0.8 shares no band with probability
+``(1 - 0.8 ** 6) ** 32`` = 6e-5.  The work is linear in the members of buckets, besides the posting
+lists of a family with near misses, which grow with the square of its members that share a
+difference.  Large families are cut into blocks, and pairs of blocks are dealt over the tasks.
 """
 
 from __future__ import annotations
@@ -158,7 +159,10 @@ def shingle_set(text: bytes, width: int = SHINGLE) -> set[tuple[bytes, ...]]:
 
 
 _SCAN = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
-_PAIR = pa.schema([(n, pa.int64()) for n in ("a", "b", "common", "either")])
+_PAIR = pa.schema([(n, pa.int64()) for n in ("a", "b", "size_a", "size_b", "common")])
+_APART = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.list_(pa.int64()))])
+_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+BLOCK_MEMBERS, BLOCK_ELEMENTS = 1024, 1 << 21  # of a family, in one block
 
 
 def _digest() -> F.Column:
@@ -190,16 +194,6 @@ def _scan(docs: DataFrame, rows: int, bands: int) -> DataFrame:
     return docs.mapInArrow(scan, "row long, doc_id long, digest binary, bands array<long>")
 
 
-def _again(texts: DataFrame, rows: int, bands: int) -> DataFrame:
-    """Bands of texts with fresh darts: ``node, bands``."""
-
-    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches, "text", 4 << 20):
-            yield pa.RecordBatch.from_arrays([batch.column("node"), _bands_of(_bytes(batch), rows, bands, 1)], names=["node", "bands"])
-
-    return texts.mapInArrow(scan, "node long, bands array<long>")
-
-
 def _buckets(nodes: DataFrame) -> DataFrame:
     """Members of buckets with company, and the centre of each bucket: ``bucket, node, centre``."""
     keys = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -213,8 +207,15 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return stored(company.select("bucket", "node").join(centres, "bucket"), "buckets")
 
 
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs with both texts; they go to b, the node that many pairs share."""
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
+
+
 def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Exact shingle counts of pairs of nodes: ``a, b, common, either``."""
+    """Exact shingle counts of pairs of nodes: ``a, b, size_a, size_b, common``."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, set()
@@ -224,17 +225,119 @@ def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 if b != last:
                     last, held = b, shingle_set(other.encode())
                 own = shingle_set(mine.encode())
-                common = len(own & held)
-                either = len(own) + len(held) - common
-                out.append((a, b, common, either))
+                out.append((a, b, len(own), len(held), len(own & held)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _PAIR, strict=True)], schema=_PAIR)
 
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
-    # With their texts, pairs go to b, the node that many pairs share.
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text")
-    return both.mapInArrow(compare, "a long, b long, common long, either long")
+    return _with_texts(pairs, texts).mapInArrow(compare, ", ".join(f"{n} long" for n in _PAIR.names))
+
+
+def _differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Hashes of the shingles that only one text of a pair has: ``a, b, apart``."""
+
+    def differ(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, np.empty(0, _U)
+        for batch in batches:
+            for piece in pieces_of([batch], "a_text", 4 << 20):
+                owner, value = shingle_hashes([x.encode() for x in piece.column("a_text").to_pylist()])
+                ends = np.searchsorted(owner, np.arange(piece.num_rows + 1))
+                apart = []
+                for i, b in enumerate(piece.column("b").to_pylist()):
+                    if b != last:
+                        last, held = b, shingle_hashes([piece.column("b_text")[i].as_py().encode()])[1]
+                    apart.append(np.setxor1d(value[ends[i] : ends[i + 1]], held, assume_unique=True).view(np.int64))
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in apart])])
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(apart)))
+                yield pa.RecordBatch.from_arrays([piece.column("a"), piece.column("b"), lists.cast(_APART.field("apart").type)], schema=_APART)
+
+    return _with_texts(pairs, texts).mapInArrow(differ, "a long, b long, apart array<long>")
+
+
+def linked_members(size: np.ndarray, unlike: np.ndarray, label: np.ndarray, block: np.ndarray, apart: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join components, among the members of a family: pairs of places.
+
+    A member has a size, its differences from the centre, whether it is unlike the centre, and the
+    component known so far.  With blocks of two numbers only members of different blocks are
+    compared.  Links within a component, also one that earlier links made, are left out, so there are
+    fewer links than members.
+    """
+    n = len(size)
+    distance = np.array([len(x) for x in apart], np.int64)
+    owner = np.repeat(np.arange(n), distance)
+    _, element = np.unique(np.concatenate(apart), return_inverse=True)
+    held = np.bincount(element)
+    common = held[element] > 1  # what only one member has is never shared
+    owner, element = owner[common], element[common]
+    order = np.argsort(element, kind="stable")
+    posting, first = owner[order], np.cumsum(held * (held > 1)) - held * (held > 1)
+    ends = np.searchsorted(owner, np.arange(n + 1))
+    label, out = label.copy(), []
+    two = len(np.unique(block)) > 1
+    for x in np.flatnonzero(unlike):
+        mine = element[ends[x] : ends[x + 1]]
+        length = held[mine]
+        at = np.repeat(first[mine] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        shared = np.bincount(posting[at], minlength=n)
+        # Texts are linked if at most a ninth of their sizes sets them apart.
+        near = 9 * (distance[x] + distance - 2 * shared) <= size[x] + size
+        if two:
+            near &= block != block[x]
+        for y in np.flatnonzero(near & (label != label[x])):
+            if label[y] != label[x]:
+                out.append((int(x), int(y)))
+                label[label == label[y]] = label[x]
+    return out
+
+
+def _links_beside(compared: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of different components between members beside one centre, ``a, b``."""
+    known = labels.select(F.col("node").alias("a"), "component")
+    members = compared.withColumn("unlike", ~linked()).join(known, "a", "left").withColumn("component", F.coalesce("component", "a"))
+    members = members.withColumn("distance", F.col("size_a") + F.col("size_b") - 2 * F.col("common"))
+    # A family of one component, or without a member unlike its centre, has no open links.
+    family = members.groupBy("b").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("distance").alias("elements"),
+        F.min("component").alias("least"),
+        F.max("component").alias("most"),
+        F.bool_or("unlike").alias("any"),
+    )
+    family = family.where("any and n > 1 and least <> most")
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_MEMBERS), F.ceil(F.col("elements") / BLOCK_ELEMENTS), F.lit(1)).cast("int")
+    family = family.select("b", blocks.alias("blocks"))
+    wanted = stored(members.join(family, "b").select("a", "b", "size_a", "unlike", "component", "blocks"), "open")
+    apart = _differences(wanted, texts)
+    block = F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")
+    row = apart.join(wanted, ["a", "b"]).withColumn("block", block)
+    # A block meets every block of its family, itself included.
+    row = row.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    row = row.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    dealt = row.select("b", "i", "j", "a", "size_a", "unlike", "component", "block", "apart").repartition("b", "i", "j").sortWithinPartitions("b", "i", "j", "a")
+
+    def link(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(rows)
+        node, size, unlike, label, block = (t.column(c).to_numpy() for c in ("a", "size_a", "unlike", "component", "block"))
+        lists = [x for c in t.column("apart").chunks for x in np.split(c.flatten().to_numpy(), np.cumsum(np.diff(c.offsets.to_numpy()))[:-1])]
+        found = linked_members(size, unlike, label, block, lists) if unlike.any() else []
+        return pa.RecordBatch.from_arrays([pa.array([int(node[f[k]]) for f in found], pa.int64()) for k in (0, 1)], schema=_LINK)
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("b", "i", "j")], axis=1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                if tuple(key[start]) != last and held:
+                    yield link(held)
+                    held = []
+                last = tuple(key[start])
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield link(held)
+
+    return dealt.mapInArrow(meet, "a long, b long")
 
 
 def classes(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
@@ -273,29 +376,19 @@ def _components(own: DataFrame, nodes: DataFrame, rows: int, bands: int) -> Data
     wanted = nodes.join(involved, "node").select("node", F.col("digest").alias("w_digest"), F.col("doc_id").alias("w_doc_id"))
     texts = own.join(wanted, (F.col("digest") == F.col("w_digest")) & F.col("doc_id").eqNullSafe(F.col("w_doc_id")))
     texts = stored(texts.select("node", "text").dropDuplicates(["node"]), "texts")
-    linked = F.col("common") * SIMILARITY[1] >= F.col("either") * SIMILARITY[0]
-    links = stored(_compare(pairs, texts).where(linked).select("a", "b"), "links")
+    compared = stored(_compare(pairs, texts), "compared")
+    links = compared.where(linked()).select("a", "b")
     labels = stored(components(links), "components")
-
-    left = stored(_mixed(beside, labels).select("node").distinct(), "open")
-    fresh = _buckets(stored(_again(texts.join(left, "node", "left_semi"), rows, bands), "signatures"))
-    named = fresh.where("node <> centre").select("node", "centre").distinct()
-    for side in ("node", "centre"):
-        own_labels = labels.select(F.col("node").alias(f"{side}_of"), F.col("component").alias(f"{side}_in"))
-        named = named.join(own_labels, F.col(side) == F.col(f"{side}_of"), "left").drop(f"{side}_of")
-    apart = F.coalesce("node_in", "node") != F.coalesce("centre_in", "centre")
-    more = named.where(apart).select(F.col("node").alias("a"), F.col("centre").alias("b")).join(pairs, ["a", "b"], "left_anti")
-    found = stored(_compare(stored(more, "pairs"), texts).where(linked).select("a", "b"), "links")
+    found = stored(_links_beside(compared, labels, texts), "links")
     if not found.take(1):
         return labels
     return stored(components(links.union(found)), "components")
 
 
-def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components."""
-    named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    kinds = named.groupBy("bucket").agg(F.min("component").alias("first"), F.max("component").alias("last"))
-    return named.join(kinds.where("first <> last").select("bucket"), "bucket", "left_semi")
+def linked() -> F.Column:
+    """Whether a compared pair is similar enough."""
+    either = F.col("size_a") + F.col("size_b") - F.col("common")
+    return F.col("common") * SIMILARITY[1] >= either * SIMILARITY[0]
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
