@@ -120,3 +120,20 @@ def test_whole_table(spark, tiny):
     from tradeloom.llm.queries import op8_toxicity
 
     assert op8_toxicity(spark, tiny).count() == spark.read.parquet(f"{tiny}/documents.parquet").count()
+
+
+def test_training_reads_whole_texts(spark, monkeypatch):
+    """A toxic passage after word 800 and clean long texts: both reach the training as they are."""
+    clean = " ".join(f"w{i % 50}" for i in range(2000))
+    known = [(f"{clean} grobble{i}" if i % 2 else f"{clean} fine{i}", i % 2) for i in range(60)]
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, odds=1.0: seen.append((texts, labels)) or toxicity.Network.new())
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(known)], "doc_id long, toxic int")
+    docs = frame(spark, [t for t, _ in known])
+    toxicity.fit(docs, labels)
+    texts, truth = seen.pop()
+    assert sorted(texts) == sorted(t for i, (t, _) in enumerate(known) if zlib.crc32(str(i).encode()) % 3 != 1)
+    assert all(("grobble" in t) == bool(y) for t, y in zip(texts, truth, strict=True))
+    monkeypatch.setattr(toxicity, "SAMPLE_WORDS", 10_100)
+    toxicity.fit(docs, labels)
+    assert sorted(seen.pop()[1]) == [0] * 5 + [1] * 5

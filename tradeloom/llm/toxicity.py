@@ -18,16 +18,17 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .common import WordTable, char_grams, crc32_of_id, hash_sample, pieces_of, small_batches, sums_by, texts_of
 
 WINDOW, STRIDE = 48, 36
 WORD_BUCKETS, CHAR_BUCKETS, WIDTH, HIDDEN = 1 << 14, 1 << 15, 8, 8
 GRAMS = (3, 4, 5)
-SAMPLE_PER_LABEL = 900  # texts learned from
-SAMPLE_WORDS = 800  # words of each
+SAMPLE_PER_LABEL = 900  # texts learned from, at most
+SAMPLE_WORDS = 720_000  # words of all texts of a label; fewer texts are drawn if theirs are more
 ROUNDS, BATCH, RATE, SEED = 6, 64, 0.01, 5
 PREDICTED_FROM = 0.7
 
@@ -260,17 +261,26 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -
     chosen, sizes = hash_sample(known, "doc_id", "toxic", per_label, "toxicity")
     if not chosen:
         return train([], [])
-    odds = 1.0
-    if len(sizes) == 2:
-        sampled = [sum(r["toxic"] == k for r in chosen) + 0.5 for k in (0, 1)]
-        odds = sizes[1] / sizes[0] * sampled[0] / sampled[1]
     spark = docs.sparkSession
     # At most about two samples' worth of rows, so they reach every task.
     wanted = F.broadcast(spark.createDataFrame([(r.doc_id, r.toxic) for r in chosen], "doc_id long, toxic int"))
-    words = F.slice(F.split("text", r"[\x20\x09-\x0D]+"), 1, SAMPLE_WORDS)
-    rows = docs.where("text is not null").join(wanted, "doc_id").select("doc_id", "toxic", F.array_join(words, " ").alias("text")).collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, r.text))
-    return train([r["text"] for r in rows], [r["toxic"] for r in rows], odds)
+    words = F.size(F.split("text", r"[\x20\x09-\x0D]+"))
+    place = F.xxhash64(F.lit("toxic text"), "doc_id", "text")
+    # Labels belong to whole texts, so texts are read whole; the bound of words decides how many.
+    rows = stored(docs.where("text is not null").join(wanted, "doc_id").select("doc_id", "toxic", "text", words.alias("words"), place.alias("place")), "labelled")
+    drawn = Window.partitionBy("toxic").orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("words").over(drawn), F.lit(0))
+    kept = rows.select("doc_id", "toxic", "place", "words").withColumn("before", before).where(F.col("before") + F.when(F.col("before") > 0, F.col("words")).otherwise(0) <= SAMPLE_WORDS)
+    last = {r["toxic"]: r["last"] for r in kept.groupBy("toxic").agg(F.max("place").alias("last")).collect()}
+    limit = F.lit(None).cast("long")
+    for label, value in sorted(last.items()):
+        limit = F.when(F.col("toxic") == label, F.lit(value)).otherwise(limit)
+    texts = sorted(rows.where(F.col("place") <= limit).select("doc_id", "toxic", "text").collect(), key=lambda r: (r.doc_id, r.text))
+    odds = 1.0
+    if len(sizes) == 2:
+        sampled = [sum(r["toxic"] == k for r in texts) + 0.5 for k in (0, 1)]
+        odds = sizes[1] / sizes[0] * sampled[0] / sampled[1]
+    return train([r["text"] for r in texts], [r["toxic"] for r in texts], odds)
 
 
 def score(docs: DataFrame, labels: DataFrame, network: Network | None = None) -> DataFrame:
