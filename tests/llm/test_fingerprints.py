@@ -92,3 +92,15 @@ def test_whole_table(spark, tiny):
 
     rows = spark.read.parquet(f"{tiny}/documents.parquet").collect()
     check(op7_fingerprints(spark, tiny), [r.doc_id for r in rows], [r.text for r in rows])
+
+
+def test_unspaced_passage_at_every_offset(spark):
+    """A passage of 22 code points inside a run shares a kept hash wherever it begins."""
+    rng = random.Random(6)
+    letters = [chr(0x4E00 + i) for i in range(2000)]
+    runs = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(3)]
+    passage = "".join(rng.choice(letters) for _ in range(22))
+    texts = [runs[0] + passage + runs[1]] + [runs[2][: 9 + i] + passage + runs[0][::-1] for i in range(8)]
+    df = fp.with_fingerprint(frame(spark, texts), "text", "own_")
+    first, *others = [set(r.own_kept) for r in df.orderBy("doc_id").select("own_kept").collect()]
+    assert all(first & other for other in others)

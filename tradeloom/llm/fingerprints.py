@@ -1,10 +1,11 @@
 """Document fingerprints by winnowing, in DataFrame expressions only.
 
-Tokens are pieces of up to eight code points of the words; k-grams are runs of four tokens, hashed.
-In every window of twelve consecutive k-grams the smallest hash is kept, the rightmost of equal
-ones, with its position.  So two texts that share a passage of ``K + WINDOW - 1`` tokens share a
-kept hash, and less than two hashes per twelve tokens are kept.  Tokens instead of single code
-points keep the work per text byte small enough for expressions; a word of any length is covered.
+A word of up to eight code points is a token; a longer one gives a token of eight code points at each
+of its places, so tokens slide by one code point inside runs without blanks.  K-grams are runs of four
+tokens, hashed.  In every window of twelve consecutive k-grams the smallest hash is kept, the rightmost
+of equal ones, with its position.  So two texts that share a passage of ``K + WINDOW - 1`` whole tokens
+share a kept hash, at whatever place of a run it begins: that is fifteen words of up to eight code
+points, or 22 code points inside a run.
 """
 
 from __future__ import annotations
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 
 K = 4
 WINDOW = 12
-TOKEN = r"[^\x20\x09-\x0D]{1,8}"
+_C = r"[^\x20\x09-\x0D]"
+# One group: eight code points from here, or a whole shorter word.  What is left of a word that has no
+# further place of eight is passed over.
+TOKEN = rf"(?=({_C}{{8}}|(?<!{_C}){_C}{{1,7}}(?!{_C}))){_C}(?:{_C}{{0,7}}(?!{_C}))?"
 
 BUCKET_ROWS = 128  # documents per bucket of neighbouring ids
 MAX_BUCKETS = 1 << 14  # bound of the ids that the driver and the plan hold
@@ -45,7 +49,7 @@ def with_fingerprint(df: DataFrame, text: str, prefix: str) -> DataFrame:
     k-gram.
     """
     t, h, v, c = (f"{prefix}_{x}" for x in ("tokens", "hashes", "values", "chosen"))
-    df = df.withColumn(t, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(0)))
+    df = df.withColumn(t, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(1)))
     gram = ", ".join(f"{t}[i + {j}]" if j else f"{t}[i]" for j in range(K))
     df = df.withColumn(
         h,
