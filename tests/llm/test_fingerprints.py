@@ -5,10 +5,11 @@ import random
 import re
 
 import xxhash
-from helpers import frame
 
 from tradeloom.llm import fingerprints as fp
 
+from .helpers import frame
+
 
 def hash64(parts):
     """Spark's xxhash64 of strings: each hash seeds the next."""

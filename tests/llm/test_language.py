@@ -3,10 +3,11 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from helpers import frame
 
 from tradeloom.llm import language
 
+from .helpers import frame
+
 WORDS = {
     "en": "the and of house water walking think there where bright morning light",
     "de": "der und ein haus wasser gehen denken schön straße morgen licht größe",

@@ -6,10 +6,11 @@ import random
 from collections import defaultdict
 
 import pytest
-from helpers import frame
 
 from tradeloom.llm import mixing
 
+from .helpers import frame
+
 
 def targets(totals, weights=(1, 2, 3), most=3):
     """Iterated sharing of the excess, as the rule is stated."""

@@ -5,10 +5,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from helpers import frame
 
 from tradeloom.llm import components, near_dedup
 
+from .helpers import frame
+
 
 def brute_force(texts):
     """Class of every text: connected texts with a similarity of at least 0.8, or equal texts."""

@@ -7,13 +7,14 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from helpers import frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tradeloom.llm import packing
 
+from .helpers import frame
+
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 

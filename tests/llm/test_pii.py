@@ -7,10 +7,11 @@ import string
 
 import numpy as np
 import pytest
-from helpers import frame
 
 from tradeloom.llm import pii
 
+from .helpers import frame
+
 PATTERNS = (
     re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),

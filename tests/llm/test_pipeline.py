@@ -3,16 +3,17 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 import public_tokenizers
-from test_mixing import taken, targets
-from test_near_dedup import brute_force as classes
-from test_packing import reference_ids
-from test_quality import features, kept
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline as pipeline
 from tradeloom.llm import packing, pii
 
+from .test_mixing import taken, targets
+from .test_near_dedup import brute_force as classes
+from .test_packing import reference_ids
+from .test_quality import features, kept
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 

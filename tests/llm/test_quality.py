@@ -4,10 +4,11 @@ import random
 import re
 from collections import Counter
 
-from helpers import frame
 
 from tradeloom.llm import quality
 
+from .helpers import frame
+
 
 def features(text):
     text = text or ""

@@ -6,11 +6,12 @@ import random
 import re
 
 import pytest
-from helpers import frame
 from pyspark.sql import functions as F
 
 from tradeloom.llm import secrets
 
+from .helpers import frame
+
 BASE = {
     "assign": re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII),
     "access": re.compile("AKIA[A-Z0-9]+"),

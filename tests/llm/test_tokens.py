@@ -4,11 +4,12 @@ import random
 
 import public_tokenizers
 import pytest
-from helpers import frame
 from tokenizers import Tokenizer
 
 from tradeloom.llm import tokens
 
+from .helpers import frame
+
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
     "", " ", "  a", "a  b", "a \n b", "a\n\n\nb  ", "it's they'll I'M 'tis ''s", "x" * 3000, "1 22 333,44.5",

@@ -4,10 +4,11 @@ import zlib
 
 import numpy as np
 import pytest
-from helpers import frame
 
 from tradeloom.llm import toxicity
 
+from .helpers import frame
+
 BAD = ["grobble", "snarkle", "vilefex"]
 
 
