@@ -6,7 +6,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import AS_OF
+from known import AS_OF
 from tradeloom.operators import edits, facts, history, silver
 from tradeloom.operators.edits import Edit, scale, set_to, subtract_floored
 from tradeloom.session import fresh_path

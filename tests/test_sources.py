@@ -7,7 +7,7 @@ import uuid
 
 import pytest
 
-from conftest import AS_OF, CALENDAR, ROWS
+from known import AS_OF, CALENDAR, ROWS
 from tradeloom.operators import edits
 from tradeloom.plans import pipeline
 from tradeloom.sources import ingest, tables
