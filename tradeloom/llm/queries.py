@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, language, merkle, mixing, near_dedup, packing, pii, quality, secrets, tokens, toxicity
+from . import fingerprints, language, merkle, mixing, near_dedup, negatives, packing, pii, quality, secrets, tokens, toxicity
 from .common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_check(documents(spark, sf_dir))
 
@@ -69,5 +73,6 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_secrets": op9_secrets,
         "op10_packing": op10_packing,
+        "op12_negatives": op12_negatives,
         "op13_merkle": op13_merkle,
     }

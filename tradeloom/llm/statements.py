@@ -74,6 +74,25 @@ JOIN places p ON p.source IS NOT DISTINCT FROM s.source AND p.place = s.place AN
 """
 
 
+OP12 = """
+WITH clean AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM clean a JOIN clean b ON a.r <> b.r WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT r, anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.r, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.r = p.r AND NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 OP13 = r"""
 WITH RECURSIVE leaves AS (
   SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree,
@@ -124,4 +143,4 @@ SELECT *, folded_root = root AS verified FROM folded
 
 
 def statements() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op4_mixing": OP4, "op13_merkle": OP13}
+    return {"op1_quality_rules": OP1, "op4_mixing": OP4, "op12_negatives": OP12, "op13_merkle": OP13}
