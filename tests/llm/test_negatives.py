@@ -52,7 +52,7 @@ def clusters(n, width, seed, labels=4, spread=0.05):
 
 
 @pytest.mark.parametrize("spread", [0.01, 0.3, 3.0])
-def test_equals_brute_force(spark, spread, monkeypatch):
+def test_equals_brute_force(spark, spread):
     rows = clusters(700, 8, 3, spread=spread)
     assert found(frame(spark, rows).repartition(5, "vec_id")) == brute_force(rows)
 

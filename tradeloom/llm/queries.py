@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, language, merkle, mixing, near_dedup, negatives, packing, pii, quality, secrets, tokens, toxicity
+from . import (
+    fingerprints, language, merkle, mixing, near_dedup, negatives, packing, pii, quality, repeats, secrets, tokens, toxicity,
+)
 from .common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +56,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(negatives.relabelled(table(spark, sf_dir, "embeddings")))
 
@@ -73,6 +81,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_secrets": op9_secrets,
         "op10_packing": op10_packing,
+        "op11_repeats": op11_repeats,
         "op12_negatives": op12_negatives,
         "op13_merkle": op13_merkle,
     }

@@ -74,6 +74,23 @@ JOIN places p ON p.source IS NOT DISTINCT FROM s.source AND p.place = s.place AN
 """
 
 
+OP11 = rf"""
+WITH cut AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents
+), windows AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM cut WHERE len(w) >= 35)
+), twice AS (
+  SELECT h FROM windows GROUP BY h HAVING count(*) > 1
+), gone AS (
+  SELECT r, list(DISTINCT i + k) AS places FROM windows SEMI JOIN twice USING (h), range(35) AS t(k) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN places IS NULL THEN w
+                                   ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(places, i)), lambda i: w[i]) END, ' '))
+       AS kept_sha256
+FROM cut LEFT JOIN gone USING (r)
+"""
+
 OP12 = """
 WITH clean AS (
   SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -143,4 +160,4 @@ SELECT *, folded_root = root AS verified FROM folded
 
 
 def statements() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op4_mixing": OP4, "op12_negatives": OP12, "op13_merkle": OP13}
+    return {"op1_quality_rules": OP1, "op4_mixing": OP4, "op11_repeats": OP11, "op12_negatives": OP12, "op13_merkle": OP13}
