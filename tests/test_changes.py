@@ -125,7 +125,7 @@ def drained(spark, stream):
     [
         ("fact_purchase_orders", "purchase_orders", ["po_line_items"]),
         ("fact_invoices", "invoices", []),
-        ("fact_goods_receipts", "goods_receipts", ["po_line_items"]),
+        ("fact_goods_receipts", "goods_receipts", ["po_line_items", "purchase_orders"]),
         ("fact_project_costs", "project_budgets", ["project_actuals"]),
         ("fact_vendor_performance", "vendor_performance", []),
         ("fact_contracts", "contracts", ["contract_items"]),

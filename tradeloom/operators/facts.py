@@ -121,25 +121,35 @@ def line_prices(po_line_items: DataFrame) -> DataFrame:
     )
 
 
-def fact_goods_receipts(receipts: DataFrame, po_line_items: DataFrame) -> DataFrame:
-    """Receipts with acceptance rate (percent) and value."""
-    return goods_receipts_from(receipts, line_prices(po_line_items))
+def order_projects(orders: DataFrame) -> DataFrame:
+    """One project per order.  Grouped by the key, so that the lookup is dropped where it is not read."""
+    return orders.groupBy("po_id").agg(F.max("project_id").alias("_project"))
 
 
-def goods_receipts_from(receipts: DataFrame, prices: DataFrame) -> DataFrame:
-    """``fact_goods_receipts`` from receipts and line prices.
+def fact_goods_receipts(
+    receipts: DataFrame, po_line_items: DataFrame, orders: DataFrame
+) -> DataFrame:
+    """Receipts with the project of their order, acceptance rate (percent) and value."""
+    return goods_receipts_from(receipts, line_prices(po_line_items), order_projects(orders))
 
-    The order itself adds no column to a receipt, so only the line's price is looked up.
+
+def goods_receipts_from(
+    receipts: DataFrame, prices: DataFrame, projects: DataFrame
+) -> DataFrame:
+    """``fact_goods_receipts`` from receipts, line prices and the projects of orders.
+
+    A receipt that names a project itself keeps it.
     """
     value = F.col("qty_accepted") * F.coalesce("_price", F.lit(0.0))
+    known = receipts.join(prices, "line_item_id", "left").join(projects, "po_id", "left")
     return _stamp(
-        receipts.join(prices, "line_item_id", "left").select(
+        known.select(
             "grn_id",
             "po_id",
             "line_item_id",
             "vendor_id",
             "material_id",
-            "project_id",
+            F.coalesce("project_id", "_project").alias("project_id"),
             "receipt_date",
             F.col("qty_received").alias("quantity_received"),
             F.col("qty_accepted").alias("quantity_accepted"),
@@ -304,6 +314,11 @@ def fact_contracts(contracts: DataFrame, contract_items: DataFrame) -> DataFrame
 def fact_sales(sales_orders: DataFrame, materials: DataFrame) -> DataFrame:
     """Sales with the product's name and a hashed customer key."""
     products = materials.select("material_id", F.col("material_name").alias("product_name"))
+    return sales_from(sales_orders, products)
+
+
+def sales_from(sales_orders: DataFrame, products: DataFrame) -> DataFrame:
+    """``fact_sales`` from sales orders and product names."""
     return sales_orders.join(products, "material_id", "left").select(
         "sales_order_id",
         "product_name",

@@ -73,7 +73,7 @@ GOLD: dict[str, Callable[[Layers], DataFrame]] = {
     ),
     "fact_invoices": lambda l: facts.fact_invoices(l.silver("invoices"), l.as_of),
     "fact_goods_receipts": lambda l: facts.fact_goods_receipts(
-        l.silver("goods_receipts"), l.silver("po_line_items")
+        l.silver("goods_receipts"), l.silver("po_line_items"), l.silver("purchase_orders")
     ),
     "fact_project_costs": lambda l: facts.fact_project_costs(
         l.silver("project_budgets"), l.silver("project_actuals")

@@ -432,12 +432,12 @@ FRAGMENTS: dict[str, str] = {
         FROM s_invoices""",
     "fact_goods_receipts": f"""
         SELECT grn_id, g.po_id, line_item_id, g.vendor_id, g.material_id,
-          g.project_id, receipt_date, g.qty_received AS quantity_received, g.qty_accepted AS quantity_accepted,
+          coalesce(g.project_id, p.project_id) AS project_id, receipt_date, g.qty_received AS quantity_received, g.qty_accepted AS quantity_accepted,
           qty_rejected AS quantity_rejected, rejection_rate,
           {dbl('100')} - rejection_rate AS acceptance_rate,
           {mon('g.qty_accepted * coalesce(l.unit_price, 0)')} AS receipt_value, grn_status,
           storage_location, received_by AS inspector
-        FROM s_goods_receipts g LEFT JOIN all_purchase_orders p ON g.po_id = p.po_id
+        FROM s_goods_receipts g LEFT JOIN s_purchase_orders p ON g.po_id = p.po_id
         LEFT JOIN (SELECT line_id, MAX(unit_price) AS unit_price FROM s_po_line_items GROUP BY 1) l
           ON line_item_id = line_id""",
     "fact_project_costs": f"""

@@ -757,7 +757,7 @@ def stream_queries() -> dict[str, Query]:
         ),
         "stream_fact_invoices": _stream_fact("invoices", "fact_invoices"),
         "stream_fact_goods_receipts": _stream_fact(
-            "goods_receipts", "fact_goods_receipts", "po_line_items"
+            "goods_receipts", "fact_goods_receipts", "po_line_items", "purchase_orders"
         ),
         "stream_fact_project_costs": _stream_fact(
             "project_budgets", "fact_project_costs", "project_actuals"

@@ -308,7 +308,7 @@ def contract_items(star: Star) -> DataFrame:
 
 
 def goods_receipts(star: Star) -> DataFrame:
-    """Receipts carry no project; nothing downstream reads it, and it would cost a join."""
+    """Receipts carry no project of their own; the fact takes it from the order."""
     return star.lines().select(
         line_key().alias("grn_id"),
         F.col("l_orderkey").alias("po_id"),

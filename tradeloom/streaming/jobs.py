@@ -137,7 +137,8 @@ def stream_facts(table: str, stream: DataFrame, as_of: AsOf = None, **static: Da
         return facts.fact_invoices(stream, as_of)
     if table == "fact_goods_receipts":
         prices = stored(facts.line_prices(static["po_line_items"]), "line_prices")
-        return facts.goods_receipts_from(stream, prices)
+        projects = stored(facts.order_projects(static["purchase_orders"]), "order_projects")
+        return facts.goods_receipts_from(stream, prices, projects)
     if table == "fact_project_costs":
         totals = stored(facts.actual_totals(static["project_actuals"]), "actual_totals")
         return facts.project_costs_from(stream, totals)
