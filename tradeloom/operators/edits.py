@@ -1,8 +1,7 @@
 """Targeted table edits: update the first n matching rows, inspect, and restore exactly.
 
-Parquet tables are not updated in place.  An edit yields the new version of the table and a small
-pre-image (key and old values of the touched rows); the caller writes the new version next to the
-old one and switches over.
+An edit yields the new version of a table and a small pre-image (key and old values of the touched
+rows).  Stored tables are edited month by month, see ``sources.tables.edit_table``.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,14 +30,21 @@ def touched_keys(df: DataFrame, edit: Edit) -> DataFrame:
     return rows.select(F.col(edit.key).alias("_touched")).orderBy("_touched").limit(edit.n)
 
 
+def edited(rows: DataFrame, edit: Edit) -> DataFrame:
+    """Rows that an edit touches, with its changes."""
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.withColumns({n: build().cast(types[n]) for n, build in edit.changes.items()})
+
+
 def update_first_n(df: DataFrame, edit: Edit) -> DataFrame:
     """The table after the edit.
 
-    The key list has at most ``edit.n`` rows, so it may be broadcast: the table is read once and
-    not shuffled.
+    The table is joined to the list of at most ``edit.n`` keys, which Spark broadcasts if it is
+    small.  A stored table is edited by ``sources.tables.edit_table``, which rewrites only the
+    months concerned.
     """
     # Equal keys would multiply rows in the join, so the list is made distinct.
-    keys = F.broadcast(touched_keys(df, edit).distinct())
+    keys = touched_keys(df, edit).distinct()
     joined = df.join(keys, F.col(edit.key) == F.col("_touched"), "left")
     hit = F.col("_touched").isNotNull()
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -51,7 +57,7 @@ def update_first_n(df: DataFrame, edit: Edit) -> DataFrame:
 
 def pre_image(df: DataFrame, edit: Edit) -> DataFrame:
     """Key and old values of the rows an edit will touch; keep it to undo the edit."""
-    keys = F.broadcast(touched_keys(df, edit).distinct())
+    keys = touched_keys(df, edit).distinct()
     return df.join(keys, F.col(edit.key) == F.col("_touched"), "left_semi").select(
         edit.key, *edit.changes
     )
@@ -216,6 +222,25 @@ EDITS: dict[str, Edit] = {
 # ---- merge -------------------------------------------------------------------------------------
 
 
+def last_changes(changes: DataFrame, key: str, latest: str | None = None) -> DataFrame:
+    """One change per key, reduced on the map side: the one with the greatest ``latest``.
+
+    A null in ``latest`` comes before all values, equal values are decided by a hash of the row.
+    Without that column a repeated key fails.
+    """
+    row = F.struct(*changes.columns)
+    if latest is None:
+        clash = F.raise_error(F.concat(F.lit(f"several changes of {key} "), F.col(key).cast("string")))
+        found = changes.groupBy(key).agg(F.first(row).alias("_row"), F.count(F.lit(1)).alias("_rows"))
+        found = found.where(F.when(F.col("_rows") > 1, clash.cast("boolean")).otherwise(F.lit(True)))
+    else:
+        text = [F.col(c).cast("string") for c in changes.columns]
+        found = changes.groupBy(key).agg(
+            F.max_by(row, F.struct(F.col(latest), F.xxhash64(*text))).alias("_row")
+        )
+    return found.select(*[F.col("_row")[c].alias(c) for c in changes.columns])
+
+
 def upsert_merge(
     current: DataFrame, changes: DataFrame, key: str, latest: str | None = None
 ) -> DataFrame:
@@ -225,14 +250,7 @@ def upsert_merge(
     the untouched rows unaltered.  Of several changes of a key the one with the greatest
     ``latest`` counts; without that column a repeated key fails the merge.
     """
-    if latest is None:
-        rows = F.count(F.lit(1)).over(Window.partitionBy(key))
-        clash = F.raise_error(F.concat(F.lit(f"several changes of {key} "), F.col(key).cast("string")))
-        unique = F.when(F.col("_rows") > 1, clash.cast("boolean")).otherwise(F.lit(True))
-        changes = changes.withColumn("_rows", rows).where(unique).drop("_rows")
-    else:
-        order = Window.partitionBy(key).orderBy(F.desc_nulls_last(latest))
-        changes = changes.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    changes = last_changes(changes, key, latest)
     keys = changes.select(F.col(key).alias("_changed"))
     kept = current.join(keys, F.col(key) == F.col("_changed"), "left_anti")
     return kept.unionByName(changes.select(*current.columns))

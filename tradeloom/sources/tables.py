@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import datetime as dt
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import edits
 from ..session import fresh_path
+from . import rewrite
 
 # Date column by which the large facts are split into months on disk.
 FACT_DATES: dict[str, str] = {
@@ -55,6 +58,32 @@ def read_upper_layer(spark: SparkSession, layer: str, table: str) -> DataFrame:
     return spark.read.table(full_name(layer, table)).drop(MONTH)
 
 
+def between(
+    spark: SparkSession, layer: str, table: str, start: dt.date | str, end: dt.date | str
+) -> DataFrame:
+    """Rows of a stored fact with a date from ``start`` to ``end``, both included.
+
+    The months of the period are added as a filter on the file layout, so only their folders are
+    listed and read.  A row without a date has no month and belongs to no period.
+    """
+    rows = spark.read.table(full_name(layer, table))
+    date = F.col(FACT_DATES[table])
+    first, last = (F.date_format(F.lit(d).cast("date"), "yyyy-MM") for d in (start, end))
+    inside = date.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return rows.where(inside & F.col(MONTH).between(first, last)).drop(MONTH)
+
+
+def join_on_month(fact: DataFrame, calendar: DataFrame, date: str) -> DataFrame:
+    """A stored fact, with its month, joined to some days of a calendar (``full_date``).
+
+    Joining the month as well as the day lets Spark read only the months that the filtered calendar
+    names (dynamic partition pruning).
+    """
+    day = F.col("full_date")
+    days = calendar.withColumn("_day_month", F.date_format(day, "yyyy-MM"))
+    return fact.join(days, (F.col(date) == day) & (F.col(MONTH) == F.col("_day_month"))).drop("_day_month")
+
+
 def create_cube_view(cube: DataFrame, name: str) -> None:
     """Register a cube as a view that is computed on read."""
     cube.createOrReplaceTempView(name)
@@ -95,3 +124,61 @@ def replace_table(spark: SparkSession, layer: str, table: str, new_rows: DataFra
     spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
     spark.sql(f"DROP TABLE {old}")
+
+
+# ---- changes of stored tables -------------------------------------------------------------------
+
+
+def location(spark: SparkSession, layer: str, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {full_name(layer, table)}")
+    return rows.where("col_name = 'Location'").first()["data_type"]
+
+
+def _with_month(rows: DataFrame, table: str) -> DataFrame:
+    return rows.withColumn(MONTH, F.date_format(FACT_DATES[table], "yyyy-MM"))
+
+
+def _changed(
+    spark: SparkSession, layer: str, table: str, change: Callable[[str, DataFrame, str | None], rewrite.Rewrite]
+) -> rewrite.Rewrite:
+    name = full_name(layer, table)
+    now = spark.read.table(name)
+    partition = MONTH if MONTH in now.columns else None
+    done = change(location(spark, layer, table), now, partition)
+    if partition is not None:
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return done
+
+
+def edit_table(spark: SparkSession, layer: str, edit: edits.Edit) -> rewrite.Rewrite:
+    """Apply an edit to a stored table; only the months of the touched rows are rewritten."""
+
+    def change(path: str, now: DataFrame, partition: str | None) -> rewrite.Rewrite:
+        keys = edits.touched_keys(now, edit).distinct()
+        rows = now.join(keys, F.col(edit.key) == F.col("_touched"), "left_semi")
+        rows = edits.edited(rows, edit)
+        if partition is not None:
+            rows = _with_month(rows, edit.table)
+        return rewrite.replace_rows(rows, path, now.schema, [edit.key], partition)
+
+    return _changed(spark, layer, edit.table, change)
+
+
+def undo_change(spark: SparkSession, layer: str, table: str, done: rewrite.Rewrite) -> rewrite.Rewrite:
+    """Take back a change of a stored table by its folder, also after later changes of other rows."""
+    return _changed(spark, layer, table, lambda path, now, partition: rewrite.undo(spark, done))
+
+
+def merge_table(
+    spark: SparkSession, layer: str, table: str, changes: DataFrame, key: str, latest: str | None = None
+) -> rewrite.Rewrite:
+    """``upsert_merge`` into a stored table; only the months of old and new rows are rewritten."""
+
+    def change(path: str, now: DataFrame, partition: str | None) -> rewrite.Rewrite:
+        rows = edits.last_changes(changes, key, latest)
+        if partition is not None:
+            rows = _with_month(rows, table)
+        return rewrite.replace_rows(rows, path, now.schema, [key], partition)
+
+    return _changed(spark, layer, table, change)
