@@ -90,23 +90,47 @@ def apply_snapshot(
 def scd2_dimension(
     changes: DataFrame, key: str, tracked: Sequence[str], effective: str
 ) -> DataFrame:
-    """History from a change log: one row per run of equal values, with its period.
+    """History from a change log with one row per key and day."""
+    events = changes.select(key, *tracked, F.col(effective).alias("valid_from"))
+    return history_of(events, key, tracked)
 
-    For logs with a bounded number of changes per key, such as one row per key and day.
+
+DELETED = "_deleted"
+
+
+def history_of(events: DataFrame, key: str, tracked: Sequence[str]) -> DataFrame:
+    """History from the events of a dimension: at most one per key and ``valid_from`` date.
+
+    Events may have arrived in any order; a version lasts until the next event that differs, so an
+    event between two versions splits one and equal neighbours are one version.  An event with
+    ``_deleted`` ends a version without starting one.
+
+    No window holds more than the days of a year of one key: what crosses the years is taken from one
+    row per key and year.
     """
-    hashed = changes.select(key, *tracked, F.col(effective).alias("valid_from")).withColumn(
-        "row_hash", row_hash(tracked)
-    )
-    by_date = Window.partitionBy(key).orderBy("valid_from")
-    starts = hashed.withColumn("_before", F.lag("row_hash").over(by_date)).filter(
-        F.col("_before").isNull() | (F.col("_before") != F.col("row_hash"))
-    )
-    following = F.lead("valid_from").over(by_date)
-    return starts.withColumn("_next", following).select(
+    gone = F.coalesce(F.col(DELETED), F.lit(False)) if DELETED in events.columns else F.lit(False)
+    marked = events.select(
+        key, *tracked, "valid_from", F.year("valid_from").alias("_year"), gone.alias("_gone"),
+        row_hash(tracked).alias("row_hash"),
+    ).withColumn("_mark", F.when(F.col("_gone"), F.lit("")).otherwise(F.col("row_hash")))
+    within = Window.partitionBy(key, "_year").orderBy("valid_from")
+    years = Window.partitionBy(key).orderBy("_year")
+    last = marked.groupBy(key, "_year").agg(F.max_by("_mark", "valid_from").alias("_last"))
+    earlier = last.select(key, "_year", F.lag("_last").over(years).alias("_earlier"))
+    seen = marked.withColumn("_before", F.lag("_mark").over(within)).join(earlier, [key, "_year"])
+    before = F.coalesce("_before", "_earlier")
+    starts = seen.where(before.isNull() | (before != F.col("_mark")))
+
+    first = starts.groupBy(key, "_year").agg(F.min("valid_from").alias("_first"))
+    later = first.select(key, "_year", F.lead("_first").over(years).alias("_later"))
+    following = starts.withColumn("_after", F.lead("valid_from").over(within))
+    following = following.join(later, [key, "_year"]).where(~F.col("_gone"))
+    end = F.coalesce("_after", "_later")
+    return following.select(
         key,
         *tracked,
         "row_hash",
         "valid_from",
-        F.coalesce(F.date_sub("_next", 1), F.lit(OPEN_END).cast("date")).alias("valid_to"),
-        F.col("_next").isNull().alias("is_current"),
+        F.coalesce(F.date_sub(end, 1), F.lit(OPEN_END).cast("date")).alias("valid_to"),
+        end.isNull().alias("is_current"),
     )

@@ -1008,6 +1008,60 @@ def edit_statements() -> dict[str, str]:
               coalesce(LEAD(day) OVER w - 1, DATE '9999-12-31') AS valid_to,
               LEAD(day) OVER w IS NULL AS is_current
             FROM c WINDOW w AS (PARTITION BY o_custkey ORDER BY day)""",
+        "scd2_late_changes": f"""
+            WITH d AS (SELECT o_custkey, {ORD} AS day,
+                         CASE WHEN max(o_orderkey) % 11 <> 0 THEN arg_max(o_orderstatus, o_orderkey) END AS s
+                       FROM orders GROUP BY 1, 2),
+            c AS (SELECT * FROM (SELECT *, row_number() OVER w AS i, LAG(s) OVER w AS p FROM d
+                                 WINDOW w AS (PARTITION BY o_custkey ORDER BY day))
+                  WHERE i = 1 OR p IS DISTINCT FROM s),
+            n AS (SELECT *, LEAD(day) OVER (PARTITION BY o_custkey ORDER BY day) AS later FROM c)
+            SELECT o_custkey, s AS order_status, day AS valid_from,
+              coalesce(later - 1, DATE '9999-12-31') AS valid_to, later IS NULL AS is_current
+            FROM n WHERE s IS NOT NULL""",
+        "edit_stored": statement(
+            f"SELECT po_id, po_status, {dbl('CASE WHEN po_id IN ' + first5 + ' THEN ' + _times('po_value', '1.30') + ' ELSE po_value END')} "
+            "AS po_value, priority FROM fact_purchase_orders"
+        ),
+        "undo_stored": statement(
+            f"SELECT po_id, po_status, {dbl('po_value')} AS po_value, CASE WHEN po_id IN (SELECT po_id FROM "
+            "fact_purchase_orders WHERE priority = 'NORMAL' ORDER BY po_id LIMIT 5) THEN 'HIGH' ELSE priority END AS priority "
+            "FROM fact_purchase_orders"
+        ),
+        "merge_stored": statement(
+            "SELECT po_id, CASE WHEN po_id % 50 = 0 THEN po_date + 31 ELSE po_date END AS po_date, CASE WHEN po_id % 50 = 0 "
+            f"THEN 'MOVED' ELSE po_status END AS po_status, {dbl('po_value')} AS po_value FROM fact_purchase_orders"
+        ),
+        "read_period": statement(
+            f"SELECT po_id, po_date, po_status, {dbl('po_value')} AS po_value FROM fact_purchase_orders "
+            "WHERE po_date BETWEEN DATE '1997-02-10' AND DATE '1997-04-20'"
+        ),
+        "join_period": statement(
+            f"SELECT {i32('dayofweek(po_date) + 1')} AS weekday, COUNT(*) AS orders, {msum('po_value')} AS spend "
+            "FROM fact_purchase_orders WHERE po_date BETWEEN DATE '1997-04-01' AND DATE '1997-06-30' GROUP BY 1"
+        ),
+        "hierarchy_materials": statement(
+            "SELECT m.material_id, CASE WHEN p.material_id IS NOT NULL THEN m.parent_material_id ELSE m.material_id END AS root, "
+            "CASE WHEN p.material_id IS NOT NULL THEN 1::BIGINT ELSE 0::BIGINT END AS level, "
+            "CASE WHEN m.parent_material_id IS NULL THEN 'ROOT' WHEN p.material_id IS NULL THEN 'ORPHAN' ELSE 'CHILD' END AS status "
+            "FROM s_materials m LEFT JOIN s_materials p ON p.material_id = m.parent_material_id"
+        ),
+        "hierarchy_chains": """
+            WITH RECURSIVE n AS (
+              SELECT p_partkey AS id, CASE WHEN p_partkey % 97 = 0 THEN p_partkey + 1000000000 WHEN p_partkey % 101 = 5 THEN p_partkey + 1
+                WHEN p_partkey % 101 = 6 THEN p_partkey - 1 WHEN p_partkey >= 3 THEN p_partkey // 3 END AS up FROM part
+            ), tops AS (SELECT id, up IS NOT NULL AS lost FROM n WHERE up IS NULL OR up NOT IN (SELECT id FROM n)),
+            down AS (
+              SELECT id, id AS root, 0::BIGINT AS level, lost FROM tops
+              UNION ALL SELECT n.id, root, level + 1, lost FROM down JOIN n ON n.up = down.id
+            ), walk AS (
+              SELECT id AS origin, up AS here, 1 AS step FROM n WHERE id NOT IN (SELECT id FROM down)
+              UNION ALL SELECT origin, n.up, step + 1 FROM walk JOIN n ON n.id = walk.here WHERE step < 2
+            )
+            SELECT id::BIGINT AS part_id, root::BIGINT AS root, level, CASE WHEN NOT lost THEN CASE WHEN level = 0 THEN 'ROOT' ELSE 'CHILD' END
+              WHEN level = 0 THEN 'ORPHAN' ELSE 'BELOW_ORPHAN' END AS status FROM down
+            UNION ALL
+            SELECT origin, NULL, NULL, CASE WHEN bool_or(here = origin) THEN 'CYCLE' ELSE 'BELOW_CYCLE' END FROM walk GROUP BY 1""",
     }
     return out
 
@@ -1021,6 +1075,20 @@ def stream_statements() -> dict[str, str]:
         "fact_goods_receipts fact_project_costs fact_vendor_performance fact_contracts fact_sales"
     ).split()
     out = {f"stream_{n}": whole(n) for n in names}
+    late = ("fact_purchase_orders", "fact_goods_receipts")
+    out |= {f"stream_late_{n}": whole(n) for n in late}
+    out["stream_merge"] = statement(
+        "SELECT vendor_id, vendor_name, CASE WHEN vendor_id % 2 = 0 THEN 'MOVED' ELSE tier END AS tier "
+        "FROM dim_vendor WHERE vendor_id % 5 <> 0"
+    )
+    day = "DATE '1998-03-15'"
+    age = f"CASE WHEN payment_date IS NULL AND due_date IS NOT NULL THEN {days(day, 'due_date')} ELSE 0 END"
+    out["aging_at_read"] = statement(
+        f"SELECT invoice_id, CASE WHEN payment_date IS NOT NULL THEN 'PAID' WHEN due_date < {day} THEN 'OVERDUE' "
+        f"ELSE 'PENDING' END AS payment_status, {i32(age)} AS days_overdue, CASE WHEN {age} <= 0 THEN 'CURRENT' "
+        f"WHEN {age} <= 30 THEN '1-30 DAYS' WHEN {age} <= 60 THEN '31-60 DAYS' WHEN {age} <= 90 THEN '61-90 DAYS' "
+        f"ELSE '90+ DAYS' END AS aging_bucket FROM fact_invoices"
+    )
     out["stream_dq"] = statement(
         "SELECT CASE WHEN vendor_id IS NULL THEN 'valid_vendor_ref' ELSE 'kept' END AS outcome, "
         "evaluation_period, COUNT(*) AS row_count FROM all_vendor_performance GROUP BY 1, 2"

@@ -18,6 +18,7 @@ from ..operators import (
     cubes,
     dims,
     edits,
+    hierarchy,
     history,
     insights,
     integrity,
@@ -28,10 +29,10 @@ from ..operators import (
     silver,
 )
 from ..session import fresh_path
-from ..sources import ingest, star as star_schema, tables
+from ..sources import ingest, rewrite, star as star_schema, tables
 from ..sources.schemas import KEYS, SOURCES
 from ..sources.star import FEEDS, Star
-from ..streaming import jobs as streams
+from ..streaming import jobs as streams, merge, propagate, versions
 from .layers import CUBES, GOLD, Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -674,6 +675,89 @@ def _merge(l: Layers) -> DataFrame:
     return edits.upsert_merge(now, later.unionByName(arrivals), "vendor_id")
 
 
+def _stored_orders(spark: SparkSession, folder: str) -> str:
+    gold = _new_database(spark, "gold")
+    orders = layers(spark, folder).gold("fact_purchase_orders").drop("_gold_timestamp")
+    tables.write_layer(orders, gold, "fact_purchase_orders", "Purchase order facts", "gold")
+    return gold
+
+
+def _edit_stored(undone: bool) -> Query:
+    """An edit of a stored fact, which rewrites the months of its keys, and its undoing."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        gold = _stored_orders(spark, folder)
+        done = tables.edit_table(spark, gold, edits.EDITS["A01"])
+        if undone:
+            tables.edit_table(spark, gold, edits.EDITS["A04"])
+            tables.undo_edit(spark, gold, edits.EDITS["A01"], done)
+        stored_rows = tables.read_upper_layer(spark, gold, "fact_purchase_orders")
+        return presentable(stored_rows.select("po_id", "po_status", "po_value", "priority"))
+
+    return query
+
+
+def _merge_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders that move by a month, merged into the stored fact; of two changes the later counts."""
+    gold = _stored_orders(spark, folder)
+    rows = tables.read_upper_layer(spark, gold, "fact_purchase_orders").where("po_id % 50 = 0")
+    moved = rows.withColumns({"po_date": F.date_add("po_date", 31), "po_status": F.lit("MOVED")})
+    first = rows.withColumn("po_status", F.lit("LOST")).withColumn("_at", F.lit(1))
+    changes = first.unionByName(moved.withColumn("_at", F.lit(2)))
+    tables.merge_table(spark, gold, "fact_purchase_orders", changes, "po_id", "_at")
+    stored_rows = tables.read_upper_layer(spark, gold, "fact_purchase_orders")
+    return presentable(stored_rows.select("po_id", "po_date", "po_status", "po_value"))
+
+
+def _read_period(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of a stored fact; only the folders of its months are read."""
+    gold = _stored_orders(spark, folder)
+    rows = tables.between(spark, gold, "fact_purchase_orders", "1997-02-10", "1997-04-20")
+    return presentable(rows.select("po_id", "po_date", "po_status", "po_value"))
+
+
+def _join_period(spark: SparkSession, folder: str) -> DataFrame:
+    """Spend per weekday of one quarter: the calendar's filter prunes the months of the fact."""
+    gold = _stored_orders(spark, folder)
+    fact = spark.read.table(tables.full_name(gold, "fact_purchase_orders"))
+    quarter = layers(spark, folder).gold("dim_date").where("year = 1997 AND quarter = 2")
+    rows = tables.join_on_month(fact, quarter, "po_date")
+    return presentable(
+        rows.groupBy(F.dayofweek("po_date").alias("weekday")).agg(
+            F.count(F.lit(1)).alias("orders"), c.exact_sum("po_value").alias("spend")
+        )
+    )
+
+
+def _late_history(spark: SparkSession, folder: str) -> DataFrame:
+    """A customer's order status by day, from three batches in mixed order with repeats and deletions."""
+    star = Star(spark, folder)
+    events = star.orders().select(
+        "o_custkey", F.col("o_orderstatus").alias("order_status"),
+        star_schema.ordered().alias("valid_from"), F.col("o_orderkey").cast("long").alias("_sequence"),
+        (F.col("o_orderkey") % 11 == 0).alias("_deleted"),
+    )
+    root = fresh_path(spark, "history")
+    held = versions.MaintainedHistory(spark, "o_custkey", ["order_status"], root, events.schema)
+    part = F.pmod(F.xxhash64("_sequence"), F.lit(4))
+    for k, chosen in enumerate((part.isin(2, 3), part.isin(0, 2), part.isin(1, 0))):
+        held.apply(events.where(chosen), f"{root}-batches/{k}")
+    return presentable(held.versions().drop("row_hash"))
+
+
+def _hierarchy_chains(s: Star) -> DataFrame:
+    """Parts under the part of a third of their number, with some lost parents and some cycles."""
+    key = F.col("p_partkey").cast("long")
+    parent = (
+        F.when(key % 97 == 0, key + 1_000_000_000)
+        .when(key % 101 == 5, key + 1)
+        .when(key % 101 == 6, key - 1)
+        .when(key >= 3, F.floor(key / 3).cast("long"))
+    )
+    rows = s.table("part").select(key.alias("part_id"), parent.alias("parent_id"))
+    return hierarchy.closure(rows, "part_id", "parent_id")
+
+
 def edit_queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         f"update_{name}": on_layers(lambda l, n=name: _verify_edit(l, n)) for name in edits.EDITS
@@ -688,6 +772,16 @@ def edit_queries() -> dict[str, Query]:
         "upsert_merge": on_layers(_merge),
         "scd2_snapshots": on_layers(_scd2_snapshots),
         "scd2_dimension": on_star(_scd2_log),
+        "scd2_late_changes": _late_history,
+        "edit_stored": _edit_stored(False),
+        "undo_stored": _edit_stored(True),
+        "merge_stored": _merge_stored,
+        "read_period": _read_period,
+        "join_period": _join_period,
+        "hierarchy_materials": on_layers(
+            lambda l: hierarchy.closure(l.silver("materials"), "material_id", "parent_material_id")
+        ),
+        "hierarchy_chains": on_star(_hierarchy_chains),
     }
     return out
 
@@ -747,8 +841,71 @@ def _stream_dq(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _late_fact(table: str) -> Query:
+    """A fact from three batches: stale and missing children first, repeats, corrections last."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        l = layers(spark, folder)
+        if table == "fact_goods_receipts":
+            view = propagate.receipts_view(l.silver("purchase_orders"))
+        else:
+            view = propagate.VIEWS[table]
+        parents = l.silver(view.parent).withColumn("_sequence", F.lit(1).cast("long"))
+        children = l.silver(view.child).withColumn("_sequence", F.lit(2).cast("long"))
+        stale = children.withColumn("_sequence", F.lit(1).cast("long"))
+        for name in {*view.sums.values(), *view.maxima.values()}:
+            wrong = F.date_add(name, 100) if dict(children.dtypes)[name] == "date" else F.col(name) * 2 + 1
+            stale = stale.withColumn(name, wrong)
+        third, half = F.pmod(F.xxhash64(view.child_key), F.lit(3)), F.pmod(F.xxhash64(view.parent_key), F.lit(2))
+        batches = [
+            (parents.where(half == 0), stale.where(third == 0).unionByName(children.where(third == 1))),
+            (parents, children.where(third == 2)),
+            (parents.where(half == 1), children.where(third == 0).unionByName(stale.where(third == 0))),
+        ]
+        root, state, feeds = (fresh_path(spark, n) for n in ("fact", "state", "feeds"))
+        for own, lines in batches:
+            own.write.mode("append").parquet(f"{feeds}/parents")
+            lines.write.mode("append").parquet(f"{feeds}/children")
+            arriving = (
+                streams.stream_parquet(spark, f"{feeds}/{name}", like, max_files=100_000)
+                for name, like in (("parents", parents), ("children", children))
+            )
+            propagate.maintain(spark, view, *arriving, root, state)
+        held = propagate.MaintainedFact(spark, view, root, parents.schema, children.schema)
+        return presentable(held.fact())
+
+    return query
+
+
+def _stream_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Vendors merged from three batches: later changes first, repeats, deletions last."""
+    vendors = layers(spark, folder).gold("dim_vendor").select("vendor_id", "vendor_name", "tier")
+
+    def change(sequence: int, deleted: bool) -> DataFrame:
+        marks = {"_sequence": F.lit(sequence).cast("long"), "_deleted": F.lit(deleted)}
+        return vendors.withColumns(marks | {rewrite.BUCKET: rewrite.bucket_of(["vendor_id"], 8)})
+
+    new = change(1, False)
+    moved = change(2, False).where("vendor_id % 2 = 0").withColumn("tier", F.lit("MOVED"))
+    gone = change(3, True).where("vendor_id % 5 = 0")
+    feed, path, state = (fresh_path(spark, n) for n in ("changes", "vendors", "state"))
+    for batch in (moved.unionByName(new.where("vendor_id % 3 = 0")), new.unionByName(moved), gone.unionByName(new)):
+        batch.write.mode("append").parquet(feed)
+        arriving = streams.stream_parquet(spark, feed, new, max_files=100_000)
+        merge.stream_merge(arriving, path, ["vendor_id"], rewrite.BUCKET, state)
+    return merge.live(rewrite.read_rows(spark, path, new.schema)).drop(rewrite.BUCKET)
+
+
 def stream_queries() -> dict[str, Query]:
     return {
+        "stream_merge": _stream_merge,
+        "stream_late_fact_purchase_orders": _late_fact("fact_purchase_orders"),
+        "stream_late_fact_goods_receipts": _late_fact("fact_goods_receipts"),
+        "aging_at_read": on_layers(
+            lambda l: streams.aging_at_read(l.gold("fact_invoices"), "1998-03-15").select(
+                "invoice_id", "payment_status", "days_overdue", "aging_bucket"
+            )
+        ),
         "stream_dim_vendor": _stream_dim("vendors", "dim_vendor"),
         "stream_dim_project": _stream_dim("projects", "dim_project"),
         "stream_dim_material": _stream_dim("materials", "dim_material"),

@@ -1,8 +1,8 @@
 """Copy on write by partition: a change rewrites only the partitions that hold its rows.
 
 A change is a set of complete rows by key.  Its folder in the shared directory holds the new rows, the
-rows they replace, and the new content of every partition concerned; only then is the table touched,
-by one dynamic partition overwrite.  So a change that broke off is published again from its folder
+rows they replace, and the new content of every partition concerned; only then are the folders of these
+partitions exchanged, one after the other.  A change that broke off is published again from its folder
 (``publish``), and a finished one is undone by key (``undo``), also after later changes of other rows.
 
 Which partitions are concerned is found by a join of the keys with the table that reads the key
@@ -35,6 +35,7 @@ class Rewrite:
     key: tuple[str, ...]
     partition: str | None
     partitions: tuple[str | None, ...]
+    emptied: tuple[str | None, ...]
     files: int
     rows: int
 
@@ -99,10 +100,14 @@ def replace_rows(
     if partition is not None:
         touched = sorted((r[0] for r in counts), key=lambda v: (v is None, v))
         current = current.where(_in(partition, touched))
-    change = Rewrite(folder, path, tuple(key), partition, tuple(touched), sum(r[1] for r in counts), sum(r[2] for r in counts))
+    emptied = []
     if counts:
         after = current.join(keys, key, "left_anti").unionByName(new)
         create(after, f"{folder}/after", partition)
+        names = {v: f"{partition}={_NO_VALUE if v is None else v}" for v in touched}
+        emptied = [v for v in touched if not exists(spark, f"{folder}/after/{names[v]}")]
+    files, held_rows = sum(r[1] for r in counts), sum(r[2] for r in counts)
+    change = Rewrite(folder, path, tuple(key), partition, tuple(touched), tuple(emptied), files, held_rows)
     _note(spark, f"{folder}/record", json.dumps(asdict(change) | {"schema": schema.json()}))
     publish(spark, change, schema)
     return change
@@ -145,7 +150,7 @@ def recorded(spark: SparkSession, folder: str) -> tuple[Rewrite, T.StructType] |
         return None
     values = json.loads(spark.read.text(f"{folder}/record").first()[0])
     schema = T.StructType.fromJson(json.loads(values.pop("schema")))
-    values |= {"key": tuple(values["key"]), "partitions": tuple(values["partitions"])}
+    values |= {"key": tuple(values["key"]), "partitions": tuple(values["partitions"]), "emptied": tuple(values["emptied"])}
     return Rewrite(**values), schema
 
 
@@ -165,23 +170,40 @@ def publish(spark: SparkSession, change: Rewrite, schema: T.StructType) -> None:
     if change.partition is None:
         if exists(spark, staged):
             create(read_rows(spark, staged, schema), change.path, None)
-    elif change.partitions:
-        writer = read_rows(spark, staged, schema).hint("rebalance", change.partition).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(change.partition).parquet(change.path)
-        # A partition that lost its last row has nothing that would overwrite it.
-        for value in change.partitions:
-            name = f"{change.partition}={_NO_VALUE if value is None else value}"
-            if not exists(spark, f"{staged}/{name}"):
-                gone, store = _hadoop(spark, f"{change.path}/{name}")
-                store.delete(gone, True)
+    for value in change.partitions:
+        name = f"{change.partition}={_NO_VALUE if value is None else value}"
+        old, store = _hadoop(spark, f"{change.path}/{name}")
+        new, _ = _hadoop(spark, f"{staged}/{name}")
+        # What is no longer staged was moved by an earlier attempt, unless no row was left.
+        if value in change.emptied:
+            store.delete(old, True)
+        elif store.exists(new):
+            store.delete(old, True)
+            if not store.rename(new, old):
+                raise RuntimeError(f"{name} was not moved into {change.path}")
     _note(spark, f"{change.folder}/done", "published")
 
 
-def undo(spark: SparkSession, change: Rewrite) -> Rewrite:
-    """Bring back the rows that a change replaced, and take out those that it added."""
+def before(spark: SparkSession, change: Rewrite) -> DataFrame:
+    """The rows that a change replaced."""
     _, schema = recorded(spark, change.folder)
-    before = read_rows(spark, f"{change.folder}/before", schema)
-    keys = read_rows(spark, f"{change.folder}/rows", schema).select(*change.key)
+    return read_rows(spark, f"{change.folder}/before", schema)
+
+
+def undo(spark: SparkSession, change: Rewrite, columns: Sequence[str] = ()) -> Rewrite:
+    """Bring back the rows that a change replaced, and take out those that it added.
+
+    With ``columns`` only these get their old values, so later changes of other columns of the same
+    rows stay; rows that have gone since stay gone.
+    """
+    _, schema = recorded(spark, change.folder)
+    old, key = before(spark, change), list(change.key)
+    if columns:
+        saved = old.select(*key, *[F.col(c).alias(f"_old_{c}") for c in columns]).distinct()
+        now = read_rows(spark, change.path, schema).join(saved, key)
+        rows = now.withColumns({c: F.col(f"_old_{c}") for c in columns}).select(*schema.fieldNames())
+        return replace_rows(rows, change.path, schema, key, change.partition)
+    keys = read_rows(spark, f"{change.folder}/rows", schema).select(*key)
     if finished(spark, f"{change.folder}/removed"):
         keys = keys.unionByName(read_rows(spark, f"{change.folder}/removed", keys.schema))
-    return replace_rows(before, change.path, schema, change.key, change.partition, removed=keys)
+    return replace_rows(old, change.path, schema, key, change.partition, removed=keys)

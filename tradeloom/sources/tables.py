@@ -74,14 +74,15 @@ def between(
 
 
 def join_on_month(fact: DataFrame, calendar: DataFrame, date: str) -> DataFrame:
-    """A stored fact, with its month, joined to some days of a calendar (``full_date``).
+    """A stored fact, with its month, joined to some days of a calendar (``date``).
 
     Joining the month as well as the day lets Spark read only the months that the filtered calendar
     names (dynamic partition pruning).
     """
-    day = F.col("full_date")
-    days = calendar.withColumn("_day_month", F.date_format(day, "yyyy-MM"))
-    return fact.join(days, (F.col(date) == day) & (F.col(MONTH) == F.col("_day_month"))).drop("_day_month")
+    days = calendar.withColumns({"_day": F.col("date"), "_day_month": F.date_format("date", "yyyy-MM")})
+    days = days.drop("date") if date == "date" else days
+    same = (F.col(date) == F.col("_day")) & (F.col(MONTH) == F.col("_day_month"))
+    return fact.join(days, same).drop("_day", "_day_month")
 
 
 def create_cube_view(cube: DataFrame, name: str) -> None:
@@ -165,8 +166,20 @@ def edit_table(spark: SparkSession, layer: str, edit: edits.Edit) -> rewrite.Rew
     return _changed(spark, layer, edit.table, change)
 
 
+def undo_edit(
+    spark: SparkSession, layer: str, edit: edits.Edit, done: rewrite.Rewrite
+) -> rewrite.Rewrite:
+    """Give the columns of an edit their old values; later changes of other rows and columns stay."""
+    columns = list(edit.changes)
+    if FACT_DATES.get(edit.table) in columns:
+        columns.append(MONTH)
+    return _changed(
+        spark, layer, edit.table, lambda path, now, partition: rewrite.undo(spark, done, columns)
+    )
+
+
 def undo_change(spark: SparkSession, layer: str, table: str, done: rewrite.Rewrite) -> rewrite.Rewrite:
-    """Take back a change of a stored table by its folder, also after later changes of other rows."""
+    """Take back a change of a stored table with whole rows; later changes of other rows stay."""
     return _changed(spark, layer, table, lambda path, now, partition: rewrite.undo(spark, done))
 
 
