@@ -74,3 +74,18 @@ def test_held_out_accuracy(spark, tiny):
     held = [r for r in op2_language(spark, tiny).collect() if r.held_out]
     assert len(held) > 20
     assert np.mean([truth[r.doc_id] == r.lang_pred for r in held]) > 0.9
+
+
+def test_whole_texts_are_learned_from(spark, monkeypatch):
+    """A language that shows only at the end of long texts is learned; equal rows are drawn once."""
+    seen = []
+    monkeypatch.setattr(language, "train", lambda texts, labels: seen.append((texts, labels)))
+    long = "1 " * 5000 + "der und ein haus"
+    language.fit(frame(spark, [long] + ["the and of"] * 3000, lang=["de"] + ["en"] * 3000, ids=[1] + [2] * 3000))
+    texts, labels = seen[0]
+    assert sorted(zip(labels, texts, strict=True)) == [("de", long), ("en", "the and of")]
+    language.fit(frame(spark, [f"w{i} the" for i in range(900)], lang=["en"] * 900), per_language=50)
+    assert len(seen[1][0]) == 50
+    monkeypatch.setattr(language, "SAMPLE_WORDS", 60)
+    language.fit(frame(spark, [f"w{i} the" for i in range(900)], lang=["en"] * 900))
+    assert len(seen[2][0]) == 30

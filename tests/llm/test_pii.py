@@ -170,3 +170,70 @@ def test_whole_table(spark, tiny):
         listed = pii.written(brute_force(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert not listed or set(listed.split(",")) <= set(r.spans.split(","))
+
+
+def test_network_finds_forms_that_the_patterns_miss(tagger):
+    rng = random.Random(31)
+    asked, hit = 0, 0
+    for i in range(400):
+        span = pii.varied(i % 4, rng)
+        before, after = natural(rng, []), natural(rng, [])
+        start = len(before) + 1
+        base, every = pii.find([f"{before} {span} {after}"], tagger)[0]
+        if not any(s < start + len(span) and start < e for s, _, e in base):
+            asked += 1
+            hit += (start, i % 4, start + len(span)) in every
+    assert asked > 350 and hit / asked >= 0.8
+
+
+def test_clean_numbers_are_left_alone(tagger):
+    rng = random.Random(32)
+    texts = [f"{natural(rng, [])} {pii.harmless(rng)} {natural(rng, [])}" for _ in range(300)]
+    found = pii.find(texts, tagger)
+    assert sum(every != base for base, every in found) <= 30
+
+
+def test_marginals_equal_enumeration():
+    tagger, rng = pii.Tagger.new(), np.random.default_rng(8)
+    tagger.parameters["move"] = rng.standard_normal((pii.TAGS, pii.TAGS))
+    x, mask = rng.integers(1, 30, (3, 4)), np.ones((3, 4))
+    e, move = tagger.emissions(x, mask), tagger.parameters["move"] + pii.allowed()
+    single = tagger.marginals(e, mask > 0)
+    paths = np.array(list(np.ndindex(*(pii.TAGS,) * 4)))
+    paths = paths[(paths[:, 0] == 0) | (paths[:, 0] % 2 == 1)]
+    for k in range(3):
+        weight = np.exp(e[k][np.arange(4), paths].sum(axis=1) + move[paths[:, :-1], paths[:, 1:]].sum(axis=1))
+        for t in range(4):
+            want = np.bincount(paths[:, t], weight, pii.TAGS) / weight.sum()
+            assert np.allclose(single[k, t], want)
+
+
+def test_added_spans_of_a_table(spark, tagger):
+    """The query's spans are the patterns' and those of every window of the whole text."""
+    rng = random.Random(41)
+    texts = [natural(rng, [pii.varied(k, rng) for k in range(4)] + personal(rng)[:2]) for _ in range(60)]
+    texts += [natural(rng, ["word"] * 30_000) + " call (409) 555-8387 now", "call (409) 555-8387 now", "call (409) 555-8387 now"]
+    got = {r.doc_id: r.spans for r in pii.detect(frame(spark, texts), tagger).collect()}
+    added = 0
+    for i, text in enumerate(texts):
+        base = pii.pattern_spans(text)
+        every = list(base)
+        x, mask, starts = pii.windows(pii.codes(text))
+        for span, trust in pii.reconciled(len(text), starts, *tagger.decode(x, mask)):
+            start, kind, end = pii.whole_tokens(text, span)
+            if trust >= pii.SURE and pii.plausible(kind, text[start:end]) and not any(s < end and start < e for s, _, e in every):
+                every.append((start, kind, end))
+                added += 1
+        assert got[i] == pii.written(sorted(every))
+    assert added > 150
+
+
+def test_sample_is_bounded_and_reaches_late_spans(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "train", lambda texts, spans: seen.append((texts, spans)) or pii.Tagger.new())
+    late = "word " * 3000 + "me@a.bc"
+    pii.fit(frame(spark, ["call me@a.bc"] * 20_000 + [late, "clean", None]))
+    texts, spans = seen[0]
+    assert sorted(texts) == sorted(["call me@a.bc", late]) and all(spans)
+    pii.fit(frame(spark, [f"{i} me@a.bc" for i in range(500)]), sample=100)
+    assert len(seen[1][0]) == 100

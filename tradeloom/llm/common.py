@@ -8,7 +8,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word: a run without space, tab, newline, vertical tab, form feed, carriage return.
@@ -81,6 +81,27 @@ def hash_sample(df: DataFrame, key: str, label: str, per_class: int, seed: str)
     return sorted(rows, key=lambda r: (str(r[key]), str(r))), sizes
 
 
+def class_sample(df: DataFrame, label: str, text: str, per_class: int, most_words: int, seed: str) -> list[Any]:
+    """At most ``per_class`` distinct rows of each value of ``label``, with whole texts, drawn by a seeded hash of all columns.
+
+    A class takes rows in the order of the draw until it has ``most_words`` words.  Equal rows are drawn
+    once, however many there are, so the result is bounded by its parameters for every input.
+    """
+    space = float(1 << 52)
+    draw = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1 << 52))
+    words = F.size(F.split(text, r"[\x20\x09-\x0D]+"))
+    drawn = df.withColumn("draw_", draw)
+    sizes = drawn.groupBy(label).agg(F.approx_count_distinct("draw_").alias("rows_"))
+    # Four times as many as needed, so that the classes fill up; few rows are then ranked.
+    near = drawn.join(sizes, label).where(F.col("draw_") < F.lit(space * 4 * per_class) / F.col("rows_"))
+    once = near.groupBy(label, "draw_").agg(F.first(F.struct(*df.columns)).alias("row_"), F.first(words).alias("words_"))
+    order = Window.partitionBy(label).orderBy("draw_")
+    before = F.coalesce(F.sum("words_").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = once.withColumns({"nth_": F.row_number().over(order), "before_": before})
+    kept = ranked.where((F.col("nth_") <= per_class) & (F.col("before_") < most_words))
+    return [r["row_"] for r in sorted(kept.select("row_", "draw_", label).collect(), key=lambda r: (str(r[label]), r["draw_"]))]
+
+
 def char_grams(words: list[str], lengths: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of words: buckets, and the word of each, in order."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))

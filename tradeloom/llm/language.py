@@ -20,11 +20,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordTable, char_grams, crc32_of_id, hash_sample, pieces_of, small_batches, sums_by, texts_of
+from .common import WordTable, char_grams, class_sample, crc32_of_id, pieces_of, small_batches, sums_by, texts_of
 
 UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 800  # texts learned from
-SAMPLE_WORDS = 240  # words of each
+SAMPLE_WORDS = 192_000  # words of all texts of a language; fewer texts are drawn if theirs are more
 BUCKETS, DIMENSIONS = 1 << 16, 16
 GRAMS = (1, 2, 3, 4)
 EPOCHS, STEPS, RATE, SEED = 4, 15_000, 0.5, 11  # passes over the sample, and least steps
@@ -137,10 +137,9 @@ def held_out(docs: DataFrame) -> F.Column:
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
-    """Train on a bounded sample of rows with text and language that are not held out."""
-    words = F.slice(F.split("text", r"[\x20\x09-\x0D]+"), 1, SAMPLE_WORDS)
+    """Train on whole texts: a bounded sample of rows with text and language that are not held out."""
     known = docs.where(~held_out(docs)).where("text is not null and lang is not null")
-    rows, _ = hash_sample(known.select("doc_id", "lang", F.array_join(words, " ").alias("text")), "doc_id", "lang", per_language, "language")
+    rows = class_sample(known.select("doc_id", "lang", "text"), "lang", "text", per_language, SAMPLE_WORDS, "language")
     return train([r["text"] for r in rows], [r["lang"] for r in rows])
 
 

@@ -3,20 +3,25 @@
 The network reads characters in both directions with long short-term memory and scores a tag per
 character (outside, or beginning and inside of each kind); a conditional random field adds
 transitions, and Viterbi decoding picks the best allowed sequence.  It is trained in numpy on the
-labelled spans of a bounded sample of texts.
+labelled spans of a bounded sample of texts.  The patterns label the sample; so that the network learns
+what they cannot say, each text also comes with its spans written in other ways (``varied``: other
+separators, brackets, no plus, spaces around the ``@``, letters beyond ASCII), with such spans planted
+between its words, and with numbers that are none (dates, amounts, ranges).  Windows with runs that could be either
+are left out of the loss.
 
 A text is read in windows that overlap by half.  Every character takes its tag from the window in
 which it is most central, and spans are read off the joined tags of the whole text, so a span that
-crosses windows comes out once.  A found span counts if it does not overlap a span of the patterns,
-looks like its kind, and its tags are sure.
+crosses windows comes out once.  A found span is set to whole tokens, and counts if it does not overlap a
+span of the patterns, could be its kind, and its tags are sure.
 
-Every kind needs a digit or an ``@`` in a span, so windows without either cannot change the result and
-are not read.
+Every kind needs a digit, an ``@`` or a bracketed "at" in a span, so windows without one cannot change
+the result and are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -26,20 +31,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces_of, small_batches, texts_of
+from .common import class_sample, pieces_of, small_batches, sums_by, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, number of the kind, end
 
 WINDOW, STRIDE = 96, 48
-HIDDEN, WIDTH, SYMBOLS = 12, 10, 100
+HIDDEN, WIDTH, SYMBOLS = 16, 10, 100
 TAGS = 1 + 2 * len(KINDS)  # outside, then beginning and inside of each kind
-SAMPLE_TEXTS = 1500  # texts with a digit or @ that are learned from
-SAMPLE_CHARS = 6000  # code points of each
-STEPS, BATCH, RATE, SEED = 260, 48, 0.02, 3
-SURE = 0.9  # least mean probability of the tags of a span
+SAMPLE_TEXTS = 1500  # texts with a trigger that are learned from
+SAMPLE_WORDS = 600_000  # words of all of them; fewer texts are drawn if theirs are more
+STEPS, BATCH, RATE, SEED = 360, 96, 0.03, 3
+SURE = 0.6  # least mean probability of the tags of a span, given the whole window
 
-TRIGGER = re.compile("[0-9@]")
+TRIGGER = re.compile(r"[0-9@]|(?<=[\[(])at(?=[\])])")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
@@ -83,22 +88,124 @@ def pattern_spans(text: str) -> list[Span]:
     return sorted(out)
 
 
+_AT = re.compile(r"\s?[\[(]at[\])]\s?|\s?@\s?")
+_DOT = re.compile(r"\s?[\[(]dot[\])]\s?")
+
+
 def plausible(kind: int, span: str) -> bool:
-    """Whether a span of the network looks like its kind."""
+    """Whether a span of the network could be of its kind, however it is written."""
     if span != span.strip():
         return False
     n = len(_digits(span))
     if kind == 0:
-        name, at, host = span.partition("@")
-        return bool(at and name and "." in host.strip(".")) and "@" not in host and not re.search(r"\s", span)
+        name, at, host = _AT.sub("@", _DOT.sub(".", span)).partition("@")
+        labels = host.split(".")
+        return bool(at and name and len(labels) > 1 and all(labels)) and "@" not in host and not re.search(r"[\s()\[\],;]", name + host)
     if kind == 1:
         parts = re.split(r"[^0-9]+", span)
-        return len(parts) == 4 and all(p and len(p) <= 3 and int(p) <= 255 for p in parts)
+        between = set(re.findall(r"[^0-9]+", span))
+        return len(parts) == 4 and len(between) == 1 and all(p and len(p) <= 3 and int(p) <= 255 for p in parts)
     if kind == 2:
-        return 14 <= n <= 19 and luhn(_digits(span)) and not re.search("[A-Za-z]", span)
+        return 14 <= n <= 19 and luhn(_digits(span)) and not re.search("[A-Za-z@]", span)
     return 10 <= n <= 15 and not re.search("[A-Za-z@]", span) and not span.isdigit()
 
 
+# ---- spans written in other ways, for training -----------------------------------------------------
+
+
+def _number(rng: random.Random, n: int) -> str:
+    return "".join(rng.choice("0123456789") for _ in range(n))
+
+
+def _name(rng: random.Random, letters: str = "abcdefghijklmnopqrstuvwxyz") -> str:
+    return "".join(rng.choice(letters) for _ in range(rng.randrange(2, 9)))
+
+
+def varied(kind: int, rng: random.Random, digits: str = "") -> str:
+    """A span of a kind in a form that the patterns miss, with the given digits if they fit."""
+    if kind == 0:
+        name = rng.choice(["", _name(rng) + rng.choice(["", ".", "_"])]) + _name(rng) + rng.choice(["", _number(rng, 2)])
+        host = [_name(rng) + rng.choice(["", "-" + _name(rng), _number(rng, 1)]) for _ in range(rng.choice([1, 1, 2]))] + [rng.choice(["com", "org", "net", "de", "example"])]
+        form = rng.randrange(6)
+        if form == 0:
+            return f"{name}{rng.choice('éñüßøç')}@{'.'.join(host)}"
+        if form == 1:
+            return f"{name}@{_name(rng)}{rng.choice('éñüøç')}{_name(rng)}.{'.'.join(host[1:])}"
+        at = rng.choice([" @ ", " @ ", " @", "@ "]) if form < 4 else rng.choice(["[at]", "(at)", " [at] ", " (at) "])
+        dot = rng.choice([".", "[dot]", " (dot) "]) if form == 5 else "."
+        return f"{name}{at}{dot.join(host)}"
+    if kind == 1:
+        return rng.choice(["-", "-", ":", " . ", "[.]", "_", " "]).join(str(rng.randrange(256)) for _ in range(4))
+    if kind == 2:
+        if len(digits) != 16:
+            body = _number(rng, 15)
+            digits = next(body + d for d in "0123456789" if luhn(body + d))
+        parts = [digits[i : i + 4] for i in range(0, 16, 4)]
+        return rng.choice([".", ".", "/", "  ", " - ", "_", "."]).join(parts)
+    d = digits[-10:] if len(digits) >= 10 else _number(rng, 10)
+    forms = [f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}", f"({d[:3]}){d[3:6]} {d[6:]}", f"0{d[:3]} {d[3:6]} {d[6:]}",
+             f"00{d[:2]} {d[2:5]} {d[5:]}", f"1-{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]} {d[3:6]} {d[6:]}", f"{d[:3]}/{d[3:6]}-{d[6:]}"]
+    return rng.choice(forms)
+
+
+def harmless(rng: random.Random) -> str:
+    """A number that is no personal data."""
+    y, m, d = rng.randrange(1900, 2040), rng.randrange(1, 13), rng.randrange(1, 29)
+    return rng.choice([
+        f"{y}-{m:02}-{d:02}", f"{d}.{m}.{y}", f"{m}/{d}/{y}", f"{d:02}:{m:02}:{rng.randrange(60):02}", f"{y}-{m:02}-{d:02} {m:02}:{d:02}:00",
+        f"{y}-{y + 3}", f"1,{_number(rng, 3)},{_number(rng, 3)}.{_number(rng, 2)}", f"{_number(rng, 3)} {_number(rng, 3)}", f"{m}.{d}.{m}", f"#{_number(rng, 8)}",
+        _number(rng, rng.randrange(5, 18)), f"978-{m}-{_number(rng, 4)}-{_number(rng, 4)}-{m % 10}", f"{_number(rng, 2)}.{_number(rng, 4)}, {_number(rng, 2)}.{_number(rng, 4)}",
+        f"@{_name(rng)}", f"{m} @ {d}", f"{m}-{d}-{y}-{_number(rng, 4)}",
+    ])
+
+
+def rewritten(text: str, spans: list[Span], rng: random.Random) -> tuple[str, list[Span]]:
+    """A text with its spans in other forms, and with some more spans and harmless numbers between words."""
+    parts, at, out, size = [], 0, [], 0
+
+    def put(piece: str, kind: int | None = None) -> None:
+        nonlocal size
+        if kind is not None:
+            out.append((size, kind, size + len(piece)))
+        parts.append(piece)
+        size += len(piece)
+
+    gaps = [m.start() for m in re.finditer(r"(?<=\w) (?=\w)", text)]
+    gaps = [g for g in gaps if not any(s <= g < e for s, _, e in spans)]
+    chosen = rng.sample(gaps, min(len(gaps), 3 + len(gaps) // 60))
+    events = sorted([(s, e, k) for s, k, e in spans] + [(g, g + 1, None) for g in chosen], key=lambda x: (x[0], x[1]))
+    for start, end, kind in events:
+        if start < at:
+            continue
+        put(text[at:start])
+        if kind is not None:
+            put(varied(kind, rng, _digits(text[start:end])), kind)
+        else:
+            put(" ")
+            some = rng.randrange(8)
+            if some < len(KINDS):
+                put(varied(some, rng), some)
+            else:
+                put(harmless(rng))
+            put(" ")
+        at = end
+    put(text[at:])
+    return "".join(parts), out
+
+
+_DOUBTFUL = re.compile(r"@|[+(]?[0-9](?:[\x20().+:/_\[\]-]{0,3}[0-9]){9,}")
+
+
+def doubtful(text: str, spans: list[Span]) -> list[tuple[int, int]]:
+    """Runs outside labelled spans that could be personal data in another form."""
+    out = []
+    for m in _DOUBTFUL.finditer(text):
+        labelled = any(s < m.end() and m.start() < e for s, _, e in spans)
+        if not labelled and (m[0] == "@" or plausible(2, m[0]) or plausible(3, m[0])):
+            out.append((m.start(), m.end()))
+    return out
+
+
 def _symbols() -> np.ndarray:
     """Symbol of each code point below 256; all digits share one, other letters share one."""
     table = np.full(256, 2, np.int64)
@@ -190,9 +297,30 @@ class Tagger:
         tags[:, -1] = score.argmax(axis=1)
         for t in range(steps - 1, 0, -1):
             tags[:, t - 1] = back[t][np.arange(n), tags[:, t]]
-        share = np.exp(e - e.max(axis=2, keepdims=True))
-        share /= share.sum(axis=2, keepdims=True)
-        return np.where(mask > 0, tags, 0), np.take_along_axis(share, tags[:, :, None], 2)[:, :, 0]
+        tags = np.where(mask > 0, tags, 0)
+        sure = np.ones((n, steps))
+        some = np.flatnonzero(tags.any(axis=1))
+        if len(some):
+            single = self.marginals(e[some], mask[some] > 0)
+            sure[some] = np.take_along_axis(single, tags[some][:, :, None], 2)[:, :, 0]
+        return tags, sure
+
+    def marginals(self, e: np.ndarray, on: np.ndarray) -> np.ndarray:
+        """Probability of every tag at every character, over all sequences; steps are scaled to sum to one."""
+        n, steps, _ = e.shape
+        move = np.exp(self.parameters["move"] + allowed())
+        score = np.exp(e - e.max(axis=2, keepdims=True))
+        ahead, behind = np.zeros((steps, n, TAGS)), np.ones((steps, n, TAGS))
+        ahead[0] = score[:, 0] * np.where((np.arange(TAGS) % 2 == 1) | (np.arange(TAGS) == 0), 1.0, 0.0)
+        ahead[0] /= ahead[0].sum(axis=1, keepdims=True)
+        for t in range(1, steps):
+            here = (ahead[t - 1] @ move) * score[:, t]
+            ahead[t] = np.where(on[:, t, None], here / np.maximum(here.sum(axis=1, keepdims=True), 1e-300), ahead[t - 1])
+        for t in range(steps - 2, -1, -1):
+            here = (score[:, t + 1] * behind[t + 1]) @ move.T
+            behind[t] = np.where(on[:, t + 1, None], here / np.maximum(here.sum(axis=1, keepdims=True), 1e-300), behind[t + 1])
+        single = (ahead * behind).transpose(1, 0, 2)
+        return single / np.maximum(single.sum(axis=2, keepdims=True), 1e-300)
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of windows' tags, and its gradients."""
@@ -224,16 +352,19 @@ class Tagger:
         for d in "fb":
             u, side = p[f"h{d}"], slice(0, HIDDEN) if d == "f" else slice(HIDDEN, 2 * HIDDEN)
             dh, dc, du = np.zeros((n, HIDDEN)), np.zeros((n, HIDDEN)), np.zeros_like(u)
-            rows = np.zeros((SYMBOLS, 4 * HIDDEN))
+            inner = np.empty((steps, n, 4 * HIDDEN))
             for t in range(steps - 1, -1, -1) if d == "f" else range(steps):
                 h, c, i, f, o, gg, tanh_c = kept[d, t]
                 m = mask[:, t, None]
                 dh = (dh + back[t, :, side]) * m
                 dc = (dc + dh * o * (1 - tanh_c**2)) * m
                 dz = np.concatenate([dc * gg * i * (1 - i), dc * c * f * (1 - f), dh * tanh_c * o * (1 - o), dc * i * (1 - gg**2)], axis=1)
-                np.add.at(rows, x[:, t], dz)
+                inner[t] = dz
                 du += h.T @ dz
                 dh, dc = dz @ u.T, dc * f
+            symbols = x.T.ravel()
+            order = np.argsort(symbols, kind="stable")
+            rows = sums_by(symbols[order], inner.reshape(n * steps, -1)[order], SYMBOLS)
             g |= {f"h{d}": du, f"x{d}": p["embed"].T @ rows, f"c{d}": rows.sum(axis=0)}
             g["embed"] += rows @ p[f"x{d}"].T
         return float((total - gold).mean()), g
@@ -262,30 +393,39 @@ def tags_of(spans: list[Span], n: int) -> np.ndarray:
 
 
 def train(texts: list[str], labelled: list[list[Span]]) -> Tagger:
-    """Fit on windows around the digits and ``@`` of texts with labelled spans."""
+    """Fit on windows around the triggers of texts with labelled spans, and of the same texts rewritten."""
     tagger = Tagger.new()
     xs, ms, ts = [], [], []
+    variation = random.Random(SEED)
     for text, spans in zip(texts, labelled, strict=True):
-        triggers = np.array([m.start() for m in TRIGGER.finditer(text)])
-        if not len(triggers):
-            continue
-        x, mask, starts = windows(codes(text), triggers)
-        tags = np.append(tags_of(spans, len(text)), np.zeros(WINDOW, np.int64))
-        for row, on, start in zip(x, mask, starts, strict=True):
-            cut = tags[start : start + WINDOW].copy()
-            if cut[0] and cut[0] % 2 == 0:
-                cut[0] -= 1  # a span that began before the window begins with it
-            xs.append(row)
-            ms.append(on)
-            ts.append(cut)
+        skipped = doubtful(text, spans)
+        for own, marked, left_out in ((text, spans, skipped), (*rewritten(text, spans, variation), [])):
+            triggers = np.array([m.start() for m in TRIGGER.finditer(own)], np.int64)
+            if not len(triggers) or (own is not text and skipped):
+                continue
+            x, mask, starts = windows(codes(own), triggers)
+            tags = np.append(tags_of(marked, len(own)), np.zeros(WINDOW, np.int64))
+            for row, on, start in zip(x, mask, starts, strict=True):
+                if any(s < start + WINDOW and start < e for s, e in left_out):
+                    continue
+                cut = tags[start : start + WINDOW].copy()
+                if cut[0] and cut[0] % 2 == 0:
+                    cut[0] -= 1  # a span that began before the window begins with it
+                xs.append(row)
+                ms.append(on)
+                ts.append(cut)
     if not xs:
         return tagger
     x, mask, tags = np.array(xs), np.array(ms), np.array(ts)
     rng = np.random.default_rng(SEED)
+    # Windows with a span are drawn as often as windows without one.
+    has = tags.any(axis=1)
+    chance = np.where(has, 0.5 / max(1, has.sum()), 0.5 / max(1, (~has).sum()))
+    chance /= chance.sum()
     m = {k: np.zeros_like(v) for k, v in tagger.parameters.items()}
     v = {k: np.zeros_like(w) for k, w in tagger.parameters.items()}
     for step in range(1, STEPS + 1):
-        part = rng.integers(0, len(x), BATCH)
+        part = rng.choice(len(x), BATCH, p=chance)
         _, g = tagger.gradients(x[part], mask[part], tags[part])
         size = np.sqrt(sum((w**2).sum() for w in g.values()))
         rate = RATE * (1 - 0.9 * step / STEPS)
@@ -319,13 +459,41 @@ def reconciled(n: int, starts: np.ndarray, tags: np.ndarray, sure: np.ndarray) -
     return out
 
 
+def whole_tokens(text: str, span: Span) -> Span:
+    """A span that cuts no number or word and neither starts nor ends with a separator."""
+    start, kind, end = span
+    if kind == 0:
+        edge = re.compile(r"[\s,;:<>\"'!?]")
+        while start > 0 and not edge.match(text[start - 1]) and text[start - 1] not in "([":
+            start -= 1
+        while end < len(text) and not edge.match(text[end]):
+            end += 1
+        while end > start and (text[end - 1] in ".)]" or edge.match(text[end - 1])):
+            end -= 1
+        while start < end and (text[start] in ".([" or edge.match(text[start])):
+            start += 1
+        return start, kind, end
+    while start > 0 and text[start - 1] in "0123456789":
+        start -= 1
+    while end < len(text) and text[end] in "0123456789":
+        end += 1
+    first = "0123456789+(" if kind == 3 else "0123456789"
+    while start < end and text[start] not in first:
+        start += 1
+    while end > start and text[end - 1] not in "0123456789":
+        end -= 1
+    if kind == 3 and start > 0 and text[start - 1] == "(" and ")" in text[start:end]:
+        start -= 1
+    return start, kind, end
+
+
 def find(texts: list[str], tagger: Tagger, chunk: int = 2048) -> list[tuple[list[Span], list[Span]]]:
     """Per text: the patterns' spans, and all spans."""
     out, jobs = [], []
     for k, text in enumerate(texts):
         base = pattern_spans(text)
         out.append((base, list(base)))
-        triggers = np.array([m.start() for m in TRIGGER.finditer(text)])
+        triggers = np.array([m.start() for m in TRIGGER.finditer(text)], np.int64)
         if len(triggers):
             jobs.append((k, *windows(codes(text), triggers)))
     if not jobs:
@@ -337,9 +505,12 @@ def find(texts: list[str], tagger: Tagger, chunk: int = 2048) -> list[tuple[list
     for k, _, _, starts in jobs:
         last = first + len(starts)
         base, every = out[k]
-        for (start, kind, end), trust in reconciled(len(texts[k]), starts, tags[first:last], sure[first:last]):
-            free = not any(s < end and start < e for s, _, e in base)
-            if free and trust >= SURE and plausible(kind, texts[k][start:end]):
+        for span, trust in reconciled(len(texts[k]), starts, tags[first:last], sure[first:last]):
+            if trust < SURE:
+                continue
+            start, kind, end = whole_tokens(texts[k], span)
+            free = not any(s < end and start < e for s, _, e in every)
+            if free and plausible(kind, texts[k][start:end]):
                 every.append((start, kind, end))
         every.sort()
         first = last
@@ -351,13 +522,10 @@ def written(spans: list[Span]) -> str:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE_TEXTS) -> Tagger:
-    """Train on a bounded sample of texts with a digit or ``@``; the patterns label it."""
-    own = docs.select(F.col("text").cast("string").alias("text")).where("text rlike '[0-9@]'")
-    n = own.count()
-    if not n:
-        return Tagger.new()
-    draw = F.pmod(F.xxhash64(F.lit("pii"), F.col("text")), F.lit(1 << 20))
-    texts = sorted(r[0] for r in own.where(draw < int((1 << 20) * min(1.0, sample / n)) + 1).select(F.substring("text", 1, SAMPLE_CHARS)).collect())
+    """Train on a bounded sample of whole texts with a trigger; the patterns label it."""
+    own = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike(TRIGGER.pattern))
+    rows = class_sample(own.withColumn("all", F.lit(0)), "all", "text", sample, SAMPLE_WORDS, "pii")
+    texts = sorted(r["text"] for r in rows)
     return train(texts, [pattern_spans(t) for t in texts])
 
 
