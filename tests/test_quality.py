@@ -58,10 +58,9 @@ def test_deduplicate_keeps_the_newest(spark):
         [("a", 1, "old"), ("a", 3, "new"), ("a", 2, "mid"), ("b", 1, "only")],
         "k string, loaded int, v string",
     )
-    for job in (quality.deduplicate, quality.deduplicate_by_window):
-        assert {(r.k, r.v) for r in job(df, ["k"], ["loaded"]).collect()} == {
-            ("a", "new"), ("b", "only")
-        }
+    assert {(r.k, r.v) for r in quality.deduplicate(df, ["k"], ["loaded"]).collect()} == {
+        ("a", "new"), ("b", "only")
+    }
 
 
 def test_quarantine_of_every_feed(layers):

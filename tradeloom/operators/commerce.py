@@ -300,6 +300,22 @@ def purchases_listing(
     )
 
 
+def nested(listing: DataFrame) -> DataFrame:
+    """A listing with one row per document, newest first, and its items as an array of structs.
+
+    The page is cut before the items are looked up, so the number of its documents bounds the rows; a
+    document without items has an empty array.
+    """
+    item = ["item_id", "product_id", "product_name", "quantity", "unit_price", "line_total"]
+    header = [c for c in listing.columns if c not in item]
+    entry = F.when(F.col("item_id").isNotNull(), F.struct(*item))
+    return (
+        listing.groupBy(*header)
+        .agg(F.sort_array(F.collect_list(entry)).alias("items"))
+        .orderBy(F.desc("date"), F.desc("id"))
+    )
+
+
 def payments_listing(
     payment: DataFrame,
     direction: str | None = None,

@@ -133,6 +133,23 @@ def dq_metrics(metrics: DataFrame, run_id: str, as_of: Column | None = None) ->
     )
 
 
+def drift(history: DataFrame, run_id: str, tolerance: float = 0.01) -> DataFrame:
+    """Failed share of every rule in a run against the run before it.
+
+    ``verdict`` is ``NEW`` for a rule without an earlier run, ``WORSE`` or ``BETTER`` where the share moved
+    by more than the tolerance, else ``SAME``.  Runs are ordered by the time of their check.
+    """
+    share = F.try_divide(F.col("failed").cast("double"), (F.col("passed") + F.col("failed")).cast("double"))
+    rows = history.withColumn("failed_share", F.coalesce(share, F.lit(0.0)))
+    runs = Window.partitionBy("table_name", "rule").orderBy("checked_at", "run_id")
+    seen = rows.withColumn("before_share", F.lag("failed_share").over(runs)).where(F.col("run_id") == run_id)
+    moved = F.col("failed_share") - F.col("before_share")
+    verdict = (
+        F.when(moved.isNull(), "NEW").when(moved > tolerance, "WORSE").when(moved < -tolerance, "BETTER").otherwise("SAME")
+    )
+    return seen.select("table_name", "rule", "failed", "failed_share", "before_share", verdict.alias("verdict"))
+
+
 def deduplicate(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
     """One row per key, the newest by the given columns.
 
@@ -142,11 +159,3 @@ def deduplicate(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str])
     order = F.struct(*[F.col(c) for c in newest_first])
     row = F.struct(*[F.col(c) for c in df.columns])
     return df.groupBy(*keys).agg(F.max_by(row, order).alias("_row")).select("_row.*")
-
-
-def deduplicate_by_window(
-    df: DataFrame, keys: Sequence[str], newest_first: Sequence[str]
-) -> DataFrame:
-    """The same by window, for keys known to have few copies."""
-    order = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in newest_first])
-    return df.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")

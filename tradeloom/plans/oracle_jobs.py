@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .oracle import (
     AS_OF,
+    DECIMALS,
     FRAGMENTS,
     LINE,
     ORD,
@@ -48,10 +49,34 @@ _RAW_COUNTS = {
 }
 
 
-_FACTS = (
-    "fact_purchase_orders fact_invoices fact_goods_receipts fact_project_costs "
-    "fact_project_actuals fact_vendor_performance fact_inventory fact_contracts fact_sales"
-).split()
+# Columns of each fact that its digest covers: key, date, amounts.
+BACKED_UP = {
+    "fact_purchase_orders": "po_id vendor_id po_date po_status po_value tax_amount total_value",
+    "fact_invoices": "invoice_id vendor_id invoice_date payment_status invoice_amount net_amount",
+    "fact_goods_receipts": "grn_id project_id receipt_date quantity_received quantity_accepted",
+    "fact_project_costs": "budget_id project_id period_start budget_amount actual_amount",
+    "fact_project_actuals": "transaction_id po_id posting_date actual_amount budget_amount",
+    "fact_vendor_performance": "performance_id vendor_id evaluation_date recommendation",
+    "fact_inventory": "movement_id material_id movement_date quantity total_value",
+    "fact_contracts": "contract_id vendor_id start_date contract_value items_total",
+    "fact_sales": "sales_order_id order_date product_name revenue cogs",
+}
+
+
+def _digest(table: str) -> str:
+    """Rows of a table and the sum of their hashes."""
+    numbers = DECIMALS.get(table, "").split()
+
+    def text(column: str) -> str:
+        value = f"CAST({column} AS DECIMAL(38,6))" if column in numbers else column
+        return f"'{column}=' || coalesce(CAST({value} AS VARCHAR), '\\N')"
+
+    row = f"concat_ws('|', {', '.join(text(n) for n in BACKED_UP[table].split())})"
+    total = f"SUM(CAST('0x' || substr(md5({row}), 1, 15) AS BIGINT)::HUGEINT)"
+    return (
+        f"SELECT '{table}' AS table_name, COUNT(*) AS row_count, "
+        f"CAST(coalesce({total}, 0) AS VARCHAR) AS digest FROM {table}"
+    )
 
 
 def ingestion_statements() -> dict[str, str]:
@@ -68,11 +93,7 @@ def ingestion_statements() -> dict[str, str]:
             f"ELSE status END AS status FROM ({audit})"
         ),
         "write_layer": whole("fact_purchase_orders"),
-        "backup_tables": statement(
-            " UNION ALL ".join(
-                f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in _FACTS
-            )
-        ),
+        "backup_tables": statement(" UNION ALL ".join(_digest(t) for t in BACKED_UP)),
         "incremental_ingest": statement(f"SELECT *, 'batch-1' AS _batch_id FROM ({_RAW_ORDERS})"),
         "corrupt_row_gate": statement(
             "SELECT CASE po_status WHEN 'PENDING' THEN 'rejected' ELSE 'kept' END AS verdict, "
@@ -453,6 +474,26 @@ def commerce_statements() -> dict[str, str]:
             FROM h JOIN supplier ON supplier_id = s_suppkey
             LEFT JOIN lineitem ON l_suppkey = supplier_id AND {SHIP} = date
             LEFT JOIN part ON l_partkey = p_partkey"""),
+        "sales_nested": f"""
+            WITH h AS (SELECT *, {ORD} AS d FROM orders WHERE {ORD} {YEAR}
+                       ORDER BY d DESC, o_orderkey DESC LIMIT 20 OFFSET 20)
+            SELECT o_orderkey AS id, d AS date, {dbl(mon('o_totalprice'))} AS total, {_STATUS} AS status,
+              COUNT(l_orderkey) AS item_count,
+              coalesce(string_agg({LINE} || ':' || l_partkey, ',' ORDER BY {LINE}), '') AS items
+            FROM h JOIN customer ON o_custkey = c_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey
+            GROUP BY 1, 2, 3, 4""",
+        "purchases_nested": statement(f"""
+            WITH h AS (SELECT * FROM c_purchase WHERE date {YEAR}
+                       ORDER BY date DESC, id DESC LIMIT 20 OFFSET 20)
+            SELECT id, date, {dbl('total')} AS total, 'Received' AS status, COUNT(l_orderkey) AS item_count,
+              coalesce(string_agg({LINE} || ':' || l_partkey, ',' ORDER BY {LINE}), '') AS items
+            FROM h LEFT JOIN lineitem ON l_suppkey = supplier_id AND {SHIP} = date GROUP BY 1, 2, 3"""),
+        "stock_ledger": f"""
+            SELECT l_partkey AS product_id, {big("""SUM(q)""")} AS on_hand FROM (
+              SELECT l_partkey, CAST(l_quantity AS BIGINT) AS q FROM lineitem
+              UNION ALL
+              SELECT l_partkey, -CAST(l_quantity AS BIGINT) - CASE WHEN l_orderkey % 5 = 0 THEN 1 ELSE 0 END
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 7 <> 0) GROUP BY 1""",
         "payments_listing": f"""
             SELECT {LINE} AS id, {SHIP} AS date, {dbl(mon('l_extendedprice'))} AS amount,
               'Outgoing' AS direction, l_orderkey AS reference_id, 'Purchase' AS reference_type,

@@ -69,8 +69,18 @@ def run_silver(
         "checked_rows long"
     )
     metrics = quality.dq_metrics(spark.createDataFrame(history, schema), run_id)
-    metrics.write.mode("append").format("parquet").saveAsTable(f"{layer}.dq_metrics")
-    return spark.read.table(f"{layer}.dq_metrics")
+    return record_metrics(metrics, run_id, f"{layer}.dq_metrics")
+
+
+def record_metrics(metrics: DataFrame, run_id: str, table: str) -> DataFrame:
+    """Add the metrics of a run to their history; a run that is repeated replaces its own part."""
+    spark = metrics.sparkSession
+    if spark.catalog.tableExists(table):
+        known = run_id.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (run_id = '{known}')")
+    writer = metrics.coalesce(1).write.mode("append").format("parquet").partitionBy("run_id")
+    writer.saveAsTable(table)
+    return spark.read.table(table)
 
 
 def stored_layers(

@@ -16,12 +16,14 @@ from ..functions import columns as c
 from ..operators import (
     commerce,
     cubes,
+    digest,
     dims,
     edits,
     hierarchy,
     history,
     insights,
     integrity,
+    ledger,
     measures,
     quality,
     reports,
@@ -34,6 +36,7 @@ from ..sources.schemas import KEYS, SOURCES
 from ..sources.star import FEEDS, Star
 from ..streaming import jobs as streams, merge, propagate, versions
 from .layers import CUBES, GOLD, Layers
+from .oracle_jobs import BACKED_UP
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,19 +192,18 @@ def _write_layer(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _backup_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """All facts are copied; the result shows the keys of one and the rows of every copy."""
+    """All facts are copied; the result is the number of rows and the digest of every copy."""
     gold, backup = _new_database(spark, "gold"), _new_database(spark, "backup")
     star = layers(spark, folder)
-    facts = [t for t in GOLD if t.startswith("fact_")]
-    for table in facts:
+    for table in BACKED_UP:
         tables.write_layer(star.gold(table), gold, table, "Facts", "gold")
-    tables.backup_tables(spark, gold, facts, backup)
+    tables.backup_tables(spark, gold, BACKED_UP, backup)
     return union(
         [
-            tables.read_upper_layer(spark, backup, t)
-            .agg(F.count(F.lit(1)).alias("row_count"))
-            .select(F.lit(t).alias("table_name"), "row_count")
-            for t in facts
+            digest.table_digest(tables.read_upper_layer(spark, backup, t), columns.split()).select(
+                F.lit(t).alias("table_name"), "row_count", "digest"
+            )
+            for t, columns in BACKED_UP.items()
         ]
     )
 
@@ -402,6 +404,42 @@ def _stock_changes(t: dict[str, DataFrame]) -> DataFrame:
     return commerce.stock_changes(t["purchase"], t["purchase_item"], t["sale"], t["sale_item"])
 
 
+def _with_items_as_text(listing: DataFrame) -> DataFrame:
+    """Items as text, so that the result compares with other engines."""
+    items = F.array_join(F.transform("items", lambda x: F.concat_ws(":", x["item_id"], x["product_id"])), ",")
+    return commerce.nested(listing).select(
+        "id", "date", "total", "status", F.size("items").cast("long").alias("item_count"), items.alias("items")
+    )
+
+
+def _stock_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Balances after sales were entered, edited, deleted and sent again, from an append-only ledger."""
+    t = star_schema.commerce(Star(spark, folder))
+
+    def side(kind: str, sign: int, version: int, rows: DataFrame, deleted: bool, more: int) -> DataFrame:
+        headers = rows.select("id", F.lit(version).alias("version"), "date", F.lit(deleted).alias("deleted"))
+        items = t[f"{kind}_item"].join(rows.select(F.col("id").alias(f"{kind}_id")), f"{kind}_id", "left_semi")
+        items = items.select(
+            F.col(f"{kind}_id").alias("id"), F.lit(version).alias("version"), "product_id",
+            (F.col("quantity") + more).alias("quantity"),
+        )
+        return ledger.versions_of(items, headers, kind, sign)
+
+    sale, purchase = t["sale"], t["purchase"]
+    entered = side("sale", -1, 1, sale, False, 0).unionByName(side("purchase", 1, 1, purchase, False, 0))
+    edited = side("sale", -1, 2, sale.where("id % 5 = 0"), False, 1)
+    deleted = side("sale", -1, 3, sale.where("id % 7 = 0"), True, 0)
+    again = side("sale", -1, 1, sale.where("id % 3 = 0"), False, 0)
+    path = fresh_path(spark, "ledger")
+    spark.createDataFrame([], ledger.MOVEMENT).write.parquet(path)
+    for n, batch in enumerate((edited, entered, deleted.unionByName(again))):
+        if n == 1:  # what was edited before it was entered is not entered again
+            batch = batch.unionByName(edited)
+        held = spark.read.schema(ledger.MOVEMENT).parquet(path)
+        ledger.new_movements(held, batch).write.mode("append").parquet(path)
+    return ledger.balance(spark.read.schema(ledger.MOVEMENT).parquet(path))
+
+
 def commerce_queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         name: on_star(lambda s, f=report: f(star_schema.sales(s)))
@@ -462,6 +500,21 @@ def commerce_queries() -> dict[str, Query]:
                 t["app_user"], class_id=2, page=3,
             )
         ),
+        "sales_nested": on_commerce(
+            lambda t: _with_items_as_text(
+                commerce.sales_listing(
+                    t["sale"], t["sale_item"], t["product"], t["customer"], *YEAR, page=2
+                )
+            )
+        ),
+        "purchases_nested": on_commerce(
+            lambda t: _with_items_as_text(
+                commerce.purchases_listing(
+                    t["purchase"], t["purchase_item"], t["product"], t["supplier"], *YEAR, page=2
+                )
+            )
+        ),
+        "stock_ledger": _stock_ledger,
         "stock_on_hand": on_commerce(
             lambda t: commerce.stock_on_hand(t["product"], _stock_changes(t))
         ),
