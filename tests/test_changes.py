@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 
 from known import AS_OF
-from tradeloom.operators import edits, facts, history, silver
+from tradeloom.operators import edits, facts, history
 from tradeloom.operators.edits import Edit, scale, set_to, subtract_floored
 from tradeloom.session import fresh_path
 from tradeloom.streaming import jobs as streams
@@ -178,17 +178,3 @@ def test_incremental_ingest_takes_each_file_once(spark, tmp_path):
     assert {(r._batch_id, r["count"]) for r in rows.groupBy("_batch_id").count().collect()} == {
         ("b1", 3), ("b3", 3)
     }
-
-
-def test_stream_quality(spark, feed):
-    table = "vendor_performance"
-    good, bad, metrics = (fresh_path(spark, n) for n in ("good", "bad", "metrics"))
-    streams.stream_dq(
-        silver.JOBS[table](feed(table), AS_OF), silver.RULES[table], good, bad, metrics,
-        fresh_path(spark, "state"),
-    )
-    assert spark.read.parquet(good).count() == 2
-    rejected = spark.read.parquet(bad).collect()
-    assert [r.failed_rules for r in rejected] == [["valid_vendor_ref"]]
-    totals = spark.read.parquet(metrics).groupBy().sum("rows", "valid_vendor_ref").collect()[0]
-    assert tuple(totals) == (3, 1)

@@ -149,9 +149,11 @@ def _unfiltered(table: str) -> str:
     return name if name in FRAGMENTS else f"s_{table}"
 
 
-def _metrics() -> str:
+def _metrics(only: tuple[str, ...] = ()) -> str:
     parts = []
     for table, rule, condition, action in _RULES:
+        if only and table not in only:
+            continue
         bad = (
             f"COUNT(*) - COUNT(CASE WHEN {condition} THEN 1 END)" if action == "drop"
             else f"COUNT(CASE WHEN NOT ({condition}) THEN 1 END)"
@@ -1134,6 +1136,7 @@ def stream_statements() -> dict[str, str]:
         "SELECT CASE WHEN vendor_id IS NULL THEN 'valid_vendor_ref' ELSE 'kept' END AS outcome, "
         "evaluation_period, COUNT(*) AS row_count FROM all_vendor_performance GROUP BY 1, 2"
     )
+    out["stream_dq_metrics"] = statement(_metrics(("vendor_performance", "contracts", "sales_orders")))
     return out
 
 

@@ -34,7 +34,7 @@ from ..session import fresh_path
 from ..sources import ingest, rewrite, star as star_schema, tables
 from ..sources.schemas import KEYS, SOURCES
 from ..sources.star import FEEDS, Star
-from ..streaming import jobs as streams, merge, propagate, versions
+from ..streaming import jobs as streams, merge, observed, propagate, versions
 from .layers import CUBES, GOLD, Layers
 from .oracle_jobs import BACKED_UP
 
@@ -874,19 +874,23 @@ def _stream_fact(feed: str, table: str, *lookups: str) -> Query:
     return query
 
 
+def _checked_stream(spark: SparkSession, l: Layers, table: str, parts: int) -> tuple[str, str]:
+    """Folders of the rows and counts of a feed that arrived in some batches."""
+    feed, rows, counts, state = (fresh_path(spark, n) for n in ("feed", "rows", "counts", "state"))
+    raw = l.raw(table)
+    raw.repartition(parts).write.parquet(feed)
+    arriving = silver.JOBS[table](streams.stream_parquet(spark, feed, raw, max_files=1), AS_OF)
+    observed.stream_dq(arriving, silver.RULES[table], table, rows, counts, state)
+    return rows, counts
+
+
 def _stream_dq(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per outcome after the expectations of the evaluations ran on a stream."""
-    table = "vendor_performance"
-    raw = _as_stream(spark, layers(spark, folder).raw(table))
-    good, bad, metrics = (fresh_path(spark, n) for n in ("good", "bad", "metrics"))
-    streams.stream_dq(
-        silver.JOBS[table](raw, AS_OF), silver.RULES[table], good, bad, metrics,
-        fresh_path(spark, "state"),
-    )
-    kept = spark.read.parquet(good).select(
+    rows, _ = _checked_stream(spark, layers(spark, folder), "vendor_performance", 1)
+    kept = observed.good_rows(spark, rows).select(
         F.lit("kept").alias("outcome"), "evaluation_period"
     )
-    rejected = spark.read.parquet(bad).select(
+    rejected = observed.quarantined_rows(spark, rows).select(
         F.array_join("failed_rules", ",").alias("outcome"), "evaluation_period"
     )
     return kept.unionByName(rejected).groupBy("outcome", "evaluation_period").agg(
@@ -894,6 +898,16 @@ def _stream_dq(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _stream_dq_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts per rule that were observed on three streams of three batches each."""
+    l = layers(spark, folder)
+    parts = []
+    for table in ("vendor_performance", "contracts", "sales_orders"):
+        _, counts = _checked_stream(spark, l, table, 3)
+        parts.append(observed.totals(spark, counts))
+    return union(parts)
+
+
 def _late_fact(table: str) -> Query:
     """A fact from three batches: stale and missing children first, repeats, corrections last."""
 
@@ -978,6 +992,7 @@ def stream_queries() -> dict[str, Query]:
         "stream_fact_contracts": _stream_fact("contracts", "fact_contracts", "contract_items"),
         "stream_fact_sales": _stream_fact("sales_orders", "fact_sales", "materials"),
         "stream_dq": _stream_dq,
+        "stream_dq_metrics": _stream_dq_metrics,
     }
 
 
