@@ -87,17 +87,71 @@ def test_battery_statistics(spark):
         assert r.serial == pytest.approx(sum((x - mean) * (y - mean) for x, y in zip(codes, codes[1:], strict=False)) / sum((c - mean) ** 2 for c in codes))
 
 
+def benjamini_hochberg(ps, eligible, rate):
+    """Plain step-up procedure: the largest p-value that may be rejected, or None."""
+    order = sorted(range(len(ps)), key=lambda i: ps[i])
+    rank, best = 0, None
+    for i in order:
+        rank += eligible[i]
+        same = sum(eligible[j] for j in order if ps[j] <= ps[i])
+        if same and ps[i] * len(ps) <= rate * same:
+            best = ps[i]
+    return best
+
+
 def test_discoveries_are_benjamini_hochberg(spark):
     rng = random.Random(9)
-    rows = [(i, 10.0 ** -rng.choice([0.1, 1.1, 2.1, 3.6, 5.1, 8.1]), rng.choice([1e-5, 0.5]), rng.choice([24.0, 50.0])) for i in range(300)]
+    # p-values at the ends of steps, so that steps lose nothing.
+    natural = lambda: 10.0 ** (-rng.choice([0, 1, 2, 3, 70, 100, 200, 330, 500]) * secrets.STEP)
+    chance = lambda: 10.0 ** (-rng.choice([0, 5, 30, 64, 128, 192, 200, 400]) * secrets.STEP)
+    rows = [(i, natural() * 0.9999, chance() * 0.9999, rng.choice([24.0, 50.0, 100.0])) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, p_natural double, p_random double, n double")
-    got = {r.id for r in secrets.discoveries(df, rate=0.05).collect()}
-    want = set()
+    got = {r.id for r in secrets.discoveries(df, rate=0.05, random_rate=0.02).collect()}
+    want, rejected = set(), 0
     for stratum in {math.floor(math.log2(n)) for *_, n in rows}:
-        mine = [(math.floor(-math.log10(p) / 0.25), q, i) for i, p, q, n in rows if math.floor(math.log2(n)) == stratum]
-        passing = [s for s, _, _ in mine if (k := sum(t >= s and q >= 1e-3 for t, q, _ in mine)) and 10 ** (-0.25 * s) * len(mine) <= 0.05 * k]
-        want |= {i for s, q, i in mine if passing and s >= min(passing) and q >= 1e-3}
+        mine = [r for r in rows if math.floor(math.log2(r[3])) == stratum]
+        limit = benjamini_hochberg([q for _, _, q, _ in mine], [True] * len(mine), 0.02)
+        kept = [limit is None or q > limit for _, _, q, _ in mine]
+        rejected += len(kept) - sum(kept)
+        limit = benjamini_hochberg([p for _, p, _, _ in mine], kept, 0.05)
+        want |= {i for (i, p, _, _), k in zip(mine, kept, strict=True) if limit is not None and k and p <= limit}
     assert got == want
+    assert 0 < len(want) < 300 and 0 < rejected < 300
+
+
+def test_tails_equal_the_normal_distribution(spark):
+    zs = [x / 8 for x in range(-40, 240)] + [36.0]
+    df = spark.createDataFrame([(z,) for z in zs], "z double")
+    got = df.select("z", F.expr(secrets._upper_tail("z")).alias("p"), F.expr(secrets._two_sided("z")).alias("q")).collect()
+    for r in got:
+        assert r.p == pytest.approx(max(math.erfc(r.z / math.sqrt(2)) / 2, 1e-250), rel=3e-7)
+        assert r.q == pytest.approx(max(math.erfc(abs(r.z) / math.sqrt(2)), 2e-250), rel=3e-7)
+
+
+def test_planted_keys_in_the_whole_table(spark, tiny):
+    """Keys of every encoding planted in the given texts, one hot document with thousands among them."""
+    rng = random.Random(12)
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text").collect()
+    alphabets = {"base64": secrets.ENCODINGS["base64"][1], "base32": secrets.ENCODINGS["base32"][1], "base36": secrets.ENCODINGS["base36"][1]}
+    texts, planted = {}, {}
+    for r in docs:
+        text = r.text or ""
+        if r.doc_id % 3 == 0:
+            key = "".join(rng.choice(alphabets[rng.choice(list(alphabets))]) for _ in range(rng.choice([40, 48, 64])))
+            at = text.find(" ", rng.randrange(len(text) + 1)) + 1
+            text, planted[r.doc_id] = f"{text[:at]}{key} {text[at:]}", (at, at + len(key), key)
+        texts[r.doc_id] = text
+    hot = max(texts) + 1
+    keys = ["".join(rng.choice(alphabets["base64"]) for _ in range(40)) for _ in range(3000)]
+    texts[hot] = " ".join(keys)
+    got = {r.doc_id: r for r in secrets.scan(frame(spark, list(texts.values()), ids=list(texts))).collect()}
+    check(got.values(), texts)
+    hit = {k for k, (s, e, key) in planted.items() if f"random:{s}:{e}" in got[k].spans.split(",")}
+    assert len(hit) >= 0.9 * len(planted)
+    assert got[hot].spans.count("random:") >= 0.95 * len(keys)
+    extra = [x for k, r in got.items() if k != hot for x in r.spans.split(",") if x.startswith("random")
+             and (k not in planted or x != f"random:{planted[k][0]}:{planted[k][1]}")]
+    assert len(extra) <= 2
 
 
 def test_whole_table(spark, tiny):
