@@ -6,6 +6,7 @@ import pytest
 
 from tradeloom.operators import integrity, quality, silver
 from tradeloom.operators.quality import FAIL, Rule
+from tradeloom.plans.layers import CUBES, STAR_CONTRACT
 
 
 @pytest.fixture(scope="module")
@@ -120,3 +121,42 @@ def test_layer_contract(layers):
     ).collect()[0]
     assert (row.lower_rows, row.upper_rows, row.null_keys, row.holds) == (3, 2, 0, True)
     assert integrity.missing_columns(layers.raw("vendors"), layers.silver("vendors")) == []
+
+
+def test_star_contract(spark, layers):
+    for table, (source, key, columns) in STAR_CONTRACT.items():
+        row = integrity.star_contract(layers.silver(source), layers.gold(table), key, columns.split(), table).collect()[0]
+        assert row.holds and row.missing_columns == "" and row.upper_rows == row.lower_rows, table
+    lower = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    upper = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "c")], "k int, v string")
+    row = integrity.star_contract(lower, upper, "k", ["v", "w", "a"], "t").collect()[0]
+    assert tuple(row) == ("t", 3, 4, 2, 1, "a w", False)
+    row = integrity.star_contract(lower, upper.select("v"), "k", [], "t").collect()[0]
+    assert (row.null_keys, row.repeated_keys, row.missing_columns, row.holds) == (4, 0, "k", False)
+    row = integrity.star_contract(lower, upper.limit(0), "k", ["v"], "t").collect()[0]
+    assert tuple(row) == ("t", 3, 0, 0, 0, "", True)
+
+
+def test_cubes_read_only_what_the_star_promises(spark, layers):
+    """Every cube resolves on tables cut down to the columns of their contract."""
+
+    class Narrow:
+        as_of = layers.as_of
+
+        def gold(self, table):
+            if table not in STAR_CONTRACT:
+                return layers.gold(table)
+            _, key, columns = STAR_CONTRACT[table]
+            return layers.gold(table).select(key, *columns.split())
+
+    for name, cube in CUBES.items():
+        assert cube(Narrow()).columns == layers.cube(name).columns, name
+
+
+def test_reference_counts(spark):
+    child = spark.createDataFrame([(1,), (1,), (2,), (9,), (9,), (8,), (None,)], "k int")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
+    got = integrity.reference_counts(child, "k", parent, "k", "t").collect()
+    assert [tuple(r) for r in got] == [("t", "k", 1, 2, 3)]
+    got = integrity.reference_counts(child.limit(0), "k", parent, "k", "t").collect()
+    assert [tuple(r) for r in got] == [("t", "k", 0, 0, 0)]

@@ -217,3 +217,57 @@ def layer_contract(
         F.lit(table).alias("table_name"), "lower_rows", "upper_rows", "null_keys",
         holds.alias("holds"),
     )
+
+
+def star_contract(
+    lower: DataFrame, upper: DataFrame, key: str, columns: Sequence[str], table: str
+) -> DataFrame:
+    """One row about a table of the star schema and the cleansed table it comes from.
+
+    It must not have more rows, no null and no repeated keys, and every column that cubes read;
+    the columns it lacks are listed.  Without its key every row counts as one with a null key.
+    Rows of one key collapse before the shuffle.
+    """
+    lacking = sorted({key, *columns} - set(upper.columns))
+    value = F.col(key) if key in upper.columns else F.lit(None).cast("string")
+    copies = upper.groupBy(value.alias("_key")).agg(F.count(F.lit(1)).alias("_copies"))
+    zero = F.lit(0).cast("long")
+    above = copies.agg(
+        zero.alias("lower_rows"),
+        F.coalesce(F.sum("_copies"), zero).alias("upper_rows"),
+        F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_copies"))), zero).alias("null_keys"),
+        F.count_if(F.col("_key").isNotNull() & (F.col("_copies") > 1)).alias("repeated_keys"),
+    )
+    below = lower.agg(
+        F.count(F.lit(1)).alias("lower_rows"),
+        *[zero.alias(n) for n in ("upper_rows", "null_keys", "repeated_keys")],
+    )
+    names = ("lower_rows", "upper_rows", "null_keys", "repeated_keys")
+    totals = above.unionByName(below).agg(*[F.sum(n).alias(n) for n in names])
+    fits = (F.col("upper_rows") <= F.col("lower_rows")) & (F.col("null_keys") == 0) & (F.col("repeated_keys") == 0)
+    return totals.select(
+        F.lit(table).alias("table_name"), *names, F.lit(" ".join(lacking)).alias("missing_columns"),
+        (fits & F.lit(not lacking)).alias("holds"),
+    )
+
+
+def reference_counts(
+    child: DataFrame, column: str, parent: DataFrame, parent_key: str, table: str
+) -> DataFrame:
+    """One row about a reference: rows without a value, and values and rows without a parent.
+
+    Rows of one value are counted before the join, so a hot value is one row of it.
+    """
+    used = child.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    keys = parent.select(F.col(parent_key).alias("_parent_key")).distinct()
+    met = used.join(keys, F.col("_value") == F.col("_parent_key"), "left")
+    orphan = F.col("_value").isNotNull() & F.col("_parent_key").isNull()
+    zero = F.lit(0).cast("long")
+    return met.agg(
+        F.coalesce(F.sum(F.when(F.col("_value").isNull(), F.col("_rows"))), zero).alias("null_rows"),
+        F.count_if(orphan).alias("orphan_keys"),
+        F.coalesce(F.sum(F.when(orphan, F.col("_rows"))), zero).alias("orphan_rows"),
+    ).select(
+        F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "null_rows",
+        "orphan_keys", "orphan_rows",
+    )

@@ -137,3 +137,70 @@ CUBES: dict[str, Callable[[Layers], DataFrame]] = {
         l.gold("dim_vendor"),
     ),
 }
+
+# What the star schema owes its readers: per table the cleansed table it comes from, its key, and the
+# columns that cubes read.
+STAR_CONTRACT: dict[str, tuple[str, str, str]] = {
+    "dim_vendor": ("vendors", "vendor_id", "vendor_name vendor_sector sector vendor_country vendor_city tier status _is_current"),
+    "dim_project": (
+        "projects", "project_id",
+        "project_name sector status start_date end_date project_duration_days priority region _is_current",
+    ),
+    "dim_material": ("materials", "material_id", "material_name material_category _is_current"),
+    "dim_employee": ("employees", "employee_id", "_is_current"),
+    "dim_contract": (
+        "contracts", "contract_id",
+        "project_id contract_type status original_value revised_value start_date end_date contract_duration_days "
+        "cost_growth_pct _is_current",
+    ),
+    "fact_purchase_orders": (
+        "purchase_orders", "po_id",
+        "vendor_id project_id po_date expected_delivery_date total_amount line_total total_quantity",
+    ),
+    "fact_invoices": (
+        "invoices", "invoice_id",
+        "vendor_id po_id project_id payment_status invoice_date payment_date net_amount tax_amount gross_amount "
+        "days_outstanding aging_bucket",
+    ),
+    "fact_goods_receipts": (
+        "goods_receipts", "grn_id",
+        "po_id vendor_id material_id receipt_date quantity_received quantity_accepted quantity_rejected "
+        "acceptance_rate receipt_value",
+    ),
+    "fact_project_costs": (
+        "project_budgets", "budget_id",
+        "project_id wbs_element cost_type budget_amount committed_amount actual_amount variance_amount variance_pct "
+        "posting_date",
+    ),
+    "fact_project_actuals": ("project_actuals", "transaction_id", ""),
+    "fact_vendor_performance": (
+        "vendor_performance", "performance_id",
+        "vendor_id evaluation_date evaluation_period delivery_score quality_score commercial_score hse_score "
+        "overall_score recommendation",
+    ),
+    "fact_inventory": (
+        "inventory", "movement_id", "material_id movement_type movement_date quantity unit_cost total_value"
+    ),
+    "fact_contracts": (
+        "contracts", "contract_id", "vendor_id project_id items_total item_count value_utilisation_pct"
+    ),
+    "fact_sales": (
+        "sales_orders", "sales_order_id",
+        "product_name customer_name customer_type order_type order_date quantity unit_price revenue cogs gross_margin",
+    ),
+}
+
+# References from facts into dimensions, by the name of the key on both sides.
+_KEY_OF = {"vendor_id": "dim_vendor", "project_id": "dim_project", "material_id": "dim_material"}
+STAR_REFERENCES: dict[str, dict[str, str]] = {
+    t: {k: _KEY_OF[k] for k in keys.split()}
+    for t, keys in {
+        "fact_purchase_orders": "vendor_id project_id",
+        "fact_invoices": "vendor_id project_id",
+        "fact_goods_receipts": "vendor_id project_id material_id",
+        "fact_project_costs": "project_id",
+        "fact_vendor_performance": "vendor_id",
+        "fact_inventory": "material_id",
+        "fact_contracts": "vendor_id project_id",
+    }.items()
+}

@@ -144,6 +144,29 @@ _RULES = [
 ]
 
 
+_STAR = [
+    ("dim_vendor", "vendors", "vendor_id"), ("dim_project", "projects", "project_id"),
+    ("dim_material", "materials", "material_id"), ("dim_employee", "employees", "employee_id"),
+    ("dim_contract", "contracts", "contract_id"), ("fact_purchase_orders", "purchase_orders", "po_id"),
+    ("fact_invoices", "invoices", "invoice_id"), ("fact_goods_receipts", "goods_receipts", "grn_id"),
+    ("fact_project_costs", "project_budgets", "budget_id"),
+    ("fact_project_actuals", "project_actuals", "transaction_id"),
+    ("fact_vendor_performance", "vendor_performance", "performance_id"),
+    ("fact_inventory", "inventory", "movement_id"), ("fact_contracts", "contracts", "contract_id"),
+    ("fact_sales", "sales_orders", "sales_order_id"),
+]
+_VENDOR, _PROJECT, _MATERIAL = {"vendor_id": "dim_vendor"}, {"project_id": "dim_project"}, {"material_id": "dim_material"}
+_STAR_REFERENCES = {
+    "fact_purchase_orders": _VENDOR | _PROJECT,
+    "fact_invoices": _VENDOR | _PROJECT,
+    "fact_goods_receipts": _VENDOR | _PROJECT | _MATERIAL,
+    "fact_project_costs": _PROJECT,
+    "fact_vendor_performance": _VENDOR,
+    "fact_inventory": _MATERIAL,
+    "fact_contracts": _VENDOR | _PROJECT,
+}
+
+
 def _unfiltered(table: str) -> str:
     name = f"all_{table}"
     return name if name in FRAGMENTS else f"s_{table}"
@@ -205,6 +228,20 @@ def quality_statements() -> dict[str, str]:
         f"COUNT(*) <= (SELECT COUNT(*) FROM {source}) AS holds FROM s_{t}"
         for t, source in _RAW_COUNTS.items()
     )
+    star = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM s_{source}) AS lower_rows, COUNT(*) AS upper_rows, "
+        f"COUNT(*) - COUNT({key}) AS null_keys, (SELECT COUNT(*) FROM (SELECT {key} FROM {t} WHERE {key} IS NOT NULL "
+        f"GROUP BY 1 HAVING COUNT(*) > 1)) AS repeated_keys, '' AS missing_columns FROM {t}"
+        for t, source, key in _STAR
+    )
+    references = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{column}' AS column_name, COUNT(*) - COUNT({column}) AS null_rows, "
+        f"COUNT(DISTINCT CASE WHEN {column} NOT IN (SELECT {column} FROM {dim} WHERE {column} IS NOT NULL) THEN {column} END) "
+        f"AS orphan_keys, COUNT(CASE WHEN {column} NOT IN (SELECT {column} FROM {dim} WHERE {column} IS NOT NULL) "
+        f"THEN 1 END) AS orphan_rows FROM {t}"
+        for t, columns in _STAR_REFERENCES.items()
+        for column, dim in columns.items()
+    )
     composite = (
         "delivery_score * 0.30::DOUBLE + quality_score * 0.30::DOUBLE "
         "+ commercial_score * 0.20::DOUBLE + hse_score * 0.20::DOUBLE"
@@ -277,6 +314,11 @@ def quality_statements() -> dict[str, str]:
             "FROM s_contract_items"
         ),
         "layer_contract": statement(handover),
+        "star_contract": statement(
+            "SELECT *, upper_rows <= lower_rows AND null_keys = 0 AND repeated_keys = 0 AS holds "
+            f"FROM ({star})"
+        ),
+        "star_references": statement(references),
     }
 
 

@@ -35,7 +35,7 @@ from ..sources import ingest, rewrite, star as star_schema, tables
 from ..sources.schemas import KEYS, SOURCES
 from ..sources.star import FEEDS, Star
 from ..streaming import jobs as streams, merge, observed, propagate, versions
-from .layers import CUBES, GOLD, Layers
+from .layers import CUBES, GOLD, STAR_CONTRACT, STAR_REFERENCES, Layers
 from .oracle_jobs import BACKED_UP
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,6 +305,25 @@ def _layer_contract(l: Layers) -> DataFrame:
     )
 
 
+def _star_contract(l: Layers) -> DataFrame:
+    return union(
+        [
+            integrity.star_contract(l.silver(source), l.gold(t), key, columns.split(), t)
+            for t, (source, key, columns) in STAR_CONTRACT.items()
+        ]
+    )
+
+
+def _star_references(l: Layers) -> DataFrame:
+    return union(
+        [
+            integrity.reference_counts(l.gold(t), column, l.gold(dim), column, t)
+            for t, columns in STAR_REFERENCES.items()
+            for column, dim in columns.items()
+        ]
+    )
+
+
 def _composite_check(l: Layers) -> DataFrame:
     expected = integrity.composite_score(
         "delivery_score", "quality_score", "commercial_score", "hse_score"
@@ -374,6 +393,8 @@ def quality_queries() -> dict[str, Query]:
             )
         ),
         "layer_contract": on_layers(_layer_contract),
+        "star_contract": on_layers(_star_contract),
+        "star_references": on_layers(_star_references),
     }
 
 
