@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
 
 from tradeloom.llm import quality
 
@@ -49,13 +51,40 @@ def texts():
 
 def test_features_and_verdict_equal_brute_force(spark):
     every = texts()
-    got = {r.doc_id: r for r in quality.judge(frame(spark, every)).collect()}
+    docs = frame(spark, every)
+    got = {r.doc_id: r for r in quality.judge(docs).collect()}
+    capitals = {r.doc_id: r.n for r in quality.cut(docs).select("doc.doc_id", F.expr(quality.FEATURES["n_upper"]).alias("n")).collect()}
     for i, text in enumerate(every):
         f = features(text)
-        assert {k: got[i][k] for k in f} == f, repr(text)
+        assert {k: got[i][k] for k in quality.JUDGED} | {"n_upper": capitals[i]} == f, repr(text)
         assert (got[i].base_failed, got[i].kept) == (base_failed(f), kept(f))
 
 
+def test_rules_behind_the_base_verdict_run_for_texts_that_reach_them(spark):
+    """A rule that fails when it is run does so only behind the base verdict and behind earlier rules."""
+    docs = frame(spark, [None, "few words", "# " + " ".join(f"w{i}" for i in range(99)) + " #" * 20, "same " * 200])
+    stops = quality.Rule("stops", "raise_error('reached') is null")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "order_rules", lambda docs, rules, **_: list(rules))
+        got = quality.judge(docs, [quality.MORE[0], stops]).collect()
+        assert [r.kept for r in got] == [False] * 4
+        with pytest.raises(Exception, match="reached"):
+            quality.judge(docs, [stops]).collect()
+
+
+def test_order_counts_what_earlier_rules_left(spark, monkeypatch):
+    """Texts that the base rules reject and features computed before do not weigh in the order."""
+    long = " ".join(f"w{i}" for i in range(60))
+    symbols = [f"{long} {'#' * 30} {n}" for n in range(120)]
+    docs = frame(spark, [f"X{n}" for n in range(400)] + symbols + [f"{long} {long.upper()} {n}" for n in range(30)])
+    ticks = iter(range(10_000))
+    monkeypatch.setattr(quality.time, "perf_counter", lambda: next(ticks))
+    rules = [quality.Rule("upper", "{n_upper} > 0"), quality.Rule("symbols", "{n_symbols} > 0")]
+    assert [r.name for r in quality.order_rules(docs, rules)] == ["upper", "symbols"]
+    assert [r.name for r in quality.order_rules(docs, rules, after=quality.BASE, known=quality.JUDGED)] == ["symbols", "upper"]
+    assert quality.order_rules(frame(spark, ["X"]), rules, after=quality.BASE) == rules
+
+
 def test_kept_rows_do_not_depend_on_the_order(spark):
     every = texts()
     docs = frame(spark, every)

@@ -84,6 +84,9 @@ MORE = (
 )
 RULES = BASE + MORE
 
+#: Features that ``judge`` returns for every row.
+JUDGED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+
 
 def cascade_sql(rules: Sequence[Rule], features: dict[str, str]) -> str:
     """SQL: name of the first rule that rejects a text, null if none does."""
@@ -96,11 +99,19 @@ def cascade(rules: Sequence[Rule], features: dict[str, str]) -> Column:
     return F.expr(cascade_sql(rules, features))
 
 
-def order_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+def order_rules(
+    docs: DataFrame,
+    rules: Sequence[Rule] = RULES,
+    sample_rows: int = SAMPLE_ROWS,
+    after: Sequence[Rule] = (),
+    known: Sequence[str] = (),
+) -> list[Rule]:
     """Order rules by newly rejected texts per second of work, measured on a bounded sample.
 
     The sample is spread by a hash of the text over the first files.  Rules without a rejection in
-    it come last, cheapest first.  With an empty table the given order stays.
+    it come last, cheapest first.  ``after`` are rules applied before these: what they reject counts
+    for nothing.  ``known`` are features computed before these rules, so they cost nothing.  With no
+    text left the given order stays.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("string").alias("text"))
@@ -108,13 +119,20 @@ def order_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int
     if not rows:
         return list(rules)
     sample = cut(spark.createDataFrame([(r.text,) for r in rows], "text string").coalesce(1))
+    if after or known:
+        passed = sample.where(cascade(after, FEATURES).isNull())
+        rows = passed.select("text", *[F.expr(FEATURES[k]).alias(k) for k in known]).collect()
+        if not rows:
+            return list(rules)
+        schema = ", ".join(["text string", *[f"{k} long" for k in known]])
+        sample = cut(spark.createDataFrame(rows, schema).coalesce(1)).select("text", "words", "lines", *[f"doc.{k}" for k in known])
 
     def seconds(condition: str) -> float:
         started = time.perf_counter()
         sample.agg(F.count_if(F.expr(condition))).collect()
         return time.perf_counter() - started
 
-    conditions = [r.sql(FEATURES) for r in rules]
+    conditions = [r.sql(FEATURES | {k: k for k in known}) for r in rules]
     floor = min(seconds("size(words) + size(lines) < 0") for _ in range(2))
     costs = [max(min(seconds(c) for _ in range(2)) - floor, 1e-4) for c in conditions]
     held = sample.select(*[F.coalesce(F.expr(c), F.lit(False)).alias(f"r{i}") for i, c in enumerate(conditions)])
@@ -133,20 +151,23 @@ def order_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int
 def judge(docs: DataFrame, rules: Sequence[Rule] = MORE) -> DataFrame:
     """Features and verdict per row: ``doc_id``, the features, ``base_failed``, ``kept``.
 
-    Null and empty texts have zero features and fail the base rules.  Texts of any length are read
-    whole.  Repeated rows are judged one by one; other columns are ignored; an empty table gives no
-    rows.  Every feature is a column here, so the cascade over the further rules costs nothing
-    more; ``keep`` computes features only as far as they are needed.
+    The features of ``JUDGED`` are columns of the result.  ``rules`` run behind the base verdict as a
+    cascade in measured order; features that only they name (``n_upper``) are computed for texts that
+    reach the rule, and are no columns.  Null and empty texts have zero features and fail the base
+    rules.  Texts of any length are read whole.  Repeated rows are judged one by one; other columns
+    are ignored; an empty table gives no rows.
     """
-    ordered = order_rules(docs, rules)
-    found = cut(docs).select(F.col("doc.doc_id").alias("doc_id"), *[F.expr(sql).alias(name) for name, sql in FEATURES.items()])
-    columns = {k: k for k in FEATURES}
+    ordered = order_rules(docs, rules, after=BASE, known=JUDGED)
+    computed = [F.expr(FEATURES[name]).alias(name) for name in JUDGED]
+    found = cut(docs).select(F.col("doc.doc_id").alias("doc_id"), "text", "words", "lines", *computed)
+    columns = FEATURES | {k: k for k in JUDGED}
     failed = F.expr(" or ".join(f"({r.sql(columns)})" for r in BASE))
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"),
+        # AND and CASE stop early: behind the base verdict, and at the first rule that holds.
         (~failed & cascade(ordered, columns).isNull()).alias("kept"),
-        "n_lines", "n_upper",
+        "n_lines",
     )
 
 
