@@ -120,8 +120,9 @@ def order_rules(
         return list(rules)
     sample = cut(spark.createDataFrame([(r.text,) for r in rows], "text string").coalesce(1))
     if after or known:
-        passed = sample.where(cascade(after, FEATURES).isNull())
-        rows = passed.select("text", *[F.expr(FEATURES[k]).alias(k) for k in known]).collect()
+        # The verdict is a column, not a filter: a filter would cut the text again wherever it names the pieces.
+        judged = sample.select(cascade(after, FEATURES).alias("rejected"), "text", *[F.expr(FEATURES[k]).alias(k) for k in known])
+        rows = [r[1:] for r in judged.collect() if r.rejected is None]
         if not rows:
             return list(rules)
         schema = ", ".join(["text string", *[f"{k} long" for k in known]])
