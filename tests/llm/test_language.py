@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 
 from tradeloom.llm import language
+from tradeloom.llm.common import class_sample
 
 from .helpers import frame
 
@@ -89,3 +90,18 @@ def test_whole_texts_are_learned_from(spark, monkeypatch):
     monkeypatch.setattr(language, "SAMPLE_WORDS", 60)
     language.fit(frame(spark, [f"w{i} the" for i in range(900)], lang=["en"] * 900))
     assert len(seen[2][0]) == 30
+
+
+def test_the_sample_shuffles_no_texts_that_it_does_not_draw(spark, monkeypatch):
+    """Class sizes reach the rows by broadcast, also where nothing is known about table sizes."""
+    docs = frame(spark, ["a b"] * 9 + ["c"] * 9, lang=["x"] * 9 + ["y"] * 9)
+    plans, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: (plans.append(df._jdf.queryExecution().sparkPlan().toString()), collect(df))[1])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = class_sample(docs, "lang", "text", 2, 100, "s")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(rows) == 4
+    assert "SortMergeJoin" not in plans[-1] and "BroadcastHashJoin" in plans[-1]

@@ -92,8 +92,9 @@ def class_sample(df: DataFrame, label: str, text: str, per_class: int, most_word
     words = F.size(F.split(text, r"[\x20\x09-\x0D]+"))
     drawn = df.withColumn("draw_", draw)
     sizes = drawn.groupBy(label).agg(F.approx_count_distinct("draw_").alias("rows_"))
-    # Four times as many as needed, so that the classes fill up; few rows are then ranked.
-    near = drawn.join(sizes, label).where(F.col("draw_") < F.lit(space * 4 * per_class) / F.col("rows_"))
+    # Four times as many as needed, so that the classes fill up; few rows are then ranked.  The sizes are
+    # one row per class of a model.  Without the hint all texts could be shuffled by class.
+    near = drawn.join(F.broadcast(sizes), label).where(F.col("draw_") < F.lit(space * 4 * per_class) / F.col("rows_"))
     once = near.groupBy(label, "draw_").agg(F.first(F.struct(*df.columns)).alias("row_"), F.first(words).alias("words_"))
     order = Window.partitionBy(label).orderBy("draw_")
     before = F.coalesce(F.sum("words_").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
