@@ -78,6 +78,20 @@ def test_unique_and_row_count(spark):
     assert integrity.check_row_count(df, 4).collect()[0].row_count == 3
 
 
+def test_row_balance(spark):
+    """Lost, multiplied and set-aside rows; equal counts on both sides hold, also of empty tables."""
+    rows = spark.range(10)
+    want = [
+        (rows.limit(7), rows.limit(3), (10, 7, 3, 0, True)),
+        (rows.limit(7), rows.limit(2), (10, 7, 2, 1, False)),
+        (rows.union(rows), rows.limit(0), (10, 20, 0, -10, False)),
+    ]
+    for kept, rejected, numbers in want:
+        assert [tuple(r) for r in integrity.row_balance(rows, kept, rejected, "t").collect()] == [("t", *numbers)]
+    none = rows.limit(0)
+    assert [tuple(r) for r in integrity.row_balance(none, none, none, "t").collect()] == [("t", 0, 0, 0, 0, True)]
+
+
 def test_value_checks(spark):
     df = spark.createDataFrame(
         [("A", 10.0, 10.0), ("B", 20.0, 20.5), (None, None, 1.0)], "k string, v double, w double"

@@ -219,6 +219,31 @@ def layer_contract(
     )
 
 
+def row_balance(
+    lower: DataFrame, kept: DataFrame, rejected: DataFrame, table: str
+) -> DataFrame:
+    """One row about a cleansing step: every row must be kept or set aside, once.
+
+    The expected row count is the lower table's own.  ``lost_rows`` is positive where rows went
+    missing, negative where a join or a repeated load multiplied them; stored tables are counted
+    from their file footers.
+    """
+    sides = {"lower_rows": lower, "kept_rows": kept, "rejected_rows": rejected}
+    zero = F.lit(0).cast("long")
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("_n")).select(
+            *[(F.col("_n") if name == side else zero).alias(name) for name in sides]
+        )
+        for side, df in sides.items()
+    ]
+    rows = counted[0].unionByName(counted[1]).unionByName(counted[2])
+    totals = rows.agg(*[F.sum(name).alias(name) for name in sides])
+    lost = F.col("lower_rows") - F.col("kept_rows") - F.col("rejected_rows")
+    return totals.select(
+        F.lit(table).alias("table_name"), *sides, lost.alias("lost_rows"), (lost == 0).alias("holds")
+    )
+
+
 def star_contract(
     lower: DataFrame, upper: DataFrame, key: str, columns: Sequence[str], table: str
 ) -> DataFrame:

@@ -228,6 +228,17 @@ def quality_statements() -> dict[str, str]:
         f"COUNT(*) <= (SELECT COUNT(*) FROM {source}) AS holds FROM s_{t}"
         for t, source in _RAW_COUNTS.items()
     )
+    quarantine = (
+        "SELECT 'purchase_orders' AS table_name, CAST(po_id AS VARCHAR) AS row_key, "
+        "'valid_vendor_ref' AS failed_rules FROM all_purchase_orders WHERE vendor_id IS NULL "
+        "UNION ALL SELECT 'vendor_performance', CAST(performance_id AS VARCHAR), "
+        "'valid_vendor_ref' FROM all_vendor_performance WHERE vendor_id IS NULL"
+    )
+    balance = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM {source}) AS lower_rows, COUNT(*) AS kept_rows, "
+        f"(SELECT COUNT(*) FROM ({quarantine}) WHERE table_name = '{t}') AS rejected_rows FROM s_{t}"
+        for t, source in _RAW_COUNTS.items()
+    )
     star = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM s_{source}) AS lower_rows, COUNT(*) AS upper_rows, "
         f"COUNT(*) - COUNT({key}) AS null_keys, (SELECT COUNT(*) FROM (SELECT {key} FROM {t} WHERE {key} IS NOT NULL "
@@ -259,12 +270,7 @@ def quality_statements() -> dict[str, str]:
         "expect_or_fail": "SELECT l_suppkey AS vendor_id, COUNT(*) AS line_count FROM lineitem "
         "GROUP BY 1",
         "expectation_metrics": statement(_metrics()),
-        "quarantine": statement(
-            "SELECT 'purchase_orders' AS table_name, CAST(po_id AS VARCHAR) AS row_key, "
-            "'valid_vendor_ref' AS failed_rules FROM all_purchase_orders WHERE vendor_id IS NULL "
-            "UNION ALL SELECT 'vendor_performance', CAST(performance_id AS VARCHAR), "
-            "'valid_vendor_ref' FROM all_vendor_performance WHERE vendor_id IS NULL"
-        ),
+        "quarantine": statement(quarantine),
         "dq_metrics": statement(
             "SELECT 'run-1' AS run_id, table_name, rule, action, checked_rows - violations "
             f"AS passed, violations AS failed FROM ({_metrics()})"
@@ -314,6 +320,10 @@ def quality_statements() -> dict[str, str]:
             "FROM s_contract_items"
         ),
         "layer_contract": statement(handover),
+        "row_balance": statement(
+            "SELECT *, lower_rows - kept_rows - rejected_rows AS lost_rows, "
+            f"lower_rows = kept_rows + rejected_rows AS holds FROM ({balance})"
+        ),
         "star_contract": statement(
             "SELECT *, upper_rows <= lower_rows AND null_keys = 0 AND repeated_keys = 0 AS holds "
             f"FROM ({star})"

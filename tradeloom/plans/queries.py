@@ -305,6 +305,13 @@ def _layer_contract(l: Layers) -> DataFrame:
     )
 
 
+def _row_balance(l: Layers) -> DataFrame:
+    checked = {t: silver.cleanse_checked(t, l.raw(t), l.as_of) for t in SOURCES}
+    return union(
+        [integrity.row_balance(l.raw(t), rows.good, rows.quarantined, t) for t, rows in checked.items()]
+    )
+
+
 def _star_contract(l: Layers) -> DataFrame:
     return union(
         [
@@ -393,6 +400,7 @@ def quality_queries() -> dict[str, Query]:
             )
         ),
         "layer_contract": on_layers(_layer_contract),
+        "row_balance": on_layers(_row_balance),
         "star_contract": on_layers(_star_contract),
         "star_references": on_layers(_star_references),
     }
