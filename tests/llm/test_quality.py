@@ -5,7 +5,6 @@ import re
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from tradeloom.llm import quality
 
@@ -51,17 +50,18 @@ def texts():
 
 def test_features_and_verdict_equal_brute_force(spark):
     every = texts()
-    docs = frame(spark, every)
-    got = {r.doc_id: r for r in quality.judge(docs).collect()}
-    capitals = {r.doc_id: r.n for r in quality.cut(docs).select("doc.doc_id", F.expr(quality.FEATURES["n_upper"]).alias("n")).collect()}
+    got = {r.doc_id: r for r in quality.judge(frame(spark, every)).collect()}
     for i, text in enumerate(every):
         f = features(text)
-        assert {k: got[i][k] for k in quality.JUDGED} | {"n_upper": capitals[i]} == f, repr(text)
+        assert {k: got[i][k] for k in f} == f, repr(text)
         assert (got[i].base_failed, got[i].kept) == (base_failed(f), kept(f))
 
 
 def test_rules_behind_the_base_verdict_run_for_texts_that_reach_them(spark):
-    """A rule that fails when it is run does so only behind the base verdict and behind earlier rules."""
+    """A rule that fails when it is run does so only behind the base verdict and behind earlier rules.
+
+    The verdict is the same with all features as columns and with none.
+    """
     docs = frame(spark, [None, "few words", "# " + " ".join(f"w{i}" for i in range(99)) + " #" * 20, "same " * 200])
     stops = quality.Rule("stops", "raise_error('reached') is null")
     with pytest.MonkeyPatch.context() as patch:
@@ -70,6 +70,10 @@ def test_rules_behind_the_base_verdict_run_for_texts_that_reach_them(spark):
         assert [r.kept for r in got] == [False] * 4
         with pytest.raises(Exception, match="reached"):
             quality.judge(docs, [stops]).collect()
+    every = frame(spark, texts())
+    few = quality.judge(every, features=())
+    assert few.columns == ["doc_id", "base_failed", "kept"]
+    assert sorted(few.collect()) == sorted(quality.judge(every).select(few.columns).collect())
 
 
 def test_order_counts_what_earlier_rules_left(spark, monkeypatch):
@@ -81,7 +85,7 @@ def test_order_counts_what_earlier_rules_left(spark, monkeypatch):
     monkeypatch.setattr(quality.time, "perf_counter", lambda: next(ticks))
     rules = [quality.Rule("upper", "{n_upper} > 0"), quality.Rule("symbols", "{n_symbols} > 0")]
     assert [r.name for r in quality.order_rules(docs, rules)] == ["upper", "symbols"]
-    assert [r.name for r in quality.order_rules(docs, rules, after=quality.BASE, known=quality.JUDGED)] == ["symbols", "upper"]
+    assert [r.name for r in quality.order_rules(docs, rules, after=quality.BASE, known=tuple(quality.FEATURES)[:-1])] == ["symbols", "upper"]
     assert quality.order_rules(frame(spark, ["X"]), rules, after=quality.BASE) == rules
 
 

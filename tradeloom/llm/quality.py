@@ -84,8 +84,8 @@ MORE = (
 )
 RULES = BASE + MORE
 
-#: Features that ``judge`` returns for every row.
-JUDGED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+#: Features that the base rules name.
+BASE_FEATURES = ("n_words", "n_repeat_words")
 
 
 def cascade_sql(rules: Sequence[Rule], features: dict[str, str]) -> str:
@@ -149,27 +149,24 @@ def order_rules(
     return [rules[i] for i in ordered]
 
 
-def judge(docs: DataFrame, rules: Sequence[Rule] = MORE) -> DataFrame:
-    """Features and verdict per row: ``doc_id``, the features, ``base_failed``, ``kept``.
+def judge(docs: DataFrame, rules: Sequence[Rule] = MORE, features: Sequence[str] = tuple(FEATURES)) -> DataFrame:
+    """Features and verdict per row: ``doc_id``, ``features``, ``base_failed``, ``kept``.
 
-    The features of ``JUDGED`` are columns of the result.  ``rules`` run behind the base verdict as a
-    cascade in measured order; features that only they name (``n_upper``) are computed for texts that
-    reach the rule, and are no columns.  Null and empty texts have zero features and fail the base
+    ``features`` are computed for every row, as columns; by default all.  ``rules`` run behind the base
+    verdict as a cascade in measured order, and a feature that is no column is computed only for
+    texts that reach a rule naming it.  Null and empty texts have zero features and fail the base
     rules.  Texts of any length are read whole.  Repeated rows are judged one by one; other columns
     are ignored; an empty table gives no rows.
     """
-    ordered = order_rules(docs, rules, after=BASE, known=JUDGED)
-    computed = [F.expr(FEATURES[name]).alias(name) for name in JUDGED]
+    known = list(dict.fromkeys([*BASE_FEATURES, *features]))
+    ordered = order_rules(docs, rules, after=BASE, known=known)
+    computed = [F.expr(FEATURES[name]).alias(name) for name in known]
     found = cut(docs).select(F.col("doc.doc_id").alias("doc_id"), "text", "words", "lines", *computed)
-    columns = FEATURES | {k: k for k in JUDGED}
+    columns = FEATURES | {k: k for k in known}
     failed = F.expr(" or ".join(f"({r.sql(columns)})" for r in BASE))
-    return found.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"),
-        # AND and CASE stop early: behind the base verdict, and at the first rule that holds.
-        (~failed & cascade(ordered, columns).isNull()).alias("kept"),
-        "n_lines",
-    )
+    # AND and CASE stop early: behind the base verdict, and at the first rule that holds.
+    kept = ~failed & cascade(ordered, columns).isNull()
+    return found.select("doc_id", *features, failed.alias("base_failed"), kept.alias("kept"))
 
 
 def keep(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
