@@ -115,3 +115,21 @@ def test_first_rule_that_holds_is_named(spark):
     named = quality.cut(docs).select("doc.doc_id", quality.cascade(rules, quality.FEATURES).alias("why")).collect()
     assert {r.doc_id: r.why for r in named} == {0: None, 1: "symbols", 2: "few"}
     assert docs.select(quality.cascade([], {}).alias("w")).where("w is null").count() == 3
+
+
+def test_odd_tables(spark):
+    """Null ids, repeated rows, clashing names and empty tables have a defined result."""
+    good = " ".join(f"w{i}" for i in range(60))
+    schema = "doc_id long, text string, words string, lines int, doc string, pieces long, kept string, n_words int"
+    values = [(None, good), (None, None), (7, good), (7, good), (8, "")]
+    docs = spark.createDataFrame([(i, t, None, 1, "d", 2, "k", 3) for i, t in values], schema)
+    got = sorted((r.doc_id or -1, r.n_words, r.base_failed, r.kept) for r in quality.judge(docs).collect())
+    assert got == [(-1, 0, True, False), (-1, 60, False, True), (7, 60, False, True), (7, 60, False, True), (8, 0, True, False)]
+    kept_rows = quality.keep(docs)
+    assert kept_rows.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.words, r.lines, r.kept) for r in kept_rows.collect()) == [(-1, None, 1, "k"), (7, None, 1, "k"), (7, None, 1, "k")]
+    none = docs.where("false")
+    assert quality.judge(none).collect() == [] and quality.keep(none).collect() == []
+    assert quality.judge(none).columns == quality.judge(docs).columns
+    nulls = spark.createDataFrame([(1, None), (2, None)], "doc_id long, text string")
+    assert [(r.base_failed, r.kept) for r in quality.judge(nulls).collect()] == [(True, False)] * 2
