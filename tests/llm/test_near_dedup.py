@@ -175,3 +175,21 @@ def test_blocks_of_a_family_find_the_same_classes(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 40)
     texts = near_misses(random.Random(4), "pool", 300) + near_misses(random.Random(5), "deleted", 300)
     check(near_dedup.near_duplicates(frame(spark, texts)).collect(), texts)
+
+
+def test_odd_tables(spark):
+    """Null ids and texts, repeated rows and clashing names: one row of each class stays, rows without text too."""
+    one = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    schema = "doc_id long, text string, digest string, class string, kept int, doc string, k_doc_id long, b long"
+    values = [(None, one), (None, one + " end"), (7, other), (7, other), (8, None), (8, None), (9, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "d", None, 1, "x", 2, 3) for i, t in values], schema)
+    found = near_dedup.near_duplicates(docs)
+    assert found.count() == len(values)
+    left = near_dedup.deduplicated(docs)
+    assert left.columns == docs.columns
+    rows = left.collect()
+    assert sum((r.text or "").startswith("w0 ") for r in rows) == 1
+    assert sum(r.text == other for r in rows) == 1
+    assert sum(r.text is None for r in rows) == 3
+    assert all((r.digest, r.kept, r.doc) == ("d", 1, "x") for r in rows)
