@@ -135,3 +135,17 @@ def test_edit_is_swapped_in_and_backed_up(spark, built):
     backup = spark.table(f"{gold}_backup.fact_invoices").select("invoice_id", "gross_amount")
     now = spark.table(f"{gold}.fact_invoices").select("invoice_id", "gross_amount")
     assert sorted(now.collect()) == sorted(backup.collect())
+
+
+def test_written_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "FILE_ROWS", 40)
+    path = tmp_path / "vendors.csv"
+    rows = spark.range(100, numPartitions=1).selectExpr(
+        "cast(id as string) AS vendor_id", "concat('  name, ', id, ' ') AS vendor_name"
+    )
+    ingest.write_csv(rows, str(path), "vendors")
+    names = sorted(p.name for p in path.iterdir() if p.name.startswith("part-"))
+    assert len(names) == 3 and all(n.endswith(".csv.gz") for n in names)
+    good, bad = ingest.corrupt_row_gate(spark, str(path), "vendors")
+    got = {(r.vendor_id, r.vendor_name) for r in good.collect()}
+    assert got == {(str(i), f"  name, {i} ") for i in range(100)} and bad.isEmpty()
