@@ -7,6 +7,7 @@ import pytest
 from known import AS_OF
 from tradeloom.operators import quality, silver
 from tradeloom.operators.quality import Rule
+from tradeloom.plans import queries
 from tradeloom.session import fresh_path
 from tradeloom.streaming import jobs as streams
 from tradeloom.streaming import observed
@@ -122,3 +123,13 @@ def test_a_stream_without_files(spark):
     observed.stream_dq(stream, RULES, "t", rows, counts, state)
     assert sum(r[5] for r in counted(spark, counts)) == 0
     assert observed.good_rows(spark, rows, observed.observed(stream, RULES).schema).count() == 0
+
+
+def test_a_feed_is_written_by_as_many_tasks_as_it_has(spark):
+    feed, files = queries._fed(spark, spark.range(0, 7000, 1, 7), 3)
+    names = spark.read.parquet(feed).inputFiles()
+    assert len(names) == 7 and files == 3 and spark.read.parquet(feed).count() == 7000
+    # A small feed still arrives in as many batches as asked for.
+    feed, files = queries._fed(spark, spark.range(0, 90, 1, 1), 3)
+    assert len(spark.read.parquet(feed).inputFiles()) == 3 and files == 1
+    assert spark.read.parquet(feed).distinct().count() == 90

@@ -903,12 +903,29 @@ def _stream_fact(feed: str, table: str, *lookups: str) -> Query:
     return query
 
 
+def _fed(spark: SparkSession, raw: DataFrame, parts: int) -> tuple[str, int]:
+    """Folder of a feed, and the number of files of which about ``parts`` batches take all.
+
+    Every task writes its own file, so files do not grow with the input.  Only a feed of fewer files
+    than batches is dealt out again.
+    """
+    for deal in (False, True):
+        feed = fresh_path(spark, "feed")
+        rows = raw.repartition(parts) if deal else raw
+        rows.write.option("compression", "zstd").parquet(feed)
+        files = len(spark.read.schema(raw.schema).parquet(feed).inputFiles())
+        if files >= parts:
+            break
+        raw = spark.read.schema(raw.schema).parquet(feed)
+    return feed, max(1, -(-files // parts))
+
+
 def _checked_stream(spark: SparkSession, l: Layers, table: str, parts: int) -> tuple[str, str]:
     """Folders of the rows and counts of a feed that arrived in some batches."""
-    feed, rows, counts, state = (fresh_path(spark, n) for n in ("feed", "rows", "counts", "state"))
+    rows, counts, state = (fresh_path(spark, n) for n in ("rows", "counts", "state"))
     raw = l.raw(table)
-    raw.repartition(parts).write.parquet(feed)
-    arriving = silver.JOBS[table](streams.stream_parquet(spark, feed, raw, max_files=1), AS_OF)
+    feed, files = _fed(spark, raw, parts)
+    arriving = silver.JOBS[table](streams.stream_parquet(spark, feed, raw, max_files=files), AS_OF)
     observed.stream_dq(arriving, silver.RULES[table], table, rows, counts, state)
     return rows, counts
 
