@@ -113,3 +113,14 @@ def test_repeated_run_replaces_its_metrics(spark):
     assert sorted((r.run_id, r.failed) for r in history.collect()) == [("it's 1", 5), ("run 2", 9)]
     assert [(r.before_share, r.failed_share, r.verdict) for r in quality.drift(history, "run 2").collect()] == [(0.05, 0.09, "WORSE")]
     assert quality.drift(history, "it's 1").first().verdict == "NEW"
+
+
+def test_a_batch_of_movements_costs_one_exchange_by_document(spark):
+    held = spark.createDataFrame([("sale", 1, 1, 7, dt.date(2024, 1, 1), 5, False)], ledger.MOVEMENT)
+    rows = [("sale", 1, 2, 7, dt.date(2024, 1, 1), 5, False), ("sale", None, 1, 7, None, 1, False), ("sale", 2, 1, None, None, 0, True)]
+    moves = ledger.new_movements(held, spark.createDataFrame(rows, VERSION))
+    plan = moves._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 4
+    assert sorted(map(tuple, moves.collect()), key=str) == sorted([
+        ("sale", 1, 2, None, None, 0, False), ("sale", 2, 1, None, None, 0, False), ("sale", None, 1, None, None, 0, False),
+    ], key=str)

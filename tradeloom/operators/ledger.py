@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 #: Columns of a movement: ``quantity`` is signed, ``version`` says which change of the document booked it.
 MOVEMENT = "kind string, document_id long, version long, product_id long, date date, quantity long, reversal boolean"
 _KEY = ["kind", "document_id", "product_id", "date"]
@@ -39,25 +41,38 @@ def new_movements(ledger: DataFrame, versions: DataFrame) -> DataFrame:
     ledger.  A document whose date moves is booked out on the old day and in on the new one.
     """
     document = ["kind", "document_id"]
-    last = versions.groupBy(*document).agg(F.max("version").alias("version"))
-    held = ledger.join(last.select(*document), document, "left_semi")
-    known = held.groupBy(*document).agg(F.max("version").alias("known"))
-    fresh = last.join(known, document, "left").where(F.col("known").isNull() | (F.col("version") > F.col("known"))).drop("known")
-    target = versions.where(~F.col("deleted") & F.col("product_id").isNotNull()).join(fresh, [*document, "version"], "left_semi")
-    booked = held.join(fresh.select(*document), document, "left_semi")
-    sides = target.select(*_KEY, F.col("quantity").alias("wanted"), F.lit(0).cast("long").alias("held")).unionByName(
-        booked.where("product_id IS NOT NULL").select(*_KEY, F.lit(0).cast("long").alias("wanted"), F.col("quantity").alias("held"))
+    versions = stored(versions, "versions")
+    held = ledger.join(versions.select(*document).distinct(), document, "left_semi")
+    counted = (~F.col("deleted")).alias("counted")
+    rows = versions.select(*_KEY, "version", "quantity", counted, F.lit(True).alias("came")).unionByName(
+        held.select(*_KEY, "version", "quantity", F.lit(True).alias("counted"), F.lit(False).alias("came"))
     )
-    moved = sides.groupBy(*_KEY).agg(F.sum("wanted").alias("wanted"), F.sum("held").alias("held"))
-    moves = moved.join(fresh, document).where("wanted <> held").select(
-        *document, "version", "product_id", "date", (F.col("wanted") - F.col("held")).alias("quantity"), (F.col("held") != 0).alias("reversal")
+    # One exchange by document: what came last, what is known, and the sums all follow within it.
+    own, came = Window.partitionBy(*document), F.col("came")
+    rows = rows.withColumns(
+        {"_last": F.max(F.when(came, F.col("version"))).over(own), "_known": F.max(F.when(~came, F.col("version"))).over(own)}
     )
+    fresh = rows.where(F.col("_known").isNull() | (F.col("_last") > F.col("_known")))
+    whole = F.col("document_id").isNotNull() & F.col("kind").isNotNull() & F.col("product_id").isNotNull()
+    counts = whole & F.col("counted") & (~came | (F.col("version") == F.col("_last")))
+    zero = F.lit(0).cast("long")
     # Every version leaves a mark, also one that moves nothing, so that older ones stay harmless.
-    marks = fresh.select(
-        *document, "version", F.lit(None).cast("long").alias("product_id"), F.lit(None).cast("date").alias("date"),
-        F.lit(0).cast("long").alias("quantity"), F.lit(False).alias("reversal"),
+    side = F.struct(
+        F.lit(False).alias("mark"), "product_id", "date", F.when(came, F.col("quantity")).otherwise(zero).alias("wanted"),
+        F.when(came, zero).otherwise(F.col("quantity")).alias("held"),
+    )
+    mark = F.struct(
+        F.lit(True).alias("mark"), F.lit(None).cast("long").alias("product_id"), F.lit(None).cast("date").alias("date"),
+        zero.alias("wanted"), zero.alias("held"),
+    )
+    sides = fresh.select(*document, "_last", F.explode(F.when(counts, F.array(side, mark)).otherwise(F.array(mark))).alias("s"))
+    moved = sides.select(*document, "_last", "s.*").groupBy(*_KEY, "mark").agg(
+        F.max("_last").alias("version"), F.sum("wanted").alias("wanted"), F.sum("held").alias("held")
+    )
+    return moved.where(F.col("mark") | (F.col("wanted") != F.col("held"))).select(
+        *document, "version", "product_id", "date", (F.col("wanted") - F.col("held")).alias("quantity"),
+        (F.col("held") != 0).alias("reversal"),
     )
-    return moves.unionByName(marks)
 
 
 def balance(ledger: DataFrame, until: str | None = None, known_at: int | None = None) -> DataFrame:

@@ -445,20 +445,19 @@ def _stock_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Balances after sales were entered, edited, deleted and sent again, from an append-only ledger."""
     t = star_schema.commerce(Star(spark, folder))
 
-    def side(kind: str, sign: int, version: int, rows: DataFrame, deleted: bool, more: int) -> DataFrame:
+    def side(kind: str, sign: int, version: int, chosen: str, deleted: bool, more: int) -> DataFrame:
+        rows = t[kind].where(chosen)
         headers = rows.select("id", F.lit(version).alias("version"), "date", F.lit(deleted).alias("deleted"))
-        items = t[f"{kind}_item"].join(rows.select(F.col("id").alias(f"{kind}_id")), f"{kind}_id", "left_semi")
-        items = items.select(
+        items = t[f"{kind}_item"].select(
             F.col(f"{kind}_id").alias("id"), F.lit(version).alias("version"), "product_id",
             (F.col("quantity") + more).alias("quantity"),
-        )
+        ).where(chosen)
         return ledger.versions_of(items, headers, kind, sign)
 
-    sale, purchase = t["sale"], t["purchase"]
-    entered = side("sale", -1, 1, sale, False, 0).unionByName(side("purchase", 1, 1, purchase, False, 0))
-    edited = side("sale", -1, 2, sale.where("id % 5 = 0"), False, 1)
-    deleted = side("sale", -1, 3, sale.where("id % 7 = 0"), True, 0)
-    again = side("sale", -1, 1, sale.where("id % 3 = 0"), False, 0)
+    entered = side("sale", -1, 1, "true", False, 0).unionByName(side("purchase", 1, 1, "true", False, 0))
+    edited = side("sale", -1, 2, "id % 5 = 0", False, 1)
+    deleted = side("sale", -1, 3, "id % 7 = 0", True, 0)
+    again = side("sale", -1, 1, "id % 3 = 0", False, 0)
     path = fresh_path(spark, "ledger")
     spark.createDataFrame([], ledger.MOVEMENT).write.parquet(path)
     for n, batch in enumerate((edited, entered, deleted.unionByName(again))):
