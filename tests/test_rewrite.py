@@ -277,3 +277,22 @@ def test_a_filtered_calendar_prunes_months(spark, orders):
     joined = tables.join_on_month(fact, days, "po_date")
     assert "dynamicpruning" in joined._jdf.queryExecution().executedPlan().toString().lower()
     assert joined.count() == rows.where("month(po_date) = 5").count()
+
+
+def test_stored_rows_are_not_copied_and_children_keep_what_a_view_reads(spark):
+    path, at = fresh_path(spark, "t"), fresh_path(spark, "rows")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "b")], "id int, p string")
+    rewrite.create(rows, path, "p")
+    spark.createDataFrame([(1, "b")], rows.schema).write.parquet(at)
+    done = rewrite.replace_rows(rows, path, rows.schema, ["id"], "p", rows_at=at)
+    assert not rewrite.exists(spark, f"{done.folder}/rows") and done.rows == 1
+    assert [tuple(r) for r in rewrite.before(spark, done).collect()] == [(1, "a")]
+    rewrite.undo(spark, done)
+    assert sorted(map(tuple, rewrite.read_rows(spark, path, rows.schema).collect()), key=str) == [(1, "a"), (2, "b"), (None, "b")]
+    parents = "po_id int, vendor_id int, project_id int, po_date date, delivery_date date, approval_date date, po_value double, "
+    parents += "tax_amount double, total_value double, po_status string, po_type string, priority string, currency string, "
+    parents = spark.createDataFrame([], parents + "payment_terms string, _sequence long")
+    children = spark.createDataFrame([], "line_id string, po_id int, line_value double, qty_ordered double, note string, _sequence long")
+    view = propagate.VIEWS["fact_purchase_orders"]
+    held = propagate.MaintainedFact(spark, view, fresh_path(spark, "fact"), parents.schema, children.schema)
+    assert held.table("children").columns == ["line_id", "po_id", "line_value", "qty_ordered", "_sequence", rewrite.BUCKET]

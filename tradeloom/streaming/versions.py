@@ -47,7 +47,7 @@ class MaintainedHistory:
         events = rewrite.read_rows(self.spark, f"{self.root}/events", self.events_schema)
         # The buckets of the changed keys are all that has to be read of the events.
         keys = rows.select(key, BUCKET).distinct()
-        own = events.join(keys, [key, BUCKET], "left_semi")
+        own = rewrite.once(events.join(keys, [key, BUCKET], "left_semi"), f"{folder}/own")
         versions = history.history_of(own, key, self.tracked).withColumn(BUCKET, placed)
         path = f"{self.root}/versions"
         return rewrite.replace_rows(
