@@ -175,27 +175,34 @@ def product_performance(sales: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def category_performance(sales: DataFrame, ordered: bool = True) -> DataFrame:
-    """Metrics per category, reduced to one row per product, order and customer first."""
-    reduced = (
-        with_amount(sales)
-        .groupBy("category", "product_name", "order_id", "customer_id")
-        .agg(
-            F.sum("_amount").alias("_amount"),
-            F.count("_amount").alias("_lines"),
-            F.sum(F.col("quantity").cast("long")).alias("_items"),
-        )
+    """Metrics per category.
+
+    Every distinct count is a pass of its own over stored rows, on narrow keys: all of them in one
+    aggregation would multiply the rows of a task by their number.
+    """
+    rows = stored(
+        with_amount(sales).select(
+            "category", "product_name", "order_id", "customer_id", "_amount", F.col("quantity").cast("long").alias("_items")
+        ),
+        "category_lines",
     )
-    totals = reduced.groupBy("category").agg(
-        F.count_distinct("product_name").alias("product_count"),
-        F.count_distinct("order_id").alias("total_orders"),
+    by_product = rows.groupBy("category", "product_name").agg(
+        F.sum("_amount").alias("_amount"), F.count("_amount").alias("_lines"), F.sum("_items").alias("_items")
+    )
+    report = by_product.groupBy("category").agg(
+        F.count("product_name").alias("product_count"),
         F.sum("_items").alias("total_items_sold"),
         c.from_units(F.sum("_amount")).alias("total_revenue"),
         F.sum("_lines").alias("_lines"),
-        F.count_distinct("customer_id").alias("unique_customers"),
     )
-    report = totals.withColumn(
-        "avg_order_value", c.ratio("total_revenue", "_lines", 2)
-    ).drop("_lines")
+    for column, name in (("order_id", "total_orders"), ("customer_id", "unique_customers")):
+        counts = rows.select("category", column).distinct().groupBy(F.col("category").alias("_category"))
+        counts = counts.agg(F.count(column).alias(name))
+        report = report.join(counts, F.col("category").eqNullSafe(F.col("_category"))).drop("_category")
+    report = report.select(
+        "category", "product_count", "total_orders", "total_items_sold", "total_revenue", "unique_customers",
+        c.ratio("total_revenue", "_lines", 2).alias("avg_order_value"),
+    )
     return _sorted(report, ordered, F.desc("total_revenue"))
 
 
