@@ -207,3 +207,26 @@ def test_kpis_and_insights(layers):
     assert {r.material_id: r.on_hand for r in stock.collect()} == {"M001": 60, "M002": 0}
     evm = insights.evm_extended(l.cube("cube_project_costs"), l.cube("cube_project_timeline"))
     assert evm.collect()[0].cpi > 1
+
+
+def test_category_counts_do_not_multiply_rows(spark):
+    from tradeloom.operators import sales_reports
+
+    rows = [
+        ("A", "p1", 1, 10, 2, 1.5), ("A", "p1", 1, 10, 1, 1.5), ("A", "p2", 2, None, 1, 2.0), (None, "p1", None, 11, 3, 1.0),
+        (None, None, 3, 11, 1, None),
+    ]
+    sales = spark.createDataFrame(
+        rows, "category string, product_name string, order_id long, customer_id long, quantity int, unit_price double"
+    )
+    report = sales_reports.category_performance(sales, ordered=False)
+    assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
+    got = {r.category: tuple(r)[1:] for r in report.collect()}
+    assert got == {"A": (2, 2, 4, 6.5, 1, 2.17), None: (1, 1, 4, 3.0, 1, 3.0)}
+
+
+def test_cubes_shuffle_a_month_as_one_value(layers):
+    for name, key in (("cube_invoice_aging", "aging_bucket"), ("cube_sales_analysis", "customer_type")):
+        plan = layers.cube(name)._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and key in line]
+        assert exchanges and all("_month#" in e and "year_month#" not in e for e in exchanges)

@@ -356,8 +356,9 @@ def cube_invoice_aging(
     """Invoices per vendor, project, month and aging bucket."""
     periods = ["year", "quarter", "year_month"]
     overdue = F.col("payment_status") == "OVERDUE"
-    dated = c.with_calendar(invoices, "invoice_date", calendar, periods)
-    totals = dated.groupBy("vendor_id", "project_id", *periods, "aging_bucket").agg(
+    dated = c.with_calendar(invoices, "invoice_date", calendar, [])
+    month = F.trunc("invoice_date", "month").alias("_month")
+    totals = dated.groupBy("vendor_id", "project_id", month, "aging_bucket").agg(
         F.count(F.lit(1)).alias("invoice_count"),
         c.exact_sum("net_amount").alias("total_net_amount"),
         c.exact_sum("gross_amount").alias("total_gross_amount"),
@@ -367,10 +368,16 @@ def cube_invoice_aging(
         c.sum_when(overdue, "gross_amount").alias("overdue_amount"),
         F.count_if(overdue).alias("overdue_count"),
     )
-    return (
-        totals.join(_pick(dim_vendor, "vendor_id", "vendor_name", "vendor_sector"), "vendor_id")
-        .join(_pick(dim_project, "project_id", "project_name"), "project_id")
-        .withColumn("overdue_pct", c.ratio("overdue_amount", "total_gross_amount", 2, 100))
+    # The vendor's and the project's texts come last, and the period travels as one day of the month.
+    joined = (
+        totals.join(_pick(dim_project, "project_id", "project_name"), "project_id")
+        .join(_pick(dim_vendor, "vendor_id", "vendor_name", "vendor_sector"), "vendor_id")
+    )
+    return c.with_calendar(joined, "_month", None, periods).select(
+        "project_id", "vendor_id", *periods, "aging_bucket",
+        *[n for n in totals.columns if n not in ("project_id", "vendor_id", "_month", "aging_bucket")],
+        "vendor_name", "vendor_sector", "project_name",
+        c.ratio("overdue_amount", "total_gross_amount", 2, 100).alias("overdue_pct"),
     )
 
 
@@ -771,8 +778,9 @@ def cube_sales_analysis(sales: DataFrame, calendar: Calendar | None = None) -> D
     """Revenue and margin per product, customer, type and month, with the product's year before."""
     keys = ["product_name", "customer_name", "customer_type", "order_type"]
     periods = ["year", "quarter", "year_month"]
-    dated = c.with_calendar(sales, "order_date", calendar, periods)
-    monthly = dated.groupBy(*keys, *periods).agg(
+    dated = c.with_calendar(sales, "order_date", calendar, periods[:2])
+    # The month travels as its first day; what it is called follows behind the exchange.
+    monthly = dated.groupBy(*keys, F.trunc("order_date", "month").alias("_month")).agg(
         F.count(F.lit(1)).alias("sales_count"),
         c.exact_sum("quantity").alias("total_quantity"),
         c.exact_sum("revenue").alias("total_revenue"),
@@ -780,6 +788,8 @@ def cube_sales_analysis(sales: DataFrame, calendar: Calendar | None = None) -> D
         c.exact_sum("gross_margin").alias("total_margin"),
         c.exact_mean("unit_price").alias("avg_unit_price"),
     )
+    totals = [n for n in monthly.columns if n not in (*keys, "_month")]
+    monthly = c.with_calendar(monthly, "_month", None, periods).select(*keys, *periods, *totals)
     quarterly = dated.groupBy("product_name", "year", "quarter").agg(
         c.exact_sum("revenue").alias("product_quarter_revenue")
     )
