@@ -59,3 +59,19 @@ def test_whole_table(spark, tiny, library):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
     got = {r.doc_id: r.n_tokens for r in op3_token_counts(spark, tiny).collect()}
     assert got == {k: expected(library, t) for k, t in texts.items()}
+
+
+def test_scans_need_no_vocabulary_and_workers_read_it_once(library, monkeypatch):
+    monkeypatch.setenv("TOKENIZERS_PARALLELISM", "true")
+    monkeypatch.setattr(tokens, "_TOKENIZERS", {})
+    assert tokens.tokenizer_of(PATH) is tokens.tokenizer_of(PATH)
+    assert tokens.os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    for text in [t for t in ODD if tokens.SPECIAL not in t]:
+        assert tokens.split(text, library.pre_tokenizer) == tokens.split(text, library)
+
+
+def test_only_the_pre_tokens_are_sorted_for_a_join(spark):
+    got = tokens.count_tokens(frame(spark, ["unheard words", None], ids=[None, None]), PATH, head_size=0)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    assert sorted((r.doc_id, r.n_bytes, r.n_tokens > 0) for r in got.collect()) == [(None, 0, False), (None, 13, True)]

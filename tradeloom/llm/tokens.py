@@ -11,6 +11,7 @@ tail, so the counts do not depend on the sample.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -21,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import PreTokenizer
 
 from ..session import stored
 from .common import pieces_of, small_batches, texts_of
@@ -50,11 +52,12 @@ _DOCS = pa.schema(
 _DOCS_DDL = "row long, doc_id long, n_bytes long, known long, rest array<struct<pre_token:string,n:long>>"
 
 
-def split(text: str, tokenizer: Tokenizer) -> list[str]:
+def split(text: str, tokenizer: Tokenizer | PreTokenizer) -> list[str]:
     """Pre-tokens of a text without special strings, exactly as the library cuts them."""
     if FAMILIAR.search(text) is None:
         return PRE_TOKEN.findall(text)
-    return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+    cutter = getattr(tokenizer, "pre_tokenizer", tokenizer)
+    return [text[a:b] for _, (a, b) in cutter.pre_tokenize_str(text)]
 
 
 def chunks(text: str) -> list[str]:
@@ -87,7 +90,7 @@ def frequencies(text: str, tokenizer: Tokenizer, cache: dict[str, list[str]]) ->
 
 
 def n_pieces(pre_tokens: list[str], tokenizer: Tokenizer) -> list[int]:
-    return [len(e.ids) for e in tokenizer.encode_batch(pre_tokens, add_special_tokens=False)]
+    return list(map(len, tokenizer.encode_batch_fast(pre_tokens, add_special_tokens=False)))
 
 
 def load(path: str) -> Tokenizer:
@@ -97,6 +100,20 @@ def load(path: str) -> Tokenizer:
     return tokenizer
 
 
+_TOKENIZERS: dict[str, Tokenizer] = {}
+
+
+def tokenizer_of(path: str) -> Tokenizer:
+    """The worker's tokenizer of a vocabulary: read once for all its tasks, on the task's own core.
+
+    Without the library's threads, each of which would keep memory of its own.
+    """
+    if path not in _TOKENIZERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _TOKENIZERS[path] = load(path)
+    return _TOKENIZERS[path]
+
+
 def count_tokens(
     docs: DataFrame, vocabulary: str, limit: int = 1024, head_size: int = HEAD_SIZE, sample_rows: int = SAMPLE_ROWS
 ) -> DataFrame:
@@ -110,17 +127,18 @@ def count_tokens(
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    head = _head(docs, vocabulary, head_size, sample_rows)
-    shared = spark.sparkContext.broadcast(head)
+    reader = load(vocabulary)
+    cutter = reader.pre_tokenizer  # all that a scan needs of the library
+    shared = spark.sparkContext.broadcast(_head(docs, reader, head_size, sample_rows))
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, known = load(vocabulary), shared.value
+        known = shared.value
         # Per chunk: pieces of its pre-tokens in the head, and the others.
         cache: dict[str, tuple[int, tuple[str, ...]]] = {}
         row = TaskContext.get().partitionId() << 36
 
         def lookup(chunk: str) -> tuple[int, tuple[str, ...]]:
-            cut = split(chunk, tokenizer)
+            cut = split(chunk, cutter)
             value = (sum(known.get(x, 0) for x in cut), tuple(x for x in cut if x not in known))
             if len(chunk) < 64:
                 if len(cache) >= CACHE_SIZE:
@@ -159,22 +177,22 @@ def count_tokens(
     tail = scanned.select("row", F.explode("rest").alias("r")).select("row", "r.pre_token", "r.n")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(vocabulary)
+        tokenizer = tokenizer_of(vocabulary)
         for batch in pieces_of(batches, "pre_token"):
             names = batch.column("pre_token")
             yield pa.RecordBatch.from_arrays([names, pa.array(n_pieces(names.to_pylist(), tokenizer), pa.int64())], names=["pre_token", "pieces"])
 
     distinct = tail.select("pre_token").distinct().mapInArrow(count, "pre_token string, pieces long")
-    sums = tail.join(distinct, "pre_token").groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("more"))
-    n_tokens = F.col("known") + F.coalesce("more", F.lit(0))
-    return scanned.select("row", "doc_id", "n_bytes", "known").join(sums, "row", "left").select(
-        "doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > limit).alias("over_limit")
-    )
+    more = tail.join(distinct, "pre_token").select("row", (F.col("n") * F.col("pieces")).alias("n_tokens"))
+    # Each row's own line and its counted pre-tokens are summed in one exchange; no second join sorts them.
+    lines = scanned.select("row", "doc_id", "n_bytes", F.col("known").alias("n_tokens")).unionByName(more, allowMissingColumns=True)
+    sums = lines.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
+    return sums.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
-def _head(docs: DataFrame, vocabulary: str, size: int, sample_rows: int) -> dict[str, int]:
+def _head(docs: DataFrame, tokenizer: Tokenizer, size: int, sample_rows: int) -> dict[str, int]:
     """Pieces of the most frequent pre-tokens of a sample of documents."""
-    tokenizer, found, cache = load(vocabulary), Counter(), {}
+    found, cache = Counter(), {}
     sample = docs.select(F.substring("text", 1, 20_000).alias("text")).where("text is not null")
     for (text,) in sample.take(sample_rows):  # only the choice of the head; all texts are counted whole
         found.update(frequencies(text, tokenizer, cache)[0])
