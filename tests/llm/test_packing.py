@@ -122,3 +122,19 @@ def test_whole_table(spark, tiny, library):
     got = op10_packing(spark, tiny).collect()
     verify(got, texts, library)
     assert len({r.sequence_id for r in got}) <= 1.02 * sum(r.length for r in got) / packing.CAPACITY + 1
+
+
+def test_units_are_learned_once_and_by_the_model_alone(library):
+    """Of familiar texts the library's whole encoding sees nothing, and upper case is no other unit."""
+    encoder = packing.Encoder(PATH)
+    encoder.tokenizer = None
+    text = "Straße, THE the The It's it'S naïve¼—x2024 foo_bar.baz <|x|> ŒUVRE œuvre"
+    assert np.frombuffer(encoder.encode_batch([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(encoder.cache) == sorted({u.lower() for u in text.split()})
+
+
+def test_special_strings_in_any_case(library):
+    encoder = packing.Encoder(PATH)
+    texts = ["a<|ENDOFTEXT|>b", "<|StartOfText|>", "x <|endoftext|>Y", "<|endof text|>"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_batch(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]

@@ -12,6 +12,7 @@ task looks its pieces up.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -23,7 +24,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
 from ..session import stored
 from .common import pieces_of, small_batches, texts_of
@@ -31,7 +32,6 @@ from .common import pieces_of, small_batches, texts_of
 CAPACITY = 4096
 END = 1  # id written after each document
 CACHE_SIZE = 1_200_000  # units that a worker keeps between batches
-UNITS_AT_ONCE = 20_000
 
 #: The word pattern and the special texts of the lower-case vocabulary.
 TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -124,54 +124,57 @@ def full_size(length: int, count: int) -> int:
     return length * count
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte (read as a Latin-1 character)."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+
+
+class Units(dict):
+    """Ids of lower-case units, as bytes of little-endian 32-bit numbers; a missing unit is learned."""
+
+    def __init__(self, model: models.Model) -> None:
+        self.model = model
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = []
+        for word in [unit] if unit.isalpha() else TOKEN.findall(unit):
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(_LETTERS)
+            ids += [t.id for t in self.model.tokenize(word)]
+        found = self[unit] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+
 class Encoder:
     """Token ids of texts, as bytes of little-endian 32-bit numbers.
 
-    Ids of a unit (a run without white space) are looked up in the vocabulary once and kept.  The
-    library reads unknown units of a batch in one go; a piece at the end of a word has its own ids,
-    which tells where words end.  A text with code points beyond the tested ones, or with special
-    strings, goes through the library as a whole.
+    Every unit (a run without white space, in lower case) is looked up once; the vocabulary's model
+    reads the words of an unknown one, without the library's normalizing and offsets.  A text with
+    code points beyond the tested ones, or with special strings, goes through the library as a whole.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.ends_word = np.zeros(1 + max(vocabulary.values()), bool)
-        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.cache: dict[str, bytes] = {}
-
-    def _learn(self, units: list[str]) -> None:
-        for i in range(0, len(units), UNITS_AT_ONCE):
-            part = units[i : i + UNITS_AT_ONCE]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            words = np.array([1 if u.isalpha() else len(TOKEN.findall(u.lower())) for u in part])
-            ends = np.concatenate([[0], np.flatnonzero(self.ends_word[ids]) + 1])
-            stops = (4 * ends[np.cumsum(words)]).tolist()
-            data = ids.tobytes()
-            self.cache.update(zip(part, map(data.__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
+        self.cache = Units(self.tokenizer.model)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_SIZE:
             self.cache.clear()
-        cache = self.cache
-        cut: list[list[str] | None] = []
-        unknown: dict[str, None] = {}
-        for text in texts:
-            if FAMILIAR.search(text) or ("<|" in text and SPECIAL.search(text)):
-                cut.append(None)
-                continue
-            units = text.split()
-            cut.append(units)
-            unknown.update(dict.fromkeys([u for u in units if u not in cache]))
-        self._learn(list(unknown))
+        ids_of = self.cache.__getitem__
         out = []
-        for text, units in zip(texts, cut, strict=True):
-            if units is None:
+        for text in texts:
+            lower = text.lower()
+            if FAMILIAR.search(text) or ("<|" in text and SPECIAL.search(lower)):
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
             else:
-                out.append(b"".join(map(cache.__getitem__, units)))
+                out.append(b"".join(map(ids_of, lower.split())))
         return out
 
 
