@@ -149,3 +149,12 @@ def test_written_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     good, bad = ingest.corrupt_row_gate(spark, str(path), "vendors")
     got = {(r.vendor_id, r.vendor_name) for r in good.collect()}
     assert got == {(str(i), f"  name, {i} ") for i in range(100)} and bad.isEmpty()
+
+
+def test_tables_and_backups_are_written_in_zstd(spark, built):
+    gold, names = built[0]["gold"], ("fact_invoices", "fact_contracts")
+    tables.backup_tables(spark, gold, names, f"{gold}_zstd")
+    for layer in (gold, f"{gold}_zstd"):
+        for name in names:
+            files = spark.table(f"{layer}.{name}").inputFiles()
+            assert files and all(f.endswith(".zstd.parquet") for f in files)

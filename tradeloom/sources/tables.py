@@ -21,6 +21,7 @@ FACT_DATES: dict[str, str] = {
     "fact_sales": "order_date",
 }
 MONTH = "_year_month"
+CODEC = "zstd"  # of whole tables; a third smaller than the default
 
 
 def full_name(layer: str, table: str) -> str:
@@ -44,6 +45,7 @@ def write_layer(
         writer = df.write.partitionBy(MONTH)
     else:
         writer = df.write
+    writer = writer.option("compression", CODEC)
     writer.mode("overwrite").format("parquet").saveAsTable(full_name(layer, table))
     text = comment.replace("'", "''")
     spark.sql(f"COMMENT ON TABLE {full_name(layer, table)} IS '{text}'")
@@ -101,9 +103,8 @@ def backup_tables(
     """Plain copies of tables in a backup schema."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {backup_layer}")
     for table in tables:
-        spark.table(full_name(layer, table)).write.mode("overwrite").format(
-            "parquet"
-        ).saveAsTable(full_name(backup_layer, table))
+        writer = spark.table(full_name(layer, table)).write.option("compression", CODEC)
+        writer.mode("overwrite").format("parquet").saveAsTable(full_name(backup_layer, table))
 
 
 def replace_table(spark: SparkSession, layer: str, table: str, new_rows: DataFrame) -> None:
