@@ -151,10 +151,17 @@ def test_written_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
     assert got == {(str(i), f"  name, {i} ") for i in range(100)} and bad.isEmpty()
 
 
-def test_tables_and_backups_are_written_in_zstd(spark, built):
-    gold, names = built[0]["gold"], ("fact_invoices", "fact_contracts")
-    tables.backup_tables(spark, gold, names, f"{gold}_zstd")
-    for layer in (gold, f"{gold}_zstd"):
-        for name in names:
-            files = spark.table(f"{layer}.{name}").inputFiles()
+def test_tables_and_backups_are_written_in_zstd(spark, tmp_path):
+    gold, backup = "zstd_gold", "zstd_backup"
+    for name in (gold, backup):
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+    dated = spark.range(20).selectExpr("id AS sales_order_id", "date_add(DATE'2024-01-20', int(id)) AS order_date")
+    tables.write_layer(dated, gold, "fact_sales")
+    tables.write_layer(dated.drop("order_date"), gold, "fact_contracts")
+    tables.backup_tables(spark, gold, ["fact_sales", "fact_contracts"], backup)
+    for layer in (gold, backup):
+        for name in ("fact_sales", "fact_contracts"):
+            stored = tables.read_upper_layer(spark, layer, name)
+            files = stored.inputFiles()
             assert files and all(f.endswith(".zstd.parquet") for f in files)
+            assert sorted(r.sales_order_id for r in stored.collect()) == list(range(20))
