@@ -5,7 +5,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tradeloom.llm import repeats
@@ -110,3 +113,54 @@ def test_texts_in_small_parts(monkeypatch):
     assert (repeats.Texts(b"".join(data), sizes).hash == whole).all()
     distinct = {w for t in texts for w in t.split()}
     assert len(set(whole.tolist())) == len(distinct)
+
+
+def test_entries_are_small_however_they_lie():
+    rng = np.random.default_rng(1)
+    for bits in (20, 36, 50, 64):
+        values = np.unique(rng.integers(0, 2**bits, 50_000, dtype=np.uint64, endpoint=bits < 64))
+        size = len(repeats.encoded(values)) * 8 / len(values)
+        assert size < max(0, bits - np.log2(len(values))) + 3.1
+        assert (repeats.decoded(repeats.encoded(values)) == values).all()
+    for values in ([0, 2**64 - 1], [7] * 9, [0, 1, 2, 2**63], [*range(1000), 2**40, 2**64 - 1]):
+        values = np.array(values, np.uint64)
+        assert len(repeats.encoded(values)) < 30 + 9 * len(values)
+        assert (repeats.decoded(repeats.encoded(values)) == values).all()
+
+
+def by_bucket(sent, made, buckets):
+    """What the buckets make of what batches sent."""
+    table = repeats._table_of(sent)
+    return [made((pa.scalar(b),), table.filter(pc.equal(table["bucket"], b))) for b in range(buckets)]
+
+
+def size_of(table):
+    return sum(len(x or b"") for name in ("entries", "more") for x in table[name].to_pylist())
+
+
+def test_bytes_sent():
+    rng = random.Random(7)
+    passages = [words(rng, 200) for _ in range(60)]
+    data = [" ".join(words(rng, 300) + rng.choice(passages)).encode() for _ in range(600)]
+    n, buckets = sum(len(d.split()) for d in data), 8
+    bits = repeats.block_bits(n)
+    row = {"batch": 1, "sizes": np.array([len(d) for d in data]).tobytes(), "texts": zstandard.compress(b"".join(data))}
+    sent = repeats.probes(row, bits, buckets)
+    assert size_of(repeats._table_of(sent)) < 3 * n
+    hits = pa.concat_tables(by_bucket(sent, repeats.found_hits, buckets))
+    asked = repeats.anchored(row, repeats.hits_of(hits), bits, buckets)
+    distinct = sum(len(repeats.decoded(r[2])) for r in asked)
+    assert distinct > 60 * 160
+    answers = pa.concat_tables(by_bucket(asked, repeats.found_repeats, buckets))
+    assert answers.num_rows == buckets
+    assert size_of(answers) <= distinct / 8 + buckets
+
+
+def test_texts_are_sent_once(spark):
+    rng = random.Random(8)
+    passage = " ".join(words(rng, 60))
+    docs = frame(spark, [f"{' '.join(words(rng, 30, 10**9))} {passage}" for _ in range(40)]).repartition(3)
+    found = repeats.without_repeats(docs)
+    assert sum(r["n_removed"] for r in found.collect()) == 40 * 60
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1

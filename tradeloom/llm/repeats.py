@@ -12,12 +12,13 @@ word that a repeat covers goes.
 
 Neither probing nor extending pairs occurrences.  Texts are packed into batches of a few megabytes.  A
 batch sends every distinct hash once, with two flags (is there a block? is it here twice?), to the
-bucket of the hash; the bucket finds the hashes of which there are two and sends them back to the
-batches that asked.  So a passage in a third of all texts costs one entry per batch, and the work
-is linear in the words.
+bucket of the hash; the bucket finds the hashes of which there are two and answers the batches that
+asked: with the hashes that hit, which are few, and with one bit per whole window.  So a passage in a
+third of all texts costs one entry per batch, and the work is linear in the words.
 
-Blocks are compared by 48 bits: what collides only anchors windows in vain.  Whole windows are
-compared by 96 bits.  Entries are sorted and stored as differences: about four bytes per word.
+Blocks are compared by 11 bits more than number them, 48 at most: what collides only anchors windows
+in vain.  Whole windows are compared by 96 bits.  Entries are sorted and sent as differences: two to
+three bytes per word, and ten per anchored window.  Texts are stored once and sent once.
 """
 
 from __future__ import annotations
@@ -40,7 +41,8 @@ BATCH_BYTES = 8 << 20
 _PART = 1 << 20
 #: Hashes that a bucket receives on average.
 BUCKET_ENTRIES = 1 << 21
-_BITS = 48
+#: Bits by which blocks are compared: the fewest and most, and those beyond the number of blocks.
+_LEAST_BITS, _MOST_BITS, _SPARE_BITS = 32, 48, 11
 
 _U = np.uint64
 _PACKED = "batch long, ids binary, known binary, sizes binary, texts binary, words long"
@@ -151,22 +153,40 @@ def unpack(row: dict) -> tuple[bytes, Texts]:
 
 
 def encoded(values: np.ndarray) -> bytes:
-    """Ascending numbers: the first one, then differences of equal width."""
+    """Ascending numbers as differences: their lower bits, and the upper ones as runs of zeros before a one.
+
+    There are as many lower bits as a mean difference has below its first, so the runs have less than
+    two zeros on average, however the numbers lie.
+    """
     if not len(values):
         return b""
     steps = np.diff(values)
-    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([width]) + values[:1].tobytes() + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    mean = int(values[-1] - values[0]) // max(1, len(steps))
+    low = max(0, mean.bit_length() - 1)
+    parts = [bytes([low]), np.uint64(len(steps)).tobytes(), values[:1].tobytes()]
+    parts.append(steps.view(np.uint8).reshape(-1, 8)[:, : low // 8].tobytes())
+    parts += [np.packbits((steps >> _U(j)).astype(np.uint8) & 1).tobytes() for j in range(low // 8 * 8, low)]
+    ones = np.cumsum((steps >> _U(low)) + _U(1)).astype(np.int64) - 1
+    runs = np.zeros(int(ones[-1]) + 1 if len(ones) else 0, bool)
+    runs[ones] = True
+    return b"".join([*parts, np.packbits(runs).tobytes()])
 
 
 def decoded(data: bytes) -> np.ndarray:
     if not data:
         return np.empty(0, _U)
-    width = data[0]
-    out = np.zeros(((len(data) - 9) // width + 1, 8), np.uint8)
-    out[0] = np.frombuffer(data, np.uint8, 8, 1)
-    out[1:, :width] = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
-    return np.cumsum(out.view(_U).ravel(), dtype=_U)
+    low, (n, start) = data[0], np.frombuffer(data, _U, 2, 1).tolist()
+    whole, at = low // 8, 17
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :whole] = np.frombuffer(data, np.uint8, n * whole, at).reshape(n, whole)
+    steps = steps.view(_U).ravel()
+    at += n * whole
+    for j in range(whole * 8, low):
+        steps |= np.unpackbits(np.frombuffer(data, np.uint8, (n + 7) // 8, at), count=n).astype(_U) << _U(j)
+        at += (n + 7) // 8
+    ones = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=at))) if n else np.empty(0, np.int64)
+    steps |= (np.diff(ones, prepend=-1) - 1).astype(_U) << _U(low)
+    return np.cumsum(np.concatenate([np.array([start], _U), steps]), dtype=_U)
 
 
 def _runs(values: np.ndarray, *more: np.ndarray) -> np.ndarray:
@@ -179,15 +199,13 @@ def _runs(values: np.ndarray, *more: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _sent(batch: int, values: np.ndarray, bits: int, buckets: int, more: np.ndarray | None = None) -> Iterator[tuple]:
-    """Ascending entries of so many bits, cut by the bucket of their upper bits."""
-    if not len(values):
-        return
+def _cuts(values: np.ndarray, bits: int, buckets: int) -> Iterator[tuple[int, int, int]]:
+    """The buckets of ascending entries of so many bits, by their upper bits, and where each begins and ends."""
     upper = (values >> _U(bits - 32)).astype(_U)
     bucket = ((upper * _U(buckets)) >> _U(32)).astype(np.int64)  # ascending, too
-    cuts = np.concatenate([_runs(bucket), [len(values)]])
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        yield int(bucket[a]), batch, encoded(values[a:b]), None if more is None else more[a:b].tobytes()
+    cuts = np.append(_runs(bucket), len(values)).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield int(bucket[a]), a, b
 
 
 def _table_of(rows: list[tuple]) -> pa.Table:
@@ -196,7 +214,11 @@ def _table_of(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["bucket", "batch", "entries", "more"])
 
 
-def probes(row: dict, buckets: int) -> list[tuple]:
+def block_bits(words: int) -> int:
+    return min(_MOST_BITS, max(_LEAST_BITS, (words // BLOCK).bit_length() + _SPARE_BITS))
+
+
+def probes(row: dict, bits: int, buckets: int) -> list[tuple]:
     """Every distinct rolling window of a batch; the lowest bits say: there are two, one is a block."""
     _, texts = unpack(row)
     whole = texts.left >= BLOCK
@@ -204,35 +226,39 @@ def probes(row: dict, buckets: int) -> list[tuple]:
     if not len(at):
         return []
     block = (at - texts.start[texts.text[at]]) % BLOCK == 0
-    values = (texts.windows(BLOCK)[at] >> _U(64 - _BITS) << _U(1)) | block.astype(_U)
+    values = (texts.windows(BLOCK)[at] >> _U(64 - bits) << _U(1)) | block.astype(_U)
     values.sort()
     hashes = values >> _U(1)
     first = _runs(hashes)
     last = np.append(first[1:], len(values)) - 1  # a block sorts behind
     entries = (hashes[first] << _U(2)) | ((last > first).astype(_U) << _U(1)) | (values[last] & _U(1))
-    return list(_sent(row["batch"], entries, _BITS + 2, buckets))
+    return [(bucket, row["batch"], encoded(entries[a:b]), None) for bucket, a, b in _cuts(entries, bits + 2, buckets)]
 
 
-def anchored(row: dict, hits: np.ndarray, buckets: int) -> list[tuple]:
-    """Distinct windows of 35 words around the hits of a batch, as 64 and 32 bits of hash."""
-    _, texts = unpack(row)
+def _anchored(texts: Texts, hits: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of 35 words around hits, in the order of their 64 and 32 bits of hash: starts, hashes, where runs of equal ones begin."""
     n = len(texts.hash)
-    near = _member(texts.windows(BLOCK) >> _U(64 - _BITS), hits) & (texts.left >= BLOCK)
+    near = _member(texts.windows(BLOCK) >> _U(64 - bits), hits) & (texts.left >= BLOCK)
     # A window is anchored if a hit starts in its first 18 words.
     sums = np.concatenate([[0], np.cumsum(near)])
     start = np.flatnonzero(texts.left >= WINDOW)
     start = start[sums[np.minimum(start + WINDOW - BLOCK + 1, n)] > sums[start]]
-    if not len(start):
-        return []
     hashes = texts.windows(WINDOW, start)
     further = (texts.windows(WINDOW, start, 1) >> _U(32)).astype(np.uint32)
     order = np.lexsort((further, hashes))
     hashes, further = hashes[order], further[order]
-    first = _runs(hashes, further)
-    more = np.empty((len(first), 5), np.uint8)
-    more[:, :4] = further[first].view(np.uint8).reshape(-1, 4)
-    more[:, 4] = np.append(first[1:], len(hashes)) - first > 1
-    return list(_sent(row["batch"], hashes[first], 64, buckets, more))
+    return start[order], hashes, further, _runs(hashes, further)
+
+
+def anchored(row: dict, hits: np.ndarray, bits: int, buckets: int) -> list[tuple]:
+    """Distinct anchored windows of a batch; behind the further bits of hash, one bit each says: there are two."""
+    _, hashes, further, first = _anchored(unpack(row)[1], hits, bits)
+    twice = np.diff(np.append(first, len(hashes))) > 1
+    hashes, further = hashes[first], further[first]
+    return [
+        (bucket, row["batch"], encoded(hashes[a:b]), further[a:b].tobytes() + np.packbits(twice[a:b]).tobytes())
+        for bucket, a, b in _cuts(hashes, 64, buckets)
+    ]
 
 
 def _member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
@@ -244,6 +270,7 @@ def _member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
 
 def found_hits(key: tuple, sent: pa.Table) -> pa.Table:
     """Hashes of a bucket that are a block and another window, for each batch that has them."""
+    batches = sent.column("batch").to_pylist()
     lists = [decoded(x) for x in sent.column("entries").to_pylist()]
     values = np.concatenate(lists)
     owner = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
@@ -254,67 +281,56 @@ def found_hits(key: tuple, sent: pa.Table) -> pa.Table:
     copies = np.add.reduceat(1 + ((values >> _U(1)) & _U(1)).astype(np.int64), first)
     block = np.bitwise_or.reduceat(values & _U(1), first).astype(bool)
     hit = np.repeat((copies > 1) & block, np.diff(np.append(first, len(values))))
-    return _answers(key, sent, owner[hit], hashes[hit])
+    owner, hashes = owner[hit], hashes[hit]
+    order = np.argsort(owner, kind="stable")  # hashes stay ascending
+    owner, hashes = owner[order], hashes[order]
+    cuts = np.append(_runs(owner), len(owner)).tolist()
+    rows = [(key[0].as_py(), batches[owner[a]], encoded(hashes[a:b]), None) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return _table_of(rows)
 
 
 def found_repeats(key: tuple, sent: pa.Table) -> pa.Table:
-    """Windows of a bucket that start twice, for each batch that has them."""
+    """For each batch, one bit per window that it sent to a bucket: does it start twice?"""
+    batches = sent.column("batch").to_pylist()
     lists = [decoded(x) for x in sent.column("entries").to_pylist()]
+    more = sent.column("more").to_pylist()
     values = np.concatenate(lists)
-    raw = np.frombuffer(b"".join(sent.column("more").to_pylist()), np.uint8).reshape(-1, 5)
-    further = np.ascontiguousarray(raw[:, :4]).view(np.uint32).ravel()
-    owner = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
+    further = np.concatenate([np.frombuffer(m, np.uint32, len(x)) for m, x in zip(more, lists, strict=True)])
+    twice = [np.unpackbits(np.frombuffer(m, np.uint8, offset=4 * len(x)), count=len(x)) for m, x in zip(more, lists, strict=True)]
     order = np.lexsort((further, values))
-    values, further, owner, twice = values[order], further[order], owner[order], raw[order, 4]
+    values, further = values[order], further[order]
     first = _runs(values, further)
-    copies = np.add.reduceat(1 + twice.astype(np.int64), first)
-    hit = np.repeat(copies > 1, np.diff(np.append(first, len(values))))
-    return _answers(key, sent, owner[hit], values[hit], further[hit])
-
-
-def _answers(key: tuple, sent: pa.Table, owner: np.ndarray, hashes: np.ndarray, further: np.ndarray | None = None) -> pa.Table:
-    batches = sent.column("batch").to_pylist()
-    order = np.argsort(owner, kind="stable")  # hashes stay ascending
-    owner, hashes = owner[order], hashes[order]
-    cuts = np.concatenate([_runs(owner), [len(owner)]])
-    rows = []
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        more = None if further is None else further[order[a:b]].tobytes()
-        rows.append((key[0].as_py(), batches[owner[a]], encoded(hashes[a:b]), more))
+    copies = np.add.reduceat(1 + np.concatenate(twice)[order].astype(np.int64), first)
+    hit = np.empty(len(values), bool)
+    hit[order] = np.repeat(copies > 1, np.diff(np.append(first, len(values))))
+    parts = np.split(hit, np.cumsum([len(x) for x in lists])[:-1])
+    rows = [(key[0].as_py(), batch, None, np.packbits(part).tobytes()) for batch, part in zip(batches, parts, strict=True) if part.any()]
     return _table_of(rows)
 
 
-def _answered(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """All hashes that came back to a batch, ascending, and their further bits."""
-    rows = sorted(zip(*[answers.column(c).to_pylist() for c in ("bucket", "entries", "more")], strict=True), key=lambda r: r[0])
-    if not rows:
-        return np.empty(0, _U), np.empty(0, np.uint32)
-    further = [np.frombuffer(r[2], np.uint32) for r in rows if r[2] is not None]
-    return np.concatenate([decoded(r[1]) for r in rows]), np.concatenate(further) if further else np.empty(0, np.uint32)
+def hits_of(answers: pa.Table) -> np.ndarray:
+    """All hashes that came back to a batch, ascending."""
+    rows = sorted((b, e) for b, e in zip(answers.column("bucket").to_pylist(), answers.column("entries").to_pylist(), strict=True) if e is not None)
+    return np.concatenate([np.empty(0, _U), *[decoded(e) for _, e in rows]])
 
 
-def _repeated(texts: Texts, hashes: np.ndarray, further: np.ndarray) -> np.ndarray:
+def _repeated(texts: Texts, answers: pa.Table, bits: int, buckets: int) -> np.ndarray:
     """Words at which a repeat starts."""
-    if not len(hashes):
+    marks = {b: m for b, m in zip(answers.column("bucket").to_pylist(), answers.column("more").to_pylist(), strict=True) if m is not None}
+    if not marks:
         return np.empty(0, np.int64)
-    near = np.flatnonzero(texts.left >= WINDOW)
-    values = texts.windows(WINDOW)[near]
-    here = _member(values, hashes)
-    near, values = near[here], values[here]
-    bits = (texts.windows(WINDOW, near, 1) >> _U(32)).astype(np.uint32)
-    # Equal 64 bits are rare, so each is followed through those that share them.
-    at, end = np.searchsorted(hashes, values), np.searchsorted(hashes, values, "right")
-    good = np.zeros(len(near), bool)
-    for step in range(int((end - at).max(initial=0))):
-        open_ = at + step < end
-        good |= open_ & (further[np.minimum(at + step, len(further) - 1)] == bits)
-    return near[good]
-
-
-def kept_words(row: dict, answers: pa.Table) -> pa.Table:
+    start, hashes, _, first = _anchored(texts, hits_of(answers), bits)
+    twice = np.zeros(len(first), bool)
+    for bucket, a, b in _cuts(hashes[first], 64, buckets):  # as they were sent
+        if bucket in marks:
+            twice[a:b] = np.unpackbits(np.frombuffer(marks[bucket], np.uint8), count=b - a)
+    return start[np.repeat(twice, np.diff(np.append(first, len(hashes))))]
+
+
+def kept_words(row: dict, answers: pa.Table, bits: int, buckets: int) -> pa.Table:
     """The texts of a batch without the words that repeats cover."""
     data, texts = unpack(row)
-    start = _repeated(texts, *_answered(answers))
+    start = _repeated(texts, answers, bits, buckets)
     edges = np.zeros(len(texts.hash) + WINDOW + 1, np.int64)
     np.add.at(edges, start, 1)
     np.add.at(edges, start + WINDOW, -1)
@@ -347,22 +363,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     taken = docs.select(F.col("doc_id").cast("long"), "text")
     packed = stored(taken.mapInArrow(pack, _PACKED), "repeats")
     words = packed.agg(F.sum("words")).first()[0] or 0
+    bits = block_bits(words)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // BUCKET_ENTRIES))
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                rows = probes(batch.slice(i, 1).to_pylist()[0], buckets)
+                rows = probes(batch.slice(i, 1).to_pylist()[0], bits, buckets)
                 yield from _table_of(rows).to_batches()
 
     def extended(key: tuple, own: pa.Table, answers: pa.Table) -> pa.Table:
         rows = []
         for row in own.to_pylist() if answers.num_rows else []:
-            rows += anchored(row, _answered(answers)[0], buckets)
+            rows += anchored(row, hits_of(answers), bits, buckets)
         return _table_of(rows)
 
     def finished(key: tuple, own: pa.Table, answers: pa.Table) -> pa.Table:
-        found = [kept_words(row, answers) for row in own.to_pylist()]
+        found = [kept_words(row, answers, bits, buckets) for row in own.to_pylist()]
         if not found:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
         return pa.concat_tables(found)
@@ -371,5 +388,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     hits = stored(hits, "repeats")
     texts = packed.groupBy("batch")
     anchors = texts.cogroup(hits.groupBy("batch")).applyInArrow(extended, _SENT)
-    repeats = stored(anchors.groupBy("bucket").applyInArrow(found_repeats, _SENT), "repeats")
-    return texts.cogroup(repeats.groupBy("batch")).applyInArrow(finished, _KEPT)
+    repeats = anchors.groupBy("bucket").applyInArrow(found_repeats, _SENT)
+    # Nothing is stored in between, so that both steps read one exchange of the texts.
+    return texts.cogroup(hits.union(repeats).groupBy("batch")).applyInArrow(finished, _KEPT)
