@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import pathlib
+import time
 import uuid
 
 import pytest
@@ -165,3 +167,36 @@ def test_tables_and_backups_are_written_in_zstd(spark, tmp_path):
             files = stored.inputFiles()
             assert files and all(f.endswith(".zstd.parquet") for f in files)
             assert sorted(r.sales_order_id for r in stored.collect()) == list(range(20))
+
+
+def _held(folder) -> int:
+    return sum(p.stat().st_size for p in pathlib.Path(folder).rglob("*") if p.is_file())
+
+
+def test_shuffles_of_written_tables_go_at_once(spark, tmp_path):
+    for name in ("tidy_gold", "tidy_backup"):
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+    rows = spark.range(200_000).selectExpr(
+        "concat(id, '-', hash(id)) AS sales_order_id", "date_add(DATE'2024-01-01', int(id % 300)) AS order_date"
+    )
+    blocks = pathlib.Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    before = _held(blocks)
+    tables.write_layer(rows, "tidy_gold", "fact_sales")
+    tables.backup_tables(spark, "tidy_gold", ["fact_sales"], "tidy_backup")
+    until = time.time() + 20
+    while _held(blocks) > before and time.time() < until:
+        time.sleep(0.2)
+    assert _held(blocks) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    stored = spark.table("tidy_backup.fact_sales")
+    assert sorted(r.sales_order_id for r in stored.collect()) == sorted(r.sales_order_id for r in rows.collect())
+
+
+def test_rows_of_a_written_file_are_ordered_by_key(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE ordered_gold LOCATION '{tmp_path}/ordered_gold'")
+    rows = spark.range(300).selectExpr("id * 7919 % 300 AS sales_order_id", "DATE'2024-01-20' AS order_date")
+    tables.write_layer(rows, "ordered_gold", "fact_sales")
+    files = tables.read_upper_layer(spark, "ordered_gold", "fact_sales").inputFiles()
+    for file in files:
+        keys = [r.sales_order_id for r in spark.read.parquet(file).collect()]
+        assert keys == sorted(keys)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,23 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Within it, the shuffle files of a statement go when it ends, not when the driver collects garbage.
+
+    For writes: nothing reads their shuffles again, and a job of many writes holds one shuffle at a time.
+    """
+    before = spark.conf.get(_TIDY, "false")
+    spark.conf.set(_TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_TIDY, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
@@ -49,7 +68,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     broadcast and large ones are not.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
+    with tidy(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
