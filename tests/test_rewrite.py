@@ -296,3 +296,57 @@ def test_stored_rows_are_not_copied_and_children_keep_what_a_view_reads(spark):
     view = propagate.VIEWS["fact_purchase_orders"]
     held = propagate.MaintainedFact(spark, view, fresh_path(spark, "fact"), parents.schema, children.schema)
     assert held.table("children").columns == ["line_id", "po_id", "line_value", "qty_ordered", "_sequence", rewrite.BUCKET]
+
+
+def test_covered_rows_are_written_once_where_they_are_staged(spark):
+    path = fresh_path(spark, "t")
+    rows = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, None, 1), (4, "c", 1), (None, "b", 1)], "id int, p string, v int")
+    rewrite.create(rows, path, "p")
+    # 1 moves, 2 changes, 3 and 4 go, 5 is new, 6 was never there.
+    new = spark.createDataFrame([(1, None, 2), (2, "b", 2), (5, "d", 2)], rows.schema)
+    removed = spark.createDataFrame([(i,) for i in range(1, 7)], "id int")
+    done = rewrite.replace_rows(new, path, rows.schema, ["id"], "p", removed=removed, covered=True)
+    assert not rewrite.exists(spark, f"{done.folder}/rows") and done.rows == 4
+    assert set(done.partitions) == {"a", "b", "c", "d", None} and set(done.emptied) == {"a", "c"}
+    now = [tuple(r) for r in rewrite.read_rows(spark, path, rows.schema).select("id", "p", "v").collect()]
+    assert sorted(now, key=str) == sorted([(1, None, 2), (2, "b", 2), (5, "d", 2), (None, "b", 1)], key=str)
+    rewrite.undo(spark, done)
+    now = [tuple(r) for r in rewrite.read_rows(spark, path, rows.schema).select("id", "p", "v").collect()]
+    assert sorted(now, key=str) == sorted(map(tuple, rows.collect()), key=str)
+
+
+def test_a_partition_that_follows_from_the_key_is_not_looked_up(spark):
+    path = fresh_path(spark, "t")
+    rows = spark.range(40).selectExpr("cast(id as int) AS id", "1 AS v").withColumn(rewrite.BUCKET, rewrite.bucket_of(["id"], 4))
+    rewrite.create(rows, path, rewrite.BUCKET)
+    new = rows.where("id < 10").withColumn("v", F.lit(2)).unionByName(rows.where("id < 3").withColumn("id", F.col("id") + 100))
+    new = new.withColumn(rewrite.BUCKET, rewrite.bucket_of(["id"], 4))
+    done = rewrite.replace_rows(new, path, rows.schema, ["id"], rewrite.BUCKET, by_key=True)
+    got = rewrite.read_rows(spark, path, rows.schema)
+    assert done.rows == 10 and rewrite.before(spark, done).count() == 10
+    want = [(i, 2 if i < 10 else 1) for i in range(40)] + [(100 + i, 1) for i in range(3)]
+    assert sorted(map(tuple, got.select("id", "v").collect())) == sorted((i, v) for i, v in want)
+
+
+def test_changes_meet_held_rows_before_they_are_reduced(spark):
+    held = spark.createDataFrame([(1, "a", 3), (2, "b", 1), (None, "c", 9)], "id int, v string, _sequence long")
+    changes = [(1, "old", 2), (1, "same", 3), (2, "x", 2), (2, "y", 4), (3, "n", 1), (None, "m", 1), (None, "k", 2)]
+    changes = spark.createDataFrame(changes, held.schema)
+    found = merge.newer(changes, held, ["id"])
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([(2, "y", 4), (3, "n", 1), (None, "k", 2)], key=str)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Join")
+
+
+def test_a_batch_keeps_one_copy_of_its_fact_rows(spark):
+    orders = spark.createDataFrame([(i, 1, None) for i in (1, 2, 3, None)], ORDER).withColumn("po_date", F.expr("DATE'2024-01-10'"))
+    lines = spark.createDataFrame([("a", 1, 5.0, 1.0, 1, False)], LINE)
+    more = spark.createDataFrame([("b", 2, 7.0, 1.0, 2, False)], LINE)
+    tables_, root = maintained(spark, small_view(), orders.schema, lines.schema)
+    tables_.apply(orders, lines, f"{root}-batches/0")
+    tables_.apply(orders.limit(0), more, f"{root}-batches/1")
+    assert not rewrite.exists(spark, f"{root}-batches/0/fact/rows")
+    keys = spark.read.parquet(f"{root}-batches/1/fact/removed").collect()
+    assert [r.po_id for r in keys] == [2]
+    got = tables_.fact().select("po_id", "line_total", "n").collect()
+    assert sorted(map(tuple, got)) == [(1, 5.0, 1), (2, 7.0, 1), (3, None, None)]

@@ -8,6 +8,7 @@ import time
 import uuid
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from known import AS_OF, CALENDAR, ROWS
 from tradeloom.operators import edits
@@ -173,9 +174,12 @@ def _held(folder) -> int:
     return sum(p.stat().st_size for p in pathlib.Path(folder).rglob("*") if p.is_file())
 
 
-def test_shuffles_of_written_tables_go_at_once(spark, tmp_path):
-    for name in ("tidy_gold", "tidy_backup"):
-        spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+def test_shuffles_of_written_tables_go_at_once(spark, tmp_path, monkeypatch):
+    # The driver's garbage collector may come first, so the setting of each write is looked at as well.
+    name, seen, save = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], DataFrameWriter.saveAsTable
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", lambda *a: (seen.append(spark.conf.get(name, "false")), save(*a))[1])
+    for layer in ("tidy_gold", "tidy_backup"):
+        spark.sql(f"CREATE DATABASE {layer} LOCATION '{tmp_path}/{layer}'")
     rows = spark.range(200_000).selectExpr(
         "concat(id, '-', hash(id)) AS sales_order_id", "date_add(DATE'2024-01-01', int(id % 300)) AS order_date"
     )
@@ -187,7 +191,7 @@ def test_shuffles_of_written_tables_go_at_once(spark, tmp_path):
     while _held(blocks) > before and time.time() < until:
         time.sleep(0.2)
     assert _held(blocks) <= before
-    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+    assert seen == ["true", "true"] and spark.conf.get(name, "false") == "false"
     stored = spark.table("tidy_backup.fact_sales")
     assert sorted(r.sales_order_id for r in stored.collect()) == sorted(r.sales_order_id for r in rows.collect())
 
