@@ -338,6 +338,20 @@ def test_changes_meet_held_rows_before_they_are_reduced(spark):
     assert plan.index("Aggregate") < plan.index("Join")
 
 
+def test_totals_without_maxima_are_stored_once(spark):
+    orders = "po_id int, vendor_id int, project_id int, po_date date, delivery_date date, approval_date date, po_value double, "
+    orders += "tax_amount double, total_value double, po_status string, po_type string, priority string, currency string, "
+    orders += "payment_terms string, _sequence long"
+    columns = ", ".join(f"cast(null as {n.split()[1]}) AS {n.split()[0]}" for n in orders.split(", ")[1:-1])
+    parents = spark.range(3).selectExpr("cast(id as int) AS po_id", *columns.split(", "), "1L AS _sequence")
+    lines = spark.createDataFrame([("a", 1, 5.0, 2.0, 1), ("b", 1, 7.0, 1.0, 1), ("c", 2, None, 1.0, 1)], "line_id string, po_id int, line_value double, qty_ordered double, _sequence long")
+    held, root = maintained(spark, propagate.VIEWS["fact_purchase_orders"], parents.schema, lines.schema)
+    held.apply(parents, lines, f"{root}-batches/0")
+    assert not rewrite.exists(spark, f"{root}-batches/0/moved")
+    got = held.fact().select("po_id", "line_total", "total_quantity").collect()
+    assert sorted(map(tuple, got)) == [(0, 0.0, 0.0), (1, 12.0, 3.0), (2, 0.0, 1.0)]
+
+
 def test_a_batch_keeps_one_copy_of_its_fact_rows(spark):
     orders = spark.createDataFrame([(i, 1, None) for i in (1, 2, 3, None)], ORDER).withColumn("po_date", F.expr("DATE'2024-01-10'"))
     lines = spark.createDataFrame([("a", 1, 5.0, 1.0, 1, False)], LINE)
