@@ -178,3 +178,13 @@ def test_incremental_ingest_takes_each_file_once(spark, tmp_path):
     assert {(r._batch_id, r["count"]) for r in rows.groupBy("_batch_id").count().collect()} == {
         ("b1", 3), ("b3", 3)
     }
+
+
+def test_streams_write_zstd(spark):
+    source = fresh_path(spark, "numbers")
+    spark.range(30).write.parquet(source)
+    out = drained(spark, streams.stream_parquet(spark, source, spark.range(1)))
+    files = out.inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    assert sorted(r.id for r in out.collect()) == list(range(30))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"

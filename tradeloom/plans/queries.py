@@ -30,7 +30,7 @@ from ..operators import (
     sales_reports,
     silver,
 )
-from ..session import fresh_path
+from ..session import fresh_path, tidy
 from ..sources import ingest, rewrite, star as star_schema, tables
 from ..sources.schemas import KEYS, SOURCES
 from ..sources.star import FEEDS, Star
@@ -873,7 +873,8 @@ def edit_queries() -> dict[str, Query]:
 def _as_stream(spark: SparkSession, raw: DataFrame) -> DataFrame:
     """A feed written to files and read back as a stream."""
     path = fresh_path(spark, "feed")
-    raw.write.parquet(path)
+    with tidy(spark):
+        raw.write.option("compression", "zstd").parquet(path)
     return streams.stream_parquet(spark, path, raw)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions import columns as c
 from ..operators import dims, facts, silver
-from ..session import stored
+from ..session import stored, tidy
 from ..sources.ingest import CORRUPT, csv_schema
 
 AsOf = dt.date | str | None
@@ -35,12 +35,14 @@ def run_available(
     """
     writer = (
         stream.writeStream.format("parquet")
+        .option("compression", "zstd")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
     )
-    query = (writer.queryName(table) if table else writer).start()
+    with tidy(stream.sparkSession):
+        query = (writer.queryName(table) if table else writer).start()
     query.awaitTermination()
     return query
 
