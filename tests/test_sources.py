@@ -204,3 +204,15 @@ def test_rows_of_a_written_file_are_ordered_by_key(spark, tmp_path):
     for file in files:
         keys = [r.sales_order_id for r in spark.read.parquet(file).collect()]
         assert keys == sorted(keys)
+
+
+def test_landing_and_parsed_rows_are_written_without_leaving_shuffles(spark, tmp_path, monkeypatch):
+    name, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    for kind in ("csv", "parquet"):
+        save = getattr(DataFrameWriter, kind)
+        monkeypatch.setattr(DataFrameWriter, kind, lambda *a, k=kind, s=save: (seen.append((k, spark.conf.get(name, "false"))), s(*a))[1])
+    rows = spark.range(50).selectExpr("cast(id as string) AS vendor_id", "concat('n', id % 7) AS vendor_name").repartition(2)
+    ingest.write_csv(rows, str(tmp_path / "vendors.csv"), "vendors")
+    good, bad = ingest.corrupt_row_gate(spark, str(tmp_path / "vendors.csv"), "vendors")
+    assert seen == [("csv", "true"), ("parquet", "true")] and spark.conf.get(name, "false") == "false"
+    assert {(r.vendor_id, r.vendor_name) for r in good.collect()} == {(str(i), f"n{i % 7}") for i in range(50)} and bad.isEmpty()
